@@ -35,3 +35,22 @@ def previous(value: str | Column, partition: list[str], order: list[str | Column
     """LAG(value, 1[, default])."""
     w = Window.partitionBy(*partition).orderBy(*order)
     return F.lag(value, 1, default).over(w)
+
+
+def previous_event(df: DataFrame, key: str, date: str, tiebreak: str, name: str = "prev_date") -> DataFrame:
+    """LAG(date) OVER (PARTITION BY key ORDER BY date, tiebreak), skew-safe.
+
+    A plain window sorts all rows of a key in one task, and one key may hold
+    a third of the rows. The previous date of a row is either its own date
+    (an earlier row of the same key on the same day exists) or the last
+    earlier day of that key. So: one row per (key, day) with its first
+    tiebreak (partial aggregation), a LAG over those day rows (at most one
+    row per calendar day per key), and an equi-join back.
+    """
+    days = df.groupBy(key, date).agg(F.min(tiebreak).alias("_first"))
+    w = Window.partitionBy(key).orderBy(date)
+    days = days.withColumn("_prev_day", F.lag(date).over(w))
+    return (df.join(days, [key, date])
+            .withColumn(name, F.when(F.col(tiebreak) == F.col("_first"), F.col("_prev_day"))
+                        .otherwise(F.col(date)))
+            .drop("_first", "_prev_day"))

@@ -46,7 +46,7 @@ ob AS (
 cal0 AS (
   SELECT CAST(unnest(generate_series(
            CAST(date_trunc('month', CAST(min(o_orderdate) AS DATE)) AS TIMESTAMP),
-           CAST(last_day(CAST(max(o_orderdate) AS DATE) + INTERVAL 2 MONTH) AS TIMESTAMP),
+           CAST(last_day(CAST(max(o_orderdate) AS DATE) + INTERVAL 3 MONTH) AS TIMESTAMP),
            INTERVAL 1 DAY)) AS DATE) AS cal_date
   FROM orders),
 cal1 AS (
@@ -114,7 +114,7 @@ expense AS (
          CAST(o_totalprice AS DECIMAL(10,2)) AS amount
   FROM ob),
 payment AS (
-  SELECT CAST(l.l_orderkey * 8 + l.l_linenumber AS BIGINT) AS id_payment,
+  SELECT concat_ws('-', l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey) AS id_payment,
          ob.id_unit * 1000000 + {ym('ob.month_start')} AS id_account, ob.id_unit, ob.id_building,
          ob.id_building * 1000000 + {ym('ob.month_start')} AS id_bill,
          CAST(ob.month_start + CAST((7 * l.l_orderkey + 5 * l.l_linenumber + l.l_partkey) % 50 AS INTEGER) AS DATE)
@@ -235,3 +235,201 @@ SELECT week_start, CAST(o AS DECIMAL(18,2)) AS ordinary, CAST(e AS DECIMAL(18,2)
        CAST(sum(t) OVER (ORDER BY week_start ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DECIMAL(18,2))
          AS running_total
 FROM wk""")
+
+
+def div_money_sql(a: str, q: str) -> str:
+    """round(a / q, 2) for two money values, exact."""
+    A = f"CAST(({a}) * 100 AS HUGEINT)"
+    Q = f"CAST(({q}) * 100 AS HUGEINT)"
+    return (f"CAST(CAST(sign({A}) * ((2 * 100 * abs({A}) + {Q}) // (2 * {Q})) AS DECIMAL(38,0)) * 0.01 "
+            f"AS DECIMAL(18,2))")
+
+
+def r1_sql() -> str:
+    return with_ledger("""
+exp_out AS (SELECT id_bill, sum(amount) AS out_ FROM expense GROUP BY id_bill)""", """
+pagg AS (
+  SELECT p.id_bill,
+         sum(CASE WHEN p.pay_date BETWEEN b.issue_date AND b.due1 THEN p.amount ELSE 0 END) AS on_time_,
+         sum(CASE WHEN p.pay_date > b.due1 THEN p.amount ELSE 0 END) AS late_,
+         sum(CASE WHEN p.pay_date < b.issue_date THEN p.amount ELSE 0 END) AS advance_,
+         sum(p.amount) AS in_
+  FROM payment p JOIN bill b ON b.id_bill = p.id_bill GROUP BY p.id_bill)""", """
+m AS (
+  SELECT b.id_bill, b.id_building, b.issue_date, b.total AS bill_total,
+         CAST(coalesce(on_time_, 0) AS DECIMAL(18,2)) AS on_time, CAST(coalesce(late_, 0) AS DECIMAL(18,2)) AS late,
+         CAST(coalesce(advance_, 0) AS DECIMAL(18,2)) AS advance, CAST(coalesce(in_, 0) AS DECIMAL(18,2)) AS total_in,
+         CAST(coalesce(out_, 0) AS DECIMAL(18,2)) AS total_out
+  FROM bill b LEFT JOIN exp_out e ON e.id_bill = b.id_bill LEFT JOIN pagg p ON p.id_bill = b.id_bill)""", """
+m2 AS (
+  SELECT *, CAST(sum(CAST(total_in - total_out AS DECIMAL(18,2))) OVER (PARTITION BY id_building
+         ORDER BY issue_date, id_bill ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DECIMAL(18,2)) AS closing
+  FROM m)""", select="""
+SELECT row_number() OVER (ORDER BY m2.id_building, issue_date, id_bill) AS row_id, m2.id_building,
+       bd.name AS building_name, id_bill, issue_date, bill_total,
+       CAST(coalesce(lag(closing) OVER (PARTITION BY m2.id_building ORDER BY issue_date, id_bill), 0) AS DECIMAL(18,2))
+         AS previous,
+       on_time, late, advance, total_in, total_out, closing
+FROM m2 JOIN building bd ON bd.id_building = m2.id_building""")
+
+
+def r4_sql(year: int = 2001) -> str:
+    return with_ledger(select=f"""
+SELECT strftime(period_date, '%Y-%m') AS period, department, CAST(sum(s) AS DECIMAL(18,2)) AS total_collected
+FROM (SELECT CAST(date_trunc('month', b.issue_date) AS DATE) AS period_date,
+             CAST(coalesce(u.floor, 0) AS VARCHAR) || coalesce(u.dept, '') AS department, p.amount AS s
+      FROM payment p JOIN bill b ON b.id_bill = p.id_bill JOIN unit u ON u.id_unit = p.id_unit
+      WHERE b.issue_date >= DATE '{year}-01-01' AND b.issue_date < DATE '{year + 1}-01-01')
+GROUP BY period_date, department""")
+
+
+def r5_sql(grouping: str = "MES", date_from: str = "DATE '2000-07-15'", date_to: str = AS_OF) -> str:
+    if grouping == "TRIMESTRE":
+        pd_ = "make_date(year(pay_date), 1 + 3 * (quarter(pay_date) - 1), 1)"
+        label = ("CAST(year(period_date) AS VARCHAR) || '-T' || "
+                 "CAST((month(period_date) - 1) // 3 + 1 AS VARCHAR)")
+    else:
+        pd_ = "CAST(date_trunc('month', pay_date) AS DATE)"
+        label = "strftime(period_date, '%Y-%m')"
+    return with_ledger(accounts_sql(), PROPORTIONS, pay_prop(date_from, date_to), f"""
+g AS (SELECT {pd_} AS period_date, sum(part_ord) AS o, sum(part_ext) AS e FROM pp GROUP BY 1)""", select=f"""
+SELECT {label} AS period, CAST(coalesce(o, 0) AS DECIMAL(18,2)) AS ordinary,
+       CAST(coalesce(e, 0) AS DECIMAL(18,2)) AS extraordinary,
+       CAST(coalesce(o, 0) + coalesce(e, 0) AS DECIMAL(18,2)) AS total,
+       CAST(CASE WHEN o + e > 0 THEN o / (o + e) * 100 ELSE 0 END AS DECIMAL(5,2)) AS pct_ordinary,
+       CAST(CASE WHEN o + e > 0 THEN e / (o + e) * 100 ELSE 0 END AS DECIMAL(5,2)) AS pct_extraordinary
+FROM g""")
+
+
+def r6_sql(fx: str = "blue", n: int = 5, year: int | None = None) -> str:
+    def rng(c):
+        return f"WHERE {c} >= DATE '{year}-01-01' AND {c} < DATE '{year + 1}-01-01'" if year else ""
+    def top(kind, src):
+        return f"""
+SELECT '{kind}' AS movement, strftime(period_date, '%Y-%m') AS period, CAST(amt AS DECIMAL(18,2)) AS pesos,
+       CASE WHEN coalesce(q.quote, 0) > 0 THEN {div_money_sql('amt', 'q.quote')} END AS dollars,
+       '{fx}' AS fx_type, CAST(coalesce(q.quote, 0) AS DECIMAL(10,2)) AS quote_used
+FROM (SELECT * FROM {src} ORDER BY amt DESC, period_date LIMIT {n}) t LEFT JOIN q ON TRUE"""
+    return with_ledger(f"""
+q AS (SELECT sell AS quote FROM (SELECT sell, row_number() OVER (ORDER BY quote_ts DESC) AS rn
+                                 FROM fx_quote WHERE fx_type = '{fx}') WHERE rn = 1)""", f"""
+em AS (SELECT CAST(date_trunc('month', issue_date) AS DATE) AS period_date, sum(amount) AS amt
+       FROM expense {rng('issue_date')} GROUP BY 1)""", f"""
+im AS (SELECT CAST(date_trunc('month', p.pay_date) AS DATE) AS period_date, sum(p.amount) AS amt
+       FROM payment p JOIN bill b ON b.id_bill = p.id_bill {rng('p.pay_date')} GROUP BY 1)""",
+                       select=top("GASTOS", "em") + "\nUNION ALL" + top("INGRESOS", "im"))
+
+
+def risk_sql(d: str) -> str:
+    return (f"CASE WHEN {d} > 180 THEN 'CRITICO' WHEN {d} > 90 THEN 'ALTO' WHEN {d} > 30 THEN 'MEDIO' "
+            f"ELSE 'BAJO' END")
+
+
+def r7_sql(n: int | None = 3, cut: str = AS_OF) -> str:
+    lim = f"ORDER BY total_due DESC, days_late DESC, id_person LIMIT {n}" if n else ""
+    return with_ledger(accounts_sql(), f"""
+m AS (
+  SELECT pe.id_person, a.id_building, count(DISTINCT a.id_bill) AS unpaid_bills,
+         CAST(sum(a.debt) AS DECIMAL(18,2)) AS debt_total, CAST(sum(a.interest) AS DECIMAL(18,2)) AS interest_total,
+         CAST(sum(a.total_due) AS DECIMAL(18,2)) AS total_due, max(b.due1) AS last_due
+  FROM account a JOIN bill b ON b.id_bill = a.id_bill
+  JOIN unit u ON u.id_unit = a.id_unit JOIN person pe ON pe.cbu = u.cbu
+  JOIN (SELECT DISTINCT id_person, id_building FROM occupancy WHERE NOT is_tenant) o
+    ON o.id_person = pe.id_person AND o.id_building = a.id_building
+  WHERE a.debt > 0 AND b.due1 < {cut}
+  GROUP BY pe.id_person, a.id_building)""", f"""
+t AS (SELECT *, CAST(datediff('day', last_due, {cut}) AS BIGINT) AS days_late FROM m {lim})""", select=f"""
+SELECT t.id_person, concat(pe.last_name, ', ', pe.first_name) AS full_name, pe.dni, pe.email, pe.phone,
+       bd.name AS building_name, debt_total, interest_total, total_due, unpaid_bills, last_due, days_late,
+       {risk_sql('days_late')} AS risk_level
+FROM t JOIN person pe ON pe.id_person = t.id_person JOIN building bd ON bd.id_building = t.id_building""")
+
+
+def r8_sql(date_from: str = "DATE '2000-07-15'", date_to: str = AS_OF) -> str:
+    return with_ledger(f"""
+pu AS (SELECT p.id_payment, p.id_unit, p.pay_date, p.amount, u.id_building, u.floor, u.dept
+       FROM payment p JOIN unit u ON u.id_unit = p.id_unit
+       WHERE p.pay_date >= {date_from} AND p.pay_date < {date_to} + 1)""", """
+l AS (SELECT *, lag(pay_date) OVER (PARTITION BY id_unit ORDER BY pay_date, id_payment) AS prev_date FROM pu)""",
+                       select="""
+SELECT bd.name AS building_name, id_payment,
+       'UF-' || CAST(id_unit AS VARCHAR) || ' (Piso ' || CAST(coalesce(floor, 0) AS VARCHAR) || coalesce(dept, '') || ')'
+         AS unit_label,
+       pay_date, prev_date, CAST(datediff('day', prev_date, pay_date) AS BIGINT) AS days_between, amount
+FROM l JOIN building bd ON bd.id_building = l.id_building WHERE prev_date IS NOT NULL""")
+
+
+def r9_sql(year: int = 2000, m1: int = 1, m2: int = 12) -> str:
+    lo = f"DATE '{year}-{m1:02d}-01'"
+    hi = f"(DATE '{year}-{m2:02d}-01' + INTERVAL 1 MONTH)"
+    return with_ledger(f"""
+mb AS (SELECT DISTINCT id_building, CAST(date_trunc('month', issue_date) AS DATE) AS m_start FROM bill
+       WHERE issue_date >= {lo} AND issue_date < {hi})""", """
+inc AS (
+  SELECT m.id_building, m.m_start,
+         sum(CASE WHEN b.issue_date >= m.m_start AND b.issue_date <= last_day(m.m_start) THEN p.amount ELSE 0 END) AS same_,
+         sum(CASE WHEN b.issue_date < m.m_start THEN p.amount ELSE 0 END) AS owed_,
+         sum(CASE WHEN b.issue_date > last_day(m.m_start) THEN p.amount ELSE 0 END) AS ahead_,
+         sum(p.amount) AS in_
+  FROM mb m JOIN payment p ON p.id_building = m.id_building AND p.pay_date BETWEEN m.m_start AND last_day(m.m_start)
+  LEFT JOIN bill b ON b.id_bill = p.id_bill GROUP BY 1, 2)""", """
+outm AS (
+  SELECT m.id_building, m.m_start, sum(e.amount) AS out_
+  FROM mb m JOIN expense e ON e.id_building = m.id_building AND e.issue_date BETWEEN m.m_start AND last_day(m.m_start)
+  GROUP BY 1, 2)""", """
+c AS (
+  SELECT m.id_building, m.m_start, CAST(coalesce(same_, 0) AS DECIMAL(18,2)) AS income_on_time,
+         CAST(coalesce(owed_, 0) AS DECIMAL(18,2)) AS income_owed, CAST(coalesce(ahead_, 0) AS DECIMAL(18,2)) AS income_ahead,
+         CAST(coalesce(in_, 0) AS DECIMAL(18,2)) AS in_, CAST(coalesce(out_, 0) AS DECIMAL(18,2)) AS expenses
+  FROM mb m LEFT JOIN inc i ON i.id_building = m.id_building AND i.m_start = m.m_start
+  LEFT JOIN outm o ON o.id_building = m.id_building AND o.m_start = m.m_start)""", """
+c2 AS (SELECT *, CAST(sum(in_ - expenses) OVER (PARTITION BY id_building ORDER BY m_start) AS DECIMAL(18,2)) AS closing
+       FROM c)""", select="""
+SELECT c2.id_building, bd.name AS building_name, CAST(year(m_start) AS BIGINT) AS year,
+       CAST(month(m_start) AS BIGINT) AS month,
+       CAST(coalesce(lag(closing) OVER (PARTITION BY c2.id_building ORDER BY m_start), 0) AS DECIMAL(18,2)) AS previous,
+       income_on_time, income_owed, income_ahead, expenses, closing
+FROM c2 JOIN building bd ON bd.id_building = c2.id_building""")
+
+
+def r10_sql() -> str:
+    return with_ledger(accounts_sql(), select="""
+SELECT a.id_building, bd.name AS building_name, a.id_bill, b.issue_date, a.id_unit, u.share, u.floor, u.dept,
+       CASE WHEN coalesce(u.garage_m2, 0) > 0 THEN 1 ELSE 0 END AS has_garage,
+       CASE WHEN coalesce(u.storage_m2, 0) > 0 THEN 1 ELSE 0 END AS has_storage,
+       coalesce(pe.last_name || ', ' || pe.first_name, pe.first_name, pe.last_name) AS owner,
+       a.prev_balance, a.paid, a.debt, a.interest, a.ord_amount, a.ext_amount, a.total_due
+FROM account a JOIN bill b ON b.id_bill = a.id_bill JOIN unit u ON u.id_unit = a.id_unit
+LEFT JOIN person pe ON pe.cbu = u.cbu JOIN building bd ON bd.id_building = a.id_building""")
+
+
+def r12_sql(now: str = "TIMESTAMP '2024-02-01 00:00:00'") -> str:
+    return with_ledger(select=f"""
+SELECT fx_type, buy, sell, quote_ts,
+       CAST(epoch_us({now}) // 60000000 - epoch_us(quote_ts) // 60000000 AS BIGINT) AS minutes_since
+FROM fx_quote""")
+
+
+def j2_sql(rule: str = "M1") -> str:
+    return with_ledger(accounts_sql(rule), select="SELECT * FROM account")
+
+
+def j3_sql() -> str:
+    return with_ledger(accounts_sql(), select="""
+SELECT id_account, id_unit, id_bill, ord_amount, ext_amount FROM sk""")
+
+
+def j4_sql(rule: str = "M2") -> str:
+    return with_ledger(accounts_sql(), f"""
+r AS (
+  SELECT a.id_account, a.id_unit, a.id_building, a.id_bill, a.acct_date, a.prev_balance, a.ord_amount, a.ext_amount,
+         b.due1, b.due2, p.paid_sum, p.last_pay, coalesce(a.ord_amount, 0) + coalesce(a.ext_amount, 0) AS base
+  FROM account a JOIN bill b ON b.id_bill = a.id_bill LEFT JOIN pay_tot p ON p.id_account = a.id_account)""",
+                       select=f"""
+SELECT id_account, id_unit, id_building, id_bill, acct_date, prev_balance, ord_amount, ext_amount,
+       CAST(coalesce(paid_sum, 0) AS DECIMAL(18,2)) AS paid,
+       CAST(CASE WHEN base <= coalesce(paid_sum, 0) THEN 0 ELSE base - coalesce(paid_sum, 0) END AS DECIMAL(18,2)) AS debt,
+       {interest_sql(rule)} AS interest,
+       CAST(CAST(CASE WHEN base <= coalesce(paid_sum, 0) THEN 0 ELSE base - coalesce(paid_sum, 0) END AS DECIMAL(18,2))
+            + {interest_sql(rule)} AS DECIMAL(18,2)) AS total_due
+FROM r""")

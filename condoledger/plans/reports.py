@@ -167,3 +167,196 @@ def collection_by_month_department(lg: Ledger, year: int | None = None, building
     return (per_unit.join(u, "id_unit")
             .groupBy("period_date", "department").agg(F.sum("_s").cast(MONEY).alias("total_collected"))
             .select(F.date_format("period_date", "yyyy-MM").alias("period"), "department", "total_collected"))
+
+
+# ------------------------------------------------------------------- R6
+def latest_quotes(lg: Ledger) -> DataFrame:
+    """K8: latest sell quote per type (max_by over the quote time)."""
+    return lg.fx_quote.groupBy("fx_type").agg(F.max_by("sell", "quote_ts").alias("quote"))
+
+
+def to_dollars(amount: Column, quote: Column) -> Column:
+    """K9: amount / quote, NULL when there is no positive quote."""
+    return F.when(quote > 0, amount / quote).cast(MONEY)
+
+
+def top_months(lg: Ledger, year: int | None = None, building: int | None = None,
+               fx_type: str = "blue", n: int = 5) -> DataFrame:
+    """Top-n months of expenses and of income, in pesos and dollars at the
+    latest quote of ``fx_type`` (NULL dollars when there is none)."""
+    lo = dt.date(year, 1, 1) if year else None
+    hi = dt.date(year + 1, 1, 1) if year else None
+
+    def months(df: DataFrame, date: str) -> DataFrame:
+        if lo:
+            df = df.filter((F.col(date) >= F.lit(lo)) & (F.col(date) < F.lit(hi)))
+        if building is not None:
+            df = df.filter(F.col("id_building") == building)
+        return df.groupBy(F.trunc(date, "month").alias("period_date")).agg(F.sum("amount").alias("_amt"))
+
+    exp = months(lg.expense.select("id_building", "issue_date", "amount"), "issue_date")
+    pay = lg.payment.select("id_bill", "id_building", "pay_date", "amount").join(
+        bills_side(lg, lg.bill.select("id_bill")), "id_bill")
+    inc = months(pay, "pay_date")
+    q = latest_quotes(lg).filter(F.col("fx_type") == fx_type)
+
+    def top(df: DataFrame, kind: str) -> DataFrame:
+        t = df.orderBy(F.col("_amt").desc(), F.col("period_date")).limit(n)
+        t = t.withColumn("fx_type", F.lit(fx_type)).join(q, "fx_type", "left")
+        quote = F.coalesce("quote", F.lit(0)).cast("decimal(10,2)")
+        return t.select(F.lit(kind).alias("movement"),
+                        F.date_format("period_date", "yyyy-MM").alias("period"),
+                        F.col("_amt").cast(MONEY).alias("pesos"),
+                        to_dollars(F.col("_amt"), quote).alias("dollars"),
+                        "fx_type", quote.alias("quote_used"))
+
+    return top(exp, "GASTOS").unionByName(top(inc, "INGRESOS"))
+
+
+# ------------------------------------------------------------------- R7
+def risk_band(days: Column) -> Column:
+    return (F.when(days > 180, "CRITICO").when(days > 90, "ALTO")
+            .when(days > 30, "MEDIO").otherwise("BAJO"))
+
+
+def delinquent_owners(lg: Ledger, building: int | None = None, cut: dt.date | None = None,
+                      n: int | None = 3) -> DataFrame:
+    """Owners with unpaid accounts due before ``cut``, matched to units by
+    bank id, top ``n`` by amount due then days late (``n=None``: all)."""
+    cut = cut or lg.as_of
+    b = lg.bill.select("id_bill", "due1").filter(F.col("due1") < F.lit(cut))
+    acc = lg.account.filter(F.col("debt") > 0)
+    if building is not None:
+        acc = acc.filter(F.col("id_building") == building)
+    acc = acc.join(bills_side(lg, b), "id_bill")
+    units = lg.unit.select("id_unit", "cbu")
+    owners = lg.occupancy.filter(~F.col("is_tenant")).select("id_person", "id_building").distinct()
+    people = lg.person.select("id_person", "cbu")
+    m = (acc.join(units, "id_unit").join(people, "cbu")
+         .join(owners, ["id_person", "id_building"])
+         .groupBy("id_person", "id_building")
+         .agg(F.countDistinct("id_bill").alias("unpaid_bills"),
+              F.sum("debt").cast(MONEY).alias("debt_total"),
+              F.sum("interest").cast(MONEY).alias("interest_total"),
+              F.sum("total_due").cast(MONEY).alias("total_due"),
+              F.max("due1").alias("last_due")))
+    days = F.datediff(F.lit(cut), F.col("last_due")).cast("bigint")
+    m = m.withColumn("days_late", days)
+    if n is not None:
+        m = m.orderBy(F.col("total_due").desc(), F.col("days_late").desc(), F.col("id_person")).limit(n)
+    p = lg.person.select("id_person", F.concat(F.coalesce("last_name", F.lit("")), F.lit(", "),
+                                                         F.coalesce("first_name", F.lit(""))).alias("full_name"),
+                         "dni", "email", "phone")
+    names = lg.building.select("id_building", F.col("name").alias("building_name"))
+    return (m.join(p, "id_person").join(F.broadcast(names) if lg.building_b.small else names, "id_building")
+            .select("id_person", "full_name", "dni", "email", "phone", "building_name", "debt_total",
+                    "interest_total", "total_due", "unpaid_bills", "last_due", "days_late",
+                    risk_band(F.col("days_late")).alias("risk_level")))
+
+
+# ------------------------------------------------------------------- R8
+def days_between_payments(lg: Ledger, building: int | None = None, date_from: dt.date | None = None,
+                          date_to: dt.date | None = None) -> DataFrame:
+    """Per unit, each payment with the previous one in the range and the gap.
+    The range filter comes before the LAG, so a unit's first payment in the
+    range has no previous one and is dropped, as in the reference."""
+    from ..operators.windows import previous_event
+    date_to = date_to or lg.as_of
+    date_from = date_from or (date_to - relativedelta(years=1))
+    p = lg.payment.select("id_payment", "id_unit", "pay_date", "amount").filter(
+        (F.col("pay_date") >= F.lit(date_from)) & (F.col("pay_date") < F.lit(date_to + dt.timedelta(days=1))))
+    u = lg.unit.select("id_unit", "id_building", "floor", "dept")
+    if building is not None:
+        u = u.filter(F.col("id_building") == building)
+    p = previous_event(p.join(u, "id_unit"), "id_unit", "pay_date", "id_payment")
+    names = lg.building.select("id_building", F.col("name").alias("building_name"))
+    label = F.concat(F.lit("UF-"), F.col("id_unit").cast("string"), F.lit(" (Piso "),
+                     F.coalesce(F.col("floor"), F.lit(0)).cast("string"), F.coalesce("dept", F.lit("")), F.lit(")"))
+    return (p.filter(F.col("prev_date").isNotNull())
+            .join(F.broadcast(names) if lg.building_b.small else names, "id_building")
+            .select("building_name", "id_payment", label.alias("unit_label"), "pay_date", "prev_date",
+                    F.datediff("pay_date", "prev_date").cast("bigint").alias("days_between"), "amount"))
+
+
+# ------------------------------------------------------------------- R9
+def monthly_status(lg: Ledger, year: int, building: int | None = None, m1: int = 1, m2: int = 12) -> DataFrame:
+    """For each building month with a bill: income by payment month split by
+    the bill's month (same / earlier / later), expenses by emission month,
+    running balance from ``m1``."""
+    if not (1 <= m1 <= 12 and 1 <= m2 <= 12 and m1 <= m2):
+        raise ValueError("invalid month range")
+    lo, hi = dt.date(year, m1, 1), dt.date(year, m2, 1) + relativedelta(months=1)
+    b = lg.bill.filter((F.col("issue_date") >= F.lit(lo)) & (F.col("issue_date") < F.lit(hi)))
+    if building is not None:
+        b = b.filter(F.col("id_building") == building)
+    months = b.select("id_building", F.trunc("issue_date", "month").alias("m_start")).distinct()
+    months = F.broadcast(months) if lg.bill_b.small else months
+    bill_dates = bills_side(lg, lg.bill.select("id_bill", F.col("issue_date").alias("bill_date")))
+    pay = (lg.payment.select("id_bill", "id_building", "pay_date", "amount")
+           .filter((F.col("pay_date") >= F.lit(lo)) & (F.col("pay_date") < F.lit(hi)))
+           .withColumn("m_start", F.trunc("pay_date", "month"))
+           .join(months, ["id_building", "m_start"])
+           .join(bill_dates, "id_bill", "left"))
+    gen, ms = F.col("bill_date"), F.col("m_start")
+    a = F.col("amount")
+    inc = pay.groupBy("id_building", "m_start").agg(
+        F.sum(F.when((gen >= ms) & (gen <= F.last_day(ms)), a).otherwise(0)).alias("_same"),
+        F.sum(F.when(gen < ms, a).otherwise(0)).alias("_owed"),
+        F.sum(F.when(gen > F.last_day(ms), a).otherwise(0)).alias("_ahead"),
+        F.sum(a).alias("_in"))
+    out = (lg.expense.select("id_building", "issue_date", "amount")
+           .filter((F.col("issue_date") >= F.lit(lo)) & (F.col("issue_date") < F.lit(hi)))
+           .withColumn("m_start", F.trunc("issue_date", "month"))
+           .join(months, ["id_building", "m_start"])
+           .groupBy("id_building", "m_start").agg(F.sum("amount").alias("_out")))
+    c = (months.join(inc, ["id_building", "m_start"], "left").join(out, ["id_building", "m_start"], "left")
+         .select("id_building", "m_start",
+                 *[F.coalesce(x, F.lit(0)).cast(MONEY).alias(x) for x in ("_same", "_owed", "_ahead", "_in", "_out")]))
+    w = Window.partitionBy("id_building").orderBy("m_start")
+    c = c.withColumn("closing", F.sum(F.col("_in") - F.col("_out")).over(w).cast(MONEY))
+    c = c.withColumn("previous", F.lag("closing", 1, 0).over(w).cast(MONEY))
+    names = lg.building.select("id_building", F.col("name").alias("building_name"))
+    return (c.join(F.broadcast(names) if lg.building_b.small else names, "id_building")
+            .select("id_building", "building_name", F.year("m_start").cast("bigint").alias("year"),
+                    F.month("m_start").cast("bigint").alias("month"), "previous",
+                    F.col("_same").alias("income_on_time"), F.col("_owed").alias("income_owed"),
+                    F.col("_ahead").alias("income_ahead"), F.col("_out").alias("expenses"), "closing"))
+
+
+# ------------------------------------------------------------------ R10
+def account_statement(lg: Ledger, building: int | None = None, year: int | None = None,
+                      month: int | None = None, bill_no: int | None = None) -> DataFrame:
+    """Account x unit x building x bill with the owner name by bank id."""
+    b = lg.bill.select("id_bill", "issue_date")
+    if year is not None:
+        b = b.filter((F.col("issue_date") >= F.lit(dt.date(year, 1, 1)))
+                     & (F.col("issue_date") < F.lit(dt.date(year + 1, 1, 1))))
+    if month is not None:
+        b = b.filter(F.month("issue_date") == month)
+    if bill_no is not None:
+        b = b.filter(F.col("id_bill") == bill_no)
+    acc = lg.account
+    if building is not None:
+        acc = acc.filter(F.col("id_building") == building)
+    acc = acc.join(bills_side(lg, b), "id_bill")
+    u = lg.unit.select("id_unit", "share", "floor", "dept", "storage_m2", "garage_m2", "cbu")
+    p = lg.person.select("cbu", "first_name", "last_name")
+    names = lg.building.select("id_building", F.col("name").alias("building_name"))
+    owner = F.coalesce(F.concat("last_name", F.lit(", "), "first_name"), "first_name", "last_name")
+    return (acc.join(u, "id_unit").join(p, "cbu", "left")
+            .join(F.broadcast(names) if lg.building_b.small else names, "id_building")
+            .select("id_building", "building_name", "id_bill", "issue_date", "id_unit", "share", "floor", "dept",
+                    F.when(F.coalesce("garage_m2", F.lit(0)) > 0, 1).otherwise(0).alias("has_garage"),
+                    F.when(F.coalesce("storage_m2", F.lit(0)) > 0, 1).otherwise(0).alias("has_storage"),
+                    owner.alias("owner"), "prev_balance", "paid", "debt", "interest", "ord_amount",
+                    "ext_amount", "total_due"))
+
+
+# ------------------------------------------------------------------ R12
+def quote_age(lg: Ledger, now: dt.datetime) -> DataFrame:
+    """Every quote with the minutes since it was taken (minute
+    boundaries crossed, as DATEDIFF(MINUTE) counts them)."""
+    def minute(c: Column) -> Column:
+        return F.floor(F.unix_micros(c.cast("timestamp")) / 60_000_000)
+    return lg.fx_quote.select("fx_type", "buy", "sell", "quote_ts",
+                              (minute(F.lit(now)) - minute(F.col("quote_ts"))).cast("bigint").alias("minutes_since"))

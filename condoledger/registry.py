@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import oracle as O
+from .plans import accounts as A
 from .plans import reports as R
 from .sources.ledger import ledger
 
@@ -35,3 +36,93 @@ def r3_weekly_cash_flow(spark, sf_dir):
 @register("r3_weekly_one_building", O.r3_sql("DATE '2000-07-15'", O.AS_OF, "7"))
 def r3_weekly_one_building(spark, sf_dir):
     return R.weekly_cash_flow(ledger(spark, sf_dir), dt.date(2000, 7, 15), None, 7)
+
+
+@register("r1_financial_status", O.r1_sql())
+def r1_financial_status(spark, sf_dir):
+    return R.financial_status(ledger(spark, sf_dir))
+
+
+@register("r4_month_department", O.r4_sql(2001))
+def r4_month_department(spark, sf_dir):
+    return R.collection_by_month_department(ledger(spark, sf_dir), 2001)
+
+
+@register("r5_origin_month", O.r5_sql("MES"))
+def r5_origin_month(spark, sf_dir):
+    return R.collection_by_origin(ledger(spark, sf_dir), grouping="MES")
+
+
+@register("r5_origin_quarter", O.r5_sql("TRIMESTRE"))
+def r5_origin_quarter(spark, sf_dir):
+    return R.collection_by_origin(ledger(spark, sf_dir), grouping="TRIMESTRE")
+
+
+@register("r6_top_months", O.r6_sql("blue"))
+def r6_top_months(spark, sf_dir):
+    return R.top_months(ledger(spark, sf_dir), fx_type="blue")
+
+
+@register("r6_top_months_2000", O.r6_sql("oficial", 5, 2000))
+def r6_top_months_2000(spark, sf_dir):
+    return R.top_months(ledger(spark, sf_dir), year=2000, fx_type="oficial")
+
+
+@register("r7_delinquent_owners", O.r7_sql(3))
+def r7_delinquent_owners(spark, sf_dir):
+    return R.delinquent_owners(ledger(spark, sf_dir), n=3)
+
+
+@register("r7_delinquent_owners_all", O.r7_sql(None))
+def r7_delinquent_owners_all(spark, sf_dir):
+    return R.delinquent_owners(ledger(spark, sf_dir), n=None)
+
+
+@register("r8_days_between_payments", O.r8_sql())
+def r8_days_between_payments(spark, sf_dir):
+    return R.days_between_payments(ledger(spark, sf_dir))
+
+
+@register("r9_monthly_status", O.r9_sql(2000))
+def r9_monthly_status(spark, sf_dir):
+    return R.monthly_status(ledger(spark, sf_dir), 2000)
+
+
+@register("r10_statement", O.r10_sql())
+def r10_statement(spark, sf_dir):
+    return R.account_statement(ledger(spark, sf_dir))
+
+
+@register("r12_quote_age", O.r12_sql())
+def r12_quote_age(spark, sf_dir):
+    return R.quote_age(ledger(spark, sf_dir), dt.datetime(2024, 2, 1))
+
+
+# ------------------------------------------------------------ ledger jobs
+@register("j2_recompute_accounts", O.j2_sql("M1"))
+def j2_recompute_accounts(spark, sf_dir):
+    return A.recompute_accounts(ledger(spark, sf_dir))
+
+
+@register("j3_prorate", O.j3_sql())
+def j3_prorate(spark, sf_dir):
+    lg = ledger(spark, sf_dir)
+    return A.skeleton(lg, A.filter_bills(lg.bill)).select("id_account", "id_unit", "id_bill", "ord_amount", "ext_amount")
+
+
+@register("j4_interest_m2", O.j4_sql("M2"))
+def j4_interest_m2(spark, sf_dir):
+    lg = ledger(spark, sf_dir)
+    return A.recompute_interest(lg, lg.account, "M2")
+
+
+@register("j4_interest_m1", O.j4_sql("M1"))
+def j4_interest_m1(spark, sf_dir):
+    lg = ledger(spark, sf_dir)
+    return A.recompute_interest(lg, lg.account, "M1")
+
+
+@register("j4_interest_m3", O.j4_sql("M3"))
+def j4_interest_m3(spark, sf_dir):
+    lg = ledger(spark, sf_dir)
+    return A.recompute_interest(lg, lg.account, "M3")

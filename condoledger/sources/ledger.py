@@ -74,10 +74,10 @@ class Ledger:
     # -------------------------------------------------------------- small dims
     @cached_property
     def calendar_b(self) -> Bounded:
-        """Calendar from the first order month to two months after the last."""
+        """Calendar from the first order month to three months after the last."""
         o = self.raw("orders", "o_orderdate")
         bounds = o.agg(F.trunc(F.to_date(F.min("o_orderdate")), "month").alias("lo"),
-                       F.last_day(F.add_months(F.to_date(F.max("o_orderdate")), 2)).alias("hi"))
+                       F.last_day(F.add_months(F.to_date(F.max("o_orderdate")), 3)).alias("hi"))
         return Bounded(cal.calendar_between(bounds))
 
     @property
@@ -171,12 +171,13 @@ class Ledger:
     @cached_property
     def payment(self) -> DataFrame:
         """lineitem x orders: one payment per line, dated inside the order month."""
-        li = self.raw("lineitem", "l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
+        li = self.raw("lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")
         o = self.orders_b.select("o_orderkey", "id_unit", "id_building", "month_start")
         j = li.join(o, li.l_orderkey == o.o_orderkey)
         offset = (7 * F.col("l_orderkey") + 5 * F.col("l_linenumber") + F.col("l_partkey")) % 50
         return j.select(
-            (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("bigint").alias("id_payment"),
+            # (order, line) repeats in the driver data; with part and supplier it is unique
+            F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("id_payment"),
             account_id(F.col("id_unit"), F.col("month_start")).alias("id_account"),
             "id_unit", "id_building",
             bill_id(F.col("id_building"), F.col("month_start")).alias("id_bill"),
