@@ -126,3 +126,15 @@ def j4_interest_m1(spark, sf_dir):
 def j4_interest_m3(spark, sf_dir):
     lg = ledger(spark, sf_dir)
     return A.recompute_interest(lg, lg.account, "M3")
+
+
+# --------------------------------------------------------------- cleaning
+def _register_cleaning():
+    from . import oracle_clean as OC
+    from .plans import cleaning as C
+
+    for name, fn in C.JOBS.items():
+        register(name, OC.k_sql(name))(lambda spark, sf_dir, fn=fn: fn(ledger(spark, sf_dir)))
+
+
+_register_cleaning()
