@@ -65,5 +65,5 @@ def test_k19_date(spark):
 
 def test_k18_phone_and_k20(spark):
     assert values(spark, K.phone, ["(011) 4555-1234", "  "]) == ["01145551234", None]
-    assert values(spark, K.clamp_amount, ["123456789012.5", "-5"], "decimal(18,2)") == \
+    assert values(spark, K.clamp_amount, [D("123456789012.5"), D("-5")], "decimal(18,2)") == \
         [D("99999999.99"), D("-5.00")]
