@@ -11,7 +11,7 @@ rules below lower-case or upper-case before comparing where that matters.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 NBSP = "\u00a0"
@@ -54,7 +54,22 @@ def to_decimal(c: Column | str) -> Column:
 
 
 # ------------------------------------------------------------------ K3
-def amount_flexible(c: Column | str) -> Column:
+def staged(df: DataFrame, steps: list[tuple[str, Column]], out: str, result: Column) -> DataFrame:
+    """Add ``steps`` as temporary columns one after another, then ``out``.
+
+    A rule that reuses an intermediate value several times, written as one
+    nested Column, repeats that sub-tree at every use; the generated code
+    then passes the JVM's 64 KB method limit and Spark falls back to
+    interpreted evaluation. As separate projections each step is computed
+    once (the optimizer does not inline a non-trivial expression that is
+    used more than once) and the whole chain stays in one codegen stage.
+    """
+    for name, expr in steps:
+        df = df.withColumn(name, expr)
+    return df.withColumn(out, result).drop(*[n for n, _ in steps])
+
+
+def amount_flexible_on(src: str, out: str):
     """K3: flexible amount; the last separator is the decimal point.
 
     NBSP, 'ARS' (any case), '$', spaces and tabs removed; '(x)' -> '-x';
@@ -62,42 +77,43 @@ def amount_flexible(c: Column | str) -> Column:
     no separator -> integer; else left and right of the last separator with
     all separators removed. DECIMAL(18,2) or NULL.
     """
-    s = _c(c)
-    t = F.regexp_replace(s, NBSP, " ")
-    t = F.regexp_replace(t, "(?i)ARS", "")
-    t = F.regexp_replace(t, "[$ \t]", "")
-    t = F.when(t.startswith("(") & t.endswith(")") & (F.length(t) >= 2),
-               F.concat(F.lit("-"), t.substr(F.lit(2), F.length(t) - 2))).otherwise(t)
-    u = F.regexp_replace(t, "[^0-9.,-]", "")
-    sign = F.when(u.startswith("-"), F.lit("-")).otherwise(F.lit(""))
-    v = F.regexp_replace(u, "-", "")
-    left = F.regexp_replace(F.regexp_extract(v, r"^(.*)[.,]([^.,]*)$", 1), "[.,]", "")
-    right = F.regexp_extract(v, r"^(.*)[.,]([^.,]*)$", 2)
+    s, t, u, v = F.col(src), F.col("_k3_t"), F.col("_k3_u"), F.col("_k3_v")
+    sign, pos = F.col("_k3_sign"), F.col("_k3_pos")
+    left, right = F.col("_k3_l"), F.col("_k3_r")
+    rv = F.reverse(v)
+    last_sep = F.least(F.when(F.instr(rv, ".") > 0, F.instr(rv, ".")),
+                       F.when(F.instr(rv, ",") > 0, F.instr(rv, ",")))
+    # Letters are dropped later anyway, so upper-casing first only makes the
+    # 'ARS' removal case-insensitive, as the reference's collation does.
+    steps = [
+        ("_k3_t", F.translate(F.replace(F.upper(F.translate(s, NBSP, " ")), F.lit("ARS"), F.lit("")), "$ \t", "")),
+        ("_k3_t", F.when(t.startswith("(") & t.endswith(")") & (F.length(t) >= 2),
+                         F.concat(F.lit("-"), t.substr(F.lit(2), F.length(t) - 2))).otherwise(t)),
+        ("_k3_u", F.regexp_replace(t, "[^0-9.,-]", "")),
+        ("_k3_sign", F.when(u.startswith("-"), F.lit("-")).otherwise(F.lit(""))),
+        ("_k3_v", F.translate(u, "-", "")),
+        ("_k3_pos", F.length(v) - last_sep + 1),
+        ("_k3_l", F.translate(F.substring(v, F.lit(1), pos - 1), ".,", "")),
+        ("_k3_r", F.translate(v.substr(pos + 1, F.length(v)), ".,", "")),
+    ]
     normalized = F.concat(sign, F.when(left == "", F.lit("0")).otherwise(left), F.lit("."), right)
-    plain = F.concat(sign, v)
-    return (F.when(s.isNull() | (trim_spaces(s) == ""), F.lit(None))
-            .when(u == "", F.lit(None))
-            .when(~v.rlike("[.,]"), try_decimal(plain, 18, 2))
-            .otherwise(try_decimal(normalized, 18, 2))).cast("decimal(18,2)")
+    result = (F.when(s.isNull() | (trim_spaces(s) == ""), F.lit(None))
+              .when(u == "", F.lit(None))
+              .when(pos.isNull(), try_decimal(F.concat(sign, v), 18, 2))
+              .otherwise(try_decimal(normalized, 18, 2))).cast("decimal(18,2)")
+    return lambda df: staged(df, steps, out, result)
 
 
 # ------------------------------------------------------------------ K4
-def amount_candidates(c: Column | str) -> Column:
+def amount_candidates_on(src: str, out: str):
     """K4: the payment loader's amount parse (kept with its defect).
 
     Candidates: comma-decimal, point-decimal, no separators. The "two
     decimals" test counts the characters LEFT of the last point, so local
     formats are misread ("12.345,67" -> 12.35). DECIMAL(12,2).
     """
-    s = _c(c)
-    v0 = F.regexp_replace(F.regexp_replace(s, NBSP, " "), "\t", " ")
-    v0 = F.regexp_replace(v0, r"(?i)AR\$|ARS|U\$S|\$|\"", "")
-    v0 = F.upper(trim_spaces(v0))
-    neg = v0.startswith("(") & v0.endswith(")")
-    v2 = F.regexp_replace(F.regexp_replace(v0, "[()]", ""), " ", "")
-    cand_coma = F.translate(F.regexp_replace(v2, r"\.", ""), ",", ".")
-    cand_punto = F.regexp_replace(v2, ",", "")
-    cand_sin = F.regexp_replace(v2, "[.,]", "")
+    v0, v2 = F.col("_k4_v0"), F.col("_k4_v2")
+    cc, cp, cs, neg = F.col("_k4_cc"), F.col("_k4_cp"), F.col("_k4_cs"), F.col("_k4_neg")
 
     def left_of_last_dot(x: Column) -> Column:
         return F.when(F.instr(x, ".") > 0, F.length(x) - F.instr(F.reverse(x), "."))
@@ -105,9 +121,23 @@ def amount_candidates(c: Column | str) -> Column:
     def conv(x: Column) -> Column:
         return try_decimal(F.concat(F.when(neg, F.lit("-")).otherwise(F.lit("")), x), 12, 2)
 
-    return F.coalesce(F.when(left_of_last_dot(cand_punto) == 2, conv(cand_punto)),
-                      F.when(left_of_last_dot(cand_coma) == 2, conv(cand_coma)),
-                      conv(cand_punto), conv(cand_coma), conv(cand_sin))
+    steps = [
+        # removals in the reference's order; upper first = its case-insensitive REPLACE
+        ("_k4_v0", trim_spaces(F.translate(
+            F.replace(F.replace(F.replace(F.replace(
+                F.upper(F.translate(F.col(src), NBSP + "\t", "  ")),
+                F.lit("AR$"), F.lit("")), F.lit("ARS"), F.lit("")), F.lit("U$S"), F.lit("")), F.lit("$"), F.lit("")),
+            '"', ""))),
+        ("_k4_neg", v0.startswith("(") & v0.endswith(")")),
+        ("_k4_v2", F.translate(v0, "() ", "")),
+        ("_k4_cc", F.translate(v2, ",.", ".")),
+        ("_k4_cp", F.translate(v2, ",", "")),
+        ("_k4_cs", F.translate(v2, ".,", "")),
+    ]
+    result = F.coalesce(F.when(left_of_last_dot(cp) == 2, conv(cp)),
+                        F.when(left_of_last_dot(cc) == 2, conv(cc)),
+                        conv(cp), conv(cc), conv(cs))
+    return lambda df: staged(df, steps, out, result)
 
 
 # ------------------------------------------------------------------ K5
@@ -149,17 +179,17 @@ def email_normalise(c: Column | str) -> Column:
 
 
 # ------------------------------------------------------------------ K6
-def email_valid(c: Column | str) -> Column:
+def email_valid_on(src: str, out: str):
     """K6: full e-mail validity flag (1/0), rule by rule as in the reference.
     Labels are checked on their first 63 characters and the TLD on its first
     24 (the reference's variables truncate), so those length limits never fire."""
-    e = F.regexp_replace(trim_spaces(F.coalesce(_c(c), F.lit(""))), NBSP, " ")
-    at = F.instr(e, "@")
-    local = F.substring_index(e, "@", 1)
-    domain = e.substr(at + 1, F.length(e))
-    labels = F.split(domain, r"\.", -1)
-    tld = F.substring_index(domain, ".", -1)
-    tld24 = F.substring(tld, 1, 24)
+    e, local, domain, tld24 = F.col("_k6_e"), F.col("_k6_l"), F.col("_k6_d"), F.col("_k6_t")
+    steps = [
+        ("_k6_e", F.regexp_replace(trim_spaces(F.coalesce(F.col(src), F.lit(""))), NBSP, " ")),
+        ("_k6_l", F.substring_index(e, "@", 1)),
+        ("_k6_d", e.substr(F.instr(e, "@") + 1, F.length(e))),
+        ("_k6_t", F.substring(F.regexp_extract(domain, r"([^.]*)$", 1), 1, 24)),
+    ]
     ok = ((e != "")
           & ~e.rlike("[\t\n\r ]")
           & ~e.startswith(".") & ~e.endswith(".") & ~e.contains("..")
@@ -173,10 +203,10 @@ def email_valid(c: Column | str) -> Column:
           & domain.rlike("^[-0-9A-Za-z.]+$")
           & ~domain.rlike(r"^[.-]|[.-]$")
           & ~domain.contains("..") & ~domain.contains(".-") & ~domain.contains("-.")
-          & F.forall(labels, lambda lb: (F.length(lb) >= 1)
+          & F.forall(F.split(domain, r"\.", -1), lambda lb: (F.length(lb) >= 1)
                      & ~F.substring(lb, 1, 63).startswith("-") & ~F.substring(lb, 1, 63).endswith("-"))
           & (F.length(tld24) >= 2) & tld24.rlike("^[A-Za-z]+$"))
-    return F.when(ok, 1).otherwise(0)
+    return lambda df: staged(df, steps, out, F.when(ok, 1).otherwise(0))
 
 
 def email_light(c: Column | str) -> Column:

@@ -25,12 +25,14 @@ def k2_decimal(lg: Ledger) -> DataFrame:
 
 def k3_amount_flexible(lg: Ledger) -> DataFrame:
     r = RT.raw_payments(lg)
-    return r.select(F.col("c1").alias("id"), F.col("c4").alias("raw_amount"), K.amount_flexible("c4").alias("amount"))
+    return (r.select(F.col("c1").alias("id"), F.col("c4").alias("raw_amount"))
+            .transform(K.amount_flexible_on("raw_amount", "amount")))
 
 
 def k4_amount_candidates(lg: Ledger) -> DataFrame:
     r = RT.raw_payments(lg)
-    return r.select(F.col("c1").alias("id"), F.col("c4").alias("raw_amount"), K.amount_candidates("c4").alias("amount"))
+    return (r.select(F.col("c1").alias("id"), F.col("c4").alias("raw_amount"))
+            .transform(K.amount_candidates_on("raw_amount", "amount")))
 
 
 def k5_email_normalise(lg: Ledger) -> DataFrame:
@@ -41,7 +43,7 @@ def k5_email_normalise(lg: Ledger) -> DataFrame:
 def k6_email_valid(lg: Ledger) -> DataFrame:
     r = RT.raw_people(lg).select("apellido", F.col("email").alias("raw_email"),
                                  K.email_normalise("email").alias("email"))
-    return r.withColumn("is_valid", K.email_valid("email"))
+    return r.transform(K.email_valid_on("email", "is_valid"))
 
 
 def k6b_email_light(lg: Ledger) -> DataFrame:

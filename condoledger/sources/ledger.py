@@ -173,7 +173,9 @@ class Ledger:
         """lineitem x orders: one payment per line, dated inside the order month."""
         li = self.raw("lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")
         o = self.orders_b.select("o_orderkey", "id_unit", "id_building", "month_start")
-        j = li.join(o, li.l_orderkey == o.o_orderkey)
+        # big x big at scale: a sort-merge join on the order key (also the plan that
+        # spreads the per-line text work over all tasks locally)
+        j = li.join(o.hint("merge"), li.l_orderkey == o.o_orderkey)
         offset = (7 * F.col("l_orderkey") + 5 * F.col("l_linenumber") + F.col("l_partkey")) % 50
         return j.select(
             # (order, line) repeats in the driver data; with part and supplier it is unique

@@ -22,3 +22,9 @@ def values(spark, fn, inputs, col_type="string"):
     from pyspark.sql import functions as F
     df = spark.createDataFrame([(i, v) for i, v in enumerate(inputs)], f"i int, v {col_type}")
     return [r["o"] for r in df.select("i", fn(F.col("v")).alias("o")).orderBy("i").collect()]
+
+
+def values_df(spark, transform, inputs, col_type="string"):
+    """Apply a DataFrame rule (src 'v' -> 'o') to literal inputs, outputs in order."""
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(inputs)], f"i int, v {col_type}")
+    return [r["o"] for r in df.transform(transform).orderBy("i").collect()]

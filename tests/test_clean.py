@@ -3,7 +3,7 @@
 import datetime as dt
 from decimal import Decimal as D
 
-from conftest import values
+from conftest import values, values_df
 
 from condoledger.functions import clean as K
 
@@ -16,11 +16,11 @@ K4 = [D("12.35"), D("12.35"), D("1.23"), D("5200000.00"), D("52000.00"), D("60.0
 
 
 def test_k3_flexible(spark):
-    assert values(spark, K.amount_flexible, AMOUNTS) == K3
+    assert values_df(spark, K.amount_flexible_on("v", "o"), AMOUNTS) == K3
 
 
 def test_k4_candidates(spark):
-    assert values(spark, K.amount_candidates, AMOUNTS) == K4
+    assert values_df(spark, K.amount_candidates_on("v", "o"), AMOUNTS) == K4
 
 
 def test_k2_decimal(spark):
@@ -41,7 +41,7 @@ def test_k5_email(spark):
 def test_k6_email_valid(spark):
     good = ["a.b+c@x-y.com.ar"]
     bad = ["", "a b@x.com", ".a@x.com", "a..b@x.com", "a@b@c.com", "a@xcom", "a@-x.com", "a@x.c", "a@x.c0m"]
-    assert values(spark, K.email_valid, good + bad) == [1] + [0] * len(bad)
+    assert values_df(spark, K.email_valid_on("v", "o"), good + bad) == [1] + [0] * len(bad)
 
 
 def test_k7_cbu(spark):
