@@ -138,3 +138,19 @@ def _register_cleaning():
 
 
 _register_cleaning()
+
+
+# -------------------------------------------------------------- ingestion
+def _register_ingest():
+    from . import oracle_ingest as OI
+    from .plans import ingest as I
+
+    def l7(spark, sf_dir):
+        return I.payment_load(ledger(spark, sf_dir))
+
+    register("l7_payments_ok", OI.l7_ok_sql())(lambda spark, sf_dir: l7(spark, sf_dir).ok)
+    register("l7_payments_rejects", OI.l7_rejects_sql())(lambda spark, sf_dir: l7(spark, sf_dir).rejects)
+    register("l7_load_summary", OI.l7_summary_sql())(lambda spark, sf_dir: l7(spark, sf_dir).summary)
+
+
+_register_ingest()
