@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from .oracle import accounts_sql, with_ledger
-from .oracle_clean import K3_RESULT, NB, RAW_PAY, k3_ctes, k7b, k19, trim_sp
+from .oracle_clean import K3_RESULT, NB, RAW_PAY, k3_ctes, k7b, k19, trim_sp  # noqa: F401
 from .plans.ingest import (REASON_BLANK, REASON_NO_ACCOUNT, REASON_NO_BILL, REASON_NO_BUILDING, REASON_NO_UNIT,
                            REASON_PARSE)
 
@@ -62,3 +62,148 @@ SELECT (SELECT count(*) FROM p2) AS raw, (SELECT count(*) FROM p2 WHERE NOT blan
        (SELECT count(*) FROM p2 WHERE blank) AS blank,
        (SELECT count(*) FROM m2 WHERE reason IS NOT NULL) AS match_err,
        (SELECT count(*) FROM ok) AS ok, (SELECT count(*) FROM ok WHERE action = 'INSERT') AS inserted""")
+
+
+# ------------------------------------------------------------ loaders
+from .oracle_clean import (RAW_AREAS, RAW_BUILDINGS, RAW_PEOPLE, RAW_UNITS, k1, k2, k6b,  # noqa: E402
+                           k7, k16_dept, k16_floor, k17, k18)
+
+B_STG = f"""
+b_stg AS (SELECT {k1('nombre', 50)} AS name, {k1('domicilio', 100)} AS address, {k2('m2_totales')} AS total_area
+          FROM raw_buildings WHERE {k1('nombre', 50)} IS NOT NULL),
+b_prior AS (SELECT id_building, name, address, total_area FROM building WHERE id_building < 20),
+b_new0 AS (SELECT s.* FROM b_stg s WHERE NOT EXISTS (
+             SELECT 1 FROM b_prior t WHERE lower(t.name) = lower(s.name)
+               AND lower(coalesce(t.address, '')) = lower(coalesce(s.address, '')))),
+b_new AS (SELECT (SELECT max(id_building) FROM b_prior) + row_number() OVER (ORDER BY name) AS id_building,
+                 name, address, total_area FROM b_new0)"""
+
+
+def l1_sql() -> str:
+    return with_ledger(RAW_BUILDINGS, B_STG, select="""
+SELECT id_building, name, address, total_area, 'KEEP' AS action FROM b_prior
+UNION ALL SELECT id_building, name, address, total_area, 'INSERT' AS action FROM b_new""")
+
+
+def u4_sql() -> str:
+    return with_ledger(RAW_BUILDINGS, B_STG, select="SELECT name, address, total_area FROM b_new0")
+
+
+def u10_sql() -> str:
+    return with_ledger(RAW_BUILDINGS, B_STG, select="SELECT name, address, total_area, id_building FROM b_new")
+
+
+def u8_sql() -> str:
+    return with_ledger(RAW_BUILDINGS, B_STG, """
+prior AS (SELECT id_building, name, CASE WHEN id_building % 3 = 0 THEN NULL ELSE address END AS address,
+                 CASE WHEN id_building % 4 = 0 THEN NULL ELSE total_area END AS total_area FROM building)""",
+                       select="""
+SELECT t.id_building, t.name, coalesce(t.address, s.address) AS address, coalesce(t.total_area, s.total_area) AS total_area,
+       CASE WHEN (t.address IS NULL AND s.address IS NOT NULL) OR (t.total_area IS NULL AND s.total_area IS NOT NULL)
+            THEN 'UPDATE' ELSE 'KEEP' END AS action
+FROM prior t LEFT JOIN b_stg s ON lower(s.name) = lower(t.name)""")
+
+
+U_STG = f"""
+u_stg AS (SELECT DISTINCT {k7('cbu')} AS cbu, {k1('building', 50)} AS building_name,
+                 CASE WHEN regexp_matches({trim_sp('unit')}, '^[0-9]+$') THEN TRY_CAST({trim_sp('unit')} AS BIGINT) END AS id_unit,
+                 {k16_floor('piso')} AS floor, {k16_dept('departamento')} AS dept FROM raw_units),
+u_prior AS (SELECT id_unit, id_building, CASE WHEN id_unit % 9 = 0 THEN NULL ELSE floor END AS floor, dept,
+                   CASE WHEN id_unit % 10 = 3 THEN NULL ELSE cbu END AS cbu FROM unit),
+u6 AS (SELECT t.id_unit, t.id_building,
+              CASE WHEN s.id_unit IS NOT NULL THEN coalesce(s.floor, t.floor) ELSE t.floor END AS floor,
+              CASE WHEN s.id_unit IS NOT NULL THEN coalesce(s.dept, t.dept) ELSE t.dept END AS dept, t.cbu,
+              CASE WHEN s.id_unit IS NOT NULL AND (coalesce(s.floor, t.floor) IS DISTINCT FROM t.floor
+                        OR coalesce(s.dept, t.dept) IS DISTINCT FROM t.dept) THEN 'UPDATE' ELSE 'KEEP' END AS a1
+       FROM u_prior t LEFT JOIN u_stg s ON s.id_unit = t.id_unit)"""
+
+
+def _u7(src: str) -> str:
+    return f"""
+holders AS (SELECT cbu AS v, count(*) AS n, min(id_unit) AS k FROM {src} WHERE cbu IS NOT NULL GROUP BY cbu),
+u7 AS (SELECT t.*, s.cbu AS new_cbu, h.n, h.k,
+              s.cbu IS NOT NULL AND NOT coalesce(h.n > 1 OR (h.n = 1 AND h.k <> t.id_unit), false)
+              AND s.cbu IS DISTINCT FROM t.cbu AS apply
+       FROM {src} t LEFT JOIN (SELECT id_unit, cbu FROM u_stg WHERE cbu IS NOT NULL) s ON s.id_unit = t.id_unit
+       LEFT JOIN holders h ON h.v = s.cbu)"""
+
+
+def u6_sql() -> str:
+    return with_ledger(RAW_UNITS, U_STG, select="SELECT id_unit, id_building, floor, dept, cbu, a1 AS action FROM u6")
+
+
+def u7_sql() -> str:
+    return with_ledger(RAW_UNITS, U_STG, _u7("u_prior"), select="""
+SELECT id_unit, id_building, floor, dept, CASE WHEN apply THEN new_cbu ELSE cbu END AS cbu,
+       CASE WHEN apply THEN 'UPDATE' ELSE 'KEEP' END AS action FROM u7""")
+
+
+def l4_sql() -> str:
+    return with_ledger(RAW_UNITS, U_STG, _u7("u6"), select="""
+SELECT id_unit, id_building, floor, dept, CASE WHEN apply THEN new_cbu ELSE cbu END AS cbu,
+       CASE WHEN apply OR a1 = 'UPDATE' THEN 'UPDATE' ELSE 'KEEP' END AS action FROM u7""")
+
+
+A_STG = f"""
+a0 AS (SELECT {k1('building', 50)} AS building_name,
+              CASE WHEN regexp_matches({trim_sp('unit')}, '^[0-9]+$') THEN TRY_CAST({trim_sp('unit')} AS BIGINT) END AS id_unit,
+              {k16_floor('piso')} AS floor, {k16_dept('departamento')} AS dept,
+              CAST({k2('coeficiente')} AS DECIMAL(5,2)) AS share, CAST({k2('m2_unidad')} AS DECIMAL(7,2)) AS area,
+              CAST({k2('m2_baulera')} AS DECIMAL(5,2)) AS storage_m2, CAST({k2('m2_cochera')} AS DECIMAL(5,2)) AS garage_m2
+       FROM raw_areas),
+a_stg AS (SELECT building_name, id_unit, max(floor) AS floor, max(dept) AS dept, max(share) AS share, max(area) AS area,
+                 max(storage_m2) AS storage_m2, max(garage_m2) AS garage_m2 FROM a0 GROUP BY building_name, id_unit)"""
+
+
+def e5_sql() -> str:
+    return with_ledger(RAW_AREAS, A_STG, select="SELECT * FROM a_stg")
+
+
+def l5_sql() -> str:
+    cols = ["share", "area", "storage_m2", "garage_m2"]
+    sel = ", ".join(f"CASE WHEN s.id_unit IS NOT NULL THEN coalesce(s.{c}, t.{c}) ELSE t.{c} END AS {c}" for c in cols)
+    chg = " OR ".join(f"coalesce(s.{c}, t.{c}) IS DISTINCT FROM t.{c}" for c in cols)
+    return with_ledger(RAW_AREAS, A_STG, """
+a_prior AS (SELECT id_unit, id_building, CASE WHEN id_unit % 8 = 0 THEN NULL ELSE share END AS share, area,
+                   storage_m2, garage_m2 FROM unit)""", select=f"""
+SELECT t.id_unit, t.id_building, {sel},
+       CASE WHEN s.id_unit IS NOT NULL AND ({chg}) THEN 'UPDATE' ELSE 'KEEP' END AS action
+FROM a_prior t LEFT JOIN a_stg s ON s.id_unit = t.id_unit""")
+
+
+P_STG = f"""
+p0 AS (SELECT DISTINCT {k7('cbu')} AS cbu, {k17('inquilino')} AS is_tenant,
+              CASE WHEN regexp_matches({trim_sp('dni')}, '^[0-9]+$') THEN TRY_CAST({trim_sp('dni')} AS BIGINT) END AS dni,
+              {k1('nombre', 50)} AS first_name, {k1('apellido', 50)} AS last_name, {k6b('email')} AS email,
+              {k18('telefono')} AS phone FROM raw_people),
+p_stg AS (SELECT * EXCLUDE (rn) FROM (
+            SELECT *, row_number() OVER (PARTITION BY cbu ORDER BY dni, last_name, first_name, email) AS rn FROM p0
+            WHERE cbu IS NOT NULL AND is_tenant IS NOT NULL AND dni IS NOT NULL) WHERE rn = 1),
+p_upd AS (SELECT t.id_person,
+                 {", ".join(f"coalesce(s.{c}, t.{c}) AS {c}" for c in ["first_name", "last_name", "dni", "email", "phone"])},
+                 t.cbu,
+                 CASE WHEN s.cbu IS NOT NULL AND ({" OR ".join(f"coalesce(s.{c}, t.{c}) IS DISTINCT FROM t.{c}" for c in ["first_name", "last_name", "dni", "email", "phone"])})
+                      THEN 'UPDATE' ELSE 'KEEP' END AS action
+          FROM person t LEFT JOIN p_stg s ON s.cbu = t.cbu),
+p_new AS (SELECT (SELECT max(id_person) FROM person) + row_number() OVER (ORDER BY s.cbu) AS id_person,
+                 s.first_name, s.last_name, s.dni, s.email, s.phone, s.cbu, 'INSERT' AS action
+          FROM p_stg s WHERE NOT EXISTS (SELECT 1 FROM person t WHERE t.cbu = s.cbu)),
+p_all AS (SELECT * FROM p_upd UNION ALL SELECT * FROM p_new)"""
+
+
+def l6_sql() -> str:
+    return with_ledger(RAW_PEOPLE, P_STG, select="SELECT * FROM p_all")
+
+
+def u9_sql() -> str:
+    return with_ledger(RAW_PEOPLE, P_STG, """
+links AS (SELECT DISTINCT pa.id_person, u.id_building, s.is_tenant = 1 AS is_tenant
+          FROM p_stg s JOIN p_all pa ON pa.cbu = s.cbu JOIN unit u ON u.cbu = s.cbu)""", select="""
+SELECT t.id_person, t.id_building,
+       CASE WHEN l.id_person IS NOT NULL THEN coalesce(l.is_tenant, t.is_tenant) ELSE t.is_tenant END AS is_tenant,
+       CASE WHEN l.id_person IS NOT NULL AND coalesce(l.is_tenant, t.is_tenant) IS DISTINCT FROM t.is_tenant
+            THEN 'UPDATE' ELSE 'KEEP' END AS action
+FROM occupancy t LEFT JOIN links l ON l.id_person = t.id_person AND l.id_building = t.id_building
+UNION ALL
+SELECT l.id_person, l.id_building, l.is_tenant, 'INSERT' AS action FROM links l
+WHERE NOT EXISTS (SELECT 1 FROM occupancy t WHERE t.id_person = l.id_person AND t.id_building = l.id_building)""")

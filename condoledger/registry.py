@@ -154,3 +154,29 @@ def _register_ingest():
 
 
 _register_ingest()
+
+
+def _register_loaders():
+    from . import oracle_ingest as OI
+    from .plans import loaders as LD
+
+    jobs = {
+        "l1_buildings": (LD.load_buildings, OI.l1_sql()),
+        "u4_insert_absent": (LD.new_buildings, OI.u4_sql()),
+        "u10_surrogate_keys": (lambda lg: LD.U.surrogate_keys(LD.new_buildings(lg), LD.buildings_prior(lg),
+                                                              "id_building", ["name"]), OI.u10_sql()),
+        "u8_fill_nulls": (LD.fill_building_nulls, OI.u8_sql()),
+        "l4_units": (LD.load_units, OI.l4_sql()),
+        "u6_update_changed": (LD.update_units, OI.u6_sql()),
+        "u7_update_guarded": (LD.update_unit_bank_ids, OI.u7_sql()),
+        "e5_consolidate": (LD.areas_staging, OI.e5_sql()),
+        "l5_unit_areas": (LD.load_areas, OI.l5_sql()),
+        "l6_people": (LD.load_people, OI.l6_sql()),
+        "u5_update_nonnull": (LD.load_people, OI.l6_sql()),
+        "u9_link_upsert": (LD.link_occupancy, OI.u9_sql()),
+    }
+    for name, (fn, sql) in jobs.items():
+        register(name, sql)(lambda spark, sf_dir, fn=fn: fn(ledger(spark, sf_dir)))
+
+
+_register_loaders()
