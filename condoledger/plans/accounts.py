@@ -168,3 +168,74 @@ def recompute_interest(lg: Ledger, accounts: DataFrame, rule: str = "M2") -> Dat
            .join(b, "id_bill")
            .join(payment_totals(lg.payment), "id_account", "left"))
     return settle(acc, rule, lg.as_of).select(*ACCOUNT_COLS)
+
+
+# ------------------------------------------------------------------ J5
+def changed_account_keys(inserted: DataFrame, deleted: DataFrame) -> DataFrame:
+    """H1: account ids touched by a change set (inserted UNION deleted, distinct)."""
+    return (inserted.select("id_account").filter(F.col("id_account").isNotNull())
+            .union(deleted.select("id_account").filter(F.col("id_account").isNotNull()))
+            .distinct())
+
+
+def recompute_changed(lg: Ledger, keys: DataFrame, payments: DataFrame | None = None) -> DataFrame:
+    """Refresh only the accounts in ``keys`` with rule M3 (as-of date
+    ladder on the remaining debt); accounts without payments get paid 0."""
+    payments = lg.payment if payments is None else payments
+    acc = lg.account.join(keys, "id_account", "left_semi")
+    touched = payments.join(keys, "id_account", "left_semi")
+    b = lg.bill.select("id_bill", "due1", "due2")
+    b = F.broadcast(b) if lg.bill_b.small else b
+    acc = (acc.drop("paid", "debt", "interest", "total_due").join(b, "id_bill")
+           .join(payment_totals(touched), "id_account", "left"))
+    return settle(acc, "M3", lg.as_of).select(*ACCOUNT_COLS)
+
+
+# ------------------------------------------------------------------ J6 / J7 / J8
+def next_bills(lg: Ledger, building: int | None = None) -> DataFrame:
+    """Per building, the bill of the month after its last payment (or after
+    as_of without payments): 5th business day, due dates = next business day
+    of day 10 / 22 pushed to at least the bill date; total 0; only if no
+    bill exists at that (building, date)."""
+    from ..sources.ledger import bill_id
+    last = lg.payment.groupBy("id_building").agg(F.max("pay_date").alias("last_pay"))
+    b = lg.building.select("id_building")
+    if building is not None:
+        b = b.filter(F.col("id_building") == building)
+    base = (b.join(last, "id_building", "left")
+            .withColumn("month_start", F.trunc(F.add_months(F.coalesce("last_pay", F.lit(lg.as_of)), 1), "month")))
+    m = lg.months_b.side().select("month_start", F.col("issue_date").alias("gen"),
+                                  F.col("due1").alias("v1"), F.col("due2").alias("v2"))
+    f = base.join(m, "month_start", "left")
+    due1 = F.when(F.col("v1").isNull() | (F.col("v1") < F.col("gen")), F.col("gen")).otherwise(F.col("v1"))
+    due2 = (F.when(F.col("v2").isNull(), F.lit(None))
+            .when(F.col("v1").isNotNull() & (F.col("v2") < F.col("v1")), F.col("v1"))
+            .when(F.col("v2") < F.col("gen"), F.col("gen")).otherwise(F.col("v2")))
+    new = f.select(bill_id(F.col("id_building"), F.col("month_start")).alias("id_bill"), "id_building",
+                   F.col("gen").alias("issue_date"), due1.alias("due1"), due2.alias("due2"),
+                   F.lit(0).cast(MONEY).alias("total"))
+    existing = lg.bill.select("id_building", "issue_date")
+    return new.join(F.broadcast(existing) if lg.bill_b.small else existing, ["id_building", "issue_date"], "left_anti")
+
+
+def dispatches(lg: Ledger, targets: DataFrame) -> DataFrame:
+    """One dispatch per person linked to the building of each target bill:
+    EMAIL if an e-mail, else WHATSAPP if a phone, else IMPRESO."""
+    t = targets.select("id_building", "id_bill")
+    occ = lg.occupancy.join(F.broadcast(t) if lg.bill_b.small else t, "id_building")
+    p = lg.person.select("id_person", "email", "phone")
+    email = F.nullif(F.trim("email"), F.lit(""))
+    phone = F.nullif(F.trim("phone"), F.lit(""))
+    return (occ.join(p, "id_person")
+            .select("id_building", "id_bill", "id_person",
+                    F.when(email.isNotNull(), "EMAIL").when(phone.isNotNull(), "WHATSAPP").otherwise("IMPRESO")
+                    .alias("channel"),
+                    email.alias("email"), phone.alias("phone"),
+                    F.when(F.col("is_tenant"), "Inquilino").otherwise("Propietario").alias("note")))
+
+
+def bill_totals(lg: Ledger) -> DataFrame:
+    """Bill total recomputed as the sum of its expenses (0 when none)."""
+    s = lg.expense.groupBy("id_bill").agg(F.sum("amount").alias("_s"))
+    return (lg.bill.select("id_bill", "id_building", "issue_date").join(s, "id_bill", "left")
+            .select("id_bill", "id_building", "issue_date", F.coalesce("_s", F.lit(0)).cast(MONEY).alias("total")))

@@ -360,3 +360,15 @@ def quote_age(lg: Ledger, now: dt.datetime) -> DataFrame:
         return F.floor(F.unix_micros(c.cast("timestamp")) / 60_000_000)
     return lg.fx_quote.select("fx_type", "buy", "sell", "quote_ts",
                               (minute(F.lit(now)) - minute(F.col("quote_ts"))).cast("bigint").alias("minutes_since"))
+
+
+# ------------------------------------------------------------------ R11
+def recent_bills(lg: Ledger, new_bills: DataFrame | None = None, n: int = 50, building: int | None = None) -> DataFrame:
+    """The n most recent bills (with any just generated by J6)."""
+    cols = ["id_building", "id_bill", "issue_date", "due1", "due2"]
+    b = lg.bill.select(*cols)
+    if new_bills is not None:
+        b = b.unionByName(new_bills.select(*cols))
+    if building is not None:
+        b = b.filter(F.col("id_building") == building)
+    return b.orderBy(F.col("issue_date").desc(), F.col("id_bill").desc()).limit(n)

@@ -6,6 +6,7 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import oracle as O
 from .plans import accounts as A
@@ -180,3 +181,31 @@ def _register_loaders():
 
 
 _register_loaders()
+
+
+def _register_jobs():
+    from . import oracle_jobs as OJ
+    from .plans import blocks as BL
+
+    for name in ["k10_business_days", "k11_next_business_day", "k12_nth_business_day", "k13_fifth_weekday"]:
+        register(name, OJ.k_cal_sql(name))(lambda spark, sf_dir, fn=getattr(BL, name): fn(ledger(spark, sf_dir)))
+    jobs = {
+        "d7_range_join_month": (BL.d7_range_join_month, OJ.d7_sql()),
+        "d8_latest_bill_of_month": (BL.d8_latest_bill_of_month, OJ.d8_sql()),
+        "d9_unpivot": (BL.d9_unpivot, OJ.d9_sql()),
+        "f1_global_row_number": (BL.f1_global_row_number, OJ.f1_sql()),
+        "h1_changed_keys": (BL.h1_changed_keys, OJ.h1_sql()),
+        "j1_accounts": (lambda lg: A.generate_accounts(
+            lg, 2001, lg.account.join(lg.bill.filter(F.col("issue_date") < F.lit(dt.date(2001, 4, 1)))
+                                      .select("id_bill"), "id_bill")), OJ.j1_sql()),
+        "j5_changed_accounts": (lambda lg: A.recompute_changed(lg, BL.h1_changed_keys(lg)), OJ.j5_sql()),
+        "j6_next_bill": (A.next_bills, OJ.j6_sql()),
+        "j7_dispatch": (lambda lg: A.dispatches(lg, A.next_bills(lg)), OJ.j7_sql()),
+        "j8_bill_total": (A.bill_totals, OJ.j8_sql()),
+        "r11_recent_bills": (lambda lg: R.recent_bills(lg, A.next_bills(lg)), OJ.r11_sql()),
+    }
+    for name, (fn, sql) in jobs.items():
+        register(name, sql)(lambda spark, sf_dir, fn=fn: fn(ledger(spark, sf_dir)))
+
+
+_register_jobs()
