@@ -209,3 +209,30 @@ def _register_jobs():
 
 
 _register_jobs()
+
+
+def _register_quality():
+    from . import oracle_quality as OQ
+    from .plans import quality as Q
+
+    jobs = {
+        "q1_row_checks": (Q.q1_row_checks, OQ.q1_sql()),
+        "q2_uniqueness": (Q.q2_uniqueness, OQ.q2_sql()),
+        "q3_referential": (Q.q3_referential, OQ.q3_sql()),
+        "q4_building_profile": (Q.q4_building_profile, OQ.q4_sql()),
+        "q5_unit_count": (Q.q5_unit_count, OQ.q5_sql()),
+        "q6_extraordinary_bills": (Q.q6_extraordinary_bills, OQ.q6_sql()),
+        "q7_accounts_per_bill": (Q.q7_accounts_per_bill, OQ.q7_sql()),
+        "q8_interest_audit": (Q.q8_interest_audit, OQ.q8_sql()),
+        "q10_owner_debt": (Q.q10_owner_debt, OQ.q10_sql()),
+        "r2_safe_person": (Q.r2_safe_person, OQ.person_plain_sql()),
+        "j9_encrypt_roundtrip": (Q.j9_encrypt_roundtrip, OQ.person_cipher_roundtrip_sql()),
+        "k14_encrypt_roundtrip": (Q.k14_encrypt_roundtrip, OQ.k14_sql()),
+        "q9_payments_decrypted": (Q.q9_payments_decrypted, OQ.q9_sql()),
+        "j10_sync_roundtrip": (Q.j10_sync_roundtrip, OQ.j10_sql()),
+    }
+    for name, (fn, sql) in jobs.items():
+        register(name, sql)(lambda spark, sf_dir, fn=fn: fn(ledger(spark, sf_dir)))
+
+
+_register_quality()
