@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .oracle import accounts_sql, with_ledger
+from .oracle import accounts_sql, with_ledger  # noqa: F401
 from .oracle_clean import K3_RESULT, NB, RAW_PAY, k3_ctes, k7b, k19, trim_sp  # noqa: F401
 from .plans.ingest import (REASON_BLANK, REASON_NO_ACCOUNT, REASON_NO_BILL, REASON_NO_BUILDING, REASON_NO_UNIT,
                            REASON_PARSE)

@@ -372,3 +372,11 @@ def recent_bills(lg: Ledger, new_bills: DataFrame | None = None, n: int = 50, bu
     if building is not None:
         b = b.filter(F.col("id_building") == building)
     return b.orderBy(F.col("issue_date").desc(), F.col("id_bill").desc()).limit(n)
+
+
+def bills_in_dollars(lg: Ledger, fx_type: str = "blue") -> DataFrame:
+    """K9 over the bill table: total / latest quote of the type (NULL without one)."""
+    q = latest_quotes(lg).filter(F.col("fx_type") == fx_type)
+    b = lg.bill.select("id_bill", "total").withColumn("fx_type", F.lit(fx_type))
+    return b.join(F.broadcast(q), "fx_type", "left").select("id_bill", "total",
+                                                            to_dollars(F.col("total"), F.col("quote")).alias("dollars"))

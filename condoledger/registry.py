@@ -236,3 +236,27 @@ def _register_quality():
 
 
 _register_quality()
+
+
+def _register_expenses():
+    from . import oracle_expenses as OX
+    from . import oracle_ingest as OI
+    from .plans import expenses as X
+    from .plans import ingest as I
+
+    jobs = {
+        "u1_merge_bills": (lambda lg: X.merge_bills(lg, 2000), OX.u1_sql(2000)),
+        "l3_expenses_json": (lambda lg: X.new_expenses(lg, 2000), OX.l3_sql(2000)),
+        "u2_merge_expenses": (lambda lg: X.new_expenses(lg, 2001), OX.l3_sql(2001)),
+        "l2_supplier_expenses": (X.supplier_expenses, OX.l2_sql()),
+        "l9_extraordinary": (lambda lg: X.extraordinary_expenses(lg, 2000), OX.l9_sql(2000)),
+        "k8_latest_quote": (R.latest_quotes, OX.k8_sql()),
+        "k9_dollars": (R.bills_in_dollars, OX.k9_sql()),
+        "u3_merge_payments": (lambda lg: I.payment_load(lg).ok.filter(F.col("action") == "INSERT"),
+                              OI.with_ledger(*OI._l7_ctes(), select="SELECT * FROM ok WHERE action = 'INSERT'")),
+    }
+    for name, (fn, sql) in jobs.items():
+        register(name, sql)(lambda spark, sf_dir, fn=fn: fn(ledger(spark, sf_dir)))
+
+
+_register_expenses()
