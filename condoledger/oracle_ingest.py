@@ -207,3 +207,45 @@ FROM occupancy t LEFT JOIN links l ON l.id_person = t.id_person AND l.id_buildin
 UNION ALL
 SELECT l.id_person, l.id_building, l.is_tenant, 'INSERT' AS action FROM links l
 WHERE NOT EXISTS (SELECT 1 FROM occupancy t WHERE t.id_person = l.id_person AND t.id_building = l.id_building)""")
+
+
+def l7b_sql(which: str = "errors") -> str:
+    from .oracle_clean import K3_RESULT as _K3  # noqa: F401
+    sw = "nullif(" + trim_sp("c4") + ", '') IS NOT NULL"
+    return with_ledger(RAW_PAY, f"""
+bn AS (SELECT CASE WHEN {sw} THEN c2 ELSE c1 END AS date_txt, CASE WHEN {sw} THEN c3 ELSE c2 END AS cbu_txt,
+              CASE WHEN {sw} THEN c4 ELSE c3 END AS amount_txt FROM raw_pay),
+bn2 AS (SELECT *, right(repeat('0', 22) || regexp_replace({trim_sp('cbu_txt')}, '[{NB}\t .\\-]', '', 'g'), 22) AS cbu,
+               {k19('date_txt')} AS pay_date,
+               nullif({trim_sp(f"translate(translate(amount_txt, '{NB}' || chr(9), '  '), '$', '')")}, '') AS vv FROM bn)""",
+                       k3_ctes("bn2", "vv", "date_txt, cbu_txt, amount_txt, cbu, pay_date"), f"""
+bp AS (SELECT date_txt, cbu_txt, amount_txt, cbu, pay_date, TRY_CAST({K3_RESULT} AS DECIMAL(10,2)) AS amount FROM k3e),
+bok AS (SELECT pay_date, cbu, amount FROM bp WHERE pay_date IS NOT NULL AND amount IS NOT NULL AND cbu IS NOT NULL
+          AND cbu <> repeat('0', 22))""", select="SELECT * FROM bok" if which == "parsed" else f"""
+SELECT '{REASON_PARSE}' AS reason, nullif(date_txt, '') AS date_txt, nullif(cbu_txt, '') AS cbu_txt,
+       nullif(amount_txt, '') AS amount_txt
+FROM bp n WHERE NOT EXISTS (SELECT 1 FROM bok p WHERE p.cbu = n.cbu AND p.pay_date = n.pay_date)""")
+
+
+def l8_sql(which: str = "quotes") -> str:
+    return with_ledger("""
+qd AS (SELECT fx_type, quote_ts,
+              CASE WHEN id_quote % 23 = 0 THEN replace(CAST(buy AS VARCHAR), '.', ',') ELSE CAST(buy AS VARCHAR) END AS compra,
+              CASE WHEN id_quote % 17 = 0 THEN NULL ELSE CAST(sell AS VARCHAR) END AS venta FROM fx_quote),
+qt AS (SELECT fx_type, quote_ts, compra, venta,
+              CASE WHEN regexp_matches(compra, '^[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)$') THEN TRY_CAST(compra AS DECIMAL(10,2)) END AS buy,
+              CASE WHEN regexp_matches(venta, '^[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)$') THEN TRY_CAST(venta AS DECIMAL(10,2)) END AS sell
+       FROM qd)""", select=("SELECT fx_type, quote_ts, buy, sell FROM qt WHERE buy IS NOT NULL AND sell IS NOT NULL"
+                            if which == "quotes" else
+                            "SELECT 'JSON sin campos esperados' AS reason, fx_type, compra, venta FROM qt "
+                            "WHERE buy IS NULL OR sell IS NULL"))
+
+
+def b3_sql(year: int = 2001) -> str:
+    from .oracle import r4_sql
+    return f"SELECT period || '-01' AS period, department, total_collected FROM ({r4_sql(year)})"
+
+
+def b4_sql() -> str:
+    from .oracle import r8_sql
+    return f"SELECT building_name, id_payment, unit_label, pay_date, prev_date, days_between, amount FROM ({r8_sql()})"

@@ -153,3 +153,102 @@ def payments_from_landed_csv(lg: Ledger) -> DataFrame:
     """The derived bank file written as a real CSV and read back through A7."""
     path = landed(lg, "payments_csv", lambda p: FL.land_csv(RT.raw_payments(lg), p))
     return FL.read_payments_csv(lg.spark, path)
+
+
+# ------------------------------------------------------------------ L7b
+def legacy_parse(lg: Ledger, raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The older loader. Layout switch on a blank 4th cell (A7b); bank id
+    cleaned without upper-casing; '$' stripped before K3; parse errors found
+    by (bank id, date) only, so a bad amount with a valid twin row on the
+    same bank id and date goes unreported (kept as in the reference).
+    Returns (parsed rows, parse errors)."""
+    n = FL.legacy_payment_layout(raw).select(F.col("c2").alias("date_txt"), F.col("c3").alias("cbu_txt"),
+                                             F.col("c4").alias("amount_txt"))
+    cbu = F.regexp_replace(K.trim_spaces("cbu_txt"), "[" + K.NBSP + "\t .\\-]", "")
+    n = (n.withColumn("cbu", F.substring(F.concat(F.lit("0" * 22), cbu), -22, 22))
+         .withColumn("pay_date", K.parse_date("date_txt"))
+         .withColumn("_v", F.nullif(K.trim_spaces(F.translate(F.translate("amount_txt", K.NBSP + "\t", "  "), "$", "")),
+                                    F.lit(""))))
+    n = n.transform(K.amount_flexible_on("_v", "_amt")).withColumn("amount", F.col("_amt").try_cast("decimal(10,2)"))
+    checkpoint_dir(lg.spark)
+    n = n.drop("_v", "_amt").checkpoint(eager=True)
+    ok = n.filter(F.col("pay_date").isNotNull() & F.col("amount").isNotNull() & F.col("cbu").isNotNull()
+                  & (F.col("cbu") != "0" * 22)).select("pay_date", "cbu", "amount")
+    errs = (n.join(ok.select("cbu", "pay_date").distinct(), ["cbu", "pay_date"], "left_anti")
+            .select(F.lit(REASON_PARSE).alias("reason"),
+                    *[F.nullif(F.col(c), F.lit("")).alias(c) for c in ["date_txt", "cbu_txt", "amount_txt"]]))
+    return ok, errs
+
+
+# ------------------------------------------------------------------ L8
+QUOTE_REJECT = "JSON sin campos esperados"
+
+
+def raw_quote_docs(lg: Ledger) -> DataFrame:
+    """One quote document per purchase event: tipo, fecha, compra, venta as
+    text; every 17th lacks 'venta', every 23rd has a comma decimal."""
+    q = lg.fx_quote
+    k = F.col("id_quote")
+    compra = F.when(k % 23 == 0, F.translate(F.col("buy").cast("string"), ".", ",")).otherwise(F.col("buy").cast("string"))
+    venta = F.when(k % 17 == 0, F.lit(None).cast("string")).otherwise(F.col("sell").cast("string"))
+    return q.select(F.col("fx_type").alias("tipo"), F.col("quote_ts").cast("string").alias("fecha"),
+                    compra.alias("compra"), venta.alias("venta"))
+
+
+def load_quotes(lg: Ledger) -> tuple[DataFrame, DataFrame]:
+    """Landed quote documents read through A8; both values must cast to
+    DECIMAL(10,2), else the document is rejected. Returns (quotes, rejects);
+    the quotes are the whole new quote table (U11: reset + reload)."""
+    path = landed(lg, "quotes_json", lambda p: raw_quote_docs(lg).write.mode("overwrite").json(p))
+    d = FL.read_fx_quotes_json(lg.spark, path)
+    buy = K.try_decimal(F.col("compra"), 10, 2)
+    sell = K.try_decimal(F.col("venta"), 10, 2)
+    typed = d.select(F.col("tipo").alias("fx_type"), F.to_timestamp_ntz("fecha").alias("quote_ts"),
+                     buy.alias("buy"), sell.alias("sell"), "compra", "venta")
+    good = typed.filter(F.col("buy").isNotNull() & F.col("sell").isNotNull()).select("fx_type", "quote_ts", "buy", "sell")
+    bad = typed.filter(F.col("buy").isNull() | F.col("sell").isNull()).select(
+        F.lit(QUOTE_REJECT).alias("reason"), "fx_type", F.col("compra"), F.col("venta"))
+    return good, bad
+
+
+# ------------------------------------------------------------ B3 / B4
+def export_month_department_xml(lg: Ledger, year: int = 2001) -> DataFrame:
+    """R4 written as XML (RecaudacionMensual / Departamento with
+    attributes) and read back with the same schema."""
+    from pyspark.sql import types as T
+
+    from .reports import collection_by_month_department
+    r = collection_by_month_department(lg, year)
+    out = r.select(F.concat(F.col("period"), F.lit("-01")).alias("_Periodo"), F.col("department").alias("_Departamento"),
+                   F.col("total_collected").alias("_Total"))
+    path = landed(lg, f"xml_r4_{year}", lambda p: out.write.mode("overwrite").format("xml")
+                  .option("rootTag", "RecaudacionMensual").option("rowTag", "Departamento").save(p))
+    schema = T.StructType([T.StructField("_Periodo", T.StringType()), T.StructField("_Departamento", T.StringType()),
+                           T.StructField("_Total", T.DecimalType(18, 2))])
+    back = lg.spark.read.format("xml").option("rowTag", "Departamento").schema(schema).load(path)
+    return back.select(F.col("_Periodo").alias("period"), F.col("_Departamento").alias("department"),
+                       F.col("_Total").alias("total_collected"))
+
+
+def export_payment_history_xml(lg: Ledger) -> DataFrame:
+    """R8 written as XML (HistorialPagos / Pago: attributes plus child
+    elements) and read back."""
+    from pyspark.sql import types as T
+
+    from .reports import days_between_payments
+    r = days_between_payments(lg)
+    out = r.select(F.col("building_name").alias("_Consorcio"), F.col("unit_label").alias("_UnidadFuncional"),
+                   F.col("id_payment").alias("_Id"),
+                   F.col("pay_date").cast("string").alias("FechaPago"), F.col("prev_date").cast("string").alias("PagoAnterior"),
+                   F.col("days_between").alias("DiasEntrePagos"), F.col("amount").alias("Monto"))
+    path = landed(lg, "xml_r8", lambda p: out.write.mode("overwrite").format("xml")
+                  .option("rootTag", "HistorialPagos").option("rowTag", "Pago").save(p))
+    schema = T.StructType([T.StructField("_Consorcio", T.StringType()), T.StructField("_UnidadFuncional", T.StringType()),
+                           T.StructField("_Id", T.StringType()), T.StructField("FechaPago", T.StringType()),
+                           T.StructField("PagoAnterior", T.StringType()), T.StructField("DiasEntrePagos", T.LongType()),
+                           T.StructField("Monto", T.DecimalType(10, 2))])
+    back = lg.spark.read.format("xml").option("rowTag", "Pago").schema(schema).load(path)
+    return back.select(F.col("_Consorcio").alias("building_name"), F.col("_Id").alias("id_payment"),
+                       F.col("_UnidadFuncional").alias("unit_label"), F.to_date("FechaPago").alias("pay_date"),
+                       F.to_date("PagoAnterior").alias("prev_date"), F.col("DiasEntrePagos").alias("days_between"),
+                       F.col("Monto").alias("amount"))

@@ -260,3 +260,26 @@ def _register_expenses():
 
 
 _register_expenses()
+
+
+def _register_files():
+    from . import oracle_ingest as OI
+    from .plans import ingest as I
+
+    def l7b(lg):
+        return I.legacy_parse(lg, I.payments_from_landed_csv(lg))
+
+    jobs = {
+        "l7b_legacy_loader": (lambda lg: l7b(lg)[1], OI.l7b_sql("errors")),
+        "l7b_legacy_parsed": (lambda lg: l7b(lg)[0], OI.l7b_sql("parsed")),
+        "l8_quotes": (lambda lg: I.load_quotes(lg)[0], OI.l8_sql("quotes")),
+        "l8_quote_rejects": (lambda lg: I.load_quotes(lg)[1], OI.l8_sql("rejects")),
+        "u11_reset": (lambda lg: I.load_quotes(lg)[0], OI.l8_sql("quotes")),
+        "b3_month_department_xml": (I.export_month_department_xml, OI.b3_sql()),
+        "b4_payment_history_xml": (I.export_payment_history_xml, OI.b4_sql()),
+    }
+    for name, (fn, sql) in jobs.items():
+        register(name, sql)(lambda spark, sf_dir, fn=fn: fn(ledger(spark, sf_dir)))
+
+
+_register_files()
