@@ -66,10 +66,10 @@ def h1_sql() -> str:
     return with_ledger(CHANGES, select="SELECT id_account FROM chg")
 
 
-def j5_sql() -> str:
-    return with_ledger(accounts_sql(), CHANGES, """
+def j5_sql(changes: str = CHANGES, paid_from: str = "payment") -> str:
+    return with_ledger(accounts_sql(), changes, f"""
 tp AS (SELECT id_account, CAST(sum(amount) AS DECIMAL(18,2)) AS paid_sum, max(pay_date) AS last_pay
-       FROM payment WHERE id_account IN (SELECT id_account FROM chg) GROUP BY id_account),
+       FROM {paid_from} WHERE id_account IN (SELECT id_account FROM chg) GROUP BY id_account),
 r AS (SELECT a.id_account, a.id_unit, a.id_building, a.id_bill, a.acct_date, a.prev_balance, a.ord_amount, a.ext_amount,
              b.due1, b.due2, tp.paid_sum, tp.last_pay, coalesce(a.ord_amount, 0) + coalesce(a.ext_amount, 0) AS base
       FROM account a JOIN bill b ON b.id_bill = a.id_bill LEFT JOIN tp ON tp.id_account = a.id_account
@@ -135,3 +135,29 @@ SELECT id_building, id_bill, issue_date, due1, due2 FROM (
   SELECT id_building, id_bill, issue_date, due1, due2 FROM bill UNION ALL
   SELECT id_building, id_bill, issue_date, due1, due2 FROM j6)
 ORDER BY issue_date DESC, id_bill DESC LIMIT {n}""")
+
+
+STREAMED = """
+sp AS (SELECT * FROM payment WHERE year(pay_date) = 2000),
+chg AS (SELECT DISTINCT id_account FROM sp)"""
+
+
+def s1_sql() -> str:
+    return j5_sql(STREAMED, "sp")
+
+
+def s2_sql() -> str:
+    from .oracle_ingest import _l7_ctes
+    return with_ledger(*_l7_ctes(), select="SELECT * FROM ok0")
+
+
+def s3_sql() -> str:
+    from .oracle_ingest import l8_sql
+    return f"SELECT fx_type, arg_max(sell, quote_ts) AS quote FROM ({l8_sql('quotes')}) GROUP BY fx_type"
+
+
+def s4_sql() -> str:
+    return with_ledger(select="""
+SELECT CAST(date_trunc('week', pay_date + 1) AS DATE) AS week_start, CAST(sum(amount) AS DECIMAL(18,2)) AS total,
+       count(*) AS payments
+FROM payment WHERE year(pay_date) = 2000 GROUP BY 1""")

@@ -283,3 +283,50 @@ def _register_files():
 
 
 _register_files()
+
+
+# ----------------------------------------------------- pipeline and batch
+PIPELINE_STEPS = ["l1_buildings", "l2_supplier_expenses", "l4_units", "l5_unit_areas", "l6_people",
+                  "l3_expenses_json", "j1_accounts", "l7_payments_ok", "l9_extraordinary", "j4_interest_m2"]
+REPORT_BATCH = ["r3_weekly_cash_flow", "r3_weekly_one_building", "b3_month_department_xml", "r5_origin_month",
+                "r5_origin_quarter", "r6_top_months", "r7_delinquent_owners", "r7_delinquent_owners_all",
+                "b4_payment_history_xml", "j6_next_bill", "r11_recent_bills"]
+
+
+def _counts(spark, sf_dir, names: list[str], label: str) -> DataFrame:
+    """One row per job: (step number, name, rows, level) - the run log."""
+    from functools import reduce
+    parts = [QUERIES[n](spark, sf_dir).agg(F.count(F.lit(1)).alias("rows"))
+             .select(F.lit(i + 1).cast("bigint").alias("step_no"), F.lit(n).alias(label), "rows",
+                     F.lit("INFO").alias("level"))
+             for i, n in enumerate(names)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _counts_sql(names: list[str], label: str) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT CAST({i + 1} AS BIGINT) AS step_no, '{n}' AS {label}, count(*) AS rows, 'INFO' AS level FROM ({SQL[n]})"
+        for i, n in enumerate(names))
+
+
+register("l10_pipeline_counts", _counts_sql(PIPELINE_STEPS, "step"))(
+    lambda spark, sf_dir: _counts(spark, sf_dir, PIPELINE_STEPS, "step"))
+register("r13_report_batch", _counts_sql(REPORT_BATCH, "report"))(
+    lambda spark, sf_dir: _counts(spark, sf_dir, REPORT_BATCH, "report"))
+
+
+def _register_streaming():
+    from . import oracle_jobs as OJ
+    from .streaming import jobs as S
+
+    jobs = {
+        "s1_affected_accounts": (S.affected_accounts_stream, OJ.s1_sql()),
+        "s2_payment_stream": (S.payment_file_stream, OJ.s2_sql()),
+        "s3_latest_quote_stream": (S.latest_quote_stream, OJ.s3_sql()),
+        "s4_weekly_stream": (S.weekly_collection_stream, OJ.s4_sql()),
+    }
+    for name, (fn, sql) in jobs.items():
+        register(name, sql)(lambda spark, sf_dir, fn=fn: fn(ledger(spark, sf_dir)))
+
+
+_register_streaming()
