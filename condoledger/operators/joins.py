@@ -10,24 +10,33 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
-
 # A dimension is broadcast only when its counted size is at most this many rows.
 BROADCAST_MAX_ROWS = 2_000_000
 
 
+def store(df: DataFrame, path: str, range_by: list[str] | None = None) -> DataFrame:
+    """Write ``df`` as Parquet at ``path`` (in the shared checkpoint folder)
+    and read it back: the lineage is cut, a lost executor re-reads files
+    instead of recomputing upstream joins, and later reads keep column
+    pruning and filter pushdown. ``range_by`` range-partitions the rows
+    first, so each file covers a key range and date filters skip files and
+    row groups by their min/max statistics."""
+    if range_by:
+        df = df.repartitionByRange(*[F.col(c) for c in range_by])
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 class Bounded:
-    """A small table materialised once, with its row count checked.
+    """A small table stored once, with its row count checked.
 
-    ``df`` is the checkpointed frame (lineage cut, files in the shared
-    checkpoint folder, so a lost executor does not recompute the upstream
-    scan). ``side()`` returns it with a broadcast hint when the count is
-    within the bound, else plain (sort-merge / AQE skew handling apply).
+    ``df`` is the stored frame (see ``store``). ``side()`` returns it with a
+    broadcast hint when the count is within the bound, else plain
+    (sort-merge join with AQE skew handling applies instead).
     """
 
-    def __init__(self, df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS):
-        checkpoint_dir(df.sparkSession)
-        self.df = df.checkpoint(eager=True)
+    def __init__(self, df: DataFrame, path: str, max_rows: int = BROADCAST_MAX_ROWS):
+        self.df = store(df, path)
         self.rows = self.df.count()
         self.max_rows = max_rows
 
@@ -39,11 +48,6 @@ class Bounded:
         return F.broadcast(self.df) if self.small else self.df
 
 
-def bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Materialise ``df``, count it and hint a broadcast only if small enough."""
-    return Bounded(df, max_rows).side()
-
-
 def null_safe_key_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Equi-join where NULL keys match each other (C7, `<=>`)."""
     cond = None

@@ -58,33 +58,66 @@ def share_sums(unit: DataFrame) -> DataFrame:
     return unit.groupBy("id_building").agg(F.sum(F.col("share").cast("decimal(18,6)")).alias("sum_share"))
 
 
+def cents(amount: Column) -> Column:
+    """Money with 2 decimals as an exact count of cents (long)."""
+    return (amount * 100).cast("long")
+
+
+def prorate_cents(total_cents: Column, weight: Column, weight_sum: Column) -> Column:
+    """J3 on integers: round_half_away(total * weight / weight_sum) in cents,
+    with the weights as longs (share * 100); NULL when the sum is 0 or NULL.
+
+    The decimal form, round(total * (share / sum), 2), makes a decimal(38, 29)
+    quotient that Spark evaluates on java.math.BigDecimal per row; the same
+    exact rounding on longs stays on primitives inside codegen.
+    """
+    num = F.abs(total_cents) * weight * 2 + weight_sum
+    q = F.floor(num / (weight_sum * 2))      # operands < 2^53: the double quotient floors exactly
+    return F.when(weight_sum.isNull() | (weight_sum == 0), F.lit(None)).otherwise(F.signum(total_cents) * q)
+
+
+def from_cents(c: Column) -> Column:
+    """Cents back to money: a multiplication by 0.01 (a decimal division
+    would again take the BigDecimal path)."""
+    return (c.cast("decimal(18,0)") * F.lit(0.01).cast("decimal(2,2)")).cast(MONEY)
+
+
 def prorate(total: Column, share: Column, sum_share: Column) -> Column:
     """round(total * share / sum(share of building), 2); zero sum -> NULL."""
-    return F.round(total * (share / F.nullif(sum_share, F.lit(0))), 2).cast(MONEY)
+    return from_cents(prorate_cents(cents(total), cents(share), cents(sum_share)))
 
 
-def per_bill(lg: Ledger, bills: DataFrame) -> DataFrame:
+def per_bill_raw(lg: Ledger, bills: DataFrame) -> DataFrame:
     """Bills with expense totals and the building's share sum.
 
     Row count = bills (left joins on unique keys), which the ledger has
     counted, so it is safe to broadcast when the bills are.
     """
-    pb = (bills.join(expense_totals(lg.expense), "id_bill", "left")
-          .join(share_sums(lg.unit), "id_building", "left"))
+    return (bills.join(expense_totals(lg.expense), "id_bill", "left")
+            .join(share_sums(lg.unit), "id_building", "left"))
+
+
+def per_bill(lg: Ledger, bills: DataFrame) -> DataFrame:
+    pb = per_bill_raw(lg, bills)
     return F.broadcast(pb) if lg.bill_b.small else pb
 
 
 def skeleton(lg: Ledger, bills: DataFrame) -> DataFrame:
     """One row per unit x bill of its building, with prorated amounts."""
-    pb = per_bill(lg, bills)
-    u = lg.unit.select("id_unit", "id_building", "share")
+    pb = (per_bill_raw(lg, bills)
+          .select("id_bill", "id_building", "month_start", "issue_date", "due1", "due2",
+                  cents(F.coalesce("tot_ord", F.lit(0))).alias("_ord_c"),
+                  cents(F.coalesce("tot_ext", F.lit(0))).alias("_ext_c"),
+                  cents(F.col("sum_share")).alias("_sum_w")))
+    pb = F.broadcast(pb) if lg.bill_b.small else pb
+    u = lg.unit.select("id_unit", "id_building", cents(F.col("share")).alias("_w"))
     s = u.join(pb, "id_building")
     return s.select(
         account_id(F.col("id_unit"), F.col("month_start")).alias("id_account"),
         "id_unit", "id_building", "id_bill", "issue_date", "due1", "due2",
         F.coalesce("due1", "issue_date").alias("acct_date"),
-        prorate(F.coalesce("tot_ord", F.lit(0)), F.col("share"), F.col("sum_share")).alias("ord_amount"),
-        prorate(F.coalesce("tot_ext", F.lit(0)), F.col("share"), F.col("sum_share")).alias("ext_amount"))
+        from_cents(prorate_cents(F.col("_ord_c"), F.col("_w"), F.col("_sum_w"))).alias("ord_amount"),
+        from_cents(prorate_cents(F.col("_ext_c"), F.col("_w"), F.col("_sum_w"))).alias("ext_amount"))
 
 
 def payment_totals(payment: DataFrame) -> DataFrame:

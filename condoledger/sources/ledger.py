@@ -5,10 +5,13 @@ occupancy, orders grouped by (nation, month) -> bill, orders -> expense,
 lineitem x orders -> payment, purchase events -> FX quotes; accounts are the
 output of the account recompute job (J2).
 
-Big tables (unit, person, expense, payment) stay lazy plans over the parquet
-scans, so filters and column pruning reach the files. Small dimensions
-(calendar, months, bills, buildings) are checkpointed and counted once per
-ledger (``Bounded``); only those, with their size checked, are broadcast.
+Every ledger table is derived once per session and stored as Parquet in the
+session's shared checkpoint folder: this is the ledger's state, as the
+reference's stored tables are, and every job reads it with column pruning and
+filter pushdown instead of re-deriving it. Payments and expenses are range
+partitioned by date (date-filtered reports skip files and row groups). Small
+dimensions (calendar, months, bills, buildings) are also counted
+(``Bounded``); only those, with their size checked, are broadcast.
 """
 
 from __future__ import annotations
@@ -20,7 +23,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
-from ..operators.joins import Bounded, month_key
+import os
+import uuid
+
+from ..operators.joins import Bounded, month_key, store
+from ..session import checkpoint_dir
 
 # Fixed value: the "today" of every now-dependent rule (inside the data range).
 AS_OF = dt.date(2001, 7, 15)
@@ -53,6 +60,16 @@ class Ledger:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self.as_of = as_of
+        self.root = os.path.join(checkpoint_dir(spark), "ledger", uuid.uuid4().hex)
+
+    def _path(self, name: str) -> str:
+        return os.path.join(self.root, name)
+
+    def _store(self, name: str, df: DataFrame, range_by: list[str] | None = None) -> DataFrame:
+        return store(df, self._path(name), range_by)
+
+    def _bounded(self, name: str, df: DataFrame) -> Bounded:
+        return Bounded(df, self._path(name))
 
     # ------------------------------------------------------------------ raw
     def raw(self, name: str, *cols: str) -> DataFrame:
@@ -78,7 +95,7 @@ class Ledger:
         o = self.raw("orders", "o_orderdate")
         bounds = o.agg(F.trunc(F.to_date(F.min("o_orderdate")), "month").alias("lo"),
                        F.last_day(F.add_months(F.to_date(F.max("o_orderdate")), 3)).alias("hi"))
-        return Bounded(cal.calendar_between(bounds))
+        return self._bounded("calendar", cal.calendar_between(bounds))
 
     @property
     def calendar(self) -> DataFrame:
@@ -86,7 +103,7 @@ class Ledger:
 
     @cached_property
     def months_b(self) -> Bounded:
-        return Bounded(cal.month_info(self.calendar))
+        return self._bounded("months", cal.month_info(self.calendar))
 
     @cached_property
     def building_b(self) -> Bounded:
@@ -95,7 +112,7 @@ class Ledger:
         b = n.select(F.col("n_nationkey").cast("bigint").alias("id_building"),
                      F.col("n_name").alias("name"),
                      F.concat(F.lit("Av. "), F.col("n_name")).alias("address"))
-        return Bounded(b.join(area, "id_building", "left"))
+        return self._bounded("building", b.join(area, "id_building", "left"))
 
     @property
     def building(self) -> DataFrame:
@@ -109,7 +126,7 @@ class Ledger:
         b = (per.join(self.months_b.side(), "month_start")
              .select(bill_id(F.col("id_building"), F.col("month_start")).alias("id_bill"),
                      "id_building", "month_start", "issue_date", "due1", "due2", "total"))
-        return Bounded(b)
+        return self._bounded("bill", b)
 
     @property
     def bill(self) -> DataFrame:
@@ -120,7 +137,7 @@ class Ledger:
     def unit(self) -> DataFrame:
         c = self.raw("customer", "c_custkey", "c_nationkey")
         k = F.col("c_custkey")
-        return c.select(
+        return self._store("unit", c.select(
             k.cast("bigint").alias("id_unit"),
             F.col("c_nationkey").cast("bigint").alias("id_building"),
             (k % 10).cast("int").alias("floor"),
@@ -129,13 +146,13 @@ class Ledger:
             F.when(k % 4 == 1, 3.5).otherwise(0).cast("decimal(5,2)").alias("storage_m2"),
             F.when(k % 6 == 2, 12).otherwise(0).cast("decimal(5,2)").alias("garage_m2"),
             (1 + k % 7).cast("decimal(5,2)").alias("share"),
-            cbu_of(k).alias("cbu"))
+            cbu_of(k).alias("cbu")))
 
     @cached_property
     def person(self) -> DataFrame:
         c = self.raw("customer", "c_custkey", "c_name", "c_mktsegment")
         k = F.col("c_custkey")
-        return c.select(
+        return self._store("person", c.select(
             k.cast("bigint").alias("id_person"),
             F.initcap(F.col("c_mktsegment")).alias("first_name"),
             F.col("c_name").alias("last_name"),
@@ -145,19 +162,19 @@ class Ledger:
             F.when(k % 7 == 0, F.lit(None).cast("string"))
              .otherwise(F.concat(F.lit("11"), F.lpad(k.cast("string"), 8, "0"))).alias("phone"),
             F.when(k % 4 == 0, F.concat(F.lit("9"), F.lpad(k.cast("string"), 21, "0")))
-             .otherwise(cbu_of(k)).alias("cbu"))
+             .otherwise(cbu_of(k)).alias("cbu")))
 
     @cached_property
     def occupancy(self) -> DataFrame:
         c = self.raw("customer", "c_custkey", "c_nationkey")
-        return c.select(F.col("c_custkey").cast("bigint").alias("id_person"),
-                        F.col("c_nationkey").cast("bigint").alias("id_building"),
-                        (F.col("c_custkey") % 3 == 0).alias("is_tenant"))
+        return self._store("occupancy", c.select(F.col("c_custkey").cast("bigint").alias("id_person"),
+                                                 F.col("c_nationkey").cast("bigint").alias("id_building"),
+                                                 (F.col("c_custkey") % 3 == 0).alias("is_tenant")))
 
     @cached_property
     def expense(self) -> DataFrame:
         o = self.orders_b
-        return o.select(
+        return self._store("expense", o.select(
             F.col("o_orderkey").cast("bigint").alias("id_expense"),
             bill_id(F.col("id_building"), F.col("month_start")).alias("id_bill"),
             "id_building",
@@ -166,7 +183,7 @@ class Ledger:
             F.concat(F.lit("Proveedor "), (F.col("o_orderkey") % 50).cast("string")).alias("supplier"),
             F.concat(F.lit("Orden "), F.col("o_orderkey").cast("string")).alias("description"),
             F.col("order_date").alias("issue_date"),
-            F.col("o_totalprice").cast("decimal(10,2)").alias("amount"))
+            F.col("o_totalprice").cast("decimal(10,2)").alias("amount")), ["issue_date", "id_expense"])
 
     @cached_property
     def payment(self) -> DataFrame:
@@ -177,7 +194,7 @@ class Ledger:
         # spreads the per-line text work over all tasks locally)
         j = li.join(o.hint("merge"), li.l_orderkey == o.o_orderkey)
         offset = (7 * F.col("l_orderkey") + 5 * F.col("l_linenumber") + F.col("l_partkey")) % 50
-        return j.select(
+        return self._store("payment", j.select(
             # (order, line) repeats in the driver data; with part and supplier it is unique
             F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("id_payment"),
             account_id(F.col("id_unit"), F.col("month_start")).alias("id_account"),
@@ -185,13 +202,13 @@ class Ledger:
             bill_id(F.col("id_building"), F.col("month_start")).alias("id_bill"),
             F.date_add("month_start", offset.cast("int")).alias("pay_date"),
             (200 * F.col("l_quantity")).cast("decimal(10,2)").alias("amount"),
-            cbu_of(F.col("id_unit")).alias("cbu"))
+            cbu_of(F.col("id_unit")).alias("cbu")), ["pay_date", "id_payment"])
 
     @cached_property
     def fx_quote(self) -> DataFrame:
         e = self.raw("events", "event_id", "ts", "user_id", "event_type", "value")
         buy = F.col("value").cast("decimal(10,2)")
-        return (e.filter(F.col("event_type") == "purchase")
+        return self._store("fx_quote", e.filter(F.col("event_type") == "purchase")
                 .select(F.col("event_id").cast("bigint").alias("id_quote"),
                         F.col("ts").alias("quote_ts"),
                         F.element_at(F.array(F.lit("blue"), F.lit("oficial"), F.lit("tarjeta")),
@@ -201,12 +218,10 @@ class Ledger:
 
     @cached_property
     def account(self) -> DataFrame:
-        """The account table (J2 output, rule M1), written once as a checkpoint:
-        it is the ledger's stored state that reports read, as in the reference."""
+        """The account table (J2 output, rule M1), stored once: the ledger
+        state that reports read, as in the reference."""
         from ..plans.accounts import recompute_accounts
-        from ..session import checkpoint_dir
-        checkpoint_dir(self.spark)
-        return recompute_accounts(self).checkpoint(eager=True)
+        return self._store("account", recompute_accounts(self))
 
 
 _CACHE: dict = {}
