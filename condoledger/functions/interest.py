@@ -67,3 +67,46 @@ def interest(base: Column, paid: Column, last: Column, due1: Column, due2: Colum
 def debt(base: Column, paid: Column) -> Column:
     paid0 = F.coalesce(paid, F.lit(0))
     return F.when(base <= paid0, F.lit(0)).otherwise(base - paid0).cast(MONEY)
+
+
+# ----------------------------------------------------------- cents variant
+# The same rules on exact integer cents (long). Decimal arithmetic above
+# precision 18 runs on java.math.BigDecimal per row; the account recompute
+# touches every unit x bill, so it uses this form (tests check both agree).
+RATE_PCT_DUE1 = 2
+RATE_PCT_DUE2 = 5
+
+
+def _pct_cents(pct: int, amount_c: Column) -> Column:
+    """round_half_away(amount * pct / 100) on cents."""
+    num = F.abs(amount_c) * pct * 2 + 100
+    return F.signum(amount_c).cast("long") * F.floor(num / 200).cast("long")
+
+
+def ladder_cents(day: Column, amount_c: Column, due1: Column, due2: Column, strict: bool = False) -> Column:
+    if strict:
+        on_time, late1, within2, late2 = day < due1, day >= due1, day < due2, day >= due2
+    else:
+        on_time, late1, within2, late2 = day <= due1, day > due1, day <= due2, day > due2
+    return (F.when(on_time, F.lit(0).cast("long"))
+            .when(late1 & (due2.isNull() | within2), _pct_cents(RATE_PCT_DUE1, amount_c))
+            .when(due2.isNotNull() & late2, _pct_cents(RATE_PCT_DUE2, amount_c))
+            .otherwise(F.lit(0).cast("long")))
+
+
+def interest_cents(base_c: Column, paid_c: Column, last: Column, due1: Column, due2: Column,
+                   rule: str, as_of: dt.date) -> Column:
+    """``interest`` on cents: base_c, paid_c (NULL = no payments) are longs."""
+    paid0 = F.coalesce(paid_c, F.lit(0).cast("long"))
+    rem = base_c - paid0
+    today = F.lit(as_of)
+    zero = F.lit(0).cast("long")
+    if rule == "M1":
+        return (F.when(base_c <= paid0, zero)
+                .when(paid_c.isNull(), ladder_cents(today, base_c, due1, due2, strict=True))
+                .otherwise(ladder_cents(last, rem, due1, due2)))
+    if rule == "M2":
+        return F.when((base_c <= paid0) | paid_c.isNull(), zero).otherwise(ladder_cents(last, rem, due1, due2))
+    if rule == "M3":
+        return F.when(rem <= 0, zero).otherwise(ladder_cents(today, rem, due1, due2))
+    raise ValueError(f"unknown interest rule {rule!r}")

@@ -20,7 +20,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.interest import MONEY, debt, interest
+from ..functions.interest import MONEY, interest_cents
 from ..sources.ledger import EXTRAORDINARY, ORDINARY, Ledger, account_id
 
 DUMMY_DATE = dt.date(1900, 1, 1)
@@ -127,13 +127,22 @@ def payment_totals(payment: DataFrame) -> DataFrame:
 
 
 def settle(acc: DataFrame, rule: str, as_of: dt.date) -> DataFrame:
-    """Step (4): paid, debt, interest, total from base and payment totals."""
-    base = F.coalesce("ord_amount", F.lit(0)) + F.coalesce("ext_amount", F.lit(0))
-    inter = interest(base, F.col("paid_sum"), F.col("last_pay"), F.col("due1"), F.col("due2"), rule, as_of)
-    return (acc.withColumn("paid", F.coalesce("paid_sum", F.lit(0)).cast(MONEY))
-            .withColumn("debt", debt(base, F.col("paid_sum")))
-            .withColumn("interest", inter)
-            .withColumn("total_due", (F.col("debt") + F.col("interest")).cast(MONEY)))
+    """Step (4): paid, debt, interest, total from base and payment totals
+    (exact cents on longs; see functions.interest for the rule table)."""
+    base = F.col("_base_c")
+    paid = F.col("_paid_c")
+    inter = interest_cents(base, paid, F.col("last_pay"), F.col("due1"), F.col("due2"), rule, as_of)
+    paid0 = F.coalesce(paid, F.lit(0).cast("long"))
+    debt_c = F.when(base <= paid0, F.lit(0).cast("long")).otherwise(base - paid0)
+    return (acc.withColumn("_base_c", cents(F.coalesce("ord_amount", F.lit(0))) + cents(F.coalesce("ext_amount", F.lit(0))))
+            .withColumn("_paid_c", cents(F.col("paid_sum")))
+            .withColumn("_debt_c", debt_c)
+            .withColumn("_int_c", inter)
+            .withColumn("paid", from_cents(paid0))
+            .withColumn("debt", from_cents(F.col("_debt_c")))
+            .withColumn("interest", from_cents(F.col("_int_c")))
+            .withColumn("total_due", from_cents(F.col("_debt_c") + F.col("_int_c")))
+            .drop("_base_c", "_paid_c", "_debt_c", "_int_c"))
 
 
 def previous_balance(acc: DataFrame) -> DataFrame:
