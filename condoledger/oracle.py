@@ -114,7 +114,10 @@ expense AS (
          CAST(o_totalprice AS DECIMAL(10,2)) AS amount
   FROM ob),
 payment AS (
-  SELECT concat_ws('-', l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey) AS id_payment,
+  SELECT concat_ws('-', l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey,
+                   row_number() OVER (PARTITION BY l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey
+                                      ORDER BY l.l_quantity, l.l_extendedprice, l.l_discount, l.l_tax, l.l_shipdate))
+           AS id_payment,
          ob.id_unit * 1000000 + {ym('ob.month_start')} AS id_account, ob.id_unit, ob.id_building,
          ob.id_building * 1000000 + {ym('ob.month_start')} AS id_bill,
          CAST(ob.month_start + CAST((7 * l.l_orderkey + 5 * l.l_linenumber + l.l_partkey) % 50 AS INTEGER) AS DATE)

@@ -57,8 +57,11 @@ def read_areas_tab(spark: SparkSession, path: str, header: bool = True, encoding
 
 
 def read_people_semicolon(spark: SparkSession, path: str, header: bool = True,
-                          encoding: str = "windows-1252") -> DataFrame:
-    """Semicolon-separated people file, ANSI code page by default."""
+                          encoding: str = "iso-8859-1") -> DataFrame:
+    """Semicolon-separated people file in an ANSI code page. Spark 4 only
+    accepts standard charsets for CSV unless ``spark.sql.legacy.javaCharsets``
+    is set, so the default is ISO-8859-1 (the same letters as Windows-1252
+    for Spanish text; 0x80-0x9F differ)."""
     return _csv(spark, path, PEOPLE_COLS, ";", header, encoding)
 
 

@@ -19,7 +19,7 @@ from __future__ import annotations
 import datetime as dt
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
@@ -188,15 +188,23 @@ class Ledger:
     @cached_property
     def payment(self) -> DataFrame:
         """lineitem x orders: one payment per line, dated inside the order month."""
-        li = self.raw("lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")
+        li = self.raw("lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+                      "l_extendedprice", "l_discount", "l_tax", "l_shipdate")
         o = self.orders_b.select("o_orderkey", "id_unit", "id_building", "month_start")
         # big x big at scale: a sort-merge join on the order key (also the plan that
         # spreads the per-line text work over all tasks locally)
         j = li.join(o.hint("merge"), li.l_orderkey == o.o_orderkey)
+        # (order, line, part, supplier) can repeat: a sequence number inside that
+        # key makes the id unique. The window is partitioned by a superset of
+        # the join key, so it reuses the join's partitioning (sort only).
+        line_key = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+        seq = F.row_number().over(Window.partitionBy(*line_key).orderBy(
+            "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_shipdate"))
+        j = j.withColumn("_seq", seq)
         offset = (7 * F.col("l_orderkey") + 5 * F.col("l_linenumber") + F.col("l_partkey")) % 50
         return self._store("payment", j.select(
             # (order, line) repeats in the driver data; with part and supplier it is unique
-            F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("id_payment"),
+            F.concat_ws("-", *line_key, "_seq").alias("id_payment"),
             account_id(F.col("id_unit"), F.col("month_start")).alias("id_account"),
             "id_unit", "id_building",
             bill_id(F.col("id_building"), F.col("month_start")).alias("id_bill"),
