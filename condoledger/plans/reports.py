@@ -355,11 +355,14 @@ def account_statement(lg: Ledger, building: int | None = None, year: int | None
 # ------------------------------------------------------------------ R12
 def quote_age(lg: Ledger, now: dt.datetime) -> DataFrame:
     """Every quote with the minutes since it was taken (minute
-    boundaries crossed, as DATEDIFF(MINUTE) counts them)."""
+    boundaries crossed, as DATEDIFF(MINUTE) counts them). Computed from the
+    wall-clock fields of the zone-less timestamps, so the session time zone
+    does not matter."""
     def minute(c: Column) -> Column:
-        return F.floor(F.unix_micros(c.cast("timestamp")) / 60_000_000)
+        return (F.unix_date(F.to_date(c)).cast("long") * 1440 + F.hour(c) * 60 + F.minute(c)).cast("bigint")
+    now_c = F.to_timestamp_ntz(F.lit(now.isoformat(sep=" ")))
     return lg.fx_quote.select("fx_type", "buy", "sell", "quote_ts",
-                              (minute(F.lit(now)) - minute(F.col("quote_ts"))).cast("bigint").alias("minutes_since"))
+                              (minute(now_c) - minute(F.col("quote_ts"))).alias("minutes_since"))
 
 
 # ------------------------------------------------------------------ R11

@@ -138,13 +138,17 @@ def weekly_collection_stream(lg: Ledger, year: int = STREAM_YEAR, files_per_batc
     state stays one row per week."""
     run = _run_dir(lg, "s4")
     sink = os.path.join(run, "weeks")
-    p = _payment_stream(lg, year, files_per_batch).withColumn("ts", F.col("pay_date").cast("timestamp"))
+    # the event time is the instant of UTC midnight of the payment date, so the
+    # windows (aligned to the UTC epoch) do not depend on the session time zone
+    p = _payment_stream(lg, year, files_per_batch).withColumn(
+        "ts", F.timestamp_seconds(F.unix_date("pay_date").cast("long") * 86400))
     agg = (p.withWatermark("ts", watermark)
            .groupBy(F.window("ts", "7 days", startTime="3 days").alias("w"))
            .agg(F.sum("amount").alias("_t"), F.count(F.lit(1)).alias("payments")))
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        (df.select(F.date_add(F.to_date(F.col("w.start")), 1).alias("week_start"),
+        start_day = F.date_from_unix_date(F.floor(F.unix_seconds(F.col("w.start")) / 86400).cast("int"))
+        (df.select(F.date_add(start_day, 1).alias("week_start"),
                    F.col("_t").cast("decimal(18,2)").alias("total"), "payments")
          .write.mode("overwrite").parquet(os.path.join(sink, f"batch_id={batch_id}")))
 
