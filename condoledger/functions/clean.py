@@ -25,8 +25,9 @@ def _c(c: Column | str) -> Column:
 
 
 def trim_spaces(c: Column | str) -> Column:
-    """LTRIM/RTRIM: spaces only (tabs and NBSP stay)."""
-    return F.regexp_replace(_c(c), r"^ +| +$", "")
+    """LTRIM/RTRIM: spaces only (tabs and NBSP stay) - Spark's trim does
+    exactly that, without a regex."""
+    return F.trim(_c(c))
 
 
 def try_decimal(text: Column, precision: int, scale: int) -> Column:

@@ -8,12 +8,14 @@ written in place. Accepted + rejected always account for every input row.
 from __future__ import annotations
 
 import os
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import clean as K
+from ..operators.joins import store
 from ..session import checkpoint_dir
 from ..sources import files as FL
 from ..sources import rawtext as RT
@@ -87,10 +89,11 @@ def load_payments(lg: Ledger, raw: DataFrame, amount_rule: str = "K3",
          .withColumn("_valid", F.col("pay_date").isNotNull() & F.col("amount").isNotNull()
                      & F.col("cbu").isNotNull() & (F.col("cbu") != "0" * 22)))
     # The parsed rows are written once (as the reference's #pagos step table)
-    # to the shared checkpoint folder: three outputs read them, and a filter
-    # on the parse results must not be pushed back into the parse expressions.
-    checkpoint_dir(lg.spark)
-    p = p.select("c2", "c3", "c4", "_blank", "pay_date", "cbu", "amount", "_valid").checkpoint(eager=True)
+    # as Parquet in the shared checkpoint folder: three outputs read them, and
+    # a filter on the parse results must not be pushed back into the parse
+    # expressions (one write; an RDD checkpoint would compute the parse twice).
+    p = store(p.select("c2", "c3", "c4", "_blank", "pay_date", "cbu", "amount", "_valid"),
+              os.path.join(checkpoint_dir(lg.spark), "parsed", uuid.uuid4().hex))
 
     units = lg.unit.select(unit_bank_key(F.col("cbu")).alias("cbu"), "id_unit", "id_building")
     acc = lg.account.select("id_account", "id_unit", "id_building", "id_bill")
@@ -170,8 +173,7 @@ def legacy_parse(lg: Ledger, raw: DataFrame) -> tuple[DataFrame, DataFrame]:
          .withColumn("_v", F.nullif(K.trim_spaces(F.translate(F.translate("amount_txt", K.NBSP + "\t", "  "), "$", "")),
                                     F.lit(""))))
     n = n.transform(K.amount_flexible_on("_v", "_amt")).withColumn("amount", F.col("_amt").try_cast("decimal(10,2)"))
-    checkpoint_dir(lg.spark)
-    n = n.drop("_v", "_amt").checkpoint(eager=True)
+    n = store(n.drop("_v", "_amt"), os.path.join(checkpoint_dir(lg.spark), "parsed", uuid.uuid4().hex))
     ok = n.filter(F.col("pay_date").isNotNull() & F.col("amount").isNotNull() & F.col("cbu").isNotNull()
                   & (F.col("cbu") != "0" * 22)).select("pay_date", "cbu", "amount")
     errs = (n.join(ok.select("cbu", "pay_date").distinct(), ["cbu", "pay_date"], "left_anti")
