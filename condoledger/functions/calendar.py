@@ -44,7 +44,7 @@ def calendar_between(bounds: DataFrame, lo: str = "lo", hi: str = "hi",
         days = days.withColumn("is_holiday", is_fixed_holiday(F.col("cal_date")))
     else:
         h = holidays.select(F.col("holiday").alias("cal_date")).distinct().withColumn("is_holiday", F.lit(True))
-        days = days.join(F.broadcast(h), "cal_date", "left").fillna(False, ["is_holiday"])
+        days = days.join(h, "cal_date", "left").fillna(False, ["is_holiday"])
     return (days
             .withColumn("month_start", F.trunc("cal_date", "month"))
             .withColumn("is_weekday", is_weekday(F.col("cal_date")))

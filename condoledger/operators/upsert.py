@@ -9,7 +9,7 @@ anti for insert-only, left for update-only.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 INSERT, UPDATE, KEEP = "INSERT", "UPDATE", "KEEP"
@@ -123,8 +123,7 @@ def surrogate_keys(new_rows: DataFrame, existing: DataFrame, id_col: str, order:
     number uses per-partition offsets (no single-task window)."""
     from .windows import global_row_number
     start = existing.agg(F.max(id_col)).first()[0] or 0
-    first = order[0]
-    numbered = global_row_number(new_rows, [first], order[1:] or [first], name="_rid")
+    numbered = global_row_number(new_rows, order, name="_rid")
     return numbered.withColumn(id_col, (F.col("_rid") + F.lit(start)).cast("bigint")).drop("_rid")
 
 
@@ -134,8 +133,11 @@ def reset(source: DataFrame) -> DataFrame:
     return source.withColumn("action", F.lit(INSERT))
 
 
-def dedupe_latest(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """One row per key by a deterministic order (used before upserts whose
-    input may repeat a key, e.g. one bank id with two spellings)."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+def dedupe_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """One row per key: the first by ``order`` (ascending), as the smallest
+    struct of (order columns, other columns). An aggregation, not a window:
+    partial aggregation collapses a key repeated in a third of the rows
+    before the shuffle (used where one bank id arrives with two spellings)."""
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    agg = df.groupBy(*keys).agg(F.min(F.struct(*order, *rest)).alias("_first"))
+    return agg.select(*keys, *[F.col(f"_first.{c}").alias(c) for c in order + rest]).select(*df.columns)

@@ -6,23 +6,38 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def global_row_number(df: DataFrame, partition: list[str], order: list[str | Column],
-                      name: str = "row_id") -> DataFrame:
-    """ROW_NUMBER over the whole set ordered by (partition..., order...) (F1).
-
-    An unpartitioned ROW_NUMBER funnels every row through one task. Here
-    rows are numbered inside each partition key, and each key gets the
-    running count of the keys before it as offset; the unpartitioned window
-    only runs over the per-key counts (one row per key).
+def global_row_number(df: DataFrame, order: list[str], name: str = "row_id") -> DataFrame:
+    """ROW_NUMBER() OVER (ORDER BY order...) without a single-task window (F1).
+
+    The rows are range-partitioned on the whole order key (so even one hot
+    building is split over many tasks) and sorted inside each partition;
+    each row's index inside its partition comes from
+    monotonically_increasing_id (partition id in the upper bits), and each
+    partition's offset is the running count of the partitions before it - an
+    unpartitioned window over one row per partition only. The numbered
+    partitions are stored once in the shared checkpoint folder. The order key is
+    expected to be unique (ties would be numbered in an arbitrary order, as
+    with ROW_NUMBER).
     """
-    counts = df.groupBy(*partition).agg(F.count(F.lit(1)).alias("_cnt"))
-    wk = Window.orderBy(*partition).rowsBetween(Window.unboundedPreceding, 0)
-    offsets = counts.select(*partition, (F.sum("_cnt").over(wk) - F.col("_cnt")).alias("_off"))
-    w = Window.partitionBy(*partition).orderBy(*order)
-    return (df.withColumn("_rn", F.row_number().over(w))
-            .join(offsets, partition)
-            .withColumn(name, (F.col("_off") + F.col("_rn")).cast("bigint"))
-            .drop("_rn", "_off"))
+    import os
+    import uuid
+
+    from ..session import checkpoint_dir
+    from .joins import store
+
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    s = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+         .withColumn("_pid", F.spark_partition_id())
+         .withColumn("_ix", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33)))
+    # Partition ids are only meaningful for this one evaluation (a second
+    # evaluation would sample new range bounds): store them once.
+    s = store(s, os.path.join(checkpoint_dir(df.sparkSession), "rownum", uuid.uuid4().hex))
+    counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
+    wk = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0)
+    offsets = counts.select("_pid", (F.sum("_cnt").over(wk) - F.col("_cnt")).alias("_off"))
+    return (s.join(F.broadcast(offsets), "_pid")      # one row per partition: bounded by n
+            .withColumn(name, (F.col("_off") + F.col("_ix") + 1).cast("bigint"))
+            .drop("_pid", "_ix", "_off"))
 
 
 def running_sum(value: str | Column, partition: list[str], order: list[str | Column]) -> Column:

@@ -65,7 +65,7 @@ def f1_global_row_number(lg: Ledger) -> DataFrame:
     a = lg.account.select("id_account", "id_building", "id_bill", "id_unit")
     b = lg.bill.select("id_bill", "issue_date")
     a = a.join(F.broadcast(b) if lg.bill_b.small else b, "id_bill")
-    return global_row_number(a, ["id_building"], ["issue_date", "id_bill", "id_unit"]).select(
+    return global_row_number(a, ["id_building", "issue_date", "id_bill", "id_unit"]).select(
         "row_id", "id_account")
 
 

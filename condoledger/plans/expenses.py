@@ -39,7 +39,8 @@ def expense_bills(lg: Ledger, year: int, due1_day: int | None = 10, due2_day: in
             .groupBy("id_building", "month").agg(F.sum("amount").alias("total")))
     fifth = cal.nth_day_of_month(lg.calendar, 5, "is_weekday")
     first = F.make_date(F.lit(year), F.col("month"), F.lit(1))
-    j = sums.withColumn("month_start", first).join(F.broadcast(fifth), "month_start", "left")
+    fifth = F.broadcast(fifth) if lg.calendar_b.small else fifth      # <= one row per calendar month
+    j = sums.withColumn("month_start", first).join(fifth, "month_start", "left")
     y, m = F.year("nth_day"), F.month("nth_day")
     return j.select("id_building", F.col("nth_day").alias("issue_date"),
                     K.due_day(y, m, F.lit(due1_day) if due1_day else None).alias("due1"),
@@ -86,9 +87,10 @@ SUPPLIER_TYPES = ["GASTOS BANCARIOS", "GASTOS DE LIMPIEZA", "GASTOS DE ADMINISTR
 def raw_suppliers(lg: Ledger) -> DataFrame:
     """Supplier sheet (A2 layout) from the supplier table."""
     s = lg.raw("supplier", "s_suppkey", "s_name", "s_nationkey")
-    n = lg.raw("nation", "n_nationkey", "n_name")
+    n = lg.building.select(F.col("id_building").alias("n_nationkey"), F.col("name").alias("n_name"))
+    n = F.broadcast(n) if lg.building_b.small else n
     t = F.element_at(F.array(*[F.lit(x) for x in SUPPLIER_TYPES]), (F.col("s_suppkey") % 5 + 1).cast("int"))
-    return (s.join(F.broadcast(n), s.s_nationkey == n.n_nationkey)
+    return (s.join(n, s.s_nationkey == n.n_nationkey)
             .select(t.alias("tipo"), F.concat(F.lit(" Servicio "), F.col("s_suppkey").cast("string")).alias("descripcion"),
                     F.col("s_name").alias("proveedor"), F.concat(F.col("n_name"), F.lit(" ")).alias("consorcio")))
 

@@ -147,7 +147,7 @@ def people_staging(lg: Ledger) -> DataFrame:
                   K.phone("telefono").alias("phone"))
          .filter(F.col("cbu").isNotNull() & F.col("is_tenant").isNotNull() & F.col("dni").isNotNull())
          .distinct())
-    return U.dedupe_latest(s, ["cbu"], [F.col("dni"), F.col("last_name"), F.col("first_name"), F.col("email")])
+    return U.dedupe_first(s, ["cbu"], ["dni", "last_name", "first_name", "email"])
 
 
 PERSON_COLS = ["first_name", "last_name", "dni", "email", "phone"]

@@ -60,7 +60,7 @@ def financial_status(lg: Ledger) -> DataFrame:
     m = m.withColumn("closing", running_sum("_delta", ["id_building"], order).cast(MONEY))
     w = Window.partitionBy("id_building").orderBy(*order)
     m = m.withColumn("previous", F.lag("closing", 1, 0).over(w).cast(MONEY))
-    m = global_row_number(m, ["id_building"], order)
+    m = global_row_number(m, ["id_building", *order])
     names = lg.building.select("id_building", F.col("name").alias("building_name"))
     return (m.join(F.broadcast(names) if lg.building_b.small else names, "id_building")
             .select("row_id", "id_building", "building_name", "id_bill", "issue_date", "bill_total",
@@ -381,5 +381,6 @@ def bills_in_dollars(lg: Ledger, fx_type: str = "blue") -> DataFrame:
     """K9 over the bill table: total / latest quote of the type (NULL without one)."""
     q = latest_quotes(lg).filter(F.col("fx_type") == fx_type)
     b = lg.bill.select("id_bill", "total").withColumn("fx_type", F.lit(fx_type))
+    # q: grouped by type, filtered to one type -> at most one row
     return b.join(F.broadcast(q), "fx_type", "left").select("id_bill", "total",
                                                             to_dollars(F.col("total"), F.col("quote")).alias("dollars"))

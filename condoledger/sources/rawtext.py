@@ -27,6 +27,13 @@ def _local(amount: Column) -> Column:
     return F.translate(F.format_number(amount.cast("double"), 2), ",.", ".,")
 
 
+def _names(lg: Ledger) -> DataFrame:
+    """Building names from the stored, counted building table (nation key and
+    name), broadcast only when that count is within the bound."""
+    b = lg.building.select(F.col("id_building").alias("n_nationkey"), F.col("name").alias("n_name"))
+    return F.broadcast(b) if lg.building_b.small else b
+
+
 def payment_style(pay_date: Column, unit: Column) -> Column:
     return ((F.dayofmonth(pay_date) + unit) % 8).cast("int")
 
@@ -106,10 +113,10 @@ def floor_text(k: Column) -> Column:
 def raw_units(lg: Ledger) -> DataFrame:
     """Units file (A4 layout): bank id, building name, unit id, floor, department."""
     c = lg.raw("customer", "c_custkey", "c_nationkey")
-    n = lg.raw("nation", "n_nationkey", "n_name")
+    n = _names(lg)
     k = F.col("c_custkey")
     cbu = F.lpad(k.cast("string"), 22, "0")
-    return (c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey)
+    return (c.join(n, c.c_nationkey == n.n_nationkey)
             .select(F.when(k % 7 == 3, F.concat_ws(".", F.substring(cbu, 1, 10), F.substring(cbu, 11, 12)))
                     .otherwise(cbu).alias("cbu"),
                     F.concat(F.lit(" "), F.col("n_name")).alias("building"),
@@ -120,9 +127,9 @@ def raw_units(lg: Ledger) -> DataFrame:
 def raw_areas(lg: Ledger) -> DataFrame:
     """Unit areas file (A5 layout): decimals with comma."""
     c = lg.raw("customer", "c_custkey", "c_nationkey")
-    n = lg.raw("nation", "n_nationkey", "n_name")
+    n = _names(lg)
     k = F.col("c_custkey")
-    return (c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey)
+    return (c.join(n, c.c_nationkey == n.n_nationkey)
             .select(F.col("n_name").alias("building"), k.cast("string").alias("unit"),
                     floor_text(k).alias("piso"), F.expr("char(65 + c_custkey % 5)").alias("departamento"),
                     F.concat((1 + k % 7).cast("string"), F.lit(",00")).alias("coeficiente"),
@@ -161,10 +168,10 @@ def raw_expenses(lg: Ledger) -> DataFrame:
     for prio, name in PRIORITY_CATEGORY.items():
         pivot_cols.append(F.sum(F.when(cat == prio, F.col("o_totalprice").cast("decimal(10,2)"))).alias(name))
     g = o.groupBy("id_building", "month_start").agg(*pivot_cols)
-    n = lg.raw("nation", "n_nationkey", "n_name")
+    n = _names(lg)
     month_name = F.element_at(F.array(*[F.lit(m) for m in MONTHS_ES]), F.month("month_start"))
     cols = [F.when(F.col(name).isNotNull(), _local(F.col(name))).alias(name) for name in PRIORITY_CATEGORY.values()]
-    return (g.join(F.broadcast(n), g.id_building == n.n_nationkey)
+    return (g.join(n, g.id_building == n.n_nationkey)
             .select(F.col("n_name").alias("Nombre del consorcio"),
                     F.year("month_start").alias("anio"),
                     F.when(F.month("month_start") == 5, F.lit("Ma yo")).otherwise(F.initcap(month_name)).alias("Mes"),

@@ -50,7 +50,7 @@ def test_upsert_twice_equals_once(lg):
 
 def test_global_row_number_matches_window(lg):
     a = lg.account.select("id_account", "id_building", "id_bill", "id_unit")
-    ours = global_row_number(a, ["id_building"], ["id_bill", "id_unit"]).select("id_account", "row_id")
+    ours = global_row_number(a, ["id_building", "id_bill", "id_unit"]).select("id_account", "row_id")
     w = Window.orderBy("id_building", "id_bill", "id_unit")
     plain = a.select("id_account", F.row_number().over(w).cast("bigint").alias("row_id"))
     assert ours.exceptAll(plain).count() == 0
