@@ -232,6 +232,19 @@ class Ledger:
         return self._store("account", recompute_accounts(self))
 
 
+    def materialize(self, threads: int = 4) -> "Ledger":
+        """Store every ledger table now. Independent tables are written
+        concurrently (Spark runs jobs submitted from several driver threads
+        side by side), in dependency stages."""
+        from concurrent.futures import ThreadPoolExecutor
+        stages = [["calendar_b", "unit", "person", "occupancy", "expense", "payment", "fx_quote"],
+                  ["months_b", "building_b"], ["bill_b"], ["account"]]
+        with ThreadPoolExecutor(max_workers=threads) as pool:
+            for stage in stages:
+                list(pool.map(lambda name: getattr(self, name), stage))
+        return self
+
+
 _CACHE: dict = {}
 
 
