@@ -106,3 +106,13 @@ def test_streams_match_batch(lg):
     assert weeks.exceptAll(batch.select(*weeks.columns)).count() == 0
     assert batch.count() == weeks.count()
     assert all(r.week_start.weekday() == 0 for r in weeks.select("week_start").collect())   # Mondays
+
+
+def test_dedupe_first_and_surrogate_keys(spark):
+    from condoledger.operators.upsert import dedupe_first, surrogate_keys
+    df = spark.createDataFrame([("a", 3, "x"), ("a", 1, "y"), ("b", 2, "z"), ("a", 1, "w")], "k string, o int, v string")
+    got = {r.k: (r.o, r.v) for r in dedupe_first(df, ["k"], ["o", "v"]).collect()}
+    assert got == {"a": (1, "w"), "b": (2, "z")}
+    existing = spark.createDataFrame([(7,)], "id long")
+    keys = surrogate_keys(spark.createDataFrame([("q",), ("c",), ("m",)], "name string"), existing, "id", ["name"])
+    assert sorted((r.name, r.id) for r in keys.collect()) == [("c", 8), ("m", 9), ("q", 10)]
