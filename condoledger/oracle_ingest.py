@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from .oracle import accounts_sql, with_ledger  # noqa: F401
-from .oracle_clean import K3_RESULT, NB, RAW_PAY, k3_ctes, k7b, k19, trim_sp  # noqa: F401
+from .oracle import accounts_sql, with_ledger
+from .oracle_clean import (K3_RESULT, NB, RAW_AREAS, RAW_BUILDINGS, RAW_PAY, RAW_PEOPLE, RAW_UNITS, k1, k2,
+                           k3_ctes, k6b, k7, k7b, k16_dept, k16_floor, k17, k18, k19, trim_sp)
 from .plans.ingest import (REASON_BLANK, REASON_NO_ACCOUNT, REASON_NO_BILL, REASON_NO_BUILDING, REASON_NO_UNIT,
                            REASON_PARSE)
 
@@ -65,8 +66,6 @@ SELECT (SELECT count(*) FROM p2) AS raw, (SELECT count(*) FROM p2 WHERE NOT blan
 
 
 # ------------------------------------------------------------ loaders
-from .oracle_clean import (RAW_AREAS, RAW_BUILDINGS, RAW_PEOPLE, RAW_UNITS, k1, k2, k6b,  # noqa: E402
-                           k7, k16_dept, k16_floor, k17, k18)
 
 B_STG = f"""
 b_stg AS (SELECT {k1('nombre', 50)} AS name, {k1('domicilio', 100)} AS address, {k2('m2_totales')} AS total_area
@@ -210,7 +209,6 @@ WHERE NOT EXISTS (SELECT 1 FROM occupancy t WHERE t.id_person = l.id_person AND
 
 
 def l7b_sql(which: str = "errors") -> str:
-    from .oracle_clean import K3_RESULT as _K3  # noqa: F401
     sw = "nullif(" + trim_sp("c4") + ", '') IS NOT NULL"
     return with_ledger(RAW_PAY, f"""
 bn AS (SELECT CASE WHEN {sw} THEN c2 ELSE c1 END AS date_txt, CASE WHEN {sw} THEN c3 ELSE c2 END AS cbu_txt,

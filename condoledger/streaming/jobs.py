@@ -14,6 +14,7 @@ from __future__ import annotations
 import os
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -90,7 +91,7 @@ def payment_file_stream(lg: Ledger, files_per_batch: int = 4) -> DataFrame:
         raw = df.select(*[F.regexp_replace(c, "[\r\n\ufeff]", "").alias(c) for c in FL.PAYMENTS_COLS])
         try:
             before = lg.spark.read.parquet(ok_sink).filter(F.col("batch_id") != batch_id).drop("batch_id")
-        except Exception:  # noqa: BLE001  first batch: nothing accepted yet
+        except AnalysisException:       # first batch: the sink folder does not exist yet
             before = None
         load = I.load_payments(lg, raw)
         ok = load.ok.select(*cols)
