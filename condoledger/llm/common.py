@@ -11,6 +11,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,7 +48,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Record
     """Cut Arrow batches so that the texts of ``column`` in one slice stay
     within SLICE_BYTES; memory is bounded by the longest single text."""
     for batch in batches:
-        lens = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        lens = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         start = total = 0
         for i, n in enumerate(lens):
             if total and total + n > SLICE_BYTES:

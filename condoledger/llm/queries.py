@@ -9,9 +9,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import quality
-from .common import table
+from . import huffman, packing, quality
+from .common import table, work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -25,3 +26,16 @@ def register(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
 @register
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.document_stats(table(spark, sf_dir, "documents"))
+
+
+@register
+def op8_huffman_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = work_dir(spark, "token-files")
+    path = huffman.write_token_files(table(spark, sf_dir, "documents"), f"{folder}/files", folder)
+    return huffman.read_token_files(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@register
+def op10_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
