@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import huffman, packing, quality
+from . import chat, contamination, huffman, jaccard, langid, packing, pii, quality, suffix, templates
 from .common import table, work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,11 +23,54 @@ def register(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
     return fn
 
 
+@register
+def op1_line_template_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return templates.digest(table(spark, sf_dir, "documents"))
+
+
+SQL["op1_line_template_dedup"] = templates.SQL
+
+
+@register
+def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.range(2).select(F.lit(chat.EXTRA_CONVERSATION), F.col("id"), F.when(F.col("id") == 0, "user").otherwise("assistant"),
+                                  F.lit(chat.EXTRA_TEXT))
+    return chat.read_back(chat.format_chats(turns.unionAll(extra)))
+
+
+SQL["op2_chat_formatting"] = chat.SQL
+
+
+@register
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@register
+def op4_fm_index_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@register
+def op5_pii_deobfuscation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 @register
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.document_stats(table(spark, sf_dir, "documents"))
 
 
+@register
+def op7_prefix_tree_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 @register
 def op8_huffman_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_dir(spark, "token-files")
@@ -35,6 +78,14 @@ def op8_huffman_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.read_token_files(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@register
+def op9_nearest_centroid_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.fit(docs.where(~langid.held_out()))
+    found = langid.identify(docs, model)
+    return found.select("doc_id", langid.held_out().alias("held_out"), F.col("lang").alias("lang_pred"), "score", "rejected")
+
+
 @register
 def op10_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"))
