@@ -41,7 +41,7 @@ Span = tuple[int, int]
 # ---------------------------------------------------------------- detectors
 _LOCAL = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-"
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-_NUMBERS = re.compile(r"[0-9]+(?:\.[0-9]+)+")
+_NUMBERS = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++)+")
 _NUMBER = re.compile(r"[0-9]+")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+")
@@ -129,16 +129,17 @@ _SPELLED = re.compile(rf"\b(?:(?P<plus>plus){_GAP})?{_DIGIT}(?:{_GAP}{_DIGIT}){{
 _ONE_DIGIT = re.compile(_DIGIT, re.I)
 _AT = r"\s{0,3}(?:\[\s{0,3}at\s{0,3}\]|\(\s{0,3}at\s{0,3}\)|\{\s{0,3}at\s{0,3}\}|<\s{0,3}at\s{0,3}>)\s{0,3}"
 _DOT = r"\s{0,3}(?:\[\s{0,3}(?:dot|\.)\s{0,3}\]|\(\s{0,3}(?:dot|\.)\s{0,3}\)|\{\s{0,3}(?:dot|\.)\s{0,3}\}|<\s{0,3}dot\s{0,3}>)\s{0,3}"
+_AT_WORD, _DOT_WORD = r"[ \t]{1,3}at[ \t]{1,3}", r"[ \t]{1,3}dot[ \t]{1,3}"
 _HOST = r"[A-Za-z0-9-]+"
-_STOP = rf"(?:\.|{_DOT}|[ \t]{1,3}dot[ \t]{1,3})"
+_WRITTEN_STOP = rf"(?:{_DOT}|{_DOT_WORD})"
+_STOP = rf"(?:\.|{_WRITTEN_STOP})"
 # an address with a written sign: bracketed or bare "at"; a bare one needs a written dot behind it
-_ADDRESS = re.compile(
-    rf"(?P<at>(?<=[A-Za-z0-9])(?:{_AT}|@|[ \t]{1,3}at[ \t]{1,3}))(?P<host>{_HOST}(?:{_STOP}{_HOST})+)", re.I)
-_WRITTEN_DOT = re.compile(rf"{_DOT}|[ \t]{1,3}dot[ \t]{1,3}", re.I)
-_BARE_AT = re.compile(r"[ \t]{1,3}at[ \t]{1,3}", re.I)
+_ADDRESS = re.compile(rf"(?P<at>(?<=[A-Za-z0-9])(?:{_AT}|@|{_AT_WORD}))(?P<host>{_HOST}(?:{_STOP}{_HOST})+)", re.I)
+_WRITTEN_DOT = re.compile(_WRITTEN_STOP, re.I)
+_BARE_AT = re.compile(_AT_WORD, re.I)
 _NUMBER_DOTS = re.compile(rf"(?<![0-9])[0-9]++(?:{_STOP}[0-9]++){{3}}", re.I)
-_LOCAL_DOT = re.compile(rf"(?<=[A-Za-z0-9])(?:{_DOT}|[ \t]{1,3}dot[ \t]{1,3})(?=[A-Za-z0-9._%+-]+(?:{_STOP}[A-Za-z0-9._%+-]+){{0,4}}@)", re.I)
-_HINT = re.compile(rf"\bdot\b|[\[({{<]\s{0,3}(?:at|dot|\.)\s{0,3}[\])}}>]|{_DIGIT}{_GAP}{_DIGIT}{_GAP}{_DIGIT}", re.I)
+_LOCAL_DOT = re.compile(rf"(?<=[A-Za-z0-9]){_WRITTEN_STOP}(?=[A-Za-z0-9._%+-]++(?:{_WRITTEN_STOP}[A-Za-z0-9._%+-]++){{0,4}}@)", re.I)
+_HINT = re.compile(r"\bdot\b|[\[({<]\s{0,3}(?:at|dot|\.)\s{0,3}[\])}>]|" + rf"{_DIGIT}{_GAP}{_DIGIT}{_GAP}{_DIGIT}", re.I)
 
 
 class Mapped:

@@ -73,20 +73,25 @@ def sliding_minimum(v: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(suffix[:n], prefix[width - 1:width - 1 + n])
 
 
-def segments(raws: list[bytes], length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(minimum, text number, first window, last window) of each segment."""
+def segments(raws: list[bytes], length: int, gram: int) -> tuple[np.ndarray, ...]:
+    """(minimum, text number, first window, last window, own) of each segment;
+    own: the minimum stands at different places, so that windows of the segment
+    may repeat each other."""
     sizes = np.fromiter(map(len, raws), np.int64, len(raws))
     first = np.cumsum(sizes) - sizes
-    b = np.frombuffer(b"".join(raws), np.uint8)
-    low = sliding_minimum(gram_hashes(b, gram), length - gram + 1).view(np.int64)
-    text = np.repeat(np.arange(len(raws)), sizes)[:len(low)]
-    inside = np.arange(len(low)) + length <= (first + sizes)[text]
-    low, text, at = low[inside], text[inside], np.flatnonzero(inside)
+    h = gram_hashes(np.frombuffer(b"".join(raws), np.uint8), gram)
+    bits = np.uint64(max(1, len(h)).bit_length())
+    # the upper bits of a hash with its place below them: the minimum tells where it stands
+    placed = (h >> bits << bits) | np.arange(len(h), dtype=np.uint64)
+    place = (sliding_minimum(placed, length - gram + 1) & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    text = np.repeat(np.arange(len(raws)), sizes)[:len(place)]
+    at = np.flatnonzero(np.arange(len(place)) + length <= (first + sizes)[text])
+    low, place, text = h[place[at]].view(np.int64), place[at], text[at]
     if not len(low):
-        return low, text, at, at
+        return low, text, at, at, np.zeros(0, bool)
     cut = np.flatnonzero((low[1:] != low[:-1]) | (text[1:] != text[:-1])) + 1
     start, last = np.concatenate([[0], cut]), np.concatenate([cut, [len(low)]]) - 1
-    return low[start], text[start], at[start] - first[text[start]], at[last] - first[text[start]]
+    return (low[start], text[start], at[start] - first[text[start]], at[last] - first[text[start]], place[start] != place[last])
 
 
 # ---------------------------------------------------------------- one shard
@@ -194,34 +199,35 @@ def ranges(flags: np.ndarray) -> list[tuple[int, int]]:
 
 # ---------------------------------------------------------------- Spark steps
 _PLACES = pa.list_(pa.struct([("k", pa.int64()), ("a", pa.int64())]))
-_SEGMENT = pa.schema([("low", pa.int64()), ("bytes", pa.binary()), ("places", _PLACES)])
-_SEGMENT_DDL = "low long, bytes binary, places array<struct<k: long, a: long>>"
+_SEGMENT = pa.schema([("low", pa.int64()), ("own", pa.bool_()), ("bytes", pa.binary()), ("places", _PLACES)])
+_SEGMENT_DDL = "low long, own boolean, bytes binary, places array<struct<k: long, a: long>>"
 _SPAN = pa.schema([("k", pa.int64()), ("lo", pa.int64()), ("hi", pa.int64()), *_SEGMENT])
 
 
-def _merged(found: Iterator[tuple[int, bytes, list[tuple[int, int]]]]) -> pa.RecordBatch:
+def _merged(found: Iterator[tuple[int, bool, bytes, list[tuple[int, int]]]]) -> pa.RecordBatch:
     """Equal segments of a slice as one row with all their places."""
-    rows: dict[tuple[int, bytes], list[dict]] = defaultdict(list)
-    for low, content, places in found:
-        rows[low, content] += [{"k": k, "a": a} for k, a in places]
-    return pa.RecordBatch.from_arrays([pa.array([low for low, _ in rows], pa.int64()), pa.array([c for _, c in rows], pa.binary()),
+    rows: dict[tuple[int, bool, bytes], list[dict]] = defaultdict(list)
+    for low, own, content, places in found:
+        rows[low, own, content] += [{"k": k, "a": a} for k, a in places]
+    low, own, content = zip(*rows) if rows else ((), (), ())
+    return pa.RecordBatch.from_arrays([pa.array(low, pa.int64()), pa.array(own, pa.bool_()), pa.array(content, pa.binary()),
                                        pa.array(list(rows.values()), _PLACES)], schema=_SEGMENT)
 
 
 def common_minima(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """k, found: the segments (low, a, b) of each document whose minimum more
-    than one segment has."""
+    """k, found: the segments (low, own, a, b) of each document whose minimum
+    more than one segment has, or which may repeat themselves."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            low, text, a, b = segments(raw_texts(batch, "text"), length, gram)
-            yield pa.RecordBatch.from_arrays([pa.array(low), batch.column("k").take(pa.array(text)), pa.array(a), pa.array(b)],
-                                             names=["low", "k", "a", "b"])
+            low, text, a, b, own = segments(raw_texts(batch, "text"), length, gram)
+            yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(own), batch.column("k").take(pa.array(text)), pa.array(a), pa.array(b)],
+                                             names=["low", "own", "k", "a", "b"])
 
     def common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows of sorted batches whose minimum the row before or behind has
-        too; the last row of a batch waits for the next one."""
-        held, tied = None, False                       # the waiting row, and whether the row before it has its minimum
+        """Rows of sorted batches that are their own or whose minimum the row
+        before or behind has too; the last row of a batch waits for the next."""
+        held, tied = None, False                       # the waiting row, and whether it stays whatever follows
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -230,18 +236,17 @@ def common_minima(docs: DataFrame, length: int, gram: int) -> DataFrame:
                 same = held.column("low")[0].as_py() == low[0]
                 if same or tied:
                     yield held
-                tied = same
             equal = low[1:] == low[:-1]
-            keep = np.concatenate([[tied if held is not None else False], equal])
+            keep = np.concatenate([[same if held is not None else False], equal]) | batch.column("own").to_numpy(zero_copy_only=False)
             keep[:-1] |= equal
             yield batch.slice(0, len(low) - 1).filter(pa.array(keep[:-1]))
             held, tied = batch.slice(len(low) - 1), bool(keep[-1])
         if held is not None and tied:
             yield held
 
-    kind = "low long, k long, a long, b long"
+    kind = "low long, own boolean, k long, a long, b long"
     rows = docs.mapInArrow(cut, kind).repartition("low").sortWithinPartitions("low").mapInArrow(common, kind)
-    return rows.groupBy("k").agg(F.collect_list(F.struct("low", "a", "b")).alias("found"))
+    return rows.groupBy("k").agg(F.collect_list(F.struct("low", "own", "a", "b")).alias("found"))
 
 
 def settle(rows: DataFrame, length: int, shard_bytes: int, group_bytes: int) -> DataFrame:
@@ -250,7 +255,7 @@ def settle(rows: DataFrame, length: int, shard_bytes: int, group_bytes: int) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[dict] = []
-        shard: list[list] = []                          # [bytes, weight, place or None]
+        shard: list[list] = []                          # [bytes, weight, place or None, own]
         held = 0
 
         def whole(content: bytes, places: list[dict]) -> None:
@@ -260,14 +265,14 @@ def settle(rows: DataFrame, length: int, shard_bytes: int, group_bytes: int) ->
             nonlocal shard, held
             if shard:
                 hits = repeated_windows([s[0] for s in shard], np.array([s[1] for s in shard]), length)
-                for (_, _, place), flags in zip(shard, hits):
+                for (_, _, place, _), flags in zip(shard, hits):
                     if place is not None:
                         out.extend({"k": place["k"], "lo": place["a"] + x, "hi": place["a"] + y - 1 + length} for x, y in ranges(flags))
             shard, held = [], 0
 
         def close(group: list[list]) -> None:
             nonlocal held
-            if len(group) > 1:                          # else its only segment is settled already
+            if len(group) > 1 or group and group[0][2] is not None and group[0][3]:    # else its only segment is settled
                 shard.extend(group)
                 held += sum(len(s[0]) for s in group)
             if held >= shard_bytes:
@@ -289,13 +294,13 @@ def settle(rows: DataFrame, length: int, shard_bytes: int, group_bytes: int) ->
                         places = [*places, group[-1][2]]
                     whole(content, places)
                 if same:
-                    group[-1][1:] = [2, None]
+                    group[-1][1:3] = [2, None]
                 else:
-                    group.append([content, min(2, len(places)), places[0] if len(places) == 1 else None])
+                    group.append([content, min(2, len(places)), places[0] if len(places) == 1 else None, row["own"]])
                     size += len(content)
                 if size > group_bytes:
                     # places of segments that are settled already went out; one of them stands for the segment
-                    out.extend({"low": low, "bytes": c, "places": [p] if p else [{"k": -1, "a": 0}] * 2} for c, _, p in group)
+                    out.extend({"low": low, "own": own, "bytes": c, "places": [p] if p else [{"k": -1, "a": 0}] * 2} for c, _, p, own in group)
                     group, large = [], True
             if len(out) >= 10_000:
                 yield pa.RecordBatch.from_pylist(out, _SPAN)
@@ -305,7 +310,7 @@ def settle(rows: DataFrame, length: int, shard_bytes: int, group_bytes: int) ->
         if out:
             yield pa.RecordBatch.from_pylist(out, _SPAN)
 
-    ordered = rows.withColumn("c", F.xxhash64("bytes")).repartition("low").sortWithinPartitions("low", "c").select("low", "bytes", "places")
+    ordered = rows.withColumn("c", F.xxhash64("bytes")).repartition("low").sortWithinPartitions("low", "c").select("low", "own", "bytes", "places")
     return ordered.mapInArrow(run, f"k long, lo long, hi long, {_SEGMENT_DDL}")
 
 
@@ -315,10 +320,10 @@ def finer(rows: DataFrame, length: int, gram: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "bytes"):
             raws, places = raw_texts(batch, "bytes"), batch.column("places").to_pylist()
-            yield _merged((low, raws[t][a:b + length], [(p["k"], p["a"] + a) for p in places[t]])
-                          for low, t, a, b in zip(*(x.tolist() for x in segments(raws, length, gram))))
+            yield _merged((low, own, raws[t][a:b + length], [(p["k"], p["a"] + a) for p in places[t]])
+                          for low, t, a, b, own in zip(*(x.tolist() for x in segments(raws, length, gram))))
 
-    return rows.select("low", "bytes", "places").mapInArrow(run, _SEGMENT_DDL)
+    return rows.mapInArrow(run, _SEGMENT_DDL)
 
 
 def by_window(rows: DataFrame, length: int) -> DataFrame:
@@ -347,7 +352,7 @@ def repeated_spans(docs: DataFrame, folder: str, length: int = LENGTH, grams: tu
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             raws, ks = raw_texts(batch, "text"), batch.column("k").to_pylist()
-            yield _merged((s["low"], raw[s["a"]:s["b"] + length], [(k, s["a"])])
+            yield _merged((s["low"], s["own"], raw[s["a"]:s["b"] + length], [(k, s["a"])])
                           for raw, k, some in zip(raws, ks, batch.column("found").to_pylist()) for s in some)
 
     rows = docs.join(found, "k").mapInArrow(cut, _SEGMENT_DDL)
@@ -356,7 +361,7 @@ def repeated_spans(docs: DataFrame, folder: str, length: int = LENGTH, grams: tu
         out = stored(settle(rows, length, shard_bytes, group_bytes), f"{folder}/spans{level}")
         done = out.where("k >= 0").select("k", "lo", "hi")
         spans = done if spans is None else spans.unionAll(done)
-        large = out.where("k IS NULL").select("low", "bytes", "places")
+        large = out.where("k IS NULL").select("low", "own", "bytes", "places")
         if large.isEmpty():
             return spans
         rows = finer(large, length, gram) if gram else large
