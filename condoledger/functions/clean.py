@@ -269,7 +269,7 @@ TENANT_NO = ["no", "false", "0", "propietario"]
 
 def tenant_flag(c: Column | str) -> Column:
     """1 / 0 / NULL (NULL rows are dropped by the loader)."""
-    t = F.lower(_c(c))
+    t = F.lower(trim_spaces(_c(c)))
     return F.when(t.isin(*TENANT_YES), 1).when(t.isin(*TENANT_NO), 0)
 
 

@@ -1,8 +1,9 @@
 """Column encryption K14 / J9 / J10 with Spark's AES functions.
 
 The passphrase is configuration, never code: it is read from the session
-conf ``condoledger.cipher.key`` (16, 24 or 32 bytes). A session without one
-(tests) gets a random key for its lifetime. GCM uses a random IV, so two
+conf ``condoledger.cipher.key`` (16, 24 or 32 bytes). A local session without
+one (tests) gets a random key for its lifetime; a cluster session without one
+is refused, as what it stored could never be read again. GCM uses a random IV, so two
 encryptions of a value differ: compare decrypted values, never ciphertext.
 """
 
@@ -20,6 +21,9 @@ KEY_CONF = "condoledger.cipher.key"
 def cipher_key(spark: SparkSession) -> str:
     key = spark.conf.get(KEY_CONF, None)
     if not key:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError(f"set {KEY_CONF} before columns are encrypted")
         key = base64.b64encode(os.urandom(24)).decode()[:32]
         spark.conf.set(KEY_CONF, key)
     return key

@@ -78,9 +78,10 @@ RATE_PCT_DUE2 = 5
 
 
 def _pct_cents(pct: int, amount_c: Column) -> Column:
-    """round_half_away(amount * pct / 100) on cents."""
-    num = F.abs(amount_c) * pct * 2 + 100
-    return F.signum(amount_c).cast("long") * F.floor(num / 200).cast("long")
+    """round_half_away(amount * pct / 100) on cents, by integer division only."""
+    a, hundred = F.abs(amount_c), F.lit(100).cast("long")
+    part = F.call_function("div", (a % hundred) * pct * 2 + hundred, hundred * 2)
+    return F.signum(amount_c).cast("long") * (F.call_function("div", a, hundred) * pct + part)
 
 
 def ladder_cents(day: Column, amount_c: Column, due1: Column, due2: Column, strict: bool = False) -> Column:

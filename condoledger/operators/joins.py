@@ -1,8 +1,7 @@
 """Join building blocks.
 
 Everything here is a plain DataFrame composition; Catalyst picks the
-physical join. The only hand decision is broadcasting, and that is taken
-only after the small side has been materialised and counted.
+physical join: small dimensions are stored first, so their size is known.
 """
 
 from __future__ import annotations
@@ -10,9 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A dimension is broadcast only when its counted size is at most this many rows.
-BROADCAST_MAX_ROWS = 2_000_000
-
 
 def store(df: DataFrame, path: str, range_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` as Parquet at ``path`` (in the shared checkpoint folder)
@@ -28,24 +24,15 @@ def store(df: DataFrame, path: str, range_by: list[str] | None = None) -> DataFr
 
 
 class Bounded:
-    """A small table stored once, with its row count checked.
+    """A small table stored once (see ``store``); ``df`` is the stored frame.
 
-    ``df`` is the stored frame (see ``store``). ``side()`` returns it with a
-    broadcast hint when the count is within the bound, else plain
-    (sort-merge join with AQE skew handling applies instead).
+    The stored files have a size that Spark knows, so its own threshold and
+    the sizes seen at run time decide between a broadcast and a sort-merge
+    join with skew handling; there is no hint and no row bound.
     """
 
-    def __init__(self, df: DataFrame, path: str, max_rows: int = BROADCAST_MAX_ROWS):
+    def __init__(self, df: DataFrame, path: str):
         self.df = store(df, path)
-        self.rows = self.df.count()
-        self.max_rows = max_rows
-
-    @property
-    def small(self) -> bool:
-        return self.rows <= self.max_rows
-
-    def side(self) -> DataFrame:
-        return F.broadcast(self.df) if self.small else self.df
 
 
 def null_safe_key_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:

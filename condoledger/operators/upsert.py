@@ -19,10 +19,29 @@ def _changed(a: Column, b: Column) -> Column:
     return ~a.eqNullSafe(b)
 
 
-def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str], update: list[str]) -> DataFrame:
+def one_per_key(source: DataFrame, keys: list[str]) -> DataFrame:
+    """The source with one row per key, the smallest by its other columns: a
+    key that a file repeats must not multiply the target's row. A min of
+    structs, so repeats collapse before the shuffle."""
+    rest = [c for c in source.columns if c not in keys]
+    if not rest:
+        return source.distinct()
+    one = source.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_one"))
+    return one.select(*[F.col(c) if c in keys else F.col(f"_one.{c}").alias(c) for c in source.columns])
+
+
+def repeated_keys(source: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys that several source rows claim, with their number (for a reject report)."""
+    return source.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 1")
+
+
+def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str], update: list[str],
+                 unique: bool = False) -> DataFrame:
     """Matched -> the ``update`` columns take the source values; not
-    matched -> source row inserted; target-only rows kept."""
+    matched -> source row inserted; target-only rows kept. ``unique`` states
+    that the source has one row per key already (an aggregate over the key)."""
     cols = target.columns
+    source = source if unique else one_per_key(source, keys)
     s = source.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in source.columns if c not in keys],
                       F.lit(True).alias("_in_s"))
     t = target.withColumn("_in_t", F.lit(True))
@@ -65,6 +84,7 @@ def insert_only(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFr
 
 def update_nonnull(target: DataFrame, source: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
     """Matched rows take COALESCE(new, old) per column."""
+    source = one_per_key(source.select(*keys, *cols), keys)
     s = source.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in cols], F.lit(True).alias("_m"))
     j = target.join(s, keys, "left")
     changed = F.lit(False)
@@ -79,6 +99,7 @@ def update_changed(target: DataFrame, source: DataFrame, keys: list[str], cols:
                    keep_old_when_null: bool = True) -> DataFrame:
     """Update a row only when some column differs (null-safe); each column
     is replaced under its own guard, and a NULL new value keeps the old one."""
+    source = one_per_key(source.select(*keys, *cols), keys)
     s = source.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in cols], F.lit(True).alias("_m"))
     j = target.join(s, keys, "left")
     new = {c: (F.coalesce(F.col(f"_s_{c}"), F.col(c)) if keep_old_when_null else F.col(f"_s_{c}")) for c in cols}
@@ -92,8 +113,10 @@ def update_changed(target: DataFrame, source: DataFrame, keys: list[str], cols:
 
 def update_guarded_unique(target: DataFrame, source: DataFrame, key: str, col: str) -> DataFrame:
     """Set ``col`` from the source only if no OTHER target row already
-    holds that value (D14), and only if it changes."""
-    s = source.select(key, F.col(col).alias("_new")).filter(F.col("_new").isNotNull())
+    holds that value (D14), and only if it changes. Of several source rows
+    that claim one value, the lowest key of a target row gets it."""
+    s = one_per_key(source.select(key, F.col(col).alias("_new")).filter(F.col("_new").isNotNull()), [key])
+    s = (s.join(target.select(key), key, "left_semi").groupBy("_new").agg(F.min(key).alias(key)))
     holders = (target.filter(F.col(col).isNotNull())
                .groupBy(F.col(col).alias("_new"))
                .agg(F.count(F.lit(1)).alias("_n"), F.min(key).alias("_k")))
@@ -107,6 +130,7 @@ def update_guarded_unique(target: DataFrame, source: DataFrame, key: str, col: s
 
 def fill_nulls(target: DataFrame, source: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
     """U8: only NULL target columns are filled: COALESCE(old, new)."""
+    source = one_per_key(source.select(*keys, *cols), keys)
     s = source.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in cols])
     j = target.join(s, keys, "left")
     filled = F.lit(False)

@@ -28,7 +28,7 @@ nth5w AS (SELECT month_start, cal_date FROM (
 x_src AS (SELECT s.id_building, n.cal_date AS issue_date,
                  least(make_date(year(n.cal_date), month(n.cal_date), 10), last_day(n.cal_date)) AS due1,
                  least(make_date(year(n.cal_date), month(n.cal_date), 20), last_day(n.cal_date)) AS due2,
-                 CAST(least(greatest(s.total, -99999999.99), 99999999.99) AS DECIMAL(18,2)) AS total
+                 CAST(s.total AS DECIMAL(28,2)) AS total
           FROM x_sum s LEFT JOIN nth5w n ON n.month_start = make_date({year}, CAST(s.month AS INTEGER), 1)),
 mrg AS (SELECT t.id_bill, coalesce(t.id_building, s.id_building) AS id_building,
                coalesce(t.issue_date, s.issue_date) AS issue_date,
@@ -44,7 +44,7 @@ mrg2 AS (SELECT id_bill, id_building, issue_date, due1, due2, total, action FROM
                 id_building, issue_date, due1, due2, total, action FROM mrg WHERE action = 'INSERT'),
 x_rows AS (SELECT m.id_bill, m.id_building, 'Ordinario' AS kind, s.category AS description,
                   make_date({year}, CAST(s.month AS INTEGER), 1) AS issue_date,
-                  CAST(least(greatest(s.amount, -99999999.99), 99999999.99) AS DECIMAL(10,2)) AS amount
+                  CAST(s.amount AS DECIMAL(28,2)) AS amount
            FROM x_stg s JOIN building b ON lower(s.building_name) = lower(b.name)
            JOIN mrg2 m ON m.id_building = b.id_building AND month(m.issue_date) = s.month AND year(m.issue_date) = {year}
            WHERE s.amount IS NOT NULL),
@@ -85,7 +85,7 @@ SELECT r.* FROM rows_ r WHERE NOT EXISTS (
 def l9_sql(year: int = 2000) -> str:
     return with_ledger(f"""
 seed AS (SELECT id_building, month_start, 'Obra ' || strftime(month_start, '%Y-%m') AS description,
-                CAST(least(greatest(sum(CAST(o_totalprice AS DECIMAL(10,2))), -99999999.99), 99999999.99) AS DECIMAL(10,2))
+                CAST(sum(CAST(o_totalprice AS DECIMAL(10,2))) AS DECIMAL(28,2))
                   AS amount,
                 CAST(month(month_start) % 3 + 1 AS BIGINT) AS instalment, CAST(3 AS BIGINT) AS instalments
          FROM ob WHERE o_orderpriority = '1-URGENT' AND order_date >= DATE '{year}-01-01'

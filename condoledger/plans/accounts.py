@@ -67,13 +67,14 @@ def prorate_cents(total_cents: Column, weight: Column, weight_sum: Column) -> Co
     """J3 on integers: round_half_away(total * weight / weight_sum) in cents,
     with the weights as longs (share * 100); NULL when the sum is 0 or NULL.
 
-    The decimal form, round(total * (share / sum), 2), makes a decimal(38, 29)
-    quotient that Spark evaluates on java.math.BigDecimal per row; the same
-    exact rounding on longs stays on primitives inside codegen.
+    Only integer division (``div``) and remainders, so the result is exact for
+    every total that a long of cents holds: the whole quotient and the
+    remainder of the total are multiplied by the weight on their own, and only
+    remainder * weight (below weight_sum * weight) is rounded.
     """
-    num = F.abs(total_cents) * weight * 2 + weight_sum
-    q = F.floor(num / (weight_sum * 2))      # operands < 2^53: the double quotient floors exactly
-    return F.when(weight_sum.isNull() | (weight_sum == 0), F.lit(None)).otherwise(F.signum(total_cents) * q)
+    t, z = F.abs(total_cents), F.nullif(weight_sum, F.lit(0).cast("long"))
+    part = F.call_function("div", (t % z) * weight * 2 + z, z * 2)
+    return F.signum(total_cents).cast("long") * (F.call_function("div", t, z) * weight + part)
 
 
 def from_cents(c: Column) -> Column:
@@ -90,16 +91,14 @@ def prorate(total: Column, share: Column, sum_share: Column) -> Column:
 def per_bill_raw(lg: Ledger, bills: DataFrame) -> DataFrame:
     """Bills with expense totals and the building's share sum.
 
-    Row count = bills (left joins on unique keys), which the ledger has
-    counted, so it is safe to broadcast when the bills are.
+    Row count = bills (left joins on unique keys).
     """
     return (bills.join(expense_totals(lg.expense), "id_bill", "left")
             .join(share_sums(lg.unit), "id_building", "left"))
 
 
 def per_bill(lg: Ledger, bills: DataFrame) -> DataFrame:
-    pb = per_bill_raw(lg, bills)
-    return F.broadcast(pb) if lg.bill_b.small else pb
+    return per_bill_raw(lg, bills)
 
 
 def skeleton(lg: Ledger, bills: DataFrame) -> DataFrame:
@@ -109,7 +108,6 @@ def skeleton(lg: Ledger, bills: DataFrame) -> DataFrame:
                   cents(F.coalesce("tot_ord", F.lit(0))).alias("_ord_c"),
                   cents(F.coalesce("tot_ext", F.lit(0))).alias("_ext_c"),
                   cents(F.col("sum_share")).alias("_sum_w")))
-    pb = F.broadcast(pb) if lg.bill_b.small else pb
     u = lg.unit.select("id_unit", "id_building", cents(F.col("share")).alias("_w"))
     s = u.join(pb, "id_building")
     return s.select(
@@ -191,7 +189,6 @@ def generate_accounts(lg: Ledger, year: int, existing: DataFrame | None = None)
     """Unit x bill of the year for rows not yet present; amounts NULL."""
     y0, y1 = dt.date(year, 1, 1), dt.date(year + 1, 1, 1)
     bills = lg.bill.filter((F.col("issue_date") >= F.lit(y0)) & (F.col("issue_date") < F.lit(y1)))
-    bills = F.broadcast(bills) if lg.bill_b.small else bills
     sk = (lg.unit.select("id_unit", "id_building").join(bills, "id_building")
           .select(account_id(F.col("id_unit"), F.col("month_start")).alias("id_account"),
                   "id_unit", "id_building", "id_bill",
@@ -205,7 +202,6 @@ def recompute_interest(lg: Ledger, accounts: DataFrame, rule: str = "M2") -> Dat
     """J4 (M2, all accounts) / J5 body (M3): refresh paid, debt, interest, total
     from the current payments, keeping amounts and previous balance."""
     b = lg.bill.select("id_bill", "due1", "due2")
-    b = F.broadcast(b) if lg.bill_b.small else b
     acc = (accounts.drop("paid", "debt", "interest", "total_due")
            .join(b, "id_bill")
            .join(payment_totals(lg.payment), "id_account", "left"))
@@ -227,7 +223,6 @@ def recompute_changed(lg: Ledger, keys: DataFrame, payments: DataFrame | None =
     acc = lg.account.join(keys, "id_account", "left_semi")
     touched = payments.join(keys, "id_account", "left_semi")
     b = lg.bill.select("id_bill", "due1", "due2")
-    b = F.broadcast(b) if lg.bill_b.small else b
     acc = (acc.drop("paid", "debt", "interest", "total_due").join(b, "id_bill")
            .join(payment_totals(touched), "id_account", "left"))
     return settle(acc, "M3", lg.as_of).select(*ACCOUNT_COLS)
@@ -246,7 +241,7 @@ def next_bills(lg: Ledger, building: int | None = None) -> DataFrame:
         b = b.filter(F.col("id_building") == building)
     base = (b.join(last, "id_building", "left")
             .withColumn("month_start", F.trunc(F.add_months(F.coalesce("last_pay", F.lit(lg.as_of)), 1), "month")))
-    m = lg.months_b.side().select("month_start", F.col("issue_date").alias("gen"),
+    m = lg.months_b.df.select("month_start", F.col("issue_date").alias("gen"),
                                   F.col("due1").alias("v1"), F.col("due2").alias("v2"))
     f = base.join(m, "month_start", "left")
     due1 = F.when(F.col("v1").isNull() | (F.col("v1") < F.col("gen")), F.col("gen")).otherwise(F.col("v1"))
@@ -257,14 +252,14 @@ def next_bills(lg: Ledger, building: int | None = None) -> DataFrame:
                    F.col("gen").alias("issue_date"), due1.alias("due1"), due2.alias("due2"),
                    F.lit(0).cast(MONEY).alias("total"))
     existing = lg.bill.select("id_building", "issue_date")
-    return new.join(F.broadcast(existing) if lg.bill_b.small else existing, ["id_building", "issue_date"], "left_anti")
+    return new.join(existing, ["id_building", "issue_date"], "left_anti")
 
 
 def dispatches(lg: Ledger, targets: DataFrame) -> DataFrame:
     """One dispatch per person linked to the building of each target bill:
     EMAIL if an e-mail, else WHATSAPP if a phone, else IMPRESO."""
     t = targets.select("id_building", "id_bill")
-    occ = lg.occupancy.join(F.broadcast(t) if lg.bill_b.small else t, "id_building")
+    occ = lg.occupancy.join(t, "id_building")
     p = lg.person.select("id_person", "email", "phone")
     email = F.nullif(F.trim("email"), F.lit(""))
     phone = F.nullif(F.trim("phone"), F.lit(""))

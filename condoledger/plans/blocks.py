@@ -36,7 +36,6 @@ def d7_range_join_month(lg: Ledger) -> DataFrame:
     """Payments whose date falls inside a bill month of their building (the
     range join as an equi-join on building and yyyymm)."""
     months = lg.bill.select("id_building", F.col("month_start").alias("m_start")).distinct()
-    months = F.broadcast(months) if lg.bill_b.small else months
     p = lg.payment.select("id_building", "pay_date", "amount")
     j = J.range_join_month(p, "pay_date", months, "m_start", ["id_building"])
     return j.groupBy("id_building", "m_start").agg(F.count(F.lit(1)).alias("payments"),
@@ -64,7 +63,7 @@ def f1_global_row_number(lg: Ledger) -> DataFrame:
     computed with per-building offsets."""
     a = lg.account.select("id_account", "id_building", "id_bill", "id_unit")
     b = lg.bill.select("id_bill", "issue_date")
-    a = a.join(F.broadcast(b) if lg.bill_b.small else b, "id_bill")
+    a = a.join(b, "id_bill")
     return global_row_number(a, ["id_building", "issue_date", "id_bill", "id_unit"]).select(
         "row_id", "id_account")
 

@@ -4,13 +4,17 @@ expenses) and the merges they drive: U1 (bills), U2 (expenses), E8 (totals)."""
 from __future__ import annotations
 
 import datetime as dt
+import os
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
 from ..functions import clean as K
 from ..operators import upsert as U
+from ..operators.joins import store
+from ..session import checkpoint_dir
 from ..sources import rawtext as RT
 from ..sources.ledger import EXTRAORDINARY, ORDINARY, Ledger
 from .accounts import MONEY
@@ -18,34 +22,46 @@ from .accounts import MONEY
 
 def expense_staging(lg: Ledger, year: int) -> DataFrame:
     """L3 staging: the year's JSON rows unpivoted over the categories (D9),
-    building name trimmed, K15 month, K3 amount (NULL for blank text)."""
-    r = RT.raw_expenses(lg).filter(F.col("anio") == year)
-    u = r.unpivot(["Nombre del consorcio", "Mes"], RT.EXPENSE_CATEGORIES, "category", "amount_txt")
-    blank = u.amount_txt.isNull() | (u.amount_txt == "")
-    return (u.select(K.trim_spaces("Nombre del consorcio").alias("building_name"),
-                     K.month_number("Mes").alias("month"), "category", "amount_txt")
-            .filter(F.nullif(F.col("building_name"), F.lit("")).isNotNull())
-            .transform(K.amount_flexible_on("amount_txt", "_amt"))
-            .withColumn("amount", F.when(blank, F.lit(None)).otherwise(F.col("_amt"))).drop("_amt"))
-
-
-def expense_bills(lg: Ledger, year: int, due1_day: int | None = 10, due2_day: int | None = 20) -> DataFrame:
+    building name trimmed, K15 month, K3 amount (NULL for blank text). Stored
+    once per ledger and year: bills and expenses read it, and a filter on the
+    amount is not pushed into the parse expressions."""
+    cache = lg.__dict__.setdefault("_expense_staging", {})
+    if year not in cache:
+        r = RT.raw_expenses(lg).filter(F.col("anio") == year)
+        u = r.unpivot(["Nombre del consorcio", "Mes"], RT.EXPENSE_CATEGORIES, "category", "amount_txt")
+        blank = u.amount_txt.isNull() | (u.amount_txt == "")
+        parsed = (u.select(K.trim_spaces("Nombre del consorcio").alias("building_name"),
+                           K.month_number("Mes").alias("month"), "category", "amount_txt")
+                  .filter(F.nullif(F.col("building_name"), F.lit("")).isNotNull())
+                  .transform(K.amount_flexible_on("amount_txt", "_amt"))
+                  .withColumn("amount", F.when(blank, F.lit(None)).otherwise(F.col("_amt"))).drop("_amt"))
+        cache[year] = store(parsed, os.path.join(checkpoint_dir(lg.spark), "expense_staging", uuid.uuid4().hex))
+    return cache[year]
+
+
+def _money(amount: Column, clamp: bool) -> Column:
+    """A loaded amount in full, or clamped to the reference's column width."""
+    return K.clamp_amount(amount) if clamp else amount.cast("decimal(28,2)")
+
+
+def expense_bills(lg: Ledger, year: int, due1_day: int | None = 10, due2_day: int | None = 20,
+                  clamp: bool = False) -> DataFrame:
     """L3 bills: total per (building, month); date = 5th weekday (K13, no
-    holidays); due days clamped to the month (K21); total clamped (K20)."""
+    holidays); due days clamped to the month (K21). ``clamp`` cuts totals to
+    the reference's column width (K20); off, they keep every digit."""
     s = expense_staging(lg, year)
     names = lg.building.select("id_building", F.lower("name").alias("_k"))
     sums = (s.filter(F.col("amount").isNotNull() & F.col("month").between(1, 12))
-            .join(F.broadcast(names) if lg.building_b.small else names, F.lower("building_name") == F.col("_k"))
+            .join(names, F.lower("building_name") == F.col("_k"))
             .groupBy("id_building", "month").agg(F.sum("amount").alias("total")))
     fifth = cal.nth_day_of_month(lg.calendar, 5, "is_weekday")
     first = F.make_date(F.lit(year), F.col("month"), F.lit(1))
-    fifth = F.broadcast(fifth) if lg.calendar_b.small else fifth      # <= one row per calendar month
     j = sums.withColumn("month_start", first).join(fifth, "month_start", "left")
     y, m = F.year("nth_day"), F.month("nth_day")
     return j.select("id_building", F.col("nth_day").alias("issue_date"),
                     K.due_day(y, m, F.lit(due1_day) if due1_day else None).alias("due1"),
                     K.due_day(y, m, F.lit(due2_day) if due2_day else None).alias("due2"),
-                    K.clamp_amount(F.col("total")).cast(MONEY).alias("total"))
+                    _money(F.col("total"), clamp).alias("total"))
 
 
 def merge_bills(lg: Ledger, year: int) -> DataFrame:
@@ -53,13 +69,14 @@ def merge_bills(lg: Ledger, year: int) -> DataFrame:
     replaced; new -> inserted with the next bill numbers (U10)."""
     target = lg.bill.select("id_bill", "id_building", "issue_date", "due1", "due2", "total")
     src = expense_bills(lg, year)
-    merged = U.merge_upsert(target, src, ["id_building", "issue_date"], ["due1", "due2", "total"])
+    merged = U.merge_upsert(target, src, ["id_building", "issue_date"], ["due1", "due2", "total"],
+                            unique=True)    # one bill per building and month
     new = merged.filter(F.col("action") == U.INSERT).drop("id_bill")
     new = U.surrogate_keys(new, target, "id_bill", ["id_building", "issue_date"])
     return merged.filter(F.col("action") != U.INSERT).unionByName(new.select(*merged.columns))
 
 
-def new_expenses(lg: Ledger, year: int) -> DataFrame:
+def new_expenses(lg: Ledger, year: int, clamp: bool = False) -> DataFrame:
     """Expense rows per (bill of that month, category), inserted only
     when (building, bill, kind, description) is absent. The extraordinary
     category map is empty in the reference, so every row is 'Ordinario'."""
@@ -68,11 +85,11 @@ def new_expenses(lg: Ledger, year: int) -> DataFrame:
                          F.year("issue_date").alias("_y")).filter(F.col("_y") == year).drop("_y")
     names = lg.building.select("id_building", F.lower("name").alias("_k"))
     s = (expense_staging(lg, year).filter(F.col("amount").isNotNull())
-         .join(F.broadcast(names) if lg.building_b.small else names, F.lower("building_name") == F.col("_k")))
+         .join(names, F.lower("building_name") == F.col("_k")))
     rows = s.join(bills, ["id_building", "month"]).select(
         "id_bill", "id_building", F.lit(ORDINARY).alias("kind"), F.col("category").alias("description"),
         F.make_date(F.lit(year), F.col("month"), F.lit(1)).alias("issue_date"),
-        K.clamp_amount(F.col("amount")).alias("amount"))
+        _money(F.col("amount"), clamp).alias("amount"))
     keys = {"_b": F.col("id_bill"), "_g": F.col("id_building"), "_t": F.col("kind"),
             "_d": F.coalesce(F.col("description"), F.lit(""))}
     return U.insert_absent(lg.expense, rows, key_exprs=keys)
@@ -88,7 +105,6 @@ def raw_suppliers(lg: Ledger) -> DataFrame:
     """Supplier sheet (A2 layout) from the supplier table."""
     s = lg.raw("supplier", "s_suppkey", "s_name", "s_nationkey")
     n = lg.building.select(F.col("id_building").alias("n_nationkey"), F.col("name").alias("n_name"))
-    n = F.broadcast(n) if lg.building_b.small else n
     t = F.element_at(F.array(*[F.lit(x) for x in SUPPLIER_TYPES]), (F.col("s_suppkey") % 5 + 1).cast("int"))
     return (s.join(n, s.s_nationkey == n.n_nationkey)
             .select(t.alias("tipo"), F.concat(F.lit(" Servicio "), F.col("s_suppkey").cast("string")).alias("descripcion"),
@@ -103,7 +119,7 @@ def supplier_expenses(lg: Ledger, bill_date: dt.date = dt.date(1900, 1, 1)) -> D
     s = r.select(K.clean_text("tipo", 35).alias("category"), K.clean_text("descripcion", 200).alias("description"),
                  K.clean_text("proveedor", 100).alias("supplier"), K.clean_text("consorcio", 50).alias("building_name"))
     names = lg.building.select("id_building", F.lower("name").alias("_k"))
-    s = s.join(F.broadcast(names) if lg.building_b.small else names, F.lower("building_name") == F.col("_k"))
+    s = s.join(names, F.lower("building_name") == F.col("_k"))
     existing = lg.bill.filter(F.col("issue_date") == F.lit(bill_date)).select("id_building", "id_bill")
     need = s.select("id_building").distinct().join(existing, "id_building", "left_anti")
     new_bills = U.surrogate_keys(need, lg.bill, "id_bill", ["id_building"])
@@ -126,7 +142,7 @@ def extraordinary_seed(lg: Ledger, year: int) -> DataFrame:
     g = o.groupBy("id_building", "month_start").agg(F.sum(F.col("o_totalprice").cast("decimal(10,2)")).alias("amount"))
     return g.select("id_building", "month_start",
                     F.concat(F.lit("Obra "), F.date_format("month_start", "yyyy-MM")).alias("description"),
-                    K.clamp_amount(F.col("amount")).alias("amount"),
+                    F.col("amount").cast("decimal(28,2)").alias("amount"),
                     (F.month("month_start") % 3 + 1).cast("bigint").alias("instalment"),
                     F.lit(3).cast("bigint").alias("instalments"))
 
@@ -136,7 +152,7 @@ def extraordinary_expenses(lg: Ledger, year: int = 2000) -> DataFrame:
     of that month when absent, then recompute those bills' totals (E8)."""
     seed = extraordinary_seed(lg, year)
     b = lg.bill.select("id_bill", "id_building", "month_start")
-    rows = seed.join(F.broadcast(b) if lg.bill_b.small else b, ["id_building", "month_start"]).select(
+    rows = seed.join(b, ["id_building", "month_start"]).select(
         "id_bill", "id_building", F.lit(EXTRAORDINARY).alias("kind"), "description",
         F.col("month_start").alias("issue_date"), "amount", "instalment", "instalments")
     keys = {"_g": F.col("id_building"), "_b": F.col("id_bill"), "_t": F.col("kind"),

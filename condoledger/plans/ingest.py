@@ -36,10 +36,9 @@ PAYMENT_KEY = ["id_account", "id_unit", "id_building", "id_bill", "pay_date", "a
 def landed(lg: Ledger, name: str, make) -> str:
     """A raw file derived from the tables, written once per ledger into the
     session's shared checkpoint folder (never a machine-local path on a cluster)."""
-    tag = "".join(ch if ch.isalnum() else "_" for ch in lg.sf_dir)
-    path = os.path.join(checkpoint_dir(lg.spark), "landed", f"{tag}_{name}")
     cache = lg.__dict__.setdefault("_landed", {})
     if name not in cache:
+        path = os.path.join(checkpoint_dir(lg.spark), "landed", f"{name}_{uuid.uuid4().hex}")
         make(path)
         cache[name] = path
     return cache[name]
@@ -59,7 +58,7 @@ def bill_of_month(lg: Ledger) -> DataFrame:
          .withColumn("b_month", F.trunc("issue_date", "month"))
          .withColumn("_rn", F.row_number().over(w)).filter("_rn = 1")
          .select("id_building", "b_month", F.col("id_bill").alias("bill_match")))
-    return F.broadcast(b) if lg.bill_b.small else b
+    return b
 
 
 @dataclass
@@ -96,13 +95,19 @@ def load_payments(lg: Ledger, raw: DataFrame, amount_rule: str = "K3",
               os.path.join(checkpoint_dir(lg.spark), "parsed", uuid.uuid4().hex))
 
     units = lg.unit.select(unit_bank_key(F.col("cbu")).alias("cbu"), "id_unit", "id_building")
-    acc = lg.account.select("id_account", "id_unit", "id_building", "id_bill")
+    acc = lg.account.select("id_account", F.col("id_unit").alias("_unit"), F.col("id_bill").alias("_bill"))
+    bills = bill_of_month(lg).withColumnRenamed("id_building", "_building")
+    # Rows without a unit would all meet in one task as the NULL key of the
+    # next joins: they get spread negative keys, which no building or unit has.
+    spread = -F.pmod(F.xxhash64("c2", "c3", "c4"), F.lit(1 << 40)) - 1
     m = (p.filter(~F.col("_blank") & F.col("_valid"))
          .join(units, "cbu", "left")
          .withColumn("b_month", F.trunc("pay_date", "month"))
-         .join(bill_of_month(lg), ["id_building", "b_month"], "left")
+         .withColumn("_building", F.coalesce("id_building", spread))
+         .join(bills, ["_building", "b_month"], "left")
          .withColumnRenamed("bill_match", "id_bill")
-         .join(acc, ["id_unit", "id_building", "id_bill"], "left"))
+         .withColumn("_unit", F.coalesce("id_unit", spread)).withColumn("_bill", F.coalesce("id_bill", spread))
+         .join(acc, ["_unit", "_bill"], "left"))
     reason = (F.when(F.col("id_unit").isNull(), REASON_NO_UNIT)
               .when(F.col("id_building").isNull(), REASON_NO_BUILDING)
               .when(F.col("id_bill").isNull(), REASON_NO_BILL)
@@ -122,6 +127,10 @@ def load_payments(lg: Ledger, raw: DataFrame, amount_rule: str = "K3",
           .select("id_account", "id_unit", "id_building", "id_bill", "pay_date",
                   F.col("amount").cast("decimal(12,2)").alias("amount"), "cbu")
           .distinct())
+    # only payments of the file's dates can be equal to its rows; payments are
+    # range-partitioned by date, so the others' files are not read
+    lo, hi = p.filter("_valid").agg(F.min("pay_date"), F.max("pay_date")).first()
+    existing = existing.filter(F.col("pay_date").between(F.lit(lo), F.lit(hi)))
     known = existing.select(*[F.col(c).cast("decimal(12,2)") if c == "amount" else F.col(c) for c in PAYMENT_KEY]) \
         .distinct().withColumn("_known", F.lit(True))
     ok = (ok.join(known, PAYMENT_KEY, "left")

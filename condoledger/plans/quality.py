@@ -148,7 +148,7 @@ def q10_owner_debt(lg: Ledger, n: int = 5) -> DataFrame:
     row per building is joined to the owners (no owner x account pairs)."""
     debt = lg.account.groupBy("id_building").agg(F.sum("debt").alias("_d"))
     owners = lg.occupancy.filter(~F.col("is_tenant")).select("id_person", "id_building")
-    per = (owners.join(F.broadcast(debt) if lg.building_b.small else debt, "id_building")
+    per = (owners.join(debt, "id_building")
            .groupBy("id_person").agg(F.sum("_d").cast("decimal(18,2)").alias("debt_total")))
     top = per.orderBy(F.col("debt_total").desc(), F.col("id_person")).limit(n)
     p = lg.person.select("id_person", "last_name", "first_name", "dni", "email", "phone")

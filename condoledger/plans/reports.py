@@ -2,7 +2,7 @@
 
 Common shape: the big tables (payments, expenses, accounts) are aggregated
 first with partial (map-side) aggregation down to bill, unit or period
-grain; the checked-small bill table is broadcast into them; windows such as
+grain; the stored bill table is joined into them; windows such as
 running balances and averages run only on the aggregated rows.
 """
 
@@ -24,10 +24,8 @@ HALF = Decimal("0.5")
 
 
 def bills_side(lg: Ledger, df: DataFrame | None = None) -> DataFrame:
-    """The bill table (or a bill-grain frame) as a join side: broadcast when the
-    counted bill table is within the bound."""
-    df = lg.bill if df is None else df
-    return F.broadcast(df) if lg.bill_b.small else df
+    """The bill table (or a bill-grain frame) as a join side."""
+    return lg.bill if df is None else df
 
 
 def week_start(d: Column) -> Column:
@@ -62,7 +60,7 @@ def financial_status(lg: Ledger) -> DataFrame:
     m = m.withColumn("previous", F.lag("closing", 1, 0).over(w).cast(MONEY))
     m = global_row_number(m, ["id_building", *order])
     names = lg.building.select("id_building", F.col("name").alias("building_name"))
-    return (m.join(F.broadcast(names) if lg.building_b.small else names, "id_building")
+    return (m.join(names, "id_building")
             .select("row_id", "id_building", "building_name", "id_bill", "issue_date", "bill_total",
                     "previous", "on_time", "late", "advance", "total_in", "total_out", "closing"))
 
@@ -172,7 +170,7 @@ def collection_by_month_department(lg: Ledger, year: int | None = None, building
 # ------------------------------------------------------------------- R6
 def latest_quotes(lg: Ledger) -> DataFrame:
     """K8: latest sell quote per type (max_by over the quote time)."""
-    return lg.fx_quote.groupBy("fx_type").agg(F.max_by("sell", "quote_ts").alias("quote"))
+    return lg.fx_quote.groupBy("fx_type").agg(F.max_by("sell", F.struct("quote_ts", "id_quote")).alias("quote"))
 
 
 def to_dollars(amount: Column, quote: Column) -> Column:
@@ -248,7 +246,7 @@ def delinquent_owners(lg: Ledger, building: int | None = None, cut: dt.date | No
                                                          F.coalesce("first_name", F.lit(""))).alias("full_name"),
                          "dni", "email", "phone")
     names = lg.building.select("id_building", F.col("name").alias("building_name"))
-    return (m.join(p, "id_person").join(F.broadcast(names) if lg.building_b.small else names, "id_building")
+    return (m.join(p, "id_person").join(names, "id_building")
             .select("id_person", "full_name", "dni", "email", "phone", "building_name", "debt_total",
                     "interest_total", "total_due", "unpaid_bills", "last_due", "days_late",
                     risk_band(F.col("days_late")).alias("risk_level")))
@@ -273,7 +271,7 @@ def days_between_payments(lg: Ledger, building: int | None = None, date_from: dt
     label = F.concat(F.lit("UF-"), F.col("id_unit").cast("string"), F.lit(" (Piso "),
                      F.coalesce(F.col("floor"), F.lit(0)).cast("string"), F.coalesce("dept", F.lit("")), F.lit(")"))
     return (p.filter(F.col("prev_date").isNotNull())
-            .join(F.broadcast(names) if lg.building_b.small else names, "id_building")
+            .join(names, "id_building")
             .select("building_name", "id_payment", label.alias("unit_label"), "pay_date", "prev_date",
                     F.datediff("pay_date", "prev_date").cast("bigint").alias("days_between"), "amount"))
 
@@ -290,7 +288,6 @@ def monthly_status(lg: Ledger, year: int, building: int | None = None, m1: int =
     if building is not None:
         b = b.filter(F.col("id_building") == building)
     months = b.select("id_building", F.trunc("issue_date", "month").alias("m_start")).distinct()
-    months = F.broadcast(months) if lg.bill_b.small else months
     bill_dates = bills_side(lg, lg.bill.select("id_bill", F.col("issue_date").alias("bill_date")))
     pay = (lg.payment.select("id_bill", "id_building", "pay_date", "amount")
            .filter((F.col("pay_date") >= F.lit(lo)) & (F.col("pay_date") < F.lit(hi)))
@@ -316,7 +313,7 @@ def monthly_status(lg: Ledger, year: int, building: int | None = None, m1: int =
     c = c.withColumn("closing", F.sum(F.col("_in") - F.col("_out")).over(w).cast(MONEY))
     c = c.withColumn("previous", F.lag("closing", 1, 0).over(w).cast(MONEY))
     names = lg.building.select("id_building", F.col("name").alias("building_name"))
-    return (c.join(F.broadcast(names) if lg.building_b.small else names, "id_building")
+    return (c.join(names, "id_building")
             .select("id_building", "building_name", F.year("m_start").cast("bigint").alias("year"),
                     F.month("m_start").cast("bigint").alias("month"), "previous",
                     F.col("_same").alias("income_on_time"), F.col("_owed").alias("income_owed"),
@@ -344,7 +341,7 @@ def account_statement(lg: Ledger, building: int | None = None, year: int | None
     names = lg.building.select("id_building", F.col("name").alias("building_name"))
     owner = F.coalesce(F.concat("last_name", F.lit(", "), "first_name"), "first_name", "last_name")
     return (acc.join(u, "id_unit").join(p, "cbu", "left")
-            .join(F.broadcast(names) if lg.building_b.small else names, "id_building")
+            .join(names, "id_building")
             .select("id_building", "building_name", "id_bill", "issue_date", "id_unit", "share", "floor", "dept",
                     F.when(F.coalesce("garage_m2", F.lit(0)) > 0, 1).otherwise(0).alias("has_garage"),
                     F.when(F.coalesce("storage_m2", F.lit(0)) > 0, 1).otherwise(0).alias("has_storage"),

@@ -10,8 +10,8 @@ session's shared checkpoint folder: this is the ledger's state, as the
 reference's stored tables are, and every job reads it with column pruning and
 filter pushdown instead of re-deriving it. Payments and expenses are range
 partitioned by date (date-filtered reports skip files and row groups). Small
-dimensions (calendar, months, bills, buildings) are also counted
-(``Bounded``); only those, with their size checked, are broadcast.
+dimensions (calendar, months, bills, buildings) are stored too (``Bounded``),
+so Spark knows their size when it picks a join.
 """
 
 from __future__ import annotations
@@ -50,6 +50,12 @@ def account_id(unit, month_start):
     return (unit.cast("bigint") * 1_000_000 + month_key(month_start)).cast("bigint")
 
 
+def zero_padded(key, width: int):
+    """A key as text with leading zeros; longer keys keep all their digits."""
+    text = key.cast("string")
+    return F.when(F.length(text) < width, F.lpad(text, width, "0")).otherwise(text)
+
+
 def cbu_of(key):
     """22-digit bank id of a key, zero padded."""
     return F.lpad(key.cast("string"), 22, "0")
@@ -108,7 +114,7 @@ class Ledger:
     @cached_property
     def building_b(self) -> Bounded:
         n = self.raw("nation", "n_nationkey", "n_name")
-        area = self.unit.groupBy("id_building").agg(F.sum("area").cast("decimal(10,2)").alias("total_area"))
+        area = self.unit.groupBy("id_building").agg(F.sum("area").alias("total_area"))
         b = n.select(F.col("n_nationkey").cast("bigint").alias("id_building"),
                      F.col("n_name").alias("name"),
                      F.concat(F.lit("Av. "), F.col("n_name")).alias("address"))
@@ -123,7 +129,7 @@ class Ledger:
         """One bill per (building, month) with orders; total = sum of its expenses."""
         per = (self.orders_b.groupBy("id_building", "month_start")
                .agg(F.sum(F.col("o_totalprice").cast("decimal(10,2)")).cast(MONEY).alias("total")))
-        b = (per.join(self.months_b.side(), "month_start")
+        b = (per.join(self.months_b.df, "month_start")
              .select(bill_id(F.col("id_building"), F.col("month_start")).alias("id_bill"),
                      "id_building", "month_start", "issue_date", "due1", "due2", "total"))
         return self._bounded("bill", b)
@@ -160,7 +166,7 @@ class Ledger:
             F.when(k % 5 == 0, F.lit(None).cast("string"))
              .otherwise(F.concat(F.lower(F.regexp_replace("c_name", "#", ".")), F.lit("@mail.com"))).alias("email"),
             F.when(k % 7 == 0, F.lit(None).cast("string"))
-             .otherwise(F.concat(F.lit("11"), F.lpad(k.cast("string"), 8, "0"))).alias("phone"),
+             .otherwise(F.concat(F.lit("11"), zero_padded(k, 8))).alias("phone"),
             F.when(k % 4 == 0, F.concat(F.lit("9"), F.lpad(k.cast("string"), 21, "0")))
              .otherwise(cbu_of(k)).alias("cbu")))
 

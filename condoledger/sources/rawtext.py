@@ -28,10 +28,8 @@ def _local(amount: Column) -> Column:
 
 
 def _names(lg: Ledger) -> DataFrame:
-    """Building names from the stored, counted building table (nation key and
-    name), broadcast only when that count is within the bound."""
-    b = lg.building.select(F.col("id_building").alias("n_nationkey"), F.col("name").alias("n_name"))
-    return F.broadcast(b) if lg.building_b.small else b
+    """Building names from the stored building table (nation key and name)."""
+    return lg.building.select(F.col("id_building").alias("n_nationkey"), F.col("name").alias("n_name"))
 
 
 def payment_style(pay_date: Column, unit: Column) -> Column:

@@ -14,7 +14,6 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -89,10 +88,8 @@ def payment_file_stream(lg: Ledger, files_per_batch: int = 4) -> DataFrame:
 
     def batch(df: DataFrame, batch_id: int) -> None:
         raw = df.select(*[F.regexp_replace(c, "[\r\n\ufeff]", "").alias(c) for c in FL.PAYMENTS_COLS])
-        try:
-            before = lg.spark.read.parquet(ok_sink).filter(F.col("batch_id") != batch_id).drop("batch_id")
-        except AnalysisException:       # first batch: the sink folder does not exist yet
-            before = None
+        # batch 0 has nothing before it (a replay of it only finds its own folder)
+        before = lg.spark.read.parquet(ok_sink).filter(F.col("batch_id") != batch_id).drop("batch_id") if batch_id else None
         load = I.load_payments(lg, raw)
         ok = load.ok.select(*cols)
         if before is not None:
@@ -118,7 +115,7 @@ def latest_quote_stream(lg: Ledger, files_per_batch: int = 1) -> DataFrame:
     typed = docs.select(F.col("tipo").alias("fx_type"), F.to_timestamp_ntz("fecha").alias("quote_ts"),
                         K.try_decimal(F.col("compra"), 10, 2).alias("buy"), K.try_decimal(F.col("venta"), 10, 2).alias("sell"))
     good = typed.filter(F.col("buy").isNotNull() & F.col("sell").isNotNull())
-    agg = good.groupBy("fx_type").agg(F.max_by("sell", "quote_ts").alias("quote"))
+    agg = good.groupBy("fx_type").agg(F.max_by("sell", F.struct("quote_ts", "sell")).alias("quote"))
 
     def batch(df: DataFrame, batch_id: int) -> None:
         df.write.mode("overwrite").parquet(sink)
