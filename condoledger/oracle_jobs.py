@@ -138,7 +138,7 @@ ORDER BY issue_date DESC, id_bill DESC LIMIT {n}""")
 
 
 STREAMED = """
-sp AS (SELECT * FROM payment WHERE year(pay_date) = 2000),
+sp AS (SELECT * FROM payment),
 chg AS (SELECT DISTINCT id_account FROM sp)"""
 
 
@@ -160,4 +160,4 @@ def s4_sql() -> str:
     return with_ledger(select="""
 SELECT CAST(date_trunc('week', pay_date + 1) AS DATE) AS week_start, CAST(sum(amount) AS DECIMAL(18,2)) AS total,
        count(*) AS payments
-FROM payment WHERE year(pay_date) = 2000 GROUP BY 1""")
+FROM payment GROUP BY 1""")

@@ -216,15 +216,18 @@ def changed_account_keys(inserted: DataFrame, deleted: DataFrame) -> DataFrame:
             .distinct())
 
 
-def recompute_changed(lg: Ledger, keys: DataFrame, payments: DataFrame | None = None) -> DataFrame:
+def recompute_changed(lg: Ledger, keys: DataFrame, payments: DataFrame | None = None,
+                      totals: DataFrame | None = None) -> DataFrame:
     """Refresh only the accounts in ``keys`` with rule M3 (as-of date
-    ladder on the remaining debt); accounts without payments get paid 0."""
-    payments = lg.payment if payments is None else payments
+    ladder on the remaining debt); accounts without payments get paid 0.
+    ``totals`` gives known payment totals per account in place of payments."""
     acc = lg.account.join(keys, "id_account", "left_semi")
-    touched = payments.join(keys, "id_account", "left_semi")
+    if totals is None:
+        payments = lg.payment if payments is None else payments
+        totals = payment_totals(payments.join(keys, "id_account", "left_semi"))
     b = lg.bill.select("id_bill", "due1", "due2")
     acc = (acc.drop("paid", "debt", "interest", "total_due").join(b, "id_bill")
-           .join(payment_totals(touched), "id_account", "left"))
+           .join(totals, "id_account", "left"))
     return settle(acc, "M3", lg.as_of).select(*ACCOUNT_COLS)
 
 

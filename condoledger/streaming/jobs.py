@@ -25,52 +25,58 @@ from ..sources import files as FL
 from ..sources import rawtext as RT
 from ..sources.ledger import Ledger
 
-STREAM_YEAR = 2000
-
 
 def _run_dir(lg: Ledger, name: str) -> str:
     return os.path.join(checkpoint_dir(lg.spark), "stream", name, uuid.uuid4().hex)
 
 
-def landed_payment_files(lg: Ledger, year: int = STREAM_YEAR) -> str:
-    """The year's payments as parquet files, one folder per payment month."""
+def landed_payment_files(lg: Ledger) -> str:
+    """All payments as parquet files, one folder per payment month."""
     def make(p: str) -> None:
-        (lg.payment.filter(F.year("pay_date") == year)
-         .withColumn("pay_month", F.date_format("pay_date", "yyyyMM"))
+        (lg.payment.withColumn("pay_month", F.date_format("pay_date", "yyyyMM"))
          .repartition("pay_month").write.mode("overwrite").partitionBy("pay_month").parquet(p))
-    return I.landed(lg, f"payment_files_{year}", make)
+    return I.landed(lg, "payment_files", make)
 
 
-def _payment_stream(lg: Ledger, year: int, files_per_batch: int) -> DataFrame:
-    path = landed_payment_files(lg, year)
+def _payment_stream(lg: Ledger, files_per_batch: int) -> DataFrame:
+    path = landed_payment_files(lg)
     schema = lg.spark.read.parquet(path).schema
     return (lg.spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
             .option("recursiveFileLookup", "false").parquet(path))
 
 
-def _run(query_builder, ckpt: str) -> None:
+def _run(query_builder, ckpt: str) -> int:
+    """Run to the end of the available data; the rows dropped as late."""
     q = query_builder.option("checkpointLocation", ckpt).trigger(availableNow=True).start()
     q.awaitTermination()
     if q.exception():
         raise q.exception()
+    return sum(int(op.get("numRowsDroppedByWatermark", 0)) for p in q.recentProgress for op in p["stateOperators"])
 
 
 # ------------------------------------------------------------------ S1
-def affected_accounts_stream(lg: Ledger, year: int = STREAM_YEAR, files_per_batch: int = 3) -> DataFrame:
-    """Each micro-batch of payments is appended to the payment sink, then
-    only the accounts it touches are recomputed (rule M3) from all payments
-    received so far. Final state: the latest recompute of each account."""
+def affected_accounts_stream(lg: Ledger, files_per_batch: int = 16) -> DataFrame:
+    """Each micro-batch of payments is added to the payment totals per
+    account, and only the accounts it touches are recomputed (rule M3). The
+    totals after batch k are batch k - 1's totals plus the batch, so earlier
+    payments are not read again, and a replayed batch rewrites its own
+    folders. Final state: the latest recompute of each account."""
     run = _run_dir(lg, "s1")
-    pay_sink, acc_sink = os.path.join(run, "payments"), os.path.join(run, "accounts")
+    tot_sink, acc_sink = os.path.join(run, "totals"), os.path.join(run, "accounts")
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(os.path.join(pay_sink, f"batch_id={batch_id}"))
-        received = lg.spark.read.parquet(pay_sink).drop("batch_id")
-        keys = df.select("id_account").distinct()
-        A.recompute_changed(lg, keys, received).write.mode("overwrite").parquet(
+        totals = A.payment_totals(df).withColumn("touched", F.lit(True))
+        if batch_id:
+            before = lg.spark.read.parquet(os.path.join(tot_sink, f"batch_id={batch_id - 1}")).withColumn("touched", F.lit(False))
+            totals = totals.unionByName(before).groupBy("id_account").agg(
+                F.sum("paid_sum").cast(A.MONEY).alias("paid_sum"), F.max("last_pay").alias("last_pay"), F.max("touched").alias("touched"))
+        path = os.path.join(tot_sink, f"batch_id={batch_id}")
+        totals.write.mode("overwrite").parquet(path)
+        now = lg.spark.read.parquet(path).filter("touched").drop("touched")
+        A.recompute_changed(lg, now.select("id_account"), totals=now).write.mode("overwrite").parquet(
             os.path.join(acc_sink, f"batch_id={batch_id}"))
 
-    _run(_payment_stream(lg, year, files_per_batch).writeStream.foreachBatch(batch), os.path.join(run, "_ckpt"))
+    _run(_payment_stream(lg, files_per_batch).writeStream.foreachBatch(batch), os.path.join(run, "_ckpt"))
     out = lg.spark.read.parquet(acc_sink)
     w = Window.partitionBy("id_account").orderBy(F.col("batch_id").desc())
     return out.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn", "batch_id")
@@ -125,20 +131,21 @@ def latest_quote_stream(lg: Ledger, files_per_batch: int = 1) -> DataFrame:
 
 
 # ------------------------------------------------------------------ S4
-def weekly_collection_stream(lg: Ledger, year: int = STREAM_YEAR, files_per_batch: int = 3,
-                             watermark: str = "366 days") -> DataFrame:
+def weekly_collection_stream(lg: Ledger, files_per_batch: int = 16, watermark: str = "20000 days",
+                             allow_late: bool = False) -> DataFrame:
     """Payments per week on the event time, Sunday-to-Saturday windows
     (epoch + 3 days is a Sunday) labelled by the Monday after their start,
     as the reference's week bucket counts a Sunday in the following week.
     Update mode with a watermark; each batch upserts its changed windows.
-    The file source does not promise month order, so the watermark delay
-    covers the stream's whole year: no payment is dropped as late, and the
-    state stays one row per week."""
+    The file source does not promise month order, so the default watermark
+    delay covers all of the data: no payment is late, and the state stays one
+    row per week. A shorter delay bounds the state for ordered sources; rows
+    that it drops are counted, and the run fails on any unless ``allow_late``."""
     run = _run_dir(lg, "s4")
     sink = os.path.join(run, "weeks")
     # the event time is the instant of UTC midnight of the payment date, so the
     # windows (aligned to the UTC epoch) do not depend on the session time zone
-    p = _payment_stream(lg, year, files_per_batch).withColumn(
+    p = _payment_stream(lg, files_per_batch).withColumn(
         "ts", F.timestamp_seconds(F.unix_date("pay_date").cast("long") * 86400))
     agg = (p.withWatermark("ts", watermark)
            .groupBy(F.window("ts", "7 days", startTime="3 days").alias("w"))
@@ -150,7 +157,9 @@ def weekly_collection_stream(lg: Ledger, year: int = STREAM_YEAR, files_per_batc
                    F.col("_t").cast("decimal(18,2)").alias("total"), "payments")
          .write.mode("overwrite").parquet(os.path.join(sink, f"batch_id={batch_id}")))
 
-    _run(agg.writeStream.outputMode("update").foreachBatch(batch), os.path.join(run, "_ckpt"))
+    late = _run(agg.writeStream.outputMode("update").foreachBatch(batch), os.path.join(run, "_ckpt"))
+    if late and not allow_late:
+        raise RuntimeError(f"{late} rows came later than the watermark delay of {watermark}")
     out = lg.spark.read.parquet(sink)
     w = Window.partitionBy("week_start").orderBy(F.col("batch_id").desc())
     return out.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn", "batch_id")
