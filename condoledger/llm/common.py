@@ -19,7 +19,7 @@ from ..session import checkpoint_dir
 
 # Bytes of text that one processing slice of an Arrow batch holds at most
 # (a single longer text makes a slice of its own).
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 3 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
