@@ -66,18 +66,20 @@ def financial_status(lg: Ledger) -> DataFrame:
 
 
 # ------------------------------------------------------------ R3 / R5
-def bill_proportions(lg: Ledger) -> DataFrame:
-    """Ordinary / extraordinary totals per bill: expense totals when non-zero
-    (each part separately), else account totals, else 0. Bill grain."""
-    g = expense_totals(lg.expense)
-    ec = lg.account.groupBy("id_bill").agg(
+def bill_proportions(lg: Ledger, bills: DataFrame) -> DataFrame:
+    """Ordinary / extraordinary totals of the given bills: expense totals when
+    non-zero (each part separately), else account totals, else 0. Only the
+    expenses of these bills are read, and only the accounts of those among
+    them that lack a part."""
+    bills = bills.join(lg.bill.select("id_bill"), "id_bill", "left_semi")
+    g = bills.join(expense_totals(lg.expense.join(bills, "id_bill", "left_semi")), "id_bill", "left")
+    g = g.select("id_bill", F.nullif("tot_ord", F.lit(0)).alias("_o"), F.nullif("tot_ext", F.lit(0)).alias("_e"))
+    lacking = g.filter(F.col("_o").isNull() | F.col("_e").isNull()).select("id_bill")
+    ec = lg.account.join(lacking, "id_bill", "left_semi").groupBy("id_bill").agg(
         F.sum(F.coalesce("ord_amount", F.lit(0))).alias("ord_ec"),
         F.sum(F.coalesce("ext_amount", F.lit(0))).alias("ext_ec"))
-    pr = g.join(ec, "id_bill", "full").select(
-        "id_bill",
-        F.coalesce(F.nullif("tot_ord", F.lit(0)), "ord_ec", F.lit(0)).alias("p_ord"),
-        F.coalesce(F.nullif("tot_ext", F.lit(0)), "ext_ec", F.lit(0)).alias("p_ext"))
-    return lg.bill.select("id_bill", "id_building").join(pr, "id_bill", "left")
+    return g.join(ec, "id_bill", "left").select(
+        "id_bill", F.coalesce("_o", "ord_ec", F.lit(0)).alias("p_ord"), F.coalesce("_e", "ext_ec", F.lit(0)).alias("p_ext"))
 
 
 def _share(part: str) -> Column:
@@ -93,10 +95,12 @@ def payments_with_proportion(lg: Ledger, date_from: dt.date, date_to: dt.date,
         (F.col("pay_date") >= F.lit(date_from)) & (F.col("pay_date") < F.lit(date_to + dt.timedelta(days=1))))
     if building is not None:
         p = p.filter(F.col("id_building") == building)
-    pr = bills_side(lg, bill_proportions(lg).drop("id_building"))
+    # the two shares once per bill, not per payment
+    pr = bill_proportions(lg, p.select("id_bill").distinct()).select(
+        "id_bill", _share("p_ord").alias("_so"), _share("p_ext").alias("_se"))
     return (p.join(pr, "id_bill")
-            .withColumn("part_ord", F.col("amount") * _share("p_ord"))
-            .withColumn("part_ext", F.col("amount") * _share("p_ext")))
+            .withColumn("part_ord", F.col("amount") * F.col("_so"))
+            .withColumn("part_ext", F.col("amount") * F.col("_se")))
 
 
 def weekly_cash_flow(lg: Ledger, date_from: dt.date | None = None, date_to: dt.date | None = None,
@@ -227,11 +231,12 @@ def delinquent_owners(lg: Ledger, building: int | None = None, cut: dt.date | No
     if building is not None:
         acc = acc.filter(F.col("id_building") == building)
     acc = acc.join(bills_side(lg, b), "id_bill")
-    units = lg.unit.select("id_unit", "cbu")
+    # who holds a unit is settled at unit grain, so the accounts are shuffled once, by unit
+    units = lg.unit.select("id_unit", "id_building", "cbu")
     owners = lg.occupancy.filter(~F.col("is_tenant")).select("id_person", "id_building").distinct()
     people = lg.person.select("id_person", "cbu")
-    m = (acc.join(units, "id_unit").join(people, "cbu")
-         .join(owners, ["id_person", "id_building"])
+    holders = units.join(people, "cbu").join(owners, ["id_person", "id_building"]).select("id_unit", "id_building", "id_person")
+    m = (acc.join(holders, ["id_unit", "id_building"])
          .groupBy("id_person", "id_building")
          .agg(F.countDistinct("id_bill").alias("unpaid_bills"),
               F.sum("debt").cast(MONEY).alias("debt_total"),
