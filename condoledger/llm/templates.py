@@ -46,11 +46,12 @@ def _tokens(line: Column) -> Column:
 
 
 def tree_lines(docs: DataFrame, id_col: str, text_col: str, leading: int, min_tokens: int) -> DataFrame:
-    """doc_id, doc (fingerprint of the text), line_no, leaf, tokens of every line in the tree."""
+    """doc_id, doc (fingerprint of the text), line_no, leaf and line (its tokens,
+    joined by spaces: smaller to shuffle than an array) of every line in the tree."""
     lines = docs.select(F.col(id_col).alias("doc_id"), fingerprint(text_col).alias("doc"), F.posexplode(F.split(text_col, "\n")).alias("line_no", "line"))
     tokens = lines.select("doc_id", "doc", "line_no", _tokens(F.col("line")).alias("tokens")).where(F.size("tokens") >= min_tokens)
     leaf = F.concat_ws(" ", F.size("tokens").cast("string"), F.slice("tokens", 1, leading))
-    return tokens.select("doc_id", "doc", "line_no", leaf.alias("leaf"), "tokens")
+    return tokens.select("doc_id", "doc", "line_no", leaf.alias("leaf"), F.array_join("tokens", " ").alias("line"))
 
 
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leading: int = LEADING,
@@ -62,17 +63,17 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     lines = stored(lines.join(busy, "leaf"), f"{folder}/lines")
 
     # the leaf's template: at each position the token of most of its lines
-    at = lines.select("leaf", "n", F.posexplode("tokens").alias("pos", "token"))
+    at = lines.select("leaf", "n", F.posexplode(F.split("line", " ")).alias("pos", "token"))
     common = (at.groupBy("leaf", "n", "pos", "token").agg(F.count(F.lit(1)).alias("c"))
               .where(2 * F.col("c") > F.col("n")))
     leaves = common.groupBy("leaf").agg(F.map_from_entries(F.collect_list(F.struct("pos", "token"))).alias("template"))
 
-    agree = F.aggregate(F.transform("tokens", lambda x, k: F.when(x == F.col("template")[k], 1).otherwise(0)),
+    agree = F.aggregate(F.transform(F.split("line", " "), lambda x, k: F.when(x == F.col("template")[k], 1).otherwise(0)),
                         F.lit(0), lambda a, x: a + x)
     named = lines.join(leaves, "leaf").select(
         "doc_id", "doc", "line_no",
-        F.when(10 * agree >= 7 * F.size("tokens"), F.concat(F.lit("leaf "), F.col("leaf")))
-        .otherwise(F.concat(F.lit("line "), F.array_join("tokens", " "))).alias("name"))
+        F.when(10 * agree >= 7 * F.size(F.split("line", " ")), F.concat(F.lit("leaf "), F.col("leaf")))
+        .otherwise(F.concat(F.lit("line "), F.col("line"))).alias("name"))
     named = stored(named, f"{folder}/named")
     docs_of = named.groupBy("name", "doc").agg(F.min(F.struct("doc_id", "line_no")).alias("first"))
     recurring = (docs_of.groupBy("name").agg(F.count(F.lit(1)).alias("n_docs"), F.min("first").alias("first"))
