@@ -35,8 +35,8 @@ from pyspark.sql import functions as F
 from .common import id_and_text, slices, stored
 from .tokenizing import chunk_tokenizer, default_tokenizer
 
-MAX_BITS = 20            # longest code; 2^20 entries of the decoding table, enough for a million symbols
-CHECKPOINT = 512         # tokens between two checkpoints
+MAX_BITS = 18            # longest code; the decoding table has 2^18 entries (it stays in cache) and serves 2^18 symbols
+CHECKPOINT = 128         # tokens between two checkpoints
 BLOCK_TOKENS = 1 << 19   # a block is closed once it holds so many tokens
 END_ID = 2
 
@@ -99,28 +99,27 @@ class Codebook:
             words[w + 1] += np.add.reduceat(placed & np.uint64(0xFFFFFFFF), starts)
         return words.astype(">u4").tobytes(), at[::CHECKPOINT]
 
-    def table(self) -> tuple[np.ndarray, np.ndarray]:
-        """Symbol and code length for every MAX_BITS-bit prefix."""
+    def table(self) -> np.ndarray:
+        """Symbol << 5 | code length for every MAX_BITS-bit prefix."""
         space = np.left_shift(1, MAX_BITS - self.bits[self.order])
-        symbol, bits = np.zeros(1 << MAX_BITS, np.uint32), np.zeros(1 << MAX_BITS, np.int64)
-        symbol[:space.sum()] = np.repeat(self.ids[self.order], space)
-        bits[:space.sum()] = np.repeat(self.bits[self.order], space)
-        return symbol, bits
+        out = np.zeros(1 << MAX_BITS, np.uint32)
+        out[:space.sum()] = np.repeat(self.ids[self.order] << 5 | self.bits[self.order], space)
+        return out
 
 
-def decode(payload: bytes, checkpoints: np.ndarray, n_tokens: int, table: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+def decode(payload: bytes, checkpoints: np.ndarray, n_tokens: int, table: np.ndarray) -> np.ndarray:
     """The ids of a block: one lane for each checkpoint, all in lock step."""
-    symbol, bits = table
     b = np.frombuffer(payload, np.uint8).astype(np.uint32)
     window = (b[:-3] << 24) | (b[1:-2] << 16) | (b[2:-1] << 8) | b[3:]
     at = checkpoints.astype(np.int64)
-    out = np.zeros((len(at), CHECKPOINT), np.uint32)
+    out = np.empty((CHECKPOINT, len(at)), np.uint32)
     last = len(window) - 1
+    shift = np.uint32(32 - MAX_BITS)
     for step in range(min(CHECKPOINT, n_tokens)):
-        prefix = (window[np.minimum(at >> 3, last)] << (at & 7).astype(np.uint32)) >> np.uint32(32 - MAX_BITS)
-        out[:, step] = symbol[prefix]
-        at += bits[prefix]
-    return out.reshape(-1)[:n_tokens]
+        entry = table[(window[np.minimum(at >> 3, last)] << (at & 7).astype(np.uint32)) >> shift]
+        out[step] = entry >> np.uint32(5)
+        at += entry & np.uint32(31)
+    return out.T.reshape(-1)[:n_tokens]
 
 
 # ---------------------------------------------------------------- writing

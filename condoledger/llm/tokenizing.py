@@ -17,8 +17,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-# Entries that one worker's cache holds at most; a full cache starts anew.
-CACHE_ENTRIES = 500_000
+# Chunks and words that one worker's caches hold at most; a full one starts anew.
+CACHE_ENTRIES = 400_000
+WORD_ENTRIES = 600_000
 
 # A word of Latin letters (stable under NFC, lower-cased letter by letter) and
 # ASCII punctuation without apostrophes: the tokenizer always cuts between them.
@@ -47,7 +48,7 @@ class ChunkTokenizer:
         """Fill the cache for chunks not yet in it."""
         if len(self.chunks) + len(missing) > CACHE_ENTRIES:
             self.chunks.clear()
-        if len(self.words) > CACHE_ENTRIES:
+        if len(self.words) > WORD_ENTRIES:
             self.words.clear()
         parts = [(m[1].lower(), m[2] or "") if (m := _WORD_AND_MARKS.fullmatch(c)) else (c, None) for c in missing]
         new = {p for word, marks in parts if marks is not None for p in (word, marks) if p not in self.words}
