@@ -31,6 +31,11 @@ def op1_line_template_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL["op1_line_template_dedup"] = templates.SQL
 
 
+@register
+def op1_every_recurring_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return templates.digest(table(spark, sf_dir, "documents"), every=True)
+
+
 @register
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")

@@ -38,6 +38,12 @@ LEADING = 3
 MIN_TOKENS = 5
 MIN_DOCS = 10
 FIELD = "<*>"
+# Bounds of every_dropped_line: an exact line of LONG_TOKENS or more recurs from
+# LONG_DOCS different texts on, one of fewer than MIN_TOKENS from one text in
+# SHORT_SHARE (and MIN_DOCS) on.
+LONG_TOKENS = 20
+LONG_DOCS = 2
+SHORT_SHARE = 100
 
 
 def _tokens(line: Column) -> Column:
@@ -82,10 +88,57 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return named.join(recurring, "name").where(~first).select("doc_id", "doc", "line_no")
 
 
-def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lines_col: str | None = None, **parameters) -> DataFrame:
+def every_dropped_line(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, doc and line_no of the lines that go when the bound follows the
+    line. Equal lines of LONG_TOKENS or more recur from LONG_DOCS different
+    texts on, templates of MIN_TOKENS or more from MIN_DOCS on, equal shorter
+    lines with a letter from one text in SHORT_SHARE on."""
+    folder = work_dir(docs.sparkSession, "templates")
+    size = F.substring_index("leaf", " ", 1).cast("int")
+    lines = tree_lines(docs, id_col, text_col, LEADING, 1).withColumn("size", size)
+    lines = lines.where((F.col("size") >= MIN_TOKENS) | F.col("line").rlike("\\p{L}"))
+    enough = F.when(size >= LONG_TOKENS, LONG_DOCS).otherwise(MIN_DOCS)
+    busy = lines.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= enough)
+    lines = stored(lines.join(busy, "leaf"), f"{folder}/lines")
+    n_texts = docs.select(fingerprint(text_col).alias("doc")).distinct().count()
+    short_docs = max(MIN_DOCS, -(-n_texts // SHORT_SHARE))
+
+    # a line's own name, with the bound of its length, and the name of its template;
+    # equal lines share their template, so its first line is the first of its equals
+    # too, and no text loses all its lines
+    own = F.struct(fingerprint(F.lit("line"), "line").alias("name"),
+                   F.when(F.col("size") >= LONG_TOKENS, LONG_DOCS).when(F.col("size") >= MIN_TOKENS, MIN_DOCS)
+                   .otherwise(short_docs).alias("bound"))
+    template = F.struct(fingerprint(F.lit("template"), "template").alias("name"), F.lit(MIN_DOCS).alias("bound"))
+    names = F.when(F.col("template").isNull(), F.array(own)).when(F.col("size") >= LONG_TOKENS, F.array(own, template)).otherwise(F.array(template))
+    named = with_template(lines, folder).select("doc_id", "doc", "line_no", F.inline(names))
+    named = stored(named, f"{folder}/named")
+    docs_of = named.groupBy("name", "bound", "doc").agg(F.min(F.struct("doc_id", "line_no")).alias("first"))
+    recurring = (docs_of.groupBy("name", "bound").agg(F.count(F.lit(1)).alias("n_docs"), F.min("first").alias("first"))
+                 .where(F.col("n_docs") >= F.col("bound")).select("name", "first"))
+    first = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("line_no") == F.col("first.line_no"))
+    return named.join(recurring, "name").where(~first).select("doc_id", "doc", "line_no")
+
+
+def with_template(lines: DataFrame, folder: str) -> DataFrame:
+    """``lines`` with the name of their template, null without one: the leaf's
+    majority where 70 % of the positions agree with it."""
+    tree = lines.where((F.col("size") >= MIN_TOKENS) & (F.col("n") >= MIN_DOCS))
+    at = tree.select("leaf", "n", F.posexplode(F.split("line", " ")).alias("pos", "token"))
+    common = at.groupBy("leaf", "n", "pos", "token").agg(F.count(F.lit(1)).alias("c")).where(2 * F.col("c") > F.col("n"))
+    leaves = common.groupBy("leaf").agg(F.map_from_entries(F.collect_list(F.struct("pos", "token"))).alias("majority"))
+    agree = F.aggregate(F.transform(F.split("line", " "), lambda x, k: F.when(x == F.col("majority")[k], 1).otherwise(0)),
+                        F.lit(0), lambda a, x: a + x)
+    return lines.join(leaves, "leaf", "left").withColumn("template", F.when(10 * agree >= 7 * F.col("size"), F.col("leaf")))
+
+
+def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lines_col: str | None = None,
+                   every: bool = False, **parameters) -> DataFrame:
     """``docs`` (all columns) without the lines of recurring templates;
-    ``lines_col`` names a column to add with the numbers of the dropped lines."""
-    gone = (dropped_lines(docs, id_col, text_col, **parameters).groupBy("doc_id", "doc")
+    ``lines_col`` names a column to add with the numbers of the dropped lines;
+    ``every`` takes those of every_dropped_line."""
+    lines = every_dropped_line(docs, id_col, text_col) if every else dropped_lines(docs, id_col, text_col, **parameters)
+    gone = (lines.groupBy("doc_id", "doc")
             .agg(F.sort_array(F.collect_set("line_no")).alias("gone")))
     gone = gone.select(F.col("doc_id").alias("__id"), F.col("doc.a").alias("__a"), F.col("doc.b").alias("__b"), F.col("gone").alias("__gone"))
     key = fingerprint(docs[text_col])
@@ -97,9 +150,9 @@ def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return joined.select(*cols, *more)
 
 
-def digest(docs: DataFrame) -> DataFrame:
+def digest(docs: DataFrame, every: bool = False) -> DataFrame:
     """doc_id, number of dropped lines, length and hash of the kept text."""
-    out = drop_recurring(docs.select("doc_id", "text"), lines_col="gone")
+    out = drop_recurring(docs.select("doc_id", "text"), lines_col="gone", every=every)
     return out.select("doc_id", F.size("gone").cast("long").alias("n_dropped"), F.length(F.coalesce("text", F.lit(""))).cast("long").alias("kept_chars"),
                       F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 

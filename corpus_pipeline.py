@@ -21,7 +21,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines of templates that recur across documents go, but for the first."""
-    return templates.drop_recurring(docs)
+    return templates.drop_recurring(docs, every=True)
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -75,6 +75,50 @@ def test_op1_edge_rows(edge_docs, empty_docs):
     assert templates.drop_recurring(edge_docs).columns == edge_docs.columns
 
 
+def words(k, n):
+    return " ".join(f"{a}{'abcdefghij'[k // 10 % 10]}{'abcdefghij'[k % 10]}{'abcdefghij'[i]}" for i in range(n) for a in "xy")
+
+
+def test_op1_bound_follows_the_length(spark):
+    """A long line from two texts on, a short one where it is very frequent, one of
+    middle length from ten texts on; copies of a text count once."""
+    long, middle, short = words(77, 10), "This middle line has seven tokens", "All rights reserved"
+    rows = [(k, f"{words(k, 10)}\n" + "\n".join([long] * (k in (3, 8)) + [middle] * (k < 9) + [short] * (k >= 4) + ["}", "few times"] * (k < 9)))
+            for k in range(20)]
+    rows += [(30, f"{words(88, 10)}\n{words(89, 10)}")] * 2 + [(31, f"{words(88, 10)}\n{words(89, 10)}"), (32, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in templates.drop_recurring(docs, every=True).collect()}
+    assert [k for k in got if long in (got[k] or "")] == [3]
+    assert [k for k in sorted(got) if short in (got[k] or "")] == [4]
+    assert all(middle in got[k] and "}" in got[k] and "few times" in got[k] for k in range(9))
+    assert all(words(k, 10) in got[k] for k in range(20)) and got[30] == got[31] == rows[-2][1] and got[32] is None
+
+
+def test_op1_every_recurring_line(spark, documents):
+    """Whole table: no exact long line is left in two different texts."""
+    rows = spark.createDataFrame([d[:2] for d in documents], "doc_id long, text string")
+    got = [(r.doc_id, r.text) for r in templates.drop_recurring(rows, every=True).collect()]
+    assert len(got) == len(documents)
+
+    def long_lines(rows):
+        out = defaultdict(set)
+        for _, text in rows:
+            for line in (text or "").split("\n"):
+                t = ["<*>" if any(c in "0123456789" for c in x) else x for x in line.replace("\t", " ").replace("\r", " ").split(" ") if x]
+                if len(t) >= templates.LONG_TOKENS:
+                    out[" ".join(t)].add(text)
+        return out
+
+    before = long_lines(d[:2] for d in documents)
+    of = dict(d[:2] for d in documents)
+    source = defaultdict(set)
+    for doc_id, text in got:
+        for x in long_lines([(doc_id, text)]):
+            source[x].add(of[doc_id])
+    assert any(len(x) > 1 for x in before.values())
+    assert not [x for x in source if len(source[x]) > 1]
+
+
 # ---------------------------------------------------------------- operator 2
 CHATS = [(1, 0, "user", "a"), (1, 1, "user", "b<part/>&lt;"), (1, 2, "assistant", None), (1, 3, "assistant", "</turn>\n<turn role=\"user\">"),
          (1, 4, "system", ""), (2, 0, None, "x"), (2, 0, "", "y"), (2, None, "assistant", "é🙂&"), (None, 5, "us\"er>", "&amp;"), (None, 5, "us\"er>", "&amp;"),
