@@ -44,6 +44,7 @@ FIELD = "<*>"
 LONG_TOKENS = 20
 LONG_DOCS = 2
 SHORT_SHARE = 100
+LEVELS = [MIN_DOCS << 2 * k for k in range(25)]
 
 
 def _tokens(line: Column) -> Column:
@@ -52,19 +53,23 @@ def _tokens(line: Column) -> Column:
 
 
 def tree_lines(docs: DataFrame, id_col: str, text_col: str, leading: int, min_tokens: int) -> DataFrame:
-    """doc_id, doc (fingerprint of the text), line_no, leaf and line (its tokens,
+    """doc_id, doc (fingerprint of the text), line_no, size, leaf and line (its tokens,
     joined by spaces: smaller to shuffle than an array) of every line in the tree."""
     lines = docs.select(F.col(id_col).alias("doc_id"), fingerprint(text_col).alias("doc"), F.posexplode(F.split(text_col, "\n")).alias("line_no", "line"))
-    tokens = lines.select("doc_id", "doc", "line_no", _tokens(F.col("line")).alias("tokens")).where(F.size("tokens") >= min_tokens)
+    if min_tokens == 1:                                   # told without the tokens, which a filter would make twice
+        lines = lines.where(F.trim(F.translate("line", "\t\r", "  ")) != "")
+    tokens = lines.select("doc_id", "doc", "line_no", _tokens(F.col("line")).alias("tokens"))
+    if min_tokens != 1:
+        tokens = tokens.where(F.size("tokens") >= min_tokens)
     leaf = F.concat_ws(" ", F.size("tokens").cast("string"), F.slice("tokens", 1, leading))
-    return tokens.select("doc_id", "doc", "line_no", leaf.alias("leaf"), F.array_join("tokens", " ").alias("line"))
+    return tokens.select("doc_id", "doc", "line_no", F.size("tokens").alias("size"), leaf.alias("leaf"), F.array_join("tokens", " ").alias("line"))
 
 
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leading: int = LEADING,
                   min_tokens: int = MIN_TOKENS, min_docs: int = MIN_DOCS) -> DataFrame:
     """doc_id, doc and line_no of the lines that go."""
     folder = work_dir(docs.sparkSession, "templates")
-    lines = tree_lines(docs, id_col, text_col, leading, min_tokens)
+    lines = tree_lines(docs, id_col, text_col, leading, min_tokens).drop("size")
     busy = lines.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_docs)
     lines = stored(lines.join(busy, "leaf"), f"{folder}/lines")
 
@@ -94,12 +99,10 @@ def every_dropped_line(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     texts on, templates of MIN_TOKENS or more from MIN_DOCS on, equal shorter
     lines with a letter from one text in SHORT_SHARE on."""
     folder = work_dir(docs.sparkSession, "templates")
-    size = F.substring_index("leaf", " ", 1).cast("int")
-    lines = tree_lines(docs, id_col, text_col, LEADING, 1).withColumn("size", size)
-    lines = lines.where((F.col("size") >= MIN_TOKENS) | F.col("line").rlike("\\p{L}"))
-    enough = F.when(size >= LONG_TOKENS, LONG_DOCS).otherwise(MIN_DOCS)
+    lines = tree_lines(docs, id_col, text_col, LEADING, 1)
+    enough = F.when(F.substring_index("leaf", " ", 1).cast("int") >= LONG_TOKENS, LONG_DOCS).otherwise(MIN_DOCS)
     busy = lines.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= enough)
-    lines = stored(lines.join(busy, "leaf"), f"{folder}/lines")
+    lines = stored(lines.join(busy, "leaf"), f"{folder}/lines").where((F.col("size") >= MIN_TOKENS) | F.col("line").rlike("\\p{L}"))
     n_texts = docs.select(fingerprint(text_col).alias("doc")).distinct().count()
     short_docs = max(MIN_DOCS, -(-n_texts // SHORT_SHARE))
 
@@ -122,14 +125,35 @@ def every_dropped_line(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 def with_template(lines: DataFrame, folder: str) -> DataFrame:
     """``lines`` with the name of their template, null without one: the leaf's
-    majority where 70 % of the positions agree with it."""
+    majority where 70 % of the positions agree with it, else the line's own
+    pattern, so that a leaf holds any number of templates.
+
+    The pattern keeps the tokens that are frequent at their position of the
+    leaf and has ``<*>`` elsewhere. What counts as frequent follows the line:
+    the highest of LEVELS that 70 % of its positions reach, however many other
+    lines share the leaf, and however often a field's value comes again."""
     tree = lines.where((F.col("size") >= MIN_TOKENS) & (F.col("n") >= MIN_DOCS))
     at = tree.select("leaf", "n", F.posexplode(F.split("line", " ")).alias("pos", "token"))
-    common = at.groupBy("leaf", "n", "pos", "token").agg(F.count(F.lit(1)).alias("c")).where(2 * F.col("c") > F.col("n"))
-    leaves = common.groupBy("leaf").agg(F.map_from_entries(F.collect_list(F.struct("pos", "token"))).alias("majority"))
+    counts = stored(at.groupBy("leaf", "n", "pos", "token").agg(F.count(F.lit(1)).alias("c"))
+                    .where((F.col("c") >= MIN_DOCS) | (2 * F.col("c") > F.col("n"))), f"{folder}/counts")
+    leaves = (counts.where(2 * F.col("c") > F.col("n")).groupBy("leaf")
+              .agg(F.map_from_entries(F.collect_list(F.struct("pos", "token"))).alias("majority")))
     agree = F.aggregate(F.transform(F.split("line", " "), lambda x, k: F.when(x == F.col("majority")[k], 1).otherwise(0)),
                         F.lit(0), lambda a, x: a + x)
-    return lines.join(leaves, "leaf", "left").withColumn("template", F.when(10 * agree >= 7 * F.col("size"), F.col("leaf")))
+    lines = lines.join(leaves, "leaf", "left").withColumn("agrees", F.coalesce(10 * agree >= 7 * F.col("size"), F.lit(False)))
+    lines = stored(lines.drop("majority").withColumn("key", fingerprint("line")), f"{folder}/agrees")
+
+    odd = lines.where(~F.col("agrees") & (F.col("size") >= MIN_TOKENS) & (F.col("n") >= MIN_DOCS)).select("key", "leaf", "line").distinct()
+    tokens = odd.select("key", "leaf", F.posexplode(F.split("line", " ")).alias("pos", "token"))
+    tokens = tokens.join(counts.select("leaf", "pos", "token", "c"), ["leaf", "pos", "token"], "left")
+    whole = tokens.groupBy("key", "leaf").agg(F.sort_array(F.collect_list(F.struct("pos", F.coalesce("c", F.lit(0)).alias("c"), "token"))).alias("t"))
+    reached = F.sort_array(F.transform("t", lambda x: x["c"]), asc=False)[F.floor((7 * F.size("t") + 9) / 10).cast("int") - 1]
+    level = F.array_max(F.filter(F.array(*map(F.lit, LEVELS)), lambda x: x <= F.col("reached")))
+    whole = whole.withColumn("reached", reached).withColumn("level", level).where("level IS NOT NULL")
+    pattern = F.array_join(F.transform("t", lambda x: F.when(x["c"] >= F.col("level"), x["token"]).otherwise(FIELD)), " ")
+    patterns = whole.select("key", F.concat_ws(" ", F.lit("pattern"), "leaf", pattern).alias("pattern"))
+    return (lines.join(patterns, "key", "left")
+            .withColumn("template", F.when(F.col("agrees"), F.concat(F.lit("leaf "), F.col("leaf"))).otherwise(F.col("pattern"))))
 
 
 def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lines_col: str | None = None,

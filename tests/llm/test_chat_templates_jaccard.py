@@ -94,6 +94,29 @@ def test_op1_bound_follows_the_length(spark):
     assert all(words(k, 10) in got[k] for k in range(20)) and got[30] == got[31] == rows[-2][1] and got[32] is None
 
 
+@pytest.mark.parametrize("noise, names", [(60, 40), (400, 40), (400, 5)])
+def test_op1_several_templates_a_leaf(spark, noise, names):
+    """Three templates with fields of letters in one leaf beside other lines with its
+    opening; more noise or fields that come again do not hide them."""
+    letters = "abcdefghijklmnopqrst"
+
+    def word(k, at):
+        return f"w{letters[at]}{letters[k // 20 % 20]}{letters[k % 20]}"
+
+    def line(kind, k):
+        a, b = word(k % names, 18), word(k * 7 % names, 19)
+        return "see also the " + [f"page of {a} in our list of members near {b}", f"notes that {a} wrote for every last guest from {b}",
+                                  f"house {a} where the old town ends at {b} today"][kind]
+
+    rows = [(k, f"{words(k, 10)}\n{line(k % 3, k)}") for k in range(120)]
+    rows += [(1000 + k, f"{words(k + 200, 10)}\nsee also the " + " ".join(word(k, i) for i in range(len(line(0, 0).split()) - 3))) for k in range(noise)]
+    assert len({len(line(kind, 0).split()) for kind in range(3)}) == 1
+    got = {r.doc_id: r.text for r in templates.drop_recurring(spark.createDataFrame(rows, "doc_id long, text string"), every=True).collect()}
+    left = [k for k in range(120) if "see also" in got[k]]
+    assert left[:3] == [0, 1, 2] and len(left) == 3
+    assert all("see also" in got[1000 + k] for k in range(noise))
+
+
 def test_op1_every_recurring_line(spark, documents):
     """Whole table: no exact long line is left in two different texts."""
     rows = spark.createDataFrame([d[:2] for d in documents], "doc_id long, text string")
