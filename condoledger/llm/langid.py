@@ -8,8 +8,9 @@ centroid with the highest cosine. It is marked as rejected when it lies
 farther from that centroid than ``slack`` times the farthest training text
 of that centroid.
 
-Fitting reads all labels (counts) and a sample of at most SAMPLE_PER_LANG
-texts a language, chosen by a hash of the text. Prediction is one pass over
+Fitting learns from the first SAMPLE_PER_LANG different texts of each
+language in the order of a hash of the text, all of them where there are
+fewer; copies of a text count once. Prediction is one pass over
 the whole texts without a shuffle.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0;
@@ -26,10 +27,10 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import id_and_text, slices
+from .common import fingerprint, id_and_text, slices
 
 DIM = 4096                 # hashed n-gram features
 SAMPLE_PER_LANG = 200      # training texts a language, at most
@@ -100,9 +101,15 @@ def _cluster(x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
 def fit(training: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Model:
     """Model from rows with a text and a label."""
     rows = training.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where("text IS NOT NULL AND lang IS NOT NULL")
-    sizes = rows.groupBy("lang").count()                                  # one row a language
-    share = F.broadcast(sizes.select("lang", (F.lit(1.2 * SAMPLE_PER_LANG) / F.col("count")).alias("share")))
-    picked = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / F.lit(float(1 << 30)) < F.col("share")
+    rows = rows.where(F.col("text").rlike("\\p{L}")).withColumn("key", fingerprint("text"))
+    # copies of a text are one text; of a language's keys only a share that holds its
+    # first SAMPLE_PER_LANG four times over is sorted, so none of them piles up in a task
+    keys = rows.select("lang", "key").distinct().withColumn("h", F.pmod("key.a", F.lit(1 << 30)))
+    sizes = F.broadcast(keys.groupBy("lang").agg(F.count(F.lit(1)).alias("n")))       # one row a language
+    low = keys.join(sizes, "lang").where(F.col("h") * F.col("n").cast("double") < F.lit(4.0 * SAMPLE_PER_LANG * (1 << 30)))
+    order = F.row_number().over(Window.partitionBy("lang").orderBy("h", "key.a", "key.b"))
+    picked = low.withColumn("k", order).where(F.col("k") <= SAMPLE_PER_LANG).select("lang", "key")
+    texts = rows.join(F.broadcast(picked), ["lang", "key"]).groupBy("lang", "key").agg(F.min("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -112,13 +119,12 @@ def fit(training: DataFrame, text_col: str = "text", lang_col: str = "lang") ->
                 [batch.column("lang").take(pa.array(keep, pa.int64())), pa.array([found[k].astype("<f4").tobytes() for k in keep], pa.binary())],
                 names=["lang", "counts"])
 
-    sample = rows.join(share, "lang").where(picked).select("text", "lang").mapInArrow(run, "lang string, counts binary")
+    sample = texts.select("text", "lang").mapInArrow(run, "lang string, counts binary")
     by: dict[str, list[np.ndarray]] = {}
-    for lang, counts in sorted(map(tuple, sample.collect())):             # at most some 1.2 samples a language
+    for lang, counts in sorted(map(tuple, sample.collect())):             # at most SAMPLE_PER_LANG a language
         by.setdefault(lang, []).append(np.frombuffer(counts, "<f4"))
     if not by:
         return Model([], np.zeros((0, DIM)), np.zeros(0), np.zeros(DIM))
-    by = {lang: x[:SAMPLE_PER_LANG] for lang, x in by.items()}
     every = np.array([v for x in by.values() for v in x])
     idf = np.log((1 + len(every)) / (1 + (every > 0).sum(0))) + 1
     model = Model([], np.zeros((0, DIM)), np.zeros(0), idf)

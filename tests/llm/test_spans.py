@@ -248,6 +248,17 @@ def test_langid_edge_rows(spark, edge_docs, empty_docs):
     assert {r.lang for r in langid.identify(edge_docs, none).collect()} == {"und"}
 
 
+def test_langid_learns_from_different_texts(spark, monkeypatch):
+    """Copies count once: a language of few copied texts keeps all of them, one of many texts 200."""
+    rows = [(f"copied text number {'abcdefghijklmnopqrst'[k % 20] * 3}", "aa") for k in range(4000)]
+    rows += [(f"an other text {'abcdefghij'[k % 10]} {'klmnopqrst'[k // 10 % 10]} {'uvwxyz'[k // 100]}", "bb") for k in range(300)]
+    rows += [("bulk of one text", "bb")] * 3000 + [("12 34", "cc"), (None, "dd"), ("sole", "ee")]
+    sizes, cluster = [], langid._cluster
+    monkeypatch.setattr(langid, "_cluster", lambda x, k: (sizes.append(len(x)), cluster(x, k))[1])
+    model = langid.fit(spark.createDataFrame(rows, "text string, lang string").repartition(5))
+    assert sizes == [20, langid.SAMPLE_PER_LANG, 1] and sorted(set(model.languages)) == ["aa", "bb", "ee"]
+
+
 def test_langid_rejects_what_lies_far(spark, documents):
     docs = spark.createDataFrame([(d[0], d[1], d[2]) for d in documents], "doc_id long, text string, lang string")
     model = langid.fit(docs)
