@@ -158,6 +158,31 @@ def test_neighbours_share_rare_terms():
         assert index.neighbours(k, unused)[0] == k ^ 1
 
 
+def test_related_documents_meet(spark):
+    """Documents of a topic lie far apart in the table, yet share their windows."""
+    topics = ["violin orchestra concerto", "glacier summit alpine", "enzyme protein molecule", "harbour sailor anchor",
+              "orchard harvest tractor", "telescope galaxy planet"]
+    rng = np.random.default_rng(5)
+    common = "people often say that this time some things are much better than they were before and others are not".split()
+    rows = [(k, " ".join([*rng.choice(common, 120), *topics[k % 6].split() * 12])) for k in range(240)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartitionByRange(8, "doc_id")
+    by = defaultdict(list)
+    for r in packing.pack(docs).collect():
+        by[r.sequence_id].append(r.doc_id % 6)
+    same = sum(Counter(x).most_common(1)[0][1] for x in by.values())
+    assert same > 0.85 * sum(map(len, by.values()))
+
+
+def test_end_id_is_no_term_and_all_terms_ask():
+    """Tails after whole windows meet by their documents, not by the end id."""
+    item = lambda k, n: np.append(np.arange(n, dtype=np.uint32) + 10_000 * k, np.uint32(1))
+    docs = [item(1, 2048), item(2, 500), item(3, 600), np.append(item(1, 40)[:-1], np.uint32(1))]
+    first = next(s for s in packing.pack_shard(docs, 2048) if s[0][1] == 2048)
+    assert [d for d, _, _ in first][:2] == [0, 3]
+    index = packing.Bm25Shard([np.append(np.arange(100), 900), np.append(np.arange(200, 230), 900), np.arange(99, 130)])
+    assert set(index.neighbours(0, np.array([False, True, True])).tolist()) == {1, 2}
+
+
 @pytest.mark.parametrize("lengths", [[1], [5], [2048], [2047, 3], [100] * 50, [5000, 1, 1, 700]])
 def test_every_token_in_one_sequence(lengths):
     docs = [np.arange(n, dtype=np.uint32) for n in lengths]
