@@ -103,6 +103,14 @@ SELECT a.id_bill, a.works, a.instalment, a.instalments, CAST(coalesce(o.od, 0) +
 FROM add_ a LEFT JOIN old_ o ON o.id_bill = a.id_bill""")
 
 
+def l9_all_years_sql() -> str:
+    one, year = l9_sql(2000), """ AND order_date >= DATE '2000-01-01'
+           AND order_date < DATE '2001-01-01'"""
+    if year not in one:
+        raise ValueError("l9_sql has no year to take out")
+    return one.replace(year, "")
+
+
 def k8_sql() -> str:
     return with_ledger(select="SELECT fx_type, arg_max(sell, quote_ts) AS quote FROM fx_quote GROUP BY fx_type")
 

@@ -133,12 +133,13 @@ def supplier_expenses(lg: Ledger, bill_date: dt.date = dt.date(1900, 1, 1)) -> D
 
 
 # ------------------------------------------------------------------ L9
-def extraordinary_seed(lg: Ledger, year: int) -> DataFrame:
-    """Extraordinary works per (building, month) of the year, from the urgent
-    orders: description, amount, instalment n of 3."""
-    o = lg.orders_b.filter((F.col("o_orderpriority") == "1-URGENT")
-                           & (F.col("order_date") >= F.lit(dt.date(year, 1, 1)))
-                           & (F.col("order_date") < F.lit(dt.date(year + 1, 1, 1))))
+def extraordinary_seed(lg: Ledger, year: int | None = None) -> DataFrame:
+    """Extraordinary works per (building, month), of all years or of one, from
+    the urgent orders: description, amount, instalment n of 3."""
+    o = lg.orders_b.filter(F.col("o_orderpriority") == "1-URGENT")
+    if year is not None:
+        o = o.filter((F.col("order_date") >= F.lit(dt.date(year, 1, 1)))
+                     & (F.col("order_date") < F.lit(dt.date(year + 1, 1, 1))))
     g = o.groupBy("id_building", "month_start").agg(F.sum(F.col("o_totalprice").cast("decimal(10,2)")).alias("amount"))
     return g.select("id_building", "month_start",
                     F.concat(F.lit("Obra "), F.date_format("month_start", "yyyy-MM")).alias("description"),
@@ -147,9 +148,10 @@ def extraordinary_seed(lg: Ledger, year: int) -> DataFrame:
                     F.lit(3).cast("bigint").alias("instalments"))
 
 
-def extraordinary_expenses(lg: Ledger, year: int = 2000) -> DataFrame:
+def extraordinary_expenses(lg: Ledger, year: int | None = None) -> DataFrame:
     """Insert each work as an 'Extraordinario' expense of the building's bill
-    of that month when absent, then recompute those bills' totals (E8)."""
+    of that month when absent, then recompute those bills' totals (E8). The
+    reference's job has no year; ``year`` limits it to one."""
     seed = extraordinary_seed(lg, year)
     b = lg.bill.select("id_bill", "id_building", "month_start")
     rows = seed.join(b, ["id_building", "month_start"]).select(

@@ -250,6 +250,7 @@ def _register_expenses():
         "u2_merge_expenses": (lambda lg: X.new_expenses(lg, 2001), OX.l3_sql(2001)),
         "l2_supplier_expenses": (X.supplier_expenses, OX.l2_sql()),
         "l9_extraordinary": (lambda lg: X.extraordinary_expenses(lg, 2000), OX.l9_sql(2000)),
+        "l9_extraordinary_all_years": (X.extraordinary_expenses, OX.l9_all_years_sql()),
         "k8_latest_quote": (R.latest_quotes, OX.k8_sql()),
         "k9_dollars": (R.bills_in_dollars, OX.k9_sql()),
         "u3_merge_payments": (lambda lg: I.payment_load(lg).ok.filter(F.col("action") == "INSERT"),
