@@ -30,6 +30,16 @@ def one_per_key(source: DataFrame, keys: list[str]) -> DataFrame:
     return one.select(*[F.col(c) if c in keys else F.col(f"_one.{c}").alias(c) for c in source.columns])
 
 
+def one_value_per_key(source: DataFrame, keys: list[str]) -> DataFrame:
+    """The source with one row per key, each column reduced on its own to its
+    smallest non-null value: for the coalescing updates, where a blank cell of
+    one row must not hide the value of another."""
+    rest = [c for c in source.columns if c not in keys]
+    if not rest:
+        return source.distinct()
+    return source.groupBy(*keys).agg(*[F.min(c).alias(c) for c in rest]).select(*source.columns)
+
+
 def repeated_keys(source: DataFrame, keys: list[str]) -> DataFrame:
     """Keys that several source rows claim, with their number (for a reject report)."""
     return source.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 1")
@@ -84,7 +94,7 @@ def insert_only(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFr
 
 def update_nonnull(target: DataFrame, source: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
     """Matched rows take COALESCE(new, old) per column."""
-    source = one_per_key(source.select(*keys, *cols), keys)
+    source = one_value_per_key(source.select(*keys, *cols), keys)
     s = source.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in cols], F.lit(True).alias("_m"))
     j = target.join(s, keys, "left")
     changed = F.lit(False)
@@ -99,7 +109,7 @@ def update_changed(target: DataFrame, source: DataFrame, keys: list[str], cols:
                    keep_old_when_null: bool = True) -> DataFrame:
     """Update a row only when some column differs (null-safe); each column
     is replaced under its own guard, and a NULL new value keeps the old one."""
-    source = one_per_key(source.select(*keys, *cols), keys)
+    source = (one_value_per_key if keep_old_when_null else one_per_key)(source.select(*keys, *cols), keys)
     s = source.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in cols], F.lit(True).alias("_m"))
     j = target.join(s, keys, "left")
     new = {c: (F.coalesce(F.col(f"_s_{c}"), F.col(c)) if keep_old_when_null else F.col(f"_s_{c}")) for c in cols}
@@ -130,7 +140,7 @@ def update_guarded_unique(target: DataFrame, source: DataFrame, key: str, col: s
 
 def fill_nulls(target: DataFrame, source: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
     """U8: only NULL target columns are filled: COALESCE(old, new)."""
-    source = one_per_key(source.select(*keys, *cols), keys)
+    source = one_value_per_key(source.select(*keys, *cols), keys)
     s = source.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in cols])
     j = target.join(s, keys, "left")
     filled = F.lit(False)

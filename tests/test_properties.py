@@ -116,3 +116,11 @@ def test_dedupe_first_and_surrogate_keys(spark):
     existing = spark.createDataFrame([(7,)], "id long")
     keys = surrogate_keys(spark.createDataFrame([("q",), ("c",), ("m",)], "name string"), existing, "id", ["name"])
     assert sorted((r.name, r.id) for r in keys.collect()) == [("c", 8), ("m", 9), ("q", 10)]
+
+
+def test_blank_cell_of_a_repeated_key_hides_no_value(spark):
+    from condoledger.operators import upsert as U
+    target = spark.createDataFrame([(1, None, "old")], "k int, a string, b string")
+    source = spark.createDataFrame([(1, None, "new"), (1, "x", None)], "k int, a string, b string")
+    for job, want in ((U.update_nonnull, (1, "x", "new")), (U.update_changed, (1, "x", "new")), (U.fill_nulls, (1, "x", "old"))):
+        assert [tuple(r)[:3] for r in job(target, source, ["k"], ["a", "b"]).collect()] == [want]
