@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, contamination, huffman, jaccard, langid, packing, pii, quality, suffix, templates
+from . import chat, contamination, huffman, jaccard, langid, negatives, packing, pii, quality, resampling, suffix, templates, topk
 from .common import table, work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +95,29 @@ def op9_nearest_centroid_language(spark: SparkSession, sf_dir: str) -> DataFrame
 def op10_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@register
+def op11_shared_list_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10)
+                                                     .otherwise(F.col("label")).alias("label"))
+    return negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
+SQL["op11_shared_list_negatives"] = negatives.SQL
+
+
+@register
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+SQL["op12_importance_resampling"] = resampling.SQL
+
+
+@register
+def op13_term_at_a_time_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+SQL["op13_term_at_a_time_top_k"] = topk.SQL
