@@ -21,9 +21,9 @@ empty or zero vector scores 0 with all; ties go to the smaller vec_id, a null
 vec_id (no anchor here, the condition being null) last; repeated rows are rows
 of their own; an anchor without another row of its label, or a positive
 without a row in its range, gives no rows; an empty table gives an empty
-result; scores beyond 64 bits are ranked exactly inside a shard and cut to 64
-bits; extra columns are ignored. Memory of a task: one shard (about SHARD_ROWS
-candidates) and GROUP anchors at a time, however many share a cluster.
+result; scores beyond 64 bits are cut to their range; extra columns are
+ignored. Memory of a task: one shard (about SHARD_ROWS candidates) and GROUP
+anchors at a time, however many share a cluster.
 """
 
 from __future__ import annotations
@@ -156,9 +156,7 @@ class Shard:
                 break
             at = order[begin:begin + BLOCK_ROWS]
             asking, place = np.unique(asker[open_], return_inverse=True)
-            scores = members[asking] @ values[at].T
-            scores = scores if big else scores.astype(np.int64)
-            scores = scores[place]
+            scores = V.cut(members[asking] @ values[at].T)[place]
             fits = (scores >= low[open_, None]) & (scores <= high[open_, None])
             fits &= (member_labels[asker[open_], None] == self.labels[at][None]) == same
             fits &= member_rows[asker[open_], None] != self.rows[at][None]
@@ -193,13 +191,13 @@ def _below_positives(low: int, high: int) -> Callable:
     return ranges
 
 
-def mine(table: DataFrame, is_anchor: Column, positives: int = 5, negatives: int = 5, low: int = 80, high: int = 100,
+def mine(table: DataFrame, is_anchor: Column | str, positives: int = 5, negatives: int = 5, low: int = 80, high: int = 100,
          scale: int = 256, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """anchor_id, positive_id, rank, negative_id, positive_score, negative_score."""
     spark, folder = table.sparkSession, work_dir(table.sparkSession, "negatives")
     rows = (table.where(V.whole(F.col(vector_col)) & F.col(label_col).isNotNull())
             .select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("vec"),
-                    F.col(label_col).cast("long").alias("label"), F.coalesce(is_anchor, F.lit(False)).alias("is_anchor")))
+                    F.col(label_col).cast("long").alias("label"), V.condition(is_anchor).alias("is_anchor")))
     rows = V.numbered(rows, f"{folder}/rows")
     shards, groups = V.grid(spark, rows.count())
     asked = rows.where("is_anchor").drop("is_anchor")

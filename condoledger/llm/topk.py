@@ -17,9 +17,9 @@ counts as filled up with zeros; a null vec_id is no query here (the caller's
 condition is null) and as a candidate comes last among ties; repeated rows
 are rows of their own, each a candidate of the other; a query has as many
 results as there are candidates where they are under k; an empty table gives
-an empty result; scores beyond 64 bits are ranked exactly inside a shard and
-cut to 64 bits; extra columns are ignored. Memory of a task: one shard (about
-SHARD_ROWS candidates) and one Arrow batch of queries.
+an empty result; scores beyond 64 bits are cut to their range; extra columns
+are ignored. Memory of a task: one shard (about SHARD_ROWS candidates) and one
+Arrow batch of queries.
 """
 
 from __future__ import annotations
@@ -68,7 +68,7 @@ class Postings:
                 if term < len(lists):
                     at, values = lists[term]
                     part[at] += (values.astype(object) if wide else values) * weight
-        return out
+        return V.cut(out)
 
     def top(self, scores: np.ndarray, k: int) -> np.ndarray:
         """Places of the k highest scores, lowest place first among equals."""
@@ -99,13 +99,13 @@ class Postings:
             pa.array(self.rows[at]), V.long(np.concatenate(values))], names=["query", "query_id", "vec_id", "row", "score"])
 
 
-def search(table: DataFrame, is_query: Column, k: int = 20, scale: int = 64, id_col: str = "vec_id",
+def search(table: DataFrame, is_query: Column | str, k: int = 20, scale: int = 64, id_col: str = "vec_id",
            vector_col: str = "embedding") -> DataFrame:
     """The k highest scores of each query row among all other rows: query_id, rank, vec_id, score."""
     spark = table.sparkSession
     rows = (table.where(V.whole(F.col(vector_col)))
             .select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("vec"),
-                    F.coalesce(is_query, F.lit(False)).alias("is_query")))
+                    V.condition(is_query).alias("is_query")))
     rows = V.numbered(rows, f"{work_dir(spark, 'topk')}/rows")
     shards, groups = V.grid(spark, rows.count())
     rows, asked = rows.drop("is_query"), rows.where("is_query").drop("is_query")

@@ -32,6 +32,11 @@ def whole(vector: Column) -> Column:
     return F.coalesce(x.isNotNull() & ~bad, F.lit(False))
 
 
+def condition(c: Column | str) -> Column:
+    """A condition on the caller's columns, null as false."""
+    return F.coalesce(F.expr(c) if isinstance(c, str) else c, F.lit(False))
+
+
 def numbered(rows: DataFrame, path: str) -> DataFrame:
     """The rows under a number ``row``, stored: the number belongs to the files,
     so it is the same in every later read."""
@@ -97,7 +102,7 @@ def integers(batches: list[pa.RecordBatch], scale: int) -> np.ndarray:
     out = np.zeros((len(lists), max(map(len, lists), default=0)))
     for i, v in enumerate(lists):
         out[i, :len(v)] = v
-    if out.size and np.abs(out).max() * scale >= math.sqrt(EXACT / out.shape[1]):
+    if out.size and np.abs(out).max() >= math.sqrt(EXACT / out.shape[1]) / scale:
         big = [[int(x) * scale if abs(x) >= 2.0 ** 52 else math.floor(x * scale) for x in row] for row in out.tolist()]
         return np.array(big, dtype=object).reshape(out.shape)
     return np.floor(out * scale)
@@ -110,12 +115,15 @@ def _vectors(column: pa.ListArray) -> Iterator[np.ndarray]:
         yield flat[start:end]
 
 
-def long(values) -> pa.Array:
-    """64-bit integers; scores beyond them are cut to the largest or smallest."""
-    a = np.asarray(values)
-    if a.dtype == object:
-        a = np.array([max(-(1 << 63), min((1 << 63) - 1, int(x))) for x in a.ravel()], np.int64)
-    return pa.array(a.astype(np.int64).ravel())
+def cut(scores: np.ndarray) -> np.ndarray:
+    """Scores as 64-bit integers or, as Python integers, cut to their range."""
+    if scores.dtype == object:
+        return np.minimum(np.maximum(scores, -(1 << 63)), (1 << 63) - 1)
+    return scores.astype(np.int64)
+
+
+def long(values: np.ndarray) -> pa.Array:
+    return pa.array(values.astype(np.int64))
 
 
 def ids_of(batches: list[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
