@@ -82,28 +82,51 @@ raw_people AS (
 FLOOR_TXT = ("CASE WHEN c_custkey % 10 = 0 AND c_custkey % 3 = 0 THEN 'PB' WHEN c_custkey % 10 = 0 THEN 'P.B.' "
              "ELSE CAST(c_custkey % 10 AS VARCHAR) END")
 
-RAW_UNITS = f"""
-raw_units AS (
-  SELECT CASE WHEN c_custkey % 7 = 3 THEN substr(lpad(CAST(c_custkey AS VARCHAR), 22, '0'), 1, 10) || '.'
-                   || substr(lpad(CAST(c_custkey AS VARCHAR), 22, '0'), 11, 12)
-              ELSE lpad(CAST(c_custkey AS VARCHAR), 22, '0') END AS cbu,
-         ' ' || n.n_name AS building, CAST(c_custkey AS VARCHAR) AS unit, {FLOOR_TXT} AS piso,
-         chr(CAST(65 + c_custkey % 5 AS INTEGER)) || ' ' AS departamento
-  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey)
-"""
-
-RAW_AREAS = f"""
-raw_areas AS (
-  SELECT n.n_name AS building, CAST(c_custkey AS VARCHAR) AS unit, {FLOOR_TXT} AS piso,
-         chr(CAST(65 + c_custkey % 5 AS INTEGER)) AS departamento,
-         CAST(1 + c_custkey % 7 AS VARCHAR) || ',00' AS coeficiente,
-         CAST(40 + c_custkey % 61 AS VARCHAR) || ',5' AS m2_unidad,
-         CASE WHEN c_custkey % 4 = 1 THEN 'SI' ELSE 'NO' END AS bauleras,
-         CASE WHEN c_custkey % 6 = 2 THEN 'SI' ELSE 'NO' END AS cochera,
-         CASE WHEN c_custkey % 4 = 1 THEN '3,5' ELSE '0' END AS m2_baulera,
-         CASE WHEN c_custkey % 6 = 2 THEN '12' ELSE '0' END AS m2_cochera
-  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey)
-"""
+_OWN = "CASE WHEN k % 13 = 0 THEN translate(lower(name), 'aeiou', 'áéíóú') || ' ' ELSE name END"
+_FILE_BASE = f"""
+file_base AS (
+  SELECT c_custkey AS k, n.n_name AS name, m.n_name AS next_name, {FLOOR_TXT} AS floor_txt,
+         chr(CAST(65 + c_custkey % 5 AS INTEGER)) AS letter
+  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN nation m ON m.n_nationkey = (n.n_nationkey + 1) % 25)"""
+
+
+def _unit_row(where: str, cbu: str, building: str, unit: str, floor: str, dept: str) -> str:
+    if len(cbu) == 1:
+        cbu = f"'{cbu}' || lpad(CAST(k AS VARCHAR), 21, '0')"
+    return (f"SELECT {cbu} AS cbu, ' ' || {building} AS building, {unit} AS unit, {floor} AS piso, {dept} || ' ' AS departamento "
+            f"FROM file_base WHERE {where}")
+
+
+_DOTTED = ("CASE WHEN k % 7 = 3 THEN substr(lpad(CAST(k AS VARCHAR), 22, '0'), 1, 10) || '.' || "
+           "substr(lpad(CAST(k AS VARCHAR), 22, '0'), 11, 12) ELSE lpad(CAST(k AS VARCHAR), 22, '0') END")
+RAW_UNITS = _FILE_BASE.strip() + ",\nraw_units AS (" + "\nUNION ALL ".join([
+    _unit_row("true", _DOTTED, _OWN, "CAST(k AS VARCHAR)", "floor_txt", "letter"),
+    _unit_row("k % 20 = 0", "6", _OWN, "''", "floor_txt", "letter"),
+    _unit_row("k % 25 = 3", "5", "next_name", "CAST(k AS VARCHAR)", "floor_txt", "letter"),
+    _unit_row("k % 30 = 4", "8", _OWN, "CAST(k + 10000000 AS VARCHAR)", "CAST(10 + k % 90 AS VARCHAR)", "letter"),
+    _unit_row("k % 45 = 5", "7", _OWN, "''", "''", "''"),
+    _unit_row("k % 60 = 6", "4", f"{_OWN} || ' II'", "CAST(k + 20000000 AS VARCHAR)", "'1'", "'A'"),
+    _unit_row("k % 35 = 7", _DOTTED, _OWN, "CAST(k + 30000000 AS VARCHAR)", "CAST(100 + k % 50 AS VARCHAR)", "letter"),
+    _unit_row("k % 55 = 8", "3", _OWN, "CAST(k + 40000000 AS VARCHAR)", "CAST(150 + k % 50 AS VARCHAR)", "letter"),
+    _unit_row("k % 55 = 8", "3", _OWN, "CAST(k + 50000000 AS VARCHAR)", "CAST(150 + k % 50 AS VARCHAR)", "letter"),
+    _unit_row("k % 70 = 9", _DOTTED, _OWN, "CAST(k AS VARCHAR)", "'200'", "'Z'"),
+    _unit_row("k % 80 = 10", "2", "'  '", "CAST(k + 60000000 AS VARCHAR)", "'1'", "'A'")]) + ")"
+
+
+def _area_row(where: str, building: str, unit: str, floor: str, dept: str) -> str:
+    return f"""SELECT {building} AS building, {unit} AS unit, {floor} AS piso, {dept} AS departamento,
+       CASE WHEN k % 50 = 11 THEN '' ELSE CAST(1 + k % 7 AS VARCHAR) || ',00' END AS coeficiente,
+       CAST(40 + k % 61 AS VARCHAR) || ',5' AS m2_unidad,
+       CASE WHEN k % 4 = 1 THEN 'SI' ELSE 'NO' END AS bauleras, CASE WHEN k % 6 = 2 THEN 'SI' ELSE 'NO' END AS cochera,
+       CASE WHEN k % 4 = 1 THEN '3,5' ELSE '0' END AS m2_baulera, CASE WHEN k % 6 = 2 THEN '12' ELSE '0' END AS m2_cochera
+FROM file_base WHERE {where}"""
+
+
+RAW_AREAS = _FILE_BASE.strip() + ",\nraw_areas AS (" + "\nUNION ALL ".join([
+    _area_row("k % 11 <> 3", _OWN, "CAST(k AS VARCHAR)", "floor_txt", "letter"),
+    _area_row("k % 30 = 4", _OWN, "''", "CAST(10 + k % 90 AS VARCHAR)", "letter"),
+    _area_row("k % 45 = 5", _OWN, "''", "''", "''"),
+    _area_row("k % 60 = 6", "name || ' II'", "''", "'1'", "'A'")]) + ")"
 
 RAW_BUILDINGS = """
 raw_buildings AS (

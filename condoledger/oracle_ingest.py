@@ -5,6 +5,7 @@ from __future__ import annotations
 from .oracle import accounts_sql, with_ledger
 from .oracle_clean import (K3_RESULT, NB, RAW_AREAS, RAW_BUILDINGS, RAW_PAY, RAW_PEOPLE, RAW_UNITS, k1, k2,
                            k3_ctes, k6b, k7, k7b, k16_dept, k16_floor, k17, k18, k19, trim_sp)
+from .plans import unit_loads as UL
 from .plans.ingest import (REASON_BLANK, REASON_NO_ACCOUNT, REASON_NO_BILL, REASON_NO_BUILDING, REASON_NO_UNIT,
                            REASON_PARSE)
 
@@ -103,71 +104,135 @@ SELECT t.id_building, t.name, coalesce(t.address, s.address) AS address, coalesc
 FROM prior t LEFT JOIN b_stg s ON lower(s.name) = lower(t.name)""")
 
 
+# names equal without regard to case, accents and trailing blanks
+def nk(x: str) -> str:
+    return f"strip_accents(lower(rtrim({x})))"
+
+
+def _ensured(staged: str, out: str) -> str:
+    return f"""
+{out}_new AS (SELECT min(building_name) AS name FROM {staged} WHERE building_name IS NOT NULL AND NOT EXISTS (
+                SELECT 1 FROM building b WHERE {nk('b.name')} = {nk('building_name')}) GROUP BY {nk('building_name')}),
+{out} AS (SELECT id_building, name, address, total_area, 'KEEP' AS action FROM building
+          UNION ALL SELECT (SELECT max(id_building) FROM building) + row_number() OVER (ORDER BY name), name, NULL, NULL, 'INSERT'
+          FROM {out}_new),
+{out}_ids AS (SELECT {nk('name')} AS k, min(id_building) AS id_building FROM {out} GROUP BY ALL)"""
+
+
+_UNIT_ID = f"CASE WHEN regexp_matches({trim_sp('unit')}, '^[0-9]+$') THEN TRY_CAST({trim_sp('unit')} AS BIGINT) END"
+# one whole row of those that mean one unit
+_FIRST = "cbu IS NULL, cbu, floor IS NULL, floor, dept IS NULL, dept, building_name"
 U_STG = f"""
-u_stg AS (SELECT DISTINCT {k7('cbu')} AS cbu, {k1('building', 50)} AS building_name,
-                 CASE WHEN regexp_matches({trim_sp('unit')}, '^[0-9]+$') THEN TRY_CAST({trim_sp('unit')} AS BIGINT) END AS id_unit,
-                 {k16_floor('piso')} AS floor, {k16_dept('departamento')} AS dept FROM raw_units),
+u_stg AS (SELECT DISTINCT {_UNIT_ID} AS unit, {k1('building', 50)} AS building_name, {k16_floor('piso')} AS floor,
+                 {k16_dept('departamento')} AS dept, {k7('cbu')} AS cbu FROM raw_units),
 u_prior AS (SELECT id_unit, id_building, CASE WHEN id_unit % 9 = 0 THEN NULL ELSE floor END AS floor, dept,
                    CASE WHEN id_unit % 10 = 3 THEN NULL ELSE cbu END AS cbu FROM unit),
-u6 AS (SELECT t.id_unit, t.id_building,
-              CASE WHEN s.id_unit IS NOT NULL THEN coalesce(s.floor, t.floor) ELSE t.floor END AS floor,
-              CASE WHEN s.id_unit IS NOT NULL THEN coalesce(s.dept, t.dept) ELSE t.dept END AS dept, t.cbu,
-              CASE WHEN s.id_unit IS NOT NULL AND (coalesce(s.floor, t.floor) IS DISTINCT FROM t.floor
-                        OR coalesce(s.dept, t.dept) IS DISTINCT FROM t.dept) THEN 'UPDATE' ELSE 'KEEP' END AS a1
-       FROM u_prior t LEFT JOIN u_stg s ON s.id_unit = t.id_unit)"""
+{_ensured('u_stg', 'u_bld').strip()},
+u_rows AS (SELECT u_stg.*, id_building FROM u_stg JOIN u_bld_ids ON k = {nk('building_name')}),
+u_home AS (SELECT r.*, p.id_unit FROM u_rows r JOIN u_prior p ON p.id_unit = r.unit AND p.id_building = r.id_building),
+by_id AS (SELECT * FROM u_home QUALIFY row_number() OVER (PARTITION BY id_unit ORDER BY {_FIRST}) = 1)"""
 
 
-def _u7(src: str) -> str:
+def _u6(src: str) -> str:
     return f"""
-holders AS (SELECT cbu AS v, count(*) AS n, min(id_unit) AS k FROM {src} WHERE cbu IS NOT NULL GROUP BY cbu),
-u7 AS (SELECT t.*, s.cbu AS new_cbu, h.n, h.k,
-              s.cbu IS NOT NULL AND NOT coalesce(h.n > 1 OR (h.n = 1 AND h.k <> t.id_unit), false)
-              AND s.cbu IS DISTINCT FROM t.cbu AS apply
-       FROM {src} t LEFT JOIN (SELECT id_unit, cbu FROM u_stg WHERE cbu IS NOT NULL) s ON s.id_unit = t.id_unit
-       LEFT JOIN holders h ON h.v = s.cbu)"""
+u6 AS (SELECT t.* REPLACE (coalesce(s.floor, t.floor) AS floor, coalesce(s.dept, t.dept) AS dept),
+              coalesce(s.floor, t.floor) IS DISTINCT FROM t.floor OR coalesce(s.dept, t.dept) IS DISTINCT FROM t.dept AS a1
+       FROM {src} t LEFT JOIN by_id s ON s.id_unit = t.id_unit)"""
 
 
-def u6_sql() -> str:
-    return with_ledger(RAW_UNITS, U_STG, select="SELECT id_unit, id_building, floor, dept, cbu, a1 AS action FROM u6")
+def _u7(src: str, claims: str, out: str, flag: str) -> str:
+    """Bank ids of one pass: free before it, and the lowest claiming unit's."""
+    return f"""
+{out}_set AS (
+  SELECT c.id_unit, c.cbu FROM (SELECT min(id_unit) AS id_unit, cbu FROM {claims} WHERE cbu IS NOT NULL GROUP BY cbu) c
+  JOIN {src} t ON t.id_unit = c.id_unit
+  WHERE t.cbu IS DISTINCT FROM c.cbu AND NOT EXISTS (SELECT 1 FROM {src} o WHERE o.cbu = c.cbu AND o.id_unit <> c.id_unit)),
+{out} AS (SELECT t.* REPLACE (coalesce(s.cbu, t.cbu) AS cbu), s.cbu IS NOT NULL AS {flag}
+          FROM {src} t LEFT JOIN {out}_set s ON s.id_unit = t.id_unit)"""
 
 
-def u7_sql() -> str:
-    return with_ledger(RAW_UNITS, U_STG, _u7("u_prior"), select="""
-SELECT id_unit, id_building, floor, dept, CASE WHEN apply THEN new_cbu ELSE cbu END AS cbu,
-       CASE WHEN apply THEN 'UPDATE' ELSE 'KEEP' END AS action FROM u7""")
+def u6_sql() -> str:
+    return with_ledger(RAW_UNITS, U_STG, _u6("u_prior"), select="""
+SELECT id_unit, id_building, floor, dept, cbu, CASE WHEN a1 THEN 'UPDATE' ELSE 'KEEP' END AS action FROM u6""")
 
 
-def l4_sql() -> str:
-    return with_ledger(RAW_UNITS, U_STG, _u7("u6"), select="""
-SELECT id_unit, id_building, floor, dept, CASE WHEN apply THEN new_cbu ELSE cbu END AS cbu,
-       CASE WHEN apply OR a1 = 'UPDATE' THEN 'UPDATE' ELSE 'KEEP' END AS action FROM u7""")
+def u7_sql() -> str:
+    return with_ledger(RAW_UNITS, U_STG, _u7("u_prior", "by_id", "u7", "a2"), select="""
+SELECT id_unit, id_building, floor, dept, cbu, CASE WHEN a2 THEN 'UPDATE' ELSE 'KEEP' END AS action FROM u7""")
+
+
+def _l4_ctes() -> list[str]:
+    same = "x.id_building = r.id_building AND x.floor IS NOT DISTINCT FROM r.floor AND x.dept IS NOT DISTINCT FROM r.dept"
+    row = "unit, building_name, floor, dept, cbu"
+    key = "id_building, floor IS NULL, floor, dept IS NULL, dept, cbu IS NULL, cbu, unit IS NULL, unit"
+    return [RAW_UNITS, U_STG, _u6("u_prior"), _u7("u6", "by_id", "s1", "a2"), f"""
+place AS (SELECT id_building, floor, dept, min(id_unit) AS id_unit FROM s1 GROUP BY ALL),
+at_place AS (SELECT r.*, x.id_unit FROM u_rows r JOIN place x ON {same} WHERE r.unit IS NULL),
+by_place AS (SELECT * FROM at_place QUALIFY row_number() OVER (PARTITION BY id_unit ORDER BY {_FIRST}) = 1)""",
+            _u7("s1", "by_place", "s2", "a3"), f"""
+rest AS (SELECT r.* FROM u_rows r WHERE NOT EXISTS (SELECT 1 FROM s2 x WHERE x.id_unit = r.unit)),
+no_place AS (SELECT r.* FROM rest r WHERE NOT EXISTS (SELECT 1 FROM s2 x WHERE {same})),
+asked AS (SELECT *, EXISTS (SELECT 1 FROM s2 x WHERE x.cbu = r.cbu) AS held FROM no_place r),
+claim AS (SELECT *, CASE WHEN cbu IS NULL OR held THEN 1 ELSE row_number() OVER (PARTITION BY cbu, held
+            ORDER BY id_building, floor IS NULL, floor, dept IS NULL, dept, unit IS NULL, unit, building_name) END AS nth FROM asked),
+ins AS (SELECT (SELECT max(id_unit) FROM s2) + row_number() OVER (ORDER BY {key}) AS id_unit, * FROM claim WHERE NOT held AND nth = 1),
+l4 AS (SELECT id_unit, id_building, floor, dept, cbu, CASE WHEN a1 OR a2 OR a3 THEN 'UPDATE' ELSE 'KEEP' END AS action FROM s2
+       UNION ALL SELECT id_unit, id_building, floor, dept, cbu, 'INSERT' FROM ins),
+l4_rej AS (
+  SELECT '{UL.NO_BUILDING}' AS reason, {row} FROM u_stg WHERE building_name IS NULL
+  UNION ALL SELECT '{UL.OTHER_BUILDING}', {row.replace('unit,', 'r.unit,', 1).replace('floor', 'r.floor').replace('dept', 'r.dept').replace('cbu', 'r.cbu')}
+    FROM u_rows r JOIN u_prior p ON p.id_unit = r.unit AND p.id_building <> r.id_building
+  UNION ALL (SELECT '{UL.REPEATED}', {row} FROM (SELECT {row}, id_unit FROM u_home EXCEPT SELECT {row}, id_unit FROM by_id))
+  UNION ALL (SELECT '{UL.REPEATED}', {row} FROM (SELECT {row}, id_unit FROM at_place EXCEPT SELECT {row}, id_unit FROM by_place))
+  UNION ALL SELECT '{UL.BANK_ID_TAKEN}', c.unit, building_name, c.floor, c.dept, c.cbu FROM by_id c JOIN s1 USING (id_unit)
+    WHERE c.cbu IS NOT NULL AND s1.cbu IS DISTINCT FROM c.cbu
+  UNION ALL SELECT '{UL.BANK_ID_TAKEN}', c.unit, building_name, c.floor, c.dept, c.cbu FROM by_place c JOIN s2 USING (id_unit)
+    WHERE c.cbu IS NOT NULL AND s2.cbu IS DISTINCT FROM c.cbu
+  UNION ALL SELECT '{UL.KNOWN_PLACE}', {row} FROM rest r WHERE unit IS NOT NULL AND EXISTS (SELECT 1 FROM s2 x WHERE {same})
+  UNION ALL SELECT '{UL.BANK_ID_TAKEN}', {row} FROM claim WHERE held OR nth > 1)"""]
+
+
+def l4_sql(which: str) -> str:
+    return with_ledger(*_l4_ctes(), select={
+        "units": "SELECT * FROM l4", "rejects": "SELECT * FROM l4_rej", "buildings": "SELECT * FROM u_bld",
+        "summary": """
+SELECT (SELECT count(*) FROM raw_units) AS rows_read, (SELECT count(*) FROM u_stg) AS rows_staged,
+       (SELECT count(*) FROM l4 WHERE action = 'INSERT') AS inserted, (SELECT count(*) FROM l4 WHERE action = 'UPDATE') AS updated,
+       (SELECT count(*) FROM u_bld WHERE action = 'INSERT') AS new_buildings, (SELECT count(*) FROM l4_rej) AS rejected"""}[which])
 
 
 A_STG = f"""
-a0 AS (SELECT {k1('building', 50)} AS building_name,
-              CASE WHEN regexp_matches({trim_sp('unit')}, '^[0-9]+$') THEN TRY_CAST({trim_sp('unit')} AS BIGINT) END AS id_unit,
-              {k16_floor('piso')} AS floor, {k16_dept('departamento')} AS dept,
+a0 AS (SELECT {k1('building', 50)} AS building_name, {k16_floor('piso')} AS floor, {k16_dept('departamento')} AS dept,
               CAST({k2('coeficiente')} AS DECIMAL(5,2)) AS share, CAST({k2('m2_unidad')} AS DECIMAL(7,2)) AS area,
               CAST({k2('m2_baulera')} AS DECIMAL(5,2)) AS storage_m2, CAST({k2('m2_cochera')} AS DECIMAL(5,2)) AS garage_m2
        FROM raw_areas),
-a_stg AS (SELECT building_name, id_unit, max(floor) AS floor, max(dept) AS dept, max(share) AS share, max(area) AS area,
-                 max(storage_m2) AS storage_m2, max(garage_m2) AS garage_m2 FROM a0 GROUP BY building_name, id_unit)"""
+a_stg AS (SELECT building_name, floor, dept, max(share) AS share, max(area) AS area, max(storage_m2) AS storage_m2,
+                 max(garage_m2) AS garage_m2 FROM a0 WHERE building_name IS NOT NULL GROUP BY building_name, floor, dept)"""
 
 
 def e5_sql() -> str:
     return with_ledger(RAW_AREAS, A_STG, select="SELECT * FROM a_stg")
 
 
-def l5_sql() -> str:
+def l5_sql(which: str) -> str:
     cols = ["share", "area", "storage_m2", "garage_m2"]
-    sel = ", ".join(f"CASE WHEN s.id_unit IS NOT NULL THEN coalesce(s.{c}, t.{c}) ELSE t.{c} END AS {c}" for c in cols)
+    sel = ", ".join(f"coalesce(s.{c}, t.{c}) AS {c}" for c in cols)
     chg = " OR ".join(f"coalesce(s.{c}, t.{c}) IS DISTINCT FROM t.{c}" for c in cols)
-    return with_ledger(RAW_AREAS, A_STG, """
-a_prior AS (SELECT id_unit, id_building, CASE WHEN id_unit % 8 = 0 THEN NULL ELSE share END AS share, area,
-                   storage_m2, garage_m2 FROM unit)""", select=f"""
-SELECT t.id_unit, t.id_building, {sel},
-       CASE WHEN s.id_unit IS NOT NULL AND ({chg}) THEN 'UPDATE' ELSE 'KEEP' END AS action
-FROM a_prior t LEFT JOIN a_stg s ON s.id_unit = t.id_unit""")
+    return with_ledger(RAW_AREAS, A_STG, _ensured("a_stg", "a_bld"), f"""
+a_rows AS (SELECT id_building, floor, dept, {", ".join(f"max({c}) AS {c}" for c in cols)}
+           FROM a_stg JOIN a_bld_ids ON k = {nk('building_name')} GROUP BY id_building, floor, dept),
+a_prior AS (SELECT id_unit, id_building, floor, dept, CASE WHEN id_unit % 8 = 0 THEN NULL ELSE share END AS share, area,
+                   storage_m2, garage_m2 FROM unit),
+a_ins AS (SELECT (SELECT max(id_unit) FROM a_prior) + row_number() OVER (ORDER BY id_building, floor IS NULL, floor, dept IS NULL, dept) AS id_unit, *
+          FROM a_rows s WHERE NOT EXISTS (SELECT 1 FROM a_prior t WHERE t.id_building = s.id_building
+            AND t.floor IS NOT DISTINCT FROM s.floor AND t.dept IS NOT DISTINCT FROM s.dept)),
+l5 AS (SELECT t.id_unit, t.id_building, t.floor, t.dept, {sel}, CASE WHEN {chg} THEN 'UPDATE' ELSE 'KEEP' END AS action
+       FROM a_prior t LEFT JOIN a_rows s ON t.id_building = s.id_building AND t.floor IS NOT DISTINCT FROM s.floor
+         AND t.dept IS NOT DISTINCT FROM s.dept
+       UNION ALL SELECT *, 'INSERT' FROM a_ins)""", select={"units": "SELECT * FROM l5", "summary": """
+SELECT (SELECT count(*) FROM raw_areas) AS rows_read, (SELECT count(*) FROM a0 WHERE building_name IS NOT NULL) AS rows_staged,
+       (SELECT count(*) FROM l5 WHERE action = 'INSERT') AS inserted, (SELECT count(*) FROM l5 WHERE action = 'UPDATE') AS updated,
+       (SELECT count(*) FROM a_bld WHERE action = 'INSERT') AS new_buildings, 0::BIGINT AS rejected"""}[which])
 
 
 P_STG = f"""

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
 from ..functions import clean as K
+from ..functions.collation import name_key
 from ..operators import upsert as U
 from ..operators.joins import store
 from ..session import checkpoint_dir
@@ -50,9 +51,9 @@ def expense_bills(lg: Ledger, year: int, due1_day: int | None = 10, due2_day: in
     holidays); due days clamped to the month (K21). ``clamp`` cuts totals to
     the reference's column width (K20); off, they keep every digit."""
     s = expense_staging(lg, year)
-    names = lg.building.select("id_building", F.lower("name").alias("_k"))
+    names = lg.building.select("id_building", name_key("name").alias("_k"))
     sums = (s.filter(F.col("amount").isNotNull() & F.col("month").between(1, 12))
-            .join(names, F.lower("building_name") == F.col("_k"))
+            .join(names, name_key("building_name") == F.col("_k"))
             .groupBy("id_building", "month").agg(F.sum("amount").alias("total")))
     fifth = cal.nth_day_of_month(lg.calendar, 5, "is_weekday")
     first = F.make_date(F.lit(year), F.col("month"), F.lit(1))
@@ -83,9 +84,9 @@ def new_expenses(lg: Ledger, year: int, clamp: bool = False) -> DataFrame:
     bills = merge_bills(lg, year).filter(F.col("issue_date").isNotNull())
     bills = bills.select("id_bill", "id_building", F.month("issue_date").alias("month"),
                          F.year("issue_date").alias("_y")).filter(F.col("_y") == year).drop("_y")
-    names = lg.building.select("id_building", F.lower("name").alias("_k"))
+    names = lg.building.select("id_building", name_key("name").alias("_k"))
     s = (expense_staging(lg, year).filter(F.col("amount").isNotNull())
-         .join(names, F.lower("building_name") == F.col("_k")))
+         .join(names, name_key("building_name") == F.col("_k")))
     rows = s.join(bills, ["id_building", "month"]).select(
         "id_bill", "id_building", F.lit(ORDINARY).alias("kind"), F.col("category").alias("description"),
         F.make_date(F.lit(year), F.col("month"), F.lit(1)).alias("issue_date"),
@@ -118,8 +119,8 @@ def supplier_expenses(lg: Ledger, bill_date: dt.date = dt.date(1900, 1, 1)) -> D
     r = raw_suppliers(lg)
     s = r.select(K.clean_text("tipo", 35).alias("category"), K.clean_text("descripcion", 200).alias("description"),
                  K.clean_text("proveedor", 100).alias("supplier"), K.clean_text("consorcio", 50).alias("building_name"))
-    names = lg.building.select("id_building", F.lower("name").alias("_k"))
-    s = s.join(names, F.lower("building_name") == F.col("_k"))
+    names = lg.building.select("id_building", name_key("name").alias("_k"))
+    s = s.join(names, name_key("building_name") == F.col("_k"))
     existing = lg.bill.filter(F.col("issue_date") == F.lit(bill_date)).select("id_building", "id_bill")
     need = s.select("id_building").distinct().join(existing, "id_building", "left_anti")
     new_bills = U.surrogate_keys(need, lg.bill, "id_bill", ["id_building"])

@@ -1,14 +1,12 @@
-"""Master-data loaders L1, L4, L5, L6 and the upserts they exercise.
+"""Master-data loaders L1 and L6 and the upserts they exercise.
 
-Each loader cleans a raw file (derived from the driver tables), then
+Each loader reads and cleans a landed file (derived from the driver tables), then
 upserts it into a *prior state* of the ledger table. The prior states are
 fixed rules of the adapter (which rows the ledger is assumed to know before
 the file arrives), so that inserts, updates and keeps all occur:
 
   buildings  ids < 20 known; the file brings all 25
   buildings  (fill-nulls) address unknown for id % 3 = 0, area for id % 4 = 0
-  units      floor unknown for id % 9 = 0, bank id unknown for id % 10 = 3
-  units      share unknown for id % 8 = 0 (areas file)
   people     as in the ledger; the file brings normalised e-mails and phones
 """
 
@@ -18,15 +16,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import clean as K
+from ..functions.collation import name_key
 from ..operators import upsert as U
-from ..sources import rawtext as RT
+from ..sources import landing
 from ..sources.ledger import Ledger
 
 
 # ------------------------------------------------------------------ L1
 def buildings_staging(lg: Ledger) -> DataFrame:
     """L1 staging: K1 name (50), K1 address (100), K2 area; blank names dropped."""
-    r = RT.raw_buildings(lg)
+    r = landing.buildings(lg)
     return (r.select(K.clean_text("nombre", 50).alias("name"), K.clean_text("domicilio", 100).alias("address"),
                      K.to_decimal("m2_totales").alias("total_area"))
             .filter(F.col("name").isNotNull()))
@@ -37,8 +36,7 @@ def buildings_prior(lg: Ledger) -> DataFrame:
 
 
 def _name_keys() -> dict:
-    # the reference compares names case-insensitively (collation); lower() on both sides
-    return {"_k_name": F.lower(F.col("name")), "_k_addr": F.lower(F.coalesce(F.col("address"), F.lit("")))}
+    return {"_k_name": name_key("name"), "_k_addr": name_key(F.coalesce("address", F.lit("")))}
 
 
 def new_buildings(lg: Ledger) -> DataFrame:
@@ -62,84 +60,17 @@ def fill_building_nulls(lg: Ledger) -> DataFrame:
                      F.when(F.col("id_building") % 4 == 0, F.lit(None)).otherwise(F.col("total_area"))
                      .alias("total_area"))
     src = buildings_staging(lg)
-    t = prior.withColumn("_k", F.lower("name"))
-    s = src.withColumn("_k", F.lower("name")).drop("name")
+    t = prior.withColumn("_k", name_key("name"))
+    s = src.withColumn("_k", name_key("name")).drop("name")
     return U.fill_nulls(t, s, ["_k"], ["address", "total_area"]).drop("_k")
 
 
-# ------------------------------------------------------------------ L4
-def units_staging(lg: Ledger) -> DataFrame:
-    """L4 staging: K7 bank id, K1 building name, unit id, K16 floor and department; distinct."""
-    r = RT.raw_units(lg)
-    unit_id = F.when(K.trim_spaces("unit").rlike("^[0-9]+$"), K.trim_spaces("unit")).try_cast("bigint")
-    return r.select(K.cbu_strict("cbu").alias("cbu"), K.clean_text("building", 50).alias("building_name"),
-                    unit_id.alias("id_unit"), K.floor_number("piso").alias("floor"),
-                    K.department("departamento").alias("dept")).distinct()
-
-
-def units_prior(lg: Ledger) -> DataFrame:
-    u = lg.unit
-    return u.select("id_unit", "id_building",
-                    F.when(F.col("id_unit") % 9 == 0, F.lit(None)).otherwise(F.col("floor")).alias("floor"),
-                    "dept",
-                    F.when(F.col("id_unit") % 10 == 3, F.lit(None)).otherwise(F.col("cbu")).alias("cbu"))
-
-
-def update_units(lg: Ledger) -> DataFrame:
-    """Floor / department updated where they changed (own guard each)."""
-    return U.update_changed(units_prior(lg), units_staging(lg), ["id_unit"], ["floor", "dept"])
-
-
-def update_unit_bank_ids(lg: Ledger) -> DataFrame:
-    """Bank id set only where no other unit already holds it."""
-    return U.update_guarded_unique(units_prior(lg), units_staging(lg), "id_unit", "cbu")
-
-
-def load_units(lg: Ledger) -> DataFrame:
-    """L4: U6 then U7 on the same prior state; action UPDATE if either changed."""
-    s = units_staging(lg)
-    a = U.update_changed(units_prior(lg), s, ["id_unit"], ["floor", "dept"]).withColumnRenamed("action", "_a1")
-    b = U.update_guarded_unique(a, s, "id_unit", "cbu")
-    return b.select("id_unit", "id_building", "floor", "dept", "cbu",
-                    F.when((F.col("_a1") == U.UPDATE) | (F.col("action") == U.UPDATE), F.lit(U.UPDATE))
-                    .otherwise(F.lit(U.KEEP)).alias("action"))
-
-
-# ------------------------------------------------------------------ L5
-def areas_staging(lg: Ledger) -> DataFrame:
-    """L5 staging: K1, K16, K2; consolidated with MAX per unit (E5)."""
-    r = RT.raw_areas(lg)
-    unit_id = F.when(K.trim_spaces("unit").rlike("^[0-9]+$"), K.trim_spaces("unit")).try_cast("bigint")
-    s = r.select(K.clean_text("building", 50).alias("building_name"), unit_id.alias("id_unit"),
-                 K.floor_number("piso").alias("floor"), K.department("departamento").alias("dept"),
-                 K.to_decimal("coeficiente").cast("decimal(5,2)").alias("share"),
-                 K.to_decimal("m2_unidad").cast("decimal(7,2)").alias("area"),
-                 K.to_decimal("m2_baulera").cast("decimal(5,2)").alias("storage_m2"),
-                 K.to_decimal("m2_cochera").cast("decimal(5,2)").alias("garage_m2"))
-    return consolidate(s, ["building_name", "id_unit"], ["floor", "dept", "share", "area", "storage_m2", "garage_m2"])
-
-
-def consolidate(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
-    """E5: MAX as non-null consolidation of several rows per key."""
-    return df.groupBy(*keys).agg(*[F.max(c).alias(c) for c in cols])
-
-
-def load_areas(lg: Ledger) -> DataFrame:
-    """U6 of share and areas from the consolidated file (a NULL new value
-    keeps the old one, instead of the reference's overwrite with NULL)."""
-    u = lg.unit
-    prior = u.select("id_unit", "id_building",
-                     F.when(F.col("id_unit") % 8 == 0, F.lit(None)).otherwise(F.col("share")).alias("share"),
-                     "area", "storage_m2", "garage_m2")
-    return U.update_changed(prior, areas_staging(lg), ["id_unit"], ["share", "area", "storage_m2", "garage_m2"])
-
-
 # ------------------------------------------------------------------ L6
 def people_staging(lg: Ledger) -> DataFrame:
     """L6 staging: K7 strict bank id, K17 tenant word, DNI, K1 names (cut to
     the target's 50), K6b e-mail, K18 phone; rows without a valid bank id or
     tenant word dropped, NULL DNI rejected, one row per bank id (lowest DNI)."""
-    r = RT.raw_people(lg)
+    r = landing.people(lg)
     dni = F.when(K.trim_spaces("dni").rlike("^[0-9]+$"), K.trim_spaces("dni")).try_cast("bigint")
     s = (r.select(K.cbu_strict("cbu").alias("cbu"), K.tenant_flag("inquilino").alias("is_tenant"),
                   dni.alias("dni"), K.clean_text("nombre", 50).alias("first_name"),

@@ -160,6 +160,7 @@ _register_ingest()
 def _register_loaders():
     from . import oracle_ingest as OI
     from .plans import loaders as LD
+    from .plans import unit_loads as UL
 
     jobs = {
         "l1_buildings": (LD.load_buildings, OI.l1_sql()),
@@ -167,11 +168,15 @@ def _register_loaders():
         "u10_surrogate_keys": (lambda lg: LD.U.surrogate_keys(LD.new_buildings(lg), LD.buildings_prior(lg),
                                                               "id_building", ["name"]), OI.u10_sql()),
         "u8_fill_nulls": (LD.fill_building_nulls, OI.u8_sql()),
-        "l4_units": (LD.load_units, OI.l4_sql()),
-        "u6_update_changed": (LD.update_units, OI.u6_sql()),
-        "u7_update_guarded": (LD.update_unit_bank_ids, OI.u7_sql()),
-        "e5_consolidate": (LD.areas_staging, OI.e5_sql()),
-        "l5_unit_areas": (LD.load_areas, OI.l5_sql()),
+        "l4_units": (lambda lg: UL.units_load(lg).units, OI.l4_sql("units")),
+        "l4_rejects": (lambda lg: UL.units_load(lg).rejects, OI.l4_sql("rejects")),
+        "l4_new_buildings": (lambda lg: UL.units_load(lg).buildings, OI.l4_sql("buildings")),
+        "l4_load_summary": (lambda lg: UL.units_load(lg).summary, OI.l4_sql("summary")),
+        "u6_update_changed": (UL.update_units, OI.u6_sql()),
+        "u7_update_guarded": (UL.update_unit_bank_ids, OI.u7_sql()),
+        "e5_consolidate": (UL.consolidated_areas, OI.e5_sql()),
+        "l5_unit_areas": (lambda lg: UL.areas_load(lg).units, OI.l5_sql("units")),
+        "l5_load_summary": (lambda lg: UL.areas_load(lg).summary, OI.l5_sql("summary")),
         "l6_people": (LD.load_people, OI.l6_sql()),
         "u5_update_nonnull": (LD.load_people, OI.l6_sql()),
         "u9_link_upsert": (LD.link_occupancy, OI.u9_sql()),

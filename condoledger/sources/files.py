@@ -6,6 +6,8 @@ never fails the read; the cleaning rules decide what is valid.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -51,23 +53,67 @@ def read_units_pipe(spark: SparkSession, path: str, header: bool = True) -> Data
     return _csv(spark, path, UNITS_COLS, "|", header)
 
 
-def read_areas_tab(spark: SparkSession, path: str, header: bool = True, encoding: str = "UTF-8") -> DataFrame:
-    """A5: tab-separated unit areas (configurable code page)."""
-    return _csv(spark, path, AREAS_COLS, "\t", header, encoding)
+# Code pages that the load procedures name.
+CODE_PAGES = {"65001": "UTF-8", "ACP": "ISO-8859-1", "1252": "ISO-8859-1", "28591": "ISO-8859-1", "1200": "UTF-16LE"}
+
+
+def code_page(name: str) -> str:
+    """Charset of a code page number or name; a charset name stays as it is."""
+    return CODE_PAGES.get(name.upper(), name)
+
+
+def row_terminator(text: str) -> str:
+    """A row terminator given as text, escaped ('\\n') or as hex bytes ('0x0d0a')."""
+    if text.lower().startswith("0x"):
+        return bytes.fromhex(text[2:]).decode("latin-1")
+    return text.replace("\\r", "\r").replace("\\n", "\n").replace("\\t", "\t")
+
+
+def read_areas_tab(spark: SparkSession, path: str, header: bool = True, row_term: str = "0x0d0a",
+                   encoding: str = "65001") -> DataFrame:
+    """A5: tab-separated unit areas with a row terminator and a code page.
+
+    CR, LF and CRLF all end a row by default. Any other terminator makes the
+    file a text source split at it (still read in splits), whose rows are then
+    taken apart at the tabs.
+    """
+    term, charset = row_terminator(row_term), code_page(encoding)
+    if term in ("\n", "\r", "\r\n"):
+        return _csv(spark, path, AREAS_COLS, "\t", header, charset)
+    lines = spark.read.option("lineSep", term).option("encoding", charset).text(path).filter("trim(value) <> ''")
+    rows = lines.select(F.from_csv("value", ", ".join(f"`{c}` string" for c in AREAS_COLS), {"sep": "\t"}).alias("r")).select("r.*")
+    if not header:
+        return rows
+    first = [F.coalesce(F.col(f"`{c}`") == c, F.lit(False)) for c in AREAS_COLS]      # the line of column names
+    return rows.filter(~reduce(lambda a, b: a & b, first))
 
 
 def read_people_semicolon(spark: SparkSession, path: str, header: bool = True,
-                          encoding: str = "iso-8859-1") -> DataFrame:
+                          encoding: str = "ACP") -> DataFrame:
     """Semicolon-separated people file in an ANSI code page. Spark 4 only
     accepts standard charsets for CSV unless ``spark.sql.legacy.javaCharsets``
     is set, so the default is ISO-8859-1 (the same letters as Windows-1252
     for Spanish text; 0x80-0x9F differ)."""
-    return _csv(spark, path, PEOPLE_COLS, ";", header, encoding)
-
-
-def read_expenses_json(spark: SparkSession, path: str) -> DataFrame:
-    """A3: JSON array, one object per (building, month), keys with spaces."""
-    return spark.read.schema(string_schema(EXPENSES_JSON_COLS)).option("multiLine", True).json(path)
+    return _csv(spark, path, PEOPLE_COLS, ";", header, code_page(encoding))
+
+
+def read_expenses_json(spark: SparkSession, path: str, cols: list[str] | None = None) -> DataFrame:
+    """A3: JSON array of flat objects (keys with spaces), read in splits.
+
+    The text is split after each closing brace, so a large array is read by
+    many tasks. A brace inside a text value would break an object apart; such
+    pieces are counted, and where there are any the files are read again by
+    the multi-line reader (one task a file).
+    """
+    schema = string_schema(cols or EXPENSES_JSON_COLS)
+    read = spark.read.option("recursiveFileLookup", True)
+    piece = F.regexp_replace("value", r"^[\s,\[\ufeff]+", "")
+    pieces = read.option("lineSep", "}").text(path).select(piece.alias("piece")).filter(~F.col("piece").rlike(r"^[\s\]]*$"))
+    checked = T.StructType([*schema.fields, T.StructField("_broken", T.StringType())])
+    rows = pieces.select(F.from_json(F.concat("piece", F.lit("}")), checked, {"columnNameOfCorruptRecord": "_broken"}).alias("r")).select("r.*")
+    if rows.filter(F.col("_broken").isNotNull()).isEmpty():
+        return rows.drop("_broken")
+    return read.schema(schema).option("multiLine", True).json(path)
 
 
 def read_payments_csv(spark: SparkSession, path: str, header: bool = True, sep: str = ",",

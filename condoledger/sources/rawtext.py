@@ -3,13 +3,13 @@
 The reference loads spreadsheet exports, delimited files and JSON whose
 contents are not published. To exercise the cleaning and loading jobs on
 data that grows with the tables, every raw file is derived here, row for
-row, from a driver table, with all cells as text in several messy styles
+from the rows of a driver table, with all cells as text in several messy styles
 (the styles below are a fixed rule of the adapter, not reference values):
 
   raw_payments  lineitem x orders (one line per payment): id, date, bank id, amount
   raw_people    customer: name, surname, DNI, e-mail, phone, bank id, tenant word
-  raw_units     customer: bank id, building name, unit, floor, department
-  raw_areas     customer: building, unit, floor, department, share, areas
+  raw_units     customer: bank id, building name, unit, floor, department (several rows each)
+  raw_areas     customer: building, unit, floor, department, share, areas (several rows each)
   raw_buildings nation: name, address, total m2
   raw_expenses  orders per (nation, month), one amount column per category
 """
@@ -108,34 +108,85 @@ def floor_text(k: Column) -> Column:
             .otherwise(f.cast("string")))
 
 
-def raw_units(lg: Ledger) -> DataFrame:
-    """Units file (A4 layout): bank id, building name, unit id, floor, department."""
+def _accented(name: Column) -> Column:
+    """A building name in another spelling: lower case, accents, trailing blanks."""
+    return F.concat(F.translate(F.lower(name), "aeiou", "áéíóú"), F.lit(" "))
+
+
+def _hard_rows(lg: Ledger, row) -> DataFrame:
+    """Customers with the names of their building and the next one; ``row(k, name,
+    next_name)`` lists (condition, struct) of the file rows each of them gives."""
     c = lg.raw("customer", "c_custkey", "c_nationkey")
     n = _names(lg)
-    k = F.col("c_custkey")
-    cbu = F.lpad(k.cast("string"), 22, "0")
-    return (c.join(n, c.c_nationkey == n.n_nationkey)
-            .select(F.when(k % 7 == 3, F.concat_ws(".", F.substring(cbu, 1, 10), F.substring(cbu, 11, 12)))
-                    .otherwise(cbu).alias("cbu"),
-                    F.concat(F.lit(" "), F.col("n_name")).alias("building"),
-                    k.cast("string").alias("unit"), floor_text(k).alias("piso"),
-                    F.concat(F.expr("char(65 + c_custkey % 5)"), F.lit(" ")).alias("departamento")))
+    after = n.select(((F.col("n_nationkey") + 24) % 25).alias("before"), F.col("n_name").alias("next_name"))
+    j = c.join(n, c.c_nationkey == n.n_nationkey).join(after, F.col("n_nationkey") == F.col("before"))
+    rows = [F.when(cond, cells) for cond, cells in row(F.col("c_custkey"), F.col("n_name"), F.col("next_name"))]
+    return j.select(F.explode(F.filter(F.array(*rows), lambda x: x.isNotNull())).alias("r")).select("r.*")
+
+
+def raw_units(lg: Ledger) -> DataFrame:
+    """Units file (A4 layout): bank id, building name, unit id, floor, department.
+
+    Beside one row per customer the file holds what such files do: rows with
+    a blank unit id, of another building than the unit's, of new units and
+    buildings, with blank floor and department, with a bank id that another
+    unit has or another row claims, a second row for one unit, no building.
+    """
+    letter = F.expr("char(65 + c_custkey % 5)")
+
+    def cells(cbu, building, unit, floor, dept):
+        return F.struct(cbu.alias("cbu"), F.concat(F.lit(" "), building).alias("building"), unit.alias("unit"),
+                        floor.alias("piso"), F.concat(dept, F.lit(" ")).alias("departamento"))
+
+    def rows(k, name, next_name):
+        cbu = F.lpad(k.cast("string"), 22, "0")
+        dotted = F.when(k % 7 == 3, F.concat_ws(".", F.substring(cbu, 1, 10), F.substring(cbu, 11, 12))).otherwise(cbu)
+        own = F.when(k % 13 == 0, _accented(name)).otherwise(name)
+        blank = F.lit("")
+
+        def fresh(digit):
+            return F.concat(F.lit(digit), F.lpad(k.cast("string"), 21, "0"))
+
+        def unit(shift):
+            return (k + shift).cast("string")
+
+        def floor(base, span):
+            return (base + k % span).cast("string")
+        return [(F.lit(True), cells(dotted, own, unit(0), floor_text(k), letter)),
+                (k % 20 == 0, cells(fresh("6"), own, blank, floor_text(k), letter)),
+                (k % 25 == 3, cells(fresh("5"), next_name, unit(0), floor_text(k), letter)),
+                (k % 30 == 4, cells(fresh("8"), own, unit(10_000_000), floor(10, 90), letter)),
+                (k % 45 == 5, cells(fresh("7"), own, blank, blank, blank)),
+                (k % 60 == 6, cells(fresh("4"), F.concat(own, F.lit(" II")), unit(20_000_000), F.lit("1"), F.lit("A"))),
+                (k % 35 == 7, cells(dotted, own, unit(30_000_000), floor(100, 50), letter)),
+                (k % 55 == 8, cells(fresh("3"), own, unit(40_000_000), floor(150, 50), letter)),
+                (k % 55 == 8, cells(fresh("3"), own, unit(50_000_000), floor(150, 50), letter)),
+                (k % 70 == 9, cells(dotted, own, unit(0), F.lit("200"), F.lit("Z"))),
+                (k % 80 == 10, cells(fresh("2"), F.lit("  "), unit(60_000_000), F.lit("1"), F.lit("A")))]
+    return _hard_rows(lg, rows)
 
 
 def raw_areas(lg: Ledger) -> DataFrame:
-    """Unit areas file (A5 layout): decimals with comma."""
-    c = lg.raw("customer", "c_custkey", "c_nationkey")
-    n = _names(lg)
-    k = F.col("c_custkey")
-    return (c.join(n, c.c_nationkey == n.n_nationkey)
-            .select(F.col("n_name").alias("building"), k.cast("string").alias("unit"),
-                    floor_text(k).alias("piso"), F.expr("char(65 + c_custkey % 5)").alias("departamento"),
-                    F.concat((1 + k % 7).cast("string"), F.lit(",00")).alias("coeficiente"),
-                    F.concat((40 + k % 61).cast("string"), F.lit(",5")).alias("m2_unidad"),
-                    F.when(k % 4 == 1, "SI").otherwise("NO").alias("bauleras"),
-                    F.when(k % 6 == 2, "SI").otherwise("NO").alias("cochera"),
-                    F.when(k % 4 == 1, "3,5").otherwise("0").alias("m2_baulera"),
-                    F.when(k % 6 == 2, "12").otherwise("0").alias("m2_cochera")))
+    """Unit areas file (A5 layout): decimals with comma; also blank cells, new
+    units, units without floor and department, new buildings."""
+    letter = F.expr("char(65 + c_custkey % 5)")
+
+    def cells(k, building, unit, floor, dept):
+        return F.struct(building.alias("building"), unit.alias("unit"), floor.alias("piso"), dept.alias("departamento"),
+                        F.when(k % 50 == 11, F.lit("")).otherwise(F.concat((1 + k % 7).cast("string"), F.lit(",00"))).alias("coeficiente"),
+                        F.concat((40 + k % 61).cast("string"), F.lit(",5")).alias("m2_unidad"),
+                        F.when(k % 4 == 1, "SI").otherwise("NO").alias("bauleras"),
+                        F.when(k % 6 == 2, "SI").otherwise("NO").alias("cochera"),
+                        F.when(k % 4 == 1, "3,5").otherwise("0").alias("m2_baulera"),
+                        F.when(k % 6 == 2, "12").otherwise("0").alias("m2_cochera"))
+
+    def rows(k, name, next_name):
+        own = F.when(k % 13 == 0, _accented(name)).otherwise(name)
+        return [(k % 11 != 3, cells(k, own, k.cast("string"), floor_text(k), letter)),
+                (k % 30 == 4, cells(k, own, F.lit(""), (10 + k % 90).cast("string"), letter)),
+                (k % 45 == 5, cells(k, own, F.lit(""), F.lit(""), F.lit(""))),
+                (k % 60 == 6, cells(k, F.concat(name, F.lit(" II")), F.lit(""), F.lit("1"), F.lit("A")))]
+    return _hard_rows(lg, rows)
 
 
 def raw_buildings(lg: Ledger) -> DataFrame:
