@@ -151,7 +151,9 @@ rexp0 AS (
          {sums}
   FROM ob GROUP BY id_building, month_start),
 raw_expenses AS (
-  SELECT n.n_name AS "Nombre del consorcio", CAST(year(month_start) AS INTEGER) AS anio,
+  SELECT CASE WHEN month(month_start) = 12 AND n.n_nationkey % 9 = 4 THEN n.n_name || ' III'
+              WHEN month(month_start) = 7 THEN translate(lower(n.n_name), 'aeiou', 'áéíóú') || ' ' ELSE n.n_name END
+           AS "Nombre del consorcio", CAST(year(month_start) AS INTEGER) AS anio,
          CASE month(month_start) WHEN 5 THEN 'Ma yo' {months} END AS "Mes",
          {cols},
          CAST(NULL AS VARCHAR) AS "SERVICIOS PUBLICOS-Agua", CAST(NULL AS VARCHAR) AS "SERVICIOS PUBLICOS-Luz"

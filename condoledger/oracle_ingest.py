@@ -109,12 +109,12 @@ def nk(x: str) -> str:
     return f"strip_accents(lower(rtrim({x})))"
 
 
-def _ensured(staged: str, out: str) -> str:
+def ensured(staged: str, out: str) -> str:
     return f"""
 {out}_new AS (SELECT min(building_name) AS name FROM {staged} WHERE building_name IS NOT NULL AND NOT EXISTS (
                 SELECT 1 FROM building b WHERE {nk('b.name')} = {nk('building_name')}) GROUP BY {nk('building_name')}),
 {out} AS (SELECT id_building, name, address, total_area, 'KEEP' AS action FROM building
-          UNION ALL SELECT (SELECT max(id_building) FROM building) + row_number() OVER (ORDER BY name), name, NULL, NULL, 'INSERT'
+          UNION ALL SELECT coalesce((SELECT max(id_building) FROM building), 0) + row_number() OVER (ORDER BY name), name, NULL, NULL, 'INSERT'
           FROM {out}_new),
 {out}_ids AS (SELECT {nk('name')} AS k, min(id_building) AS id_building FROM {out} GROUP BY ALL)"""
 
@@ -127,7 +127,7 @@ u_stg AS (SELECT DISTINCT {_UNIT_ID} AS unit, {k1('building', 50)} AS building_n
                  {k16_dept('departamento')} AS dept, {k7('cbu')} AS cbu FROM raw_units),
 u_prior AS (SELECT id_unit, id_building, CASE WHEN id_unit % 9 = 0 THEN NULL ELSE floor END AS floor, dept,
                    CASE WHEN id_unit % 10 = 3 THEN NULL ELSE cbu END AS cbu FROM unit),
-{_ensured('u_stg', 'u_bld').strip()},
+{ensured('u_stg', 'u_bld').strip()},
 u_rows AS (SELECT u_stg.*, id_building FROM u_stg JOIN u_bld_ids ON k = {nk('building_name')}),
 u_home AS (SELECT r.*, p.id_unit FROM u_rows r JOIN u_prior p ON p.id_unit = r.unit AND p.id_building = r.id_building),
 by_id AS (SELECT * FROM u_home QUALIFY row_number() OVER (PARTITION BY id_unit ORDER BY {_FIRST}) = 1)"""
@@ -175,7 +175,7 @@ no_place AS (SELECT r.* FROM rest r WHERE NOT EXISTS (SELECT 1 FROM s2 x WHERE {
 asked AS (SELECT *, EXISTS (SELECT 1 FROM s2 x WHERE x.cbu = r.cbu) AS held FROM no_place r),
 claim AS (SELECT *, CASE WHEN cbu IS NULL OR held THEN 1 ELSE row_number() OVER (PARTITION BY cbu, held
             ORDER BY id_building, floor IS NULL, floor, dept IS NULL, dept, unit IS NULL, unit, building_name) END AS nth FROM asked),
-ins AS (SELECT (SELECT max(id_unit) FROM s2) + row_number() OVER (ORDER BY {key}) AS id_unit, * FROM claim WHERE NOT held AND nth = 1),
+ins AS (SELECT coalesce((SELECT max(id_unit) FROM s2), 0) + row_number() OVER (ORDER BY {key}) AS id_unit, * FROM claim WHERE NOT held AND nth = 1),
 l4 AS (SELECT id_unit, id_building, floor, dept, cbu, CASE WHEN a1 OR a2 OR a3 THEN 'UPDATE' ELSE 'KEEP' END AS action FROM s2
        UNION ALL SELECT id_unit, id_building, floor, dept, cbu, 'INSERT' FROM ins),
 l4_rej AS (
@@ -218,7 +218,7 @@ def l5_sql(which: str) -> str:
     cols = ["share", "area", "storage_m2", "garage_m2"]
     sel = ", ".join(f"coalesce(s.{c}, t.{c}) AS {c}" for c in cols)
     chg = " OR ".join(f"coalesce(s.{c}, t.{c}) IS DISTINCT FROM t.{c}" for c in cols)
-    return with_ledger(RAW_AREAS, A_STG, _ensured("a_stg", "a_bld"), f"""
+    return with_ledger(RAW_AREAS, A_STG, ensured("a_stg", "a_bld"), f"""
 a_rows AS (SELECT id_building, floor, dept, {", ".join(f"max({c}) AS {c}" for c in cols)}
            FROM a_stg JOIN a_bld_ids ON k = {nk('building_name')} GROUP BY id_building, floor, dept),
 a_prior AS (SELECT id_unit, id_building, floor, dept, CASE WHEN id_unit % 8 = 0 THEN NULL ELSE share END AS share, area,

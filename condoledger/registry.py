@@ -250,12 +250,16 @@ def _register_expenses():
     from .plans import ingest as I
 
     jobs = {
-        "u1_merge_bills": (lambda lg: X.merge_bills(lg, 2000), OX.u1_sql(2000)),
-        "l3_expenses_json": (lambda lg: X.new_expenses(lg, 2000), OX.l3_sql(2000)),
-        "u2_merge_expenses": (lambda lg: X.new_expenses(lg, 2001), OX.l3_sql(2001)),
-        "l2_supplier_expenses": (X.supplier_expenses, OX.l2_sql()),
-        "l9_extraordinary": (lambda lg: X.extraordinary_expenses(lg, 2000), OX.l9_sql(2000)),
-        "l9_extraordinary_all_years": (X.extraordinary_expenses, OX.l9_all_years_sql()),
+        "u1_merge_bills": (lambda lg: X.monthly_load(lg).bills, OX.l3_sql("bills")),
+        "l3_expenses_json": (lambda lg: X.monthly_load(lg).expenses, OX.l3_sql("expenses")),
+        "l3_new_buildings": (lambda lg: X.monthly_load(lg).buildings, OX.l3_sql("buildings")),
+        "l3_ordinary_details": (lambda lg: X.monthly_load(lg).ordinary, OX.l3_sql("ordinary")),
+        "u2_merge_expenses": (X.merge_expenses, OX.l3_sql("merged")),
+        "l2_supplier_expenses": (lambda lg: X.supplier_load(lg).expenses, OX.l2_sql("expenses")),
+        "l2_ordinary_details": (lambda lg: X.supplier_load(lg).ordinary, OX.l2_sql("ordinary")),
+        "l9_extraordinary": (lambda lg: X.works_load(lg).expenses.join(X.works_load(lg).extraordinary, "id_expense"), OX.l9_sql("expenses")),
+        "l9_bills": (lambda lg: X.works_load(lg).bills, OX.l9_sql("bills")),
+        "l9_extraordinary_all_years": (X.work_totals, OX.l9_sql("totals")),
         "k8_latest_quote": (R.latest_quotes, OX.k8_sql()),
         "k9_dollars": (R.bills_in_dollars, OX.k9_sql()),
         "u3_merge_payments": (lambda lg: I.payment_load(lg).ok.filter(F.col("action") == "INSERT"),

@@ -218,10 +218,13 @@ def raw_expenses(lg: Ledger) -> DataFrame:
         pivot_cols.append(F.sum(F.when(cat == prio, F.col("o_totalprice").cast("decimal(10,2)"))).alias(name))
     g = o.groupBy("id_building", "month_start").agg(*pivot_cols)
     n = _names(lg)
+    # other spellings, and a building that no other file has
+    name = (F.when((F.month("month_start") == 12) & (n.n_nationkey % 9 == 4), F.concat("n_name", F.lit(" III")))
+            .when(F.month("month_start") == 7, _accented(F.col("n_name"))).otherwise(F.col("n_name")))
     month_name = F.element_at(F.array(*[F.lit(m) for m in MONTHS_ES]), F.month("month_start"))
     cols = [F.when(F.col(name).isNotNull(), _local(F.col(name))).alias(name) for name in PRIORITY_CATEGORY.values()]
     return (g.join(n, g.id_building == n.n_nationkey)
-            .select(F.col("n_name").alias("Nombre del consorcio"),
+            .select(name.alias("Nombre del consorcio"),
                     F.year("month_start").alias("anio"),
                     F.when(F.month("month_start") == 5, F.lit("Ma yo")).otherwise(F.initcap(month_name)).alias("Mes"),
                     *cols,
