@@ -185,10 +185,14 @@ def recompute_accounts(lg: Ledger, rule: str = "M1", building: int | None = None
     return acc.select(*ACCOUNT_COLS)
 
 
-def generate_accounts(lg: Ledger, year: int, existing: DataFrame | None = None) -> DataFrame:
-    """Unit x bill of the year for rows not yet present; amounts NULL."""
-    y0, y1 = dt.date(year, 1, 1), dt.date(year + 1, 1, 1)
-    bills = lg.bill.filter((F.col("issue_date") >= F.lit(y0)) & (F.col("issue_date") < F.lit(y1)))
+def generate_accounts(lg: Ledger, year: int | None, existing: DataFrame | None = None) -> DataFrame:
+    """Unit x bill of the year (None: of all years, but for dummy bills) for
+    rows not yet present; amounts NULL."""
+    if year is None:
+        bills = lg.bill.filter(F.col("issue_date") != F.lit(DUMMY_DATE))
+    else:
+        y0, y1 = dt.date(year, 1, 1), dt.date(year + 1, 1, 1)
+        bills = lg.bill.filter((F.col("issue_date") >= F.lit(y0)) & (F.col("issue_date") < F.lit(y1)))
     sk = (lg.unit.select("id_unit", "id_building").join(bills, "id_building")
           .select(account_id(F.col("id_unit"), F.col("month_start")).alias("id_account"),
                   "id_unit", "id_building", "id_bill",

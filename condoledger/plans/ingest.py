@@ -74,11 +74,13 @@ def load_payments(lg: Ledger, raw: DataFrame, amount_rule: str = "K3",
 
     ``raw`` has text cells c1 (id), c2 (date), c3 (bank id), c4 (amount).
     ``amount_rule`` K3 (flexible, default) or K4 (the reference loader's own).
+    A ``file`` column of ``raw`` goes with its rows into the rejects.
     ``existing`` payments (default: the ledger's) make the merge insert-only
     and idempotent: a row equal on all key columns is kept, not re-inserted.
     """
     existing = lg.payment if existing is None else existing
-    n = raw.select(*[K.trim_spaces(c).alias(c) for c in ["c1", "c2", "c3", "c4"]])
+    of_file = [c for c in raw.columns if c == "file"]
+    n = raw.select(*[K.trim_spaces(c).alias(c) for c in ["c1", "c2", "c3", "c4"]], *of_file)
     n = n.withColumn("_blank", F.nullif(F.col("c4"), F.lit("")).isNull())
     amount = K.amount_flexible_on("c4", "_amt") if amount_rule == "K3" else K.amount_candidates_on("c4", "_amt")
     p = (n.transform(amount)
@@ -91,7 +93,7 @@ def load_payments(lg: Ledger, raw: DataFrame, amount_rule: str = "K3",
     # as Parquet in the shared checkpoint folder: three outputs read them, and
     # a filter on the parse results must not be pushed back into the parse
     # expressions (one write; an RDD checkpoint would compute the parse twice).
-    p = store(p.select("c2", "c3", "c4", "_blank", "pay_date", "cbu", "amount", "_valid"),
+    p = store(p.select("c2", "c3", "c4", "_blank", "pay_date", "cbu", "amount", "_valid", *of_file),
               os.path.join(checkpoint_dir(lg.spark), "parsed", uuid.uuid4().hex))
 
     units = lg.unit.select(unit_bank_key(F.col("cbu")).alias("cbu"), "id_unit", "id_building")
@@ -117,10 +119,10 @@ def load_payments(lg: Ledger, raw: DataFrame, amount_rule: str = "K3",
     text = ["c2", "c3", "c4"]
     rej_raw = p.filter(F.col("_blank") | ~F.col("_valid")).select(
         F.when(F.col("_blank"), REASON_BLANK).otherwise(REASON_PARSE).alias("reason"),
-        *[F.nullif(F.col(c), F.lit("")).alias(t) for c, t in zip(text, ["date_txt", "cbu_txt", "amount_txt"])])
+        *[F.nullif(F.col(c), F.lit("")).alias(t) for c, t in zip(text, ["date_txt", "cbu_txt", "amount_txt"])], *of_file)
     rej_match = m.filter(F.col("reason").isNotNull()).select(
         "reason", F.date_format("pay_date", "yyyy-MM-dd").alias("date_txt"), F.col("cbu").alias("cbu_txt"),
-        F.col("amount").cast("string").alias("amount_txt"))
+        F.col("amount").cast("string").alias("amount_txt"), *of_file)
     rejects = rej_raw.unionByName(rej_match)
 
     ok = (m.filter(F.col("reason").isNull())

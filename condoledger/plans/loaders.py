@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..functions import clean as K
 from ..functions.collation import name_key
 from ..operators import upsert as U
+from ..operators.joins import store
 from ..sources import landing
 from ..sources.ledger import Ledger
 
@@ -44,14 +45,19 @@ def new_buildings(lg: Ledger) -> DataFrame:
     return U.insert_absent(buildings_prior(lg), buildings_staging(lg), key_exprs=_name_keys())
 
 
-def load_buildings(lg: Ledger) -> DataFrame:
-    """L1: prior state + absent buildings with new surrogate ids."""
-    prior = buildings_prior(lg)
-    new = U.surrogate_keys(new_buildings(lg), prior, "id_building", ["name"])
+def upsert_buildings(prior: DataFrame, staged: DataFrame) -> DataFrame:
+    """U4 + U10: the known buildings, and the absent ones under new keys."""
+    new = U.insert_absent(prior, staged, key_exprs=_name_keys())
+    new = U.surrogate_keys(new, prior, "id_building", ["name"])
     return (prior.withColumn("action", F.lit(U.KEEP))
             .unionByName(new.select(*prior.columns).withColumn("action", F.lit(U.INSERT))))
 
 
+def load_buildings(lg: Ledger) -> DataFrame:
+    """L1: prior state + absent buildings with new surrogate ids."""
+    return upsert_buildings(buildings_prior(lg), buildings_staging(lg))
+
+
 def fill_building_nulls(lg: Ledger) -> DataFrame:
     """U8: fill only the unknown address / area of known buildings from the file."""
     b = lg.building
@@ -84,25 +90,31 @@ def people_staging(lg: Ledger) -> DataFrame:
 PERSON_COLS = ["first_name", "last_name", "dni", "email", "phone"]
 
 
-def load_people(lg: Ledger) -> DataFrame:
-    """Known bank ids take COALESCE(new, old); new bank ids are inserted
-    with surrogate ids (U10)."""
-    prior = lg.person
-    s = people_staging(lg)
-    upd = U.update_nonnull(prior, s, ["cbu"], PERSON_COLS)
-    new = U.insert_absent(prior, s, ["cbu"])
-    new = U.surrogate_keys(new, prior, "id_person", ["cbu"])
+def upsert_people(prior: DataFrame, staged: DataFrame) -> DataFrame:
+    """Known bank ids take COALESCE(new, old); new ones are inserted."""
+    upd = U.update_nonnull(prior, staged, ["cbu"], PERSON_COLS)
+    new = U.surrogate_keys(U.insert_absent(prior, staged, ["cbu"]), prior, "id_person", ["cbu"])
     return upd.unionByName(new.select(*prior.columns).withColumn("action", F.lit(U.INSERT)))
 
 
-def link_occupancy(lg: Ledger) -> DataFrame:
+def load_people(lg: Ledger) -> DataFrame:
+    """L6 over the landed people file, stored once per ledger."""
+    if "_people_load" not in lg.__dict__:
+        lg.__dict__["_people_load"] = store(upsert_people(lg.person, people_staging(lg)), f"{lg.root}/people-load")
+    return lg.__dict__["_people_load"]
+
+
+def upsert_occupancy(prior: DataFrame, staged: DataFrame, people: DataFrame, units: DataFrame) -> DataFrame:
     """Person-unit match by bank id -> (person, building) link; the tenant
-    flag is updated when it changed, new links inserted."""
-    people = load_people(lg).select("id_person", "cbu")
-    s = people_staging(lg).select("cbu", (F.col("is_tenant") == 1).alias("is_tenant"))
-    units = lg.unit.select("cbu", "id_building")
-    links = s.join(people, "cbu").join(units, "cbu").select("id_person", "id_building", "is_tenant").distinct()
-    prior = lg.occupancy
+    flag is updated when it changed, new links inserted. A person with units
+    of both flags in a building is a tenant there."""
+    flags = staged.select("cbu", (F.col("is_tenant") == 1).alias("is_tenant"))
+    links = (flags.join(people.select("id_person", "cbu"), "cbu").join(units.select("cbu", "id_building"), "cbu")
+             .groupBy("id_person", "id_building").agg(F.max("is_tenant").alias("is_tenant")))
     upd = U.update_changed(prior, links, ["id_person", "id_building"], ["is_tenant"])
     new = U.insert_absent(prior, links, ["id_person", "id_building"])
     return upd.unionByName(new.select(*prior.columns).withColumn("action", F.lit(U.INSERT)))
+
+
+def link_occupancy(lg: Ledger) -> DataFrame:
+    return upsert_occupancy(lg.occupancy, people_staging(lg), load_people(lg), lg.unit)

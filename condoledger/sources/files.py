@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -116,11 +116,21 @@ def read_expenses_json(spark: SparkSession, path: str, cols: list[str] | None =
     return read.schema(schema).option("multiLine", True).json(path)
 
 
+def source_file() -> Column:
+    """Name of the file that a row was read from: of a folder of part files the
+    folder's, else the file's own."""
+    parts = F.split(F.col("_metadata.file_path"), "/")
+    own = F.element_at(parts, -1)
+    return F.when(own.startswith("part-"), F.element_at(parts, -2)).otherwise(own)
+
+
 def read_payments_csv(spark: SparkSession, path: str, header: bool = True, sep: str = ",",
-                      encoding: str = "UTF-8") -> DataFrame:
-    """Comma CSV with '"' quotes; CR, LF and BOM stripped from every cell."""
+                      encoding: str = "UTF-8", with_file: bool = False) -> DataFrame:
+    """Comma CSV with '"' quotes; CR, LF and BOM stripped from every cell.
+    ``with_file`` adds the row's file name as ``file``."""
     df = _csv(spark, path, PAYMENTS_COLS, sep, header, encoding, quote='"')
-    return df.select(*[F.regexp_replace(c, "[\r\n\ufeff]", "").alias(c) for c in PAYMENTS_COLS])
+    return df.select(*[F.regexp_replace(c, "[\r\n\ufeff]", "").alias(c) for c in PAYMENTS_COLS],
+                     *([source_file().alias("file")] if with_file else []))
 
 
 def legacy_payment_layout(df: DataFrame) -> DataFrame:

@@ -73,3 +73,9 @@ def expenses(lg: Ledger) -> DataFrame:
     path = _land(lg, "expenses.json", lambda p: _json_arrays(raw, p, "Nombre del consorcio"))
     return S.read_expenses_json(lg.spark, path, [*S.EXPENSES_JSON_COLS, "anio"]).select(
         *[F.col(f"`{c}`").cast(raw.schema[c].dataType).alias(c) for c in raw.columns])
+
+
+def payments(lg: Ledger) -> DataFrame:
+    """The bank file with the name of the file that each row came from."""
+    path = _land(lg, "payments.csv", lambda p: S.land_csv(RT.raw_payments(lg), p))
+    return S.read_payments_csv(lg.spark, path, with_file=True)
