@@ -83,7 +83,7 @@ FLOOR_TXT = ("CASE WHEN c_custkey % 10 = 0 AND c_custkey % 3 = 0 THEN 'PB' WHEN
              "ELSE CAST(c_custkey % 10 AS VARCHAR) END")
 
 _OWN = "CASE WHEN k % 13 = 0 THEN translate(lower(name), 'aeiou', 'áéíóú') || ' ' ELSE name END"
-_FILE_BASE = f"""
+FILE_BASE = f"""
 file_base AS (
   SELECT c_custkey AS k, n.n_name AS name, m.n_name AS next_name, {FLOOR_TXT} AS floor_txt,
          chr(CAST(65 + c_custkey % 5 AS INTEGER)) AS letter
@@ -99,7 +99,7 @@ def _unit_row(where: str, cbu: str, building: str, unit: str, floor: str, dept:
 
 _DOTTED = ("CASE WHEN k % 7 = 3 THEN substr(lpad(CAST(k AS VARCHAR), 22, '0'), 1, 10) || '.' || "
            "substr(lpad(CAST(k AS VARCHAR), 22, '0'), 11, 12) ELSE lpad(CAST(k AS VARCHAR), 22, '0') END")
-RAW_UNITS = _FILE_BASE.strip() + ",\nraw_units AS (" + "\nUNION ALL ".join([
+RAW_UNIT_ROWS = "raw_units AS (" + "\nUNION ALL ".join([
     _unit_row("true", _DOTTED, _OWN, "CAST(k AS VARCHAR)", "floor_txt", "letter"),
     _unit_row("k % 20 = 0", "6", _OWN, "''", "floor_txt", "letter"),
     _unit_row("k % 25 = 3", "5", "next_name", "CAST(k AS VARCHAR)", "floor_txt", "letter"),
@@ -113,6 +113,9 @@ RAW_UNITS = _FILE_BASE.strip() + ",\nraw_units AS (" + "\nUNION ALL ".join([
     _unit_row("k % 80 = 10", "2", "'  '", "CAST(k + 60000000 AS VARCHAR)", "'1'", "'A'")]) + ")"
 
 
+RAW_UNITS = FILE_BASE.strip() + ",\n" + RAW_UNIT_ROWS
+
+
 def _area_row(where: str, building: str, unit: str, floor: str, dept: str) -> str:
     return f"""SELECT {building} AS building, {unit} AS unit, {floor} AS piso, {dept} AS departamento,
        CASE WHEN k % 50 = 11 THEN '' ELSE CAST(1 + k % 7 AS VARCHAR) || ',00' END AS coeficiente,
@@ -122,11 +125,12 @@ def _area_row(where: str, building: str, unit: str, floor: str, dept: str) -> st
 FROM file_base WHERE {where}"""
 
 
-RAW_AREAS = _FILE_BASE.strip() + ",\nraw_areas AS (" + "\nUNION ALL ".join([
+RAW_AREA_ROWS = "raw_areas AS (" + "\nUNION ALL ".join([
     _area_row("k % 11 <> 3", _OWN, "CAST(k AS VARCHAR)", "floor_txt", "letter"),
     _area_row("k % 30 = 4", _OWN, "''", "CAST(10 + k % 90 AS VARCHAR)", "letter"),
     _area_row("k % 45 = 5", _OWN, "''", "''", "''"),
     _area_row("k % 60 = 6", "name || ' II'", "''", "'1'", "'A'")]) + ")"
+RAW_AREAS = FILE_BASE.strip() + ",\n" + RAW_AREA_ROWS
 
 RAW_BUILDINGS = """
 raw_buildings AS (

@@ -46,14 +46,22 @@ def l7_ok_sql() -> str:
     return with_ledger(*_l7_ctes(), select="SELECT * FROM ok")
 
 
-def l7_rejects_sql() -> str:
-    return with_ledger(*_l7_ctes(), select=f"""
+_L7_REJECTS = f"""
 SELECT CASE WHEN blank THEN '{REASON_BLANK}' ELSE '{REASON_PARSE}' END AS reason,
        nullif(c2, '') AS date_txt, nullif(c3, '') AS cbu_txt, nullif(c4, '') AS amount_txt
 FROM p2 WHERE blank OR NOT valid
 UNION ALL
 SELECT reason, strftime(pay_date, '%Y-%m-%d') AS date_txt, cbu AS cbu_txt, CAST(amount AS VARCHAR) AS amount_txt
-FROM m2 WHERE reason IS NOT NULL""")
+FROM m2 WHERE reason IS NOT NULL"""
+
+
+def l7_rejects_sql() -> str:
+    return with_ledger(*_l7_ctes(), select=_L7_REJECTS)
+
+
+def l7_steps() -> tuple[list[str], str]:
+    """(CTEs of L7 over raw_pay and the tables unit, bill, account, payment, ending in ok; its rejects)."""
+    return _l7_ctes()[2:], _L7_REJECTS
 
 
 def l7_summary_sql() -> str:
@@ -75,7 +83,7 @@ b_prior AS (SELECT id_building, name, address, total_area FROM building WHERE id
 b_new0 AS (SELECT s.* FROM b_stg s WHERE NOT EXISTS (
              SELECT 1 FROM b_prior t WHERE lower(t.name) = lower(s.name)
                AND lower(coalesce(t.address, '')) = lower(coalesce(s.address, '')))),
-b_new AS (SELECT (SELECT max(id_building) FROM b_prior) + row_number() OVER (ORDER BY name) AS id_building,
+b_new AS (SELECT coalesce((SELECT max(id_building) FROM b_prior), 0) + row_number() OVER (ORDER BY name) AS id_building,
                  name, address, total_area FROM b_new0)"""
 
 
@@ -122,17 +130,22 @@ def ensured(staged: str, out: str) -> str:
 _UNIT_ID = f"CASE WHEN regexp_matches({trim_sp('unit')}, '^[0-9]+$') THEN TRY_CAST({trim_sp('unit')} AS BIGINT) END"
 # one whole row of those that mean one unit
 _FIRST = "cbu IS NULL, cbu, floor IS NULL, floor, dept IS NULL, dept, building_name"
-U_STG = f"""
+def u_staged(prior: str) -> str:
+    """The units file staged, its buildings, and its rows for known units by id."""
+    return f"""
 u_stg AS (SELECT DISTINCT {_UNIT_ID} AS unit, {k1('building', 50)} AS building_name, {k16_floor('piso')} AS floor,
                  {k16_dept('departamento')} AS dept, {k7('cbu')} AS cbu FROM raw_units),
-u_prior AS (SELECT id_unit, id_building, CASE WHEN id_unit % 9 = 0 THEN NULL ELSE floor END AS floor, dept,
-                   CASE WHEN id_unit % 10 = 3 THEN NULL ELSE cbu END AS cbu FROM unit),
+u_prior AS ({prior}),
 {ensured('u_stg', 'u_bld').strip()},
 u_rows AS (SELECT u_stg.*, id_building FROM u_stg JOIN u_bld_ids ON k = {nk('building_name')}),
 u_home AS (SELECT r.*, p.id_unit FROM u_rows r JOIN u_prior p ON p.id_unit = r.unit AND p.id_building = r.id_building),
 by_id AS (SELECT * FROM u_home QUALIFY row_number() OVER (PARTITION BY id_unit ORDER BY {_FIRST}) = 1)"""
 
 
+U_STG = u_staged("""SELECT id_unit, id_building, CASE WHEN id_unit % 9 = 0 THEN NULL ELSE floor END AS floor, dept,
+                   CASE WHEN id_unit % 10 = 3 THEN NULL ELSE cbu END AS cbu FROM unit""")
+
+
 def _u6(src: str) -> str:
     return f"""
 u6 AS (SELECT t.* REPLACE (coalesce(s.floor, t.floor) AS floor, coalesce(s.dept, t.dept) AS dept),
@@ -161,11 +174,12 @@ def u7_sql() -> str:
 SELECT id_unit, id_building, floor, dept, cbu, CASE WHEN a2 THEN 'UPDATE' ELSE 'KEEP' END AS action FROM u7""")
 
 
-def _l4_ctes() -> list[str]:
+def l4_steps() -> list[str]:
+    """The three passes of L4 over u_staged."""
     same = "x.id_building = r.id_building AND x.floor IS NOT DISTINCT FROM r.floor AND x.dept IS NOT DISTINCT FROM r.dept"
     row = "unit, building_name, floor, dept, cbu"
     key = "id_building, floor IS NULL, floor, dept IS NULL, dept, cbu IS NULL, cbu, unit IS NULL, unit"
-    return [RAW_UNITS, U_STG, _u6("u_prior"), _u7("u6", "by_id", "s1", "a2"), f"""
+    return [_u6("u_prior"), _u7("u6", "by_id", "s1", "a2"), f"""
 place AS (SELECT id_building, floor, dept, min(id_unit) AS id_unit FROM s1 GROUP BY ALL),
 at_place AS (SELECT r.*, x.id_unit FROM u_rows r JOIN place x ON {same} WHERE r.unit IS NULL),
 by_place AS (SELECT * FROM at_place QUALIFY row_number() OVER (PARTITION BY id_unit ORDER BY {_FIRST}) = 1)""",
@@ -193,7 +207,7 @@ l4_rej AS (
 
 
 def l4_sql(which: str) -> str:
-    return with_ledger(*_l4_ctes(), select={
+    return with_ledger(RAW_UNITS, U_STG, *l4_steps(), select={
         "units": "SELECT * FROM l4", "rejects": "SELECT * FROM l4_rej", "buildings": "SELECT * FROM u_bld",
         "summary": """
 SELECT (SELECT count(*) FROM raw_units) AS rows_read, (SELECT count(*) FROM u_stg) AS rows_staged,
@@ -214,22 +228,29 @@ def e5_sql() -> str:
     return with_ledger(RAW_AREAS, A_STG, select="SELECT * FROM a_stg")
 
 
-def l5_sql(which: str) -> str:
+def l5_steps(prior: str) -> list[str]:
+    """L5 over a_stg and the units before it."""
     cols = ["share", "area", "storage_m2", "garage_m2"]
     sel = ", ".join(f"coalesce(s.{c}, t.{c}) AS {c}" for c in cols)
     chg = " OR ".join(f"coalesce(s.{c}, t.{c}) IS DISTINCT FROM t.{c}" for c in cols)
-    return with_ledger(RAW_AREAS, A_STG, ensured("a_stg", "a_bld"), f"""
+    return [ensured("a_stg", "a_bld"), f"""
 a_rows AS (SELECT id_building, floor, dept, {", ".join(f"max({c}) AS {c}" for c in cols)}
            FROM a_stg JOIN a_bld_ids ON k = {nk('building_name')} GROUP BY id_building, floor, dept),
-a_prior AS (SELECT id_unit, id_building, floor, dept, CASE WHEN id_unit % 8 = 0 THEN NULL ELSE share END AS share, area,
-                   storage_m2, garage_m2 FROM unit),
-a_ins AS (SELECT (SELECT max(id_unit) FROM a_prior) + row_number() OVER (ORDER BY id_building, floor IS NULL, floor, dept IS NULL, dept) AS id_unit, *
+a_prior AS ({prior}),
+a_ins AS (SELECT coalesce((SELECT max(id_unit) FROM a_prior), 0)
+                 + row_number() OVER (ORDER BY id_building, floor IS NULL, floor, dept IS NULL, dept) AS id_unit, *
           FROM a_rows s WHERE NOT EXISTS (SELECT 1 FROM a_prior t WHERE t.id_building = s.id_building
             AND t.floor IS NOT DISTINCT FROM s.floor AND t.dept IS NOT DISTINCT FROM s.dept)),
 l5 AS (SELECT t.id_unit, t.id_building, t.floor, t.dept, {sel}, CASE WHEN {chg} THEN 'UPDATE' ELSE 'KEEP' END AS action
        FROM a_prior t LEFT JOIN a_rows s ON t.id_building = s.id_building AND t.floor IS NOT DISTINCT FROM s.floor
          AND t.dept IS NOT DISTINCT FROM s.dept
-       UNION ALL SELECT *, 'INSERT' FROM a_ins)""", select={"units": "SELECT * FROM l5", "summary": """
+       UNION ALL SELECT *, 'INSERT' FROM a_ins)"""]
+
+
+def l5_sql(which: str) -> str:
+    prior = """SELECT id_unit, id_building, floor, dept, CASE WHEN id_unit % 8 = 0 THEN NULL ELSE share END AS share, area,
+                   storage_m2, garage_m2 FROM unit"""
+    return with_ledger(RAW_AREAS, A_STG, *l5_steps(prior), select={"units": "SELECT * FROM l5", "summary": """
 SELECT (SELECT count(*) FROM raw_areas) AS rows_read, (SELECT count(*) FROM a0 WHERE building_name IS NOT NULL) AS rows_staged,
        (SELECT count(*) FROM l5 WHERE action = 'INSERT') AS inserted, (SELECT count(*) FROM l5 WHERE action = 'UPDATE') AS updated,
        (SELECT count(*) FROM a_bld WHERE action = 'INSERT') AS new_buildings, 0::BIGINT AS rejected"""}[which])
@@ -249,7 +270,7 @@ p_upd AS (SELECT t.id_person,
                  CASE WHEN s.cbu IS NOT NULL AND ({" OR ".join(f"coalesce(s.{c}, t.{c}) IS DISTINCT FROM t.{c}" for c in ["first_name", "last_name", "dni", "email", "phone"])})
                       THEN 'UPDATE' ELSE 'KEEP' END AS action
           FROM person t LEFT JOIN p_stg s ON s.cbu = t.cbu),
-p_new AS (SELECT (SELECT max(id_person) FROM person) + row_number() OVER (ORDER BY s.cbu) AS id_person,
+p_new AS (SELECT coalesce((SELECT max(id_person) FROM person), 0) + row_number() OVER (ORDER BY s.cbu) AS id_person,
                  s.first_name, s.last_name, s.dni, s.email, s.phone, s.cbu, 'INSERT' AS action
           FROM p_stg s WHERE NOT EXISTS (SELECT 1 FROM person t WHERE t.cbu = s.cbu)),
 p_all AS (SELECT * FROM p_upd UNION ALL SELECT * FROM p_new)"""

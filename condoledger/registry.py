@@ -295,6 +295,22 @@ def _register_files():
 _register_files()
 
 
+# ----------------------------------------------------- whole load
+def _register_whole_load():
+    from . import oracle_load as OL
+    from .plans import load_run as LR
+
+    def expenses(lg):
+        st = LR.whole_load(lg)
+        return st.expense.join(st.ordinary.drop("invoice"), "id_expense", "left").join(st.extraordinary, "id_expense", "left")
+    for table in ("building", "unit", "person", "occupancy", "bill", "expense", "account", "payment", "reject", "log"):
+        fn = expenses if table == "expense" else lambda lg, table=table: getattr(LR.whole_load(lg), table)
+        register(f"l10_{table}", OL.l10_sql(table))(lambda spark, sf_dir, fn=fn: fn(ledger(spark, sf_dir)))
+
+
+_register_whole_load()
+
+
 # ----------------------------------------------------- pipeline and batch
 PIPELINE_STEPS = ["l1_buildings", "l2_supplier_expenses", "l4_units", "l5_unit_areas", "l6_people",
                   "l3_expenses_json", "j1_accounts", "l7_payments_ok", "l9_extraordinary", "j4_interest_m2"]
