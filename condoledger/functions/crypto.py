@@ -16,6 +16,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 KEY_CONF = "condoledger.cipher.key"
+REDACTION_CONF = "spark.sql.redaction.string.regex"
+# The key argument of an AES call as plans print it, as text, as bytes or under a cast.
+KEY_IN_PLANS = r"(?<=, )[^,()\s]{16,}(?=, GCM)|(?<=, cast\()[^,()\s]{16,}(?= as binary\), GCM)"
 
 
 def cipher_key(spark: SparkSession) -> str:
@@ -26,6 +29,9 @@ def cipher_key(spark: SparkSession) -> str:
             raise RuntimeError(f"set {KEY_CONF} before columns are encrypted")
         key = base64.b64encode(os.urandom(24)).decode()[:32]
         spark.conf.set(KEY_CONF, key)
+    redacted = spark.conf.get(REDACTION_CONF, None) or ""
+    if KEY_IN_PLANS not in redacted:            # keeps the key out of explain output and event logs
+        spark.conf.set(REDACTION_CONF, f"{redacted}|{KEY_IN_PLANS}" if redacted else KEY_IN_PLANS)
     return key
 
 

@@ -135,4 +135,15 @@ def j10_sql() -> str:
     from .oracle_clean import RAW_PEOPLE
     from .oracle_ingest import P_STG
     return with_ledger(RAW_PEOPLE, P_STG, select="""
-SELECT id_person, action, CAST(dni AS VARCHAR) AS dni, email, phone, cbu FROM p_all WHERE action <> 'KEEP'""")
+SELECT id_person, action, CAST(dni AS VARCHAR) AS dni, email, phone, cbu FROM p_all""")
+
+
+def j9_counts_sql() -> str:
+    """What J9 writes and keeps on people of the kinds id % 6 = 0..5 (see plans/secure.py), and on its own result."""
+    parts = []
+    for c in ("dni", "email", "phone", "cbu"):
+        parts.append(f"""
+SELECT 1::BIGINT AS run, '{c}' AS col_name, count(*) FILTER (id_person % 6 >= 2 AND {c} IS NOT NULL) AS written,
+       count(*) FILTER (id_person % 6 < 2 AND {c} IS NOT NULL) AS kept, count(*) FILTER ({c} IS NULL) AS empty FROM person
+UNION ALL SELECT 2, '{c}', 0, count({c}), count(*) FILTER ({c} IS NULL) FROM person""")
+    return with_ledger(select="\nUNION ALL".join(parts))

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.ledger import EXTRAORDINARY, Ledger
+from . import secure as S
 from .reports import bills_side
 
 
@@ -156,35 +157,18 @@ def q10_owner_debt(lg: Ledger, n: int = 5) -> DataFrame:
 
 
 # ------------------------------------------------------------ decrypted views
-PERSON_SECRET = ["dni", "email", "phone", "cbu"]
-
-
-def encrypted_people(lg: Ledger) -> DataFrame:
-    """J9 on the person table: cipher columns for DNI, e-mail, phone, bank id."""
-    from ..functions.crypto import cipher_key, encrypt_columns
-    return encrypt_columns(lg.person, PERSON_SECRET, cipher_key(lg.spark))
-
-
 def j9_encrypt_roundtrip(lg: Ledger) -> DataFrame:
+    """J9 on the stored people: every value as its cipher gives it back."""
     from ..functions.crypto import cipher_key, try_decrypt
     k = cipher_key(lg.spark)
-    e = encrypt_columns_again(encrypted_people(lg), k)
-    return e.select("id_person", *[try_decrypt(F.col(f"{c}_enc"), k).alias(c) for c in PERSON_SECRET])
-
-
-def encrypt_columns_again(df: DataFrame, key: str) -> DataFrame:
-    """A second J9 run must keep every cipher (idempotent): nothing is stale."""
-    from ..functions.crypto import encrypt_columns
-    return encrypt_columns(df, PERSON_SECRET, key)
+    return S.secured(lg, "person").select("id_person", *[try_decrypt(F.col(f"{c}_enc"), k).alias(c) for c in S.SECRET["person"]])
 
 
 def r2_safe_person(lg: Ledger) -> DataFrame:
     """R2: decrypted DNI, e-mail, phone (plain as fallback); bank id not exposed."""
-    from ..functions.crypto import cipher_key, safe_view
+    from ..functions.crypto import cipher_key
     k = cipher_key(lg.spark)
-    e = encrypted_people(lg).drop("cbu", "cbu_enc")
-    return safe_view(e, ["dni", "email", "phone"], k).select("id_person", "first_name", "last_name", "dni",
-                                                             "email", "phone")
+    return S.secured(lg, "person").select("id_person", "first_name", "last_name", *[S.readable(c, k).alias(c) for c in ("dni", "email", "phone")])
 
 
 def k14_encrypt_roundtrip(lg: Ledger) -> DataFrame:
@@ -194,25 +178,19 @@ def k14_encrypt_roundtrip(lg: Ledger) -> DataFrame:
 
 
 def q9_payments_decrypted(lg: Ledger) -> DataFrame:
-    """Q9: payments with the bank id read back from its cipher column."""
-    from ..functions.crypto import cipher_key, encrypt_columns, try_decrypt
-    k = cipher_key(lg.spark)
-    p = encrypt_columns(lg.payment, ["cbu"], k)
-    return p.select("id_payment", "pay_date", "amount", "id_bill", "id_building",
-                    try_decrypt(F.col("cbu_enc"), k).alias("cbu"))
+    """Q9: payments with the bank id read back from its stored cipher."""
+    from ..functions.crypto import cipher_key
+    return S.secured(lg, "payment").select("id_payment", "pay_date", "amount", "id_bill", "id_building",
+                                           S.readable("cbu", cipher_key(lg.spark)).alias("cbu"))
 
 
 def j10_sync_roundtrip(lg: Ledger) -> DataFrame:
-    """Persons changed by the people load get their ciphers refreshed
-    (old cipher no longer matches); read back, they equal the new values."""
-    from ..functions.crypto import cipher_key, encrypt_columns, try_decrypt
+    """The stored people after the people load: each row as its ciphers
+    give it back, changed rows with their new values."""
+    from ..functions.crypto import cipher_key, try_decrypt
     from .loaders import load_people
     k = cipher_key(lg.spark)
-    old = encrypted_people(lg).select("id_person", *[f"{c}_enc" for c in PERSON_SECRET])
-    new = load_people(lg).filter(F.col("action") != "KEEP")
-    synced = new.join(old, "id_person", "left")
-    for c in PERSON_SECRET:   # a cipher of the old value is stale for the new one
-        stale = F.coalesce(try_decrypt(F.col(f"{c}_enc"), k), F.lit("\u0000")) != F.coalesce(F.col(c).cast("string"), F.lit("\u0000"))
-        synced = synced.withColumn(f"{c}_enc", F.when(stale, F.lit(None)).otherwise(F.col(f"{c}_enc")))
-    synced = encrypt_columns(synced, PERSON_SECRET, k)
-    return synced.select("id_person", "action", *[try_decrypt(F.col(f"{c}_enc"), k).alias(c) for c in PERSON_SECRET])
+    load = load_people(lg)
+    new = S.in_step(S.secured(lg, "person"), load.filter(F.col("action") != "KEEP"), "id_person", S.SECRET["person"], k)
+    return (new.select("id_person", *[try_decrypt(F.col(f"{c}_enc"), k).alias(c) for c in S.SECRET["person"]])
+            .join(load.select("id_person", "action"), "id_person"))

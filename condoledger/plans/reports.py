@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..operators.windows import global_row_number, running_sum
 from ..sources.ledger import Ledger
 from .accounts import expense_totals
+from .secure import person_bank_key
 
 MONEY = "decimal(18,2)"
 HALF = Decimal("0.5")
@@ -224,7 +225,7 @@ def risk_band(days: Column) -> Column:
 def delinquent_owners(lg: Ledger, building: int | None = None, cut: dt.date | None = None,
                       n: int | None = 3) -> DataFrame:
     """Owners with unpaid accounts due before ``cut``, matched to units by
-    bank id, top ``n`` by amount due then days late (``n=None``: all)."""
+    the bank id that their stored cipher gives (the plain one without), top ``n`` by amount due then days late (``n=None``: all)."""
     cut = cut or lg.as_of
     b = lg.bill.select("id_bill", "due1").filter(F.col("due1") < F.lit(cut))
     acc = lg.account.filter(F.col("debt") > 0)
@@ -234,7 +235,7 @@ def delinquent_owners(lg: Ledger, building: int | None = None, cut: dt.date | No
     # who holds a unit is settled at unit grain, so the accounts are shuffled once, by unit
     units = lg.unit.select("id_unit", "id_building", "cbu")
     owners = lg.occupancy.filter(~F.col("is_tenant")).select("id_person", "id_building").distinct()
-    people = lg.person.select("id_person", "cbu")
+    people = person_bank_key(lg)                               # D13
     holders = units.join(people, "cbu").join(owners, ["id_person", "id_building"]).select("id_unit", "id_building", "id_person")
     m = (acc.join(holders, ["id_unit", "id_building"])
          .groupBy("id_person", "id_building")

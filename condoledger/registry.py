@@ -234,6 +234,7 @@ def _register_quality():
         "j9_encrypt_roundtrip": (Q.j9_encrypt_roundtrip, OQ.person_cipher_roundtrip_sql()),
         "k14_encrypt_roundtrip": (Q.k14_encrypt_roundtrip, OQ.k14_sql()),
         "q9_payments_decrypted": (Q.q9_payments_decrypted, OQ.q9_sql()),
+        "j9_refreshed": (lambda lg: Q.S.refreshed(lg, "person"), OQ.j9_counts_sql()),
         "j10_sync_roundtrip": (Q.j10_sync_roundtrip, OQ.j10_sql()),
     }
     for name, (fn, sql) in jobs.items():
