@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import clean as K
+from ..operators.joins import store
 from ..plans import accounts as A
 from ..plans import ingest as I
 from ..session import checkpoint_dir
@@ -45,34 +46,71 @@ def _payment_stream(lg: Ledger, files_per_batch: int) -> DataFrame:
             .option("recursiveFileLookup", "false").parquet(path))
 
 
-def _run(query_builder, ckpt: str) -> int:
-    """Run to the end of the available data; the rows dropped as late."""
+def _run(query_builder, ckpt: str) -> None:
+    """Run to the end of the available data."""
     q = query_builder.option("checkpointLocation", ckpt).trigger(availableNow=True).start()
     q.awaitTermination()
     if q.exception():
         raise q.exception()
-    return sum(int(op.get("numRowsDroppedByWatermark", 0)) for p in q.recentProgress for op in p["stateOperators"])
+
+
+class Buckets:
+    """A keyed store for foreachBatch: rows in buckets, each batch writing new
+    versions of the buckets it touches and reading only those.
+
+    ``index/batch_id=n`` names the batch that holds each bucket's current
+    version after batch n (one row per bucket). A replayed batch reads the
+    index before it and rewrites its own folders, so it leaves the same store.
+    """
+
+    def __init__(self, lg: Ledger, root: str, batch_id: int):
+        self.spark, self.root, self.batch_id = lg.spark, root, batch_id
+        self.index: dict[int, int] = {}
+        if batch_id:
+            rows = self.spark.read.parquet(f"{root}/index/batch_id={batch_id - 1}").collect()
+            self.index = {r["bucket"]: r["batch"] for r in rows if r["bucket"] is not None}
+
+    def read(self, buckets: list[int], schema) -> DataFrame:
+        """Rows of these buckets before the batch."""
+        parts = [f"{self.root}/rows/batch_id={self.index[b]}/bucket={b}" for b in buckets if b in self.index]
+        if not parts:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*parts)
+
+    def write(self, buckets: list[int], rows: DataFrame) -> DataFrame:
+        """New versions of these buckets (``rows`` has the column bucket); read back."""
+        path = f"{self.root}/rows/batch_id={self.batch_id}"
+        rows.write.mode("overwrite").partitionBy("bucket").parquet(path)
+        self.index.update({b: self.batch_id for b in buckets})
+        entries = sorted(self.index.items()) or [(None, None)]
+        (self.spark.createDataFrame(entries, "bucket int, batch int").coalesce(1)
+         .write.mode("overwrite").parquet(f"{self.root}/index/batch_id={self.batch_id}"))
+        return self.spark.read.parquet(path) if buckets else rows
 
 
 # ------------------------------------------------------------------ S1
+TOTALS = "id_account bigint, paid_sum decimal(18,2), last_pay date, touched int"
+
+
 def affected_accounts_stream(lg: Ledger, files_per_batch: int = 16) -> DataFrame:
     """Each micro-batch of payments is added to the payment totals per
     account, and only the accounts it touches are recomputed (rule M3). The
-    totals after batch k are batch k - 1's totals plus the batch, so earlier
-    payments are not read again, and a replayed batch rewrites its own
-    folders. Final state: the latest recompute of each account."""
+    totals are kept in buckets by the account's month (the last six digits of
+    its number), so a batch reads and rewrites the months it has payments
+    for, however many came before; each row says which batch touched it last.
+    Final state: the latest recompute of each account."""
     run = _run_dir(lg, "s1")
-    tot_sink, acc_sink = os.path.join(run, "totals"), os.path.join(run, "accounts")
+    totals_at, acc_sink = os.path.join(run, "totals"), os.path.join(run, "accounts")
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        totals = A.payment_totals(df).withColumn("touched", F.lit(True))
-        if batch_id:
-            before = lg.spark.read.parquet(os.path.join(tot_sink, f"batch_id={batch_id - 1}")).withColumn("touched", F.lit(False))
-            totals = totals.unionByName(before).groupBy("id_account").agg(
-                F.sum("paid_sum").cast(A.MONEY).alias("paid_sum"), F.max("last_pay").alias("last_pay"), F.max("touched").alias("touched"))
-        path = os.path.join(tot_sink, f"batch_id={batch_id}")
-        totals.write.mode("overwrite").parquet(path)
-        now = lg.spark.read.parquet(path).filter("touched").drop("touched")
+        bucket = F.coalesce(F.pmod("id_account", F.lit(1_000_000)), F.lit(-1)).cast("int")
+        new = A.payment_totals(df.filter(F.col("id_account").isNotNull()))
+        touched = [r[0] for r in df.filter(F.col("id_account").isNotNull()).select(bucket.alias("bucket")).distinct().collect()]
+        kept = Buckets(lg, totals_at, batch_id)
+        both = new.withColumn("touched", F.lit(batch_id)).unionByName(kept.read(touched, TOTALS))
+        totals = both.groupBy("id_account").agg(F.sum("paid_sum").cast(A.MONEY).alias("paid_sum"), F.max("last_pay").alias("last_pay"),
+                                                F.max("touched").alias("touched"))
+        now = kept.write(touched, totals.withColumn("bucket", bucket)).filter(F.col("touched") == batch_id).drop("touched", "bucket")
         A.recompute_changed(lg, now.select("id_account"), totals=now).write.mode("overwrite").parquet(
             os.path.join(acc_sink, f"batch_id={batch_id}"))
 
@@ -85,28 +123,34 @@ def affected_accounts_stream(lg: Ledger, files_per_batch: int = 16) -> DataFrame
 # ------------------------------------------------------------------ S2
 def payment_file_stream(lg: Ledger, files_per_batch: int = 4) -> DataFrame:
     """The bank CSV files streamed through the L7 loader in foreachBatch;
-    accepted rows are merged insert-only against everything accepted before
-    (U3), so a replayed batch adds nothing new. Final: all accepted rows."""
+    accepted rows are merged insert-only against those accepted before (U3).
+    The accepted rows lie in folders by batch and payment month, and a batch
+    is compared with the months of its own rows only. A replayed batch
+    rewrites its own folders. Final: all accepted rows."""
     raw_path = I.landed(lg, "payments_csv", lambda p: FL.land_csv(RT.raw_payments(lg), p))
     run = _run_dir(lg, "s2")
     ok_sink, rej_sink = os.path.join(run, "ok"), os.path.join(run, "rejects")
     cols = ["id_account", "id_unit", "id_building", "id_bill", "pay_date", "amount", "cbu"]
+    schema = "id_account bigint, id_unit bigint, id_building bigint, id_bill bigint, pay_date date, amount decimal(12,2), cbu string, month int, batch_id int"
 
     def batch(df: DataFrame, batch_id: int) -> None:
         raw = df.select(*[F.regexp_replace(c, "[\r\n\ufeff]", "").alias(c) for c in FL.PAYMENTS_COLS])
-        # batch 0 has nothing before it (a replay of it only finds its own folder)
-        before = lg.spark.read.parquet(ok_sink).filter(F.col("batch_id") != batch_id).drop("batch_id") if batch_id else None
         load = I.load_payments(lg, raw)
-        ok = load.ok.select(*cols)
-        if before is not None:
+        month = (F.year("pay_date") * 100 + F.month("pay_date")).cast("int")
+        ok = store(load.ok.select(*cols, month.alias("month")), os.path.join(run, "staged", f"batch_id={batch_id}"))
+        months = [r[0] for r in ok.select("month").distinct().collect()]
+        if batch_id and months:
+            # batch 0 has nothing before it; a replayed batch does not count itself
+            before = lg.spark.read.schema(schema).parquet(ok_sink).filter(
+                (F.col("batch_id") < batch_id) & F.col("month").isin(months))
             ok = ok.join(before.select(*cols), cols, "left_anti")
-        ok.write.mode("overwrite").parquet(os.path.join(ok_sink, f"batch_id={batch_id}"))
+        ok.write.mode("overwrite").partitionBy("month").parquet(os.path.join(ok_sink, f"batch_id={batch_id}"))
         load.rejects.write.mode("overwrite").parquet(os.path.join(rej_sink, f"batch_id={batch_id}"))
 
     stream = (lg.spark.readStream.schema(FL.string_schema(FL.PAYMENTS_COLS)).option("header", True)
               .option("quote", '"').option("maxFilesPerTrigger", files_per_batch).csv(raw_path))
     _run(stream.writeStream.foreachBatch(batch), os.path.join(run, "_ckpt"))
-    return lg.spark.read.parquet(ok_sink).drop("batch_id")
+    return lg.spark.read.schema(schema).parquet(ok_sink).select(*cols)
 
 
 # ------------------------------------------------------------------ S3
@@ -139,8 +183,9 @@ def weekly_collection_stream(lg: Ledger, files_per_batch: int = 16, watermark: s
     Update mode with a watermark; each batch upserts its changed windows.
     The file source does not promise month order, so the default watermark
     delay covers all of the data: no payment is late, and the state stays one
-    row per week. A shorter delay bounds the state for ordered sources; rows
-    that it drops are counted, and the run fails on any unless ``allow_late``."""
+    row per week. A shorter delay bounds the state for ordered sources. Rows
+    that came too late are those read less those in a window, over all
+    batches; the run fails on any unless ``allow_late``."""
     run = _run_dir(lg, "s4")
     sink = os.path.join(run, "weeks")
     # the event time is the instant of UTC midnight of the payment date, so the
@@ -157,10 +202,12 @@ def weekly_collection_stream(lg: Ledger, files_per_batch: int = 16, watermark: s
                    F.col("_t").cast("decimal(18,2)").alias("total"), "payments")
          .write.mode("overwrite").parquet(os.path.join(sink, f"batch_id={batch_id}")))
 
-    late = _run(agg.writeStream.outputMode("update").foreachBatch(batch), os.path.join(run, "_ckpt"))
-    if late and not allow_late:
-        raise RuntimeError(f"{late} rows came later than the watermark delay of {watermark}")
+    _run(agg.writeStream.outputMode("update").foreachBatch(batch), os.path.join(run, "_ckpt"))
     out = lg.spark.read.parquet(sink)
     w = Window.partitionBy("week_start").orderBy(F.col("batch_id").desc())
-    return out.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn", "batch_id")
-
+    out = out.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn", "batch_id")
+    read = lg.spark.read.parquet(landed_payment_files(lg)).filter(F.col("pay_date").isNotNull()).count()
+    late = read - (out.agg(F.sum("payments")).first()[0] or 0)
+    if late and not allow_late:
+        raise RuntimeError(f"{late} rows came later than the watermark delay of {watermark}")
+    return out
