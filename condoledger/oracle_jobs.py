@@ -113,14 +113,32 @@ def j6_sql() -> str:
     return with_ledger(J6, select="SELECT * FROM j6")
 
 
-def j7_sql() -> str:
-    return with_ledger(J6, select="""
+_J7 = """
 SELECT o.id_building, t.id_bill, o.id_person,
        CASE WHEN nullif(trim(p.email), '') IS NOT NULL THEN 'EMAIL'
             WHEN nullif(trim(p.phone), '') IS NOT NULL THEN 'WHATSAPP' ELSE 'IMPRESO' END AS channel,
        nullif(trim(p.email), '') AS email, nullif(trim(p.phone), '') AS phone,
        CASE WHEN o.is_tenant THEN 'Inquilino' ELSE 'Propietario' END AS note
-FROM j6 t JOIN occupancy o ON o.id_building = t.id_building JOIN person p ON p.id_person = o.id_person""")
+FROM j6 t JOIN occupancy o ON o.id_building = t.id_building JOIN person p ON p.id_person = o.id_person"""
+
+
+def j7_sql() -> str:
+    return with_ledger(J6, select=_J7)
+
+
+def j7_register_sql() -> str:
+    return with_ledger(J6, f"j7 AS ({_J7})", select="""
+SELECT row_number() OVER (ORDER BY id_building, id_bill, id_person) AS id_dispatch, * FROM j7""")
+
+
+def r11_dispatches_sql(n: int = 50) -> str:
+    return j7_register_sql() + f" ORDER BY id_dispatch DESC LIMIT {n}"
+
+
+def j6_other_days_sql(day: int) -> str:
+    return with_ledger(J6, select=f"""
+SELECT id_bill, id_building, issue_date, greatest(c.next_business_day, issue_date) AS due1, CAST(NULL AS DATE) AS due2, total
+FROM j6 JOIN cal c ON c.cal_date = date_trunc('month', issue_date) + INTERVAL {day - 1} DAY""")
 
 
 def j8_sql() -> str:

@@ -236,11 +236,12 @@ def recompute_changed(lg: Ledger, keys: DataFrame, payments: DataFrame | None =
 
 
 # ------------------------------------------------------------------ J6 / J7 / J8
-def next_bills(lg: Ledger, building: int | None = None) -> DataFrame:
+def due_bills(lg: Ledger, building: int | None = None, due1_day: int = 10, due2_day: int | None = 22) -> DataFrame:
     """Per building, the bill of the month after its last payment (or after
     as_of without payments): 5th business day, due dates = next business day
-    of day 10 / 22 pushed to at least the bill date; total 0; only if no
-    bill exists at that (building, date)."""
+    of the due days (``due2_day`` None: no second one) pushed to at least the
+    bill date; total 0. It may exist already."""
+    from ..functions import calendar as cal
     from ..sources.ledger import bill_id
     last = lg.payment.groupBy("id_building").agg(F.max("pay_date").alias("last_pay"))
     b = lg.building.select("id_building")
@@ -248,18 +249,23 @@ def next_bills(lg: Ledger, building: int | None = None) -> DataFrame:
         b = b.filter(F.col("id_building") == building)
     base = (b.join(last, "id_building", "left")
             .withColumn("month_start", F.trunc(F.add_months(F.coalesce("last_pay", F.lit(lg.as_of)), 1), "month")))
-    m = lg.months_b.df.select("month_start", F.col("issue_date").alias("gen"),
-                                  F.col("due1").alias("v1"), F.col("due2").alias("v2"))
+    months = lg.months_b.df if (due1_day, due2_day) == (10, 22) else cal.month_info(lg.calendar, 5, due1_day, due2_day or due1_day)
+    second = F.col("due2") if due2_day else F.lit(None).cast("date")
+    m = months.select("month_start", F.col("issue_date").alias("gen"), F.col("due1").alias("v1"), second.alias("v2"))
     f = base.join(m, "month_start", "left")
     due1 = F.when(F.col("v1").isNull() | (F.col("v1") < F.col("gen")), F.col("gen")).otherwise(F.col("v1"))
     due2 = (F.when(F.col("v2").isNull(), F.lit(None))
             .when(F.col("v1").isNotNull() & (F.col("v2") < F.col("v1")), F.col("v1"))
             .when(F.col("v2") < F.col("gen"), F.col("gen")).otherwise(F.col("v2")))
-    new = f.select(bill_id(F.col("id_building"), F.col("month_start")).alias("id_bill"), "id_building",
-                   F.col("gen").alias("issue_date"), due1.alias("due1"), due2.alias("due2"),
-                   F.lit(0).cast(MONEY).alias("total"))
+    return f.select(bill_id(F.col("id_building"), F.col("month_start")).alias("id_bill"), "id_building",
+                    F.col("gen").alias("issue_date"), due1.alias("due1"), due2.alias("due2"),
+                    F.lit(0).cast(MONEY).alias("total"))
+
+
+def next_bills(lg: Ledger, building: int | None = None, due1_day: int = 10, due2_day: int | None = 22) -> DataFrame:
+    """The due bills that do not exist at their (building, date)."""
     existing = lg.bill.select("id_building", "issue_date")
-    return new.join(existing, ["id_building", "issue_date"], "left_anti")
+    return due_bills(lg, building, due1_day, due2_day).join(existing, ["id_building", "issue_date"], "left_anti")
 
 
 def dispatches(lg: Ledger, targets: DataFrame) -> DataFrame:

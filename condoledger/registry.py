@@ -191,6 +191,7 @@ _register_loaders()
 def _register_jobs():
     from . import oracle_jobs as OJ
     from .plans import blocks as BL
+    from .plans import dispatch as DP
 
     for name in ["k10_business_days", "k11_next_business_day", "k12_nth_business_day", "k13_fifth_weekday"]:
         register(name, OJ.k_cal_sql(name))(lambda spark, sf_dir, fn=getattr(BL, name): fn(ledger(spark, sf_dir)))
@@ -206,6 +207,9 @@ def _register_jobs():
         "j5_changed_accounts": (lambda lg: A.recompute_changed(lg, BL.h1_changed_keys(lg)), OJ.j5_sql()),
         "j6_next_bill": (A.next_bills, OJ.j6_sql()),
         "j7_dispatch": (lambda lg: A.dispatches(lg, A.next_bills(lg)), OJ.j7_sql()),
+        "j6_next_bill_other_days": (lambda lg: A.next_bills(lg, None, 15, None), OJ.j6_other_days_sql(15)),
+        "j7_dispatch_register": (lambda lg: DP.registered_twice(lg).dispatch, OJ.j7_register_sql()),
+        "r11_recent_dispatches": (lambda lg: DP.recent_dispatches(DP.registered_twice(lg)), OJ.r11_dispatches_sql()),
         "j8_bill_total": (A.bill_totals, OJ.j8_sql()),
         "r11_recent_bills": (lambda lg: R.recent_bills(lg, A.next_bills(lg)), OJ.r11_sql()),
     }
