@@ -31,18 +31,34 @@ def one_per_key(source: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def one_value_per_key(source: DataFrame, keys: list[str]) -> DataFrame:
-    """The source with one row per key, each column reduced on its own to its
-    smallest non-null value: for the coalescing updates, where a blank cell of
-    one row must not hide the value of another."""
+    """The source with one row per key, for the coalescing updates. Rows that
+    differ in blanks only are taken together, so a blank cell of one does not
+    hide the value of another. Rows that say different things are not mixed:
+    one whole row counts, the smallest by its columns in order, blanks last
+    (``conflicting_rows`` has the rest)."""
     rest = [c for c in source.columns if c not in keys]
     if not rest:
         return source.distinct()
-    return source.groupBy(*keys).agg(*[F.min(c).alias(c) for c in rest]).select(*source.columns)
-
-
-def repeated_keys(source: DataFrame, keys: list[str]) -> DataFrame:
-    """Keys that several source rows claim, with their number (for a reject report)."""
-    return source.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 1")
+    # (is null, value) per column, so that a struct orders blanks last
+    row = F.struct(*[x for c in rest for x in (F.col(c).isNull().alias(f"_n_{c}"), F.col(c))])
+    one = source.groupBy(*keys).agg(F.min(row).alias("_one"), *[F.min(c).alias(c) for c in rest], *[F.max(c).alias(f"_m_{c}") for c in rest])
+    conflict = F.lit(False)
+    for c in rest:
+        conflict = conflict | (F.col(f"_m_{c}") != F.col(c))
+    one = one.withColumn("_conflict", F.coalesce(conflict, F.lit(False)))
+    return one.select(*[F.col(c) if c in keys else F.when(F.col("_conflict"), F.col(f"_one.{c}")).otherwise(F.col(c)).alias(c)
+                        for c in source.columns])
+
+
+def conflicting_rows(source: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows that ``one_value_per_key`` passes over: they say something else
+    than the row taken for their key (for a reject report)."""
+    rest = [c for c in source.columns if c not in keys]
+    taken = one_value_per_key(source, keys).withColumnsRenamed({c: f"_t_{c}" for c in rest})
+    other = F.lit(False)
+    for c in rest:
+        other = other | F.coalesce(F.col(c) != F.col(f"_t_{c}"), F.lit(False)) | (F.col(c).isNotNull() & F.col(f"_t_{c}").isNull())
+    return source.join(taken, keys).filter(other).select(*source.columns)
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str], update: list[str],
