@@ -221,13 +221,19 @@ _register_jobs()
 
 
 def _register_quality():
+    from . import oracle_checks as OC
     from . import oracle_quality as OQ
+    from .plans import checks as CH
     from .plans import quality as Q
 
     jobs = {
         "q1_row_checks": (Q.q1_row_checks, OQ.q1_sql()),
         "q2_uniqueness": (Q.q2_uniqueness, OQ.q2_sql()),
         "q3_referential": (Q.q3_referential, OQ.q3_sql()),
+        "q1_bad_rows": (CH.q1_bad_rows, OC.q1_bad_rows_sql()),
+        "q2_repeated_keys": (CH.q2_repeated_keys, OC.q2_repeated_keys_sql()),
+        "q3_orphan_rows": (CH.q3_orphan_rows, OC.q3_orphan_rows_sql()),
+        "q1_q3_whole_load": (CH.whole_load_checks, OC.whole_load_checks_sql()),
         "q4_building_profile": (Q.q4_building_profile, OQ.q4_sql()),
         "q5_unit_count": (Q.q5_unit_count, OQ.q5_sql()),
         "q6_extraordinary_bills": (Q.q6_extraordinary_bills, OQ.q6_sql()),
