@@ -2,8 +2,8 @@
 
 Every byte that is covered by a string of LENGTH bytes which also starts
 anywhere else, in the same document or another one, is removed. Strings are
-judged on the input. The result is exact, up to collisions of 64-bit hashes
-(128-bit ones in the last step of a huge group).
+judged on the input. 64-bit hashes only bring strings together, whose bytes
+are then compared; the last step of a huge group compares 128-bit digests.
 
 1. Windows of LENGTH bytes are grouped by their minimum: the smallest hash of
    the shorter strings (grams) inside. Equal windows have equal minima, so
@@ -23,18 +23,20 @@ judged on the input. The result is exact, up to collisions of 64-bit hashes
 4. A group whose different segments exceed GROUP_BYTES (a passage in very many
    documents with other text around it) is split: its segments are cut anew
    by the minima of longer grams, which only equal stretches share; what is
-   still too large then is settled window by window with 128-bit hashes.
+   still too large then is settled window by window with 128-bit digests.
 
 Defined cases: a null text is the empty one; rows that repeat a text or an id
 are documents of their own; texts shorter than LENGTH keep all bytes; an
-empty table gives an empty result; extra columns are ignored. The table must
-give its rows in the same order whenever it is read, as files do.
+empty table gives an empty result; extra columns are ignored; the memory of a
+task grows with the longest single text. The rows are stored once under a
+number, so the input may give them in another order or split when read again.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -51,12 +53,12 @@ GROUP_BYTES = 4 << 20      # different segments of one group that a shard takes,
 
 
 # ---------------------------------------------------------------- grouping by minima
-def gram_hashes(b: np.ndarray, gram: int, seed: int = 0) -> np.ndarray:
+def gram_hashes(b: np.ndarray, gram: int) -> np.ndarray:
     """Hash of the gram at each position where one fits."""
     if len(b) < gram:
         return np.zeros(0, np.uint64)
     up, down = _powers(max(22, int(len(b)).bit_length()))
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((b.astype(np.uint64) + np.uint64(1 + seed)) * up[:len(b)], dtype=np.uint64)])
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((b.astype(np.uint64) + np.uint64(1)) * up[:len(b)], dtype=np.uint64)])
     return mix((total[gram:] - total[:-gram]) * down[:len(b) - gram + 1])
 
 
@@ -327,16 +329,16 @@ def finer(rows: DataFrame, length: int, gram: int) -> DataFrame:
 
 
 def by_window(rows: DataFrame, length: int) -> DataFrame:
-    """Spans of what is still too large: windows counted by 128-bit hashes."""
+    """Spans of what is still too large: windows counted by 128-bit digests."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "bytes"):
             for raw, places in zip(raw_texts(batch, "bytes"), batch.column("places").to_pylist()):
-                b = np.frombuffer(raw, np.uint8)
-                x, y = gram_hashes(b, length), gram_hashes(b, length, 977)
-                n = len(x)
+                digests = b"".join(blake2b(raw[i:i + length], digest_size=16).digest() for i in range(len(raw) - length + 1))
+                xy = np.frombuffer(digests, np.int64).reshape(-1, 2)
+                n = len(xy)
                 for p in places:
-                    yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)), pa.array(y.view(np.int64)), pa.array(np.full(n, p["k"])),
+                    yield pa.RecordBatch.from_arrays([pa.array(xy[:, 0].copy()), pa.array(xy[:, 1].copy()), pa.array(np.full(n, p["k"])),
                                                       pa.array(p["a"] + np.arange(n))], names=["x", "y", "k", "a"])
 
     windows = rows.mapInArrow(run, "x long, y long, k long, a long")
@@ -371,8 +373,11 @@ def repeated_spans(docs: DataFrame, folder: str, length: int = LENGTH, grams: tu
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **parameters) -> DataFrame:
     """One row a document: doc_id, n_bytes, spans (maximal removed runs, bytes,
     end exclusive), n_removed and kept (the remaining bytes)."""
-    keyed = docs.select(F.monotonically_increasing_id().alias("k"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    spans = repeated_spans(keyed.select("k", "text"), work_dir(docs.sparkSession, "suffix"), **parameters)
+    folder = work_dir(docs.sparkSession, "suffix")
+    # the key belongs to the stored row: a later read that is split differently has the same one
+    keyed = stored(docs.select(F.monotonically_increasing_id().alias("k"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")),
+                   f"{folder}/keyed")
+    spans = repeated_spans(keyed.select("k", "text"), folder, **parameters)
     gone = spans.groupBy("k").agg(F.collect_list(F.struct("lo", "hi")).alias("found"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

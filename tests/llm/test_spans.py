@@ -50,6 +50,36 @@ def test_op3_edge_rows(edge_docs, empty_docs):
     assert suffix.remove_repeats(empty_docs).count() == 0
 
 
+def test_op3_does_not_depend_on_how_the_table_is_split_again(spark, documents):
+    """Spans found, then the result planned for another number of cores."""
+    want = sorted(tuple(r) for r in queries.op3_suffix_dedup(spark, SF).collect())
+    conf = "spark.sql.leafNodeDefaultParallelism"
+    try:
+        spark.conf.set(conf, "7")
+        result = queries.op3_suffix_dedup(spark, SF)
+        spark.conf.set(conf, "2")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "200000")
+        assert sorted(tuple(r) for r in result.collect()) == want
+    finally:
+        spark.conf.unset(conf)
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_op3_strings_of_equal_hashes(spark):
+    """Thue-Morse strings and their complements have equal polynomial hashes modulo 2^64."""
+    word = b"a"
+    while len(word) < 2048:
+        word += word.translate(bytes.maketrans(b"ab", b"ba"))
+    flip = word.translate(bytes.maketrans(b"ab", b"ba"))
+    h = [suffix.gram_hashes(np.frombuffer(w, np.uint8), 2048)[0] for w in (word, flip)]
+    assert h[0] == h[1]
+    raws = [b"1" * 60 + word, b"2" * 60 + flip, b"3" * 60 + word]
+    docs = spark.createDataFrame([(k, r.decode()) for k, r in enumerate(raws)], "doc_id long, text string").coalesce(1)
+    for group_bytes in (4 << 20, 1):
+        out = suffix.remove_repeats(docs, length=2048, grams=(2048, 2048), group_bytes=group_bytes)
+        assert {r.doc_id: r.n_removed for r in out.collect()} == {0: 2048, 1: 0, 2: 2048}
+
+
 @pytest.mark.parametrize("sizes", [(1 << 20, 4 << 20), (300, 400), (100, 60), (50, 1)])
 def test_op3_large_groups(spark, sizes):
     """Shards and groups of any size give the same spans (splits by longer grams and by window)."""
