@@ -233,6 +233,18 @@ def test_op7_edge_rows(edge_docs, empty_docs):
     assert jaccard.jaccard_components(empty_docs).count() == 0
 
 
+def test_op7_different_texts_under_one_id(spark):
+    """Each keeps its links, and they are one document."""
+    a, b, c = (" ".join(f"{x}{k}" for k in range(60)) for x in "abc")
+    rows = [(1, a), (1, b), (2, a + " z"), (3, b + " z"), (9, c), (9, a + " y"), (7, c + " z"), (4, c + " z"), (5, None), (5, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = got_components(jaccard.jaccard_components(docs))
+    assert {(r[0], r[2]) for r in got} == {(d, 5 if d == 5 else 1) for d, _ in rows} and len(got) == len(rows)
+    alone = [(1, a), (1, b), (8, c)]
+    got = got_components(jaccard.jaccard_components(spark.createDataFrame(alone, "doc_id long, text string")))
+    assert [(r[0], r[2]) for r in got] == [(1, 1), (1, 1), (8, 8)]
+
+
 @pytest.mark.parametrize("block, threshold", [(4096, 85), (8, 85), (16, 60)])
 def test_op7_chains_and_clusters(spark, block, threshold, monkeypatch):
     """Chains of borderline links, clusters with random changes, a line that all share."""
