@@ -47,22 +47,24 @@ SHORT_SHARE = 100
 LEVELS = [MIN_DOCS << 2 * k for k in range(25)]
 
 
-def _tokens(line: Column) -> Column:
-    tokens = F.filter(F.split(F.translate(line, "\t\r", "  "), " "), lambda x: x != "")
-    return F.when(line.rlike("[0-9]"), F.transform(tokens, lambda x: F.when(x.rlike("[0-9]"), F.lit(FIELD)).otherwise(x))).otherwise(tokens)
+def _general(line: Column) -> Column:
+    """A normal line with its tokens that hold a digit as fields."""
+    return F.when(line.rlike("[0-9]"), F.regexp_replace(line, "(?<![^ ])[^ 0-9]*+[0-9][^ ]*+", FIELD)).otherwise(line)
 
 
 def tree_lines(docs: DataFrame, id_col: str, text_col: str, leading: int, min_tokens: int) -> DataFrame:
     """doc_id, doc (fingerprint of the text), line_no, size, leaf and line (its tokens,
-    joined by spaces: smaller to shuffle than an array) of every line in the tree."""
+    joined by spaces: smaller to shuffle than an array, their fields not yet
+    told) of every line in the tree."""
     lines = docs.select(F.col(id_col).alias("doc_id"), fingerprint(text_col).alias("doc"), F.posexplode(F.split(text_col, "\n")).alias("line_no", "line"))
-    if min_tokens == 1:                                   # told without the tokens, which a filter would make twice
-        lines = lines.where(F.trim(F.translate("line", "\t\r", "  ")) != "")
-    tokens = lines.select("doc_id", "doc", "line_no", _tokens(F.col("line")).alias("tokens"))
-    if min_tokens != 1:
-        tokens = tokens.where(F.size("tokens") >= min_tokens)
-    leaf = F.concat_ws(" ", F.size("tokens").cast("string"), F.slice("tokens", 1, leading))
-    return tokens.select("doc_id", "doc", "line_no", F.size("tokens").alias("size"), leaf.alias("leaf"), F.array_join("tokens", " ").alias("line"))
+    line = F.col("line")
+    keys = ["doc_id", "doc", "line_no"]
+    lines = lines.select(*keys, F.when(line.contains("\t") | line.contains("\r"), F.translate(line, "\t\r", "  ")).otherwise(line).alias("line"))
+    lines = lines.select(*keys, F.trim(F.when(line.contains("  "), F.regexp_replace(line, " {2,}", " ")).otherwise(line)).alias("line"))
+    size = F.when(line == "", 0).otherwise(F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) + 1)
+    lines = lines.select(*keys, size.alias("size"), "line").where(F.col("size") >= min_tokens)
+    leaf = F.concat_ws(" ", F.col("size").cast("string"), _general(F.substring_index(line, " ", leading)))
+    return lines.select(*keys, "size", leaf.alias("leaf"), "line")
 
 
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leading: int = LEADING,
@@ -71,7 +73,7 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     folder = work_dir(docs.sparkSession, "templates")
     lines = tree_lines(docs, id_col, text_col, leading, min_tokens).drop("size")
     busy = lines.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_docs)
-    lines = stored(lines.join(busy, "leaf"), f"{folder}/lines")
+    lines = stored(lines.join(busy, "leaf").withColumn("line", _general(F.col("line"))), f"{folder}/lines")
 
     # the leaf's template: at each position the token of most of its lines
     at = lines.select("leaf", "n", F.posexplode(F.split("line", " ")).alias("pos", "token"))
@@ -102,7 +104,7 @@ def every_dropped_line(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     lines = tree_lines(docs, id_col, text_col, LEADING, 1)
     enough = F.when(F.substring_index("leaf", " ", 1).cast("int") >= LONG_TOKENS, LONG_DOCS).otherwise(MIN_DOCS)
     busy = lines.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= enough)
-    lines = stored(lines.join(busy, "leaf"), f"{folder}/lines").where((F.col("size") >= MIN_TOKENS) | F.col("line").rlike("\\p{L}"))
+    lines = stored(lines.join(busy, "leaf").withColumn("line", _general(F.col("line"))), f"{folder}/lines").where((F.col("size") >= MIN_TOKENS) | F.col("line").rlike("\\p{L}"))
     n_texts = docs.select(fingerprint(text_col).alias("doc")).distinct().count()
     short_docs = max(MIN_DOCS, -(-n_texts // SHORT_SHARE))
 

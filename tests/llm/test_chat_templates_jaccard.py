@@ -1,6 +1,7 @@
 """Operators 1, 2 and 7 against brute force, with the edge rows."""
 
 import hashlib
+import re
 from collections import Counter, defaultdict
 
 import duckdb
@@ -296,3 +297,16 @@ def test_pipeline_stages(spark, documents):
             rows = [tuple(r) for r in before.select("doc_id", "text").collect()]
             assert sorted(r.doc_id for r in docs.collect()) == sorted({r[2] for r in brute_components(rows, 5, 80)})
     assert [n for n, _ in P.STAGES] == ["quality rules", "line dedup", "n-gram Jaccard join", "benchmark decontamination", "packing"]
+
+
+def test_op1_normal_lines_and_fields(spark):
+    """Tabs, returns, runs of blanks and tokens with digits, against a split by hand; a very long token stays linear."""
+    lines = ["", "  ", "a b", "\ta  b\r", "x1 \t y  2z w", "1", "a-1b\u00e9 c\u00a0d  \u0663", "k" * 300_000 + " 7"]
+    docs = spark.createDataFrame([(1, "\n".join(lines)), (2, None)], "doc_id long, text string")
+    found = {r.line_no: r for r in templates.tree_lines(docs, "doc_id", "text", 2, 0)
+             .withColumn("line", templates._general(F.col("line"))).collect()}
+    assert len(found) == len(lines)
+    for k, line in enumerate(lines):
+        tokens = ["<*>" if re.search("[0-9]", x) else x for x in re.split("[ \t\r]+", line) if x]
+        assert (found[k].size, found[k].line) == (len(tokens), " ".join(tokens))
+        assert found[k].leaf == " ".join([str(len(tokens)), *tokens[:2]]) + ("" if tokens else " ")

@@ -1,17 +1,20 @@
 """Operators 6, 8 and 10 against brute force, with the edge rows."""
 
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from condoledger.llm import huffman, packing, quality, queries
+from condoledger.llm.tokenizing import ChunkTokenizer
 
 from .conftest import EDGE, SF
 
@@ -193,3 +196,16 @@ def test_every_token_in_one_sequence(lengths):
         for d, start, n in sequence:
             seen[d][start:start + n] += 1
     assert all((s == 1).all() for s in seen)
+
+
+def test_slice_tokenizer_equals_the_library():
+    """Cuts, cache and joined words give the ids that the library gives for whole texts."""
+    encoder = ChunkTokenizer(public_tokenizers.path("word_bpe_49k.json"))
+    texts = ["", None, " ", "  a\n\nb ", "<|endoftext|>", "x<|startoftext|>y,", "\u0130stanbul J\u030c, \u01f0,a", "e\u0301, a\u0338=b",
+             "don't, I'LL. x,'s 's", "\u00c0\u00c9\u00df\u00d7\u00f7\u00ff, \u03a9a,b", "a" * 5000 + ".", "\u65e5\u672c a,b 12,3 a\tb,c d.e f", "a,\u0301b q're,ve"]
+    rng = random.Random(5)
+    letters = "aAbZ\u00e9\u00c9\u00df\u00ff'sStTlLdDmMvVeE.,;$#<|> \n\t\u0338\u0301\u0307\u0130J\u03a3\u03c2\u65e51\u0663_`\u00a0\u200d\u00d7"
+    for more in ([], ["".join(rng.choices(letters, k=rng.randint(0, 60))) for _ in range(2000)], []):
+        ids, offsets = encoder.encode(pa.array(texts + more, pa.string()))
+        for k, text in enumerate(texts + more):
+            assert ids[offsets[k]:offsets[k + 1]].tolist() == TOKENIZER.encode(text or "", add_special_tokens=False).ids, text
