@@ -1,5 +1,6 @@
 """J9, J10 and D13 on stored ciphers; the key stays out of plans."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from condoledger.functions import crypto as C
@@ -43,3 +44,23 @@ def test_key_is_not_in_plans(spark, capsys):
     df.explain("extended")
     shown = capsys.readouterr().out
     assert "aes" in shown and key not in shown and key.encode().hex().upper() not in shown
+
+
+def test_a_cluster_session_without_a_key_gets_its_own():
+    class Conf(dict):
+        def set(self, k, v):
+            self[k] = v
+
+    class Cluster:
+        def __init__(self, master):
+            self.conf, self.sparkContext = Conf(), type("Context", (), {"master": master})()
+
+    for master in ("spark://host:7077", "local-cluster[3,4,10240]", "yarn"):
+        session = Cluster(master)
+        with pytest.warns(UserWarning, match=C.KEY_CONF):
+            key = C.cipher_key(session)
+        assert len(key) in (16, 24, 32) and C.cipher_key(session) == key != C.cipher_key(Cluster(master))
+        assert C.KEY_IN_PLANS in session.conf[C.REDACTION_CONF]
+    given = Cluster("yarn")
+    given.conf[C.KEY_CONF] = "0123456789abcdef"
+    assert C.cipher_key(given) == "0123456789abcdef"
