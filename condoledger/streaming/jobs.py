@@ -39,8 +39,17 @@ def landed_payment_files(lg: Ledger) -> str:
     return I.landed(lg, "payment_files", make)
 
 
-def _payment_stream(lg: Ledger, files_per_batch: int) -> DataFrame:
-    path = landed_payment_files(lg)
+def payments_by_date(lg: Ledger) -> str:
+    """Files of all payments for a job that does not ask for one file a month: the
+    month folders if they have landed, else the stored table's own files by date,
+    so that nothing is shuffled or written for it."""
+    if "payment_files" in lg.__dict__.get("_landed", {}):
+        return landed_payment_files(lg)
+    _ = lg.payment                              # stored now, if it was not yet
+    return lg._path("payment")
+
+
+def _payment_stream(lg: Ledger, files_per_batch: int, path: str) -> DataFrame:
     schema = lg.spark.read.parquet(path).schema
     return (lg.spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
             .option("recursiveFileLookup", "false").parquet(path))
@@ -114,7 +123,7 @@ def affected_accounts_stream(lg: Ledger, files_per_batch: int = 16) -> DataFrame
         A.recompute_changed(lg, now.select("id_account"), totals=now).write.mode("overwrite").parquet(
             os.path.join(acc_sink, f"batch_id={batch_id}"))
 
-    _run(_payment_stream(lg, files_per_batch).writeStream.foreachBatch(batch), os.path.join(run, "_ckpt"))
+    _run(_payment_stream(lg, files_per_batch, landed_payment_files(lg)).writeStream.foreachBatch(batch), os.path.join(run, "_ckpt"))
     out = lg.spark.read.parquet(acc_sink)
     w = Window.partitionBy("id_account").orderBy(F.col("batch_id").desc())
     return out.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn", "batch_id")
@@ -190,7 +199,8 @@ def weekly_collection_stream(lg: Ledger, files_per_batch: int = 16, watermark: s
     sink = os.path.join(run, "weeks")
     # the event time is the instant of UTC midnight of the payment date, so the
     # windows (aligned to the UTC epoch) do not depend on the session time zone
-    p = _payment_stream(lg, files_per_batch).withColumn(
+    files = payments_by_date(lg)
+    p = _payment_stream(lg, files_per_batch, files).withColumn(
         "ts", F.timestamp_seconds(F.unix_date("pay_date").cast("long") * 86400))
     agg = (p.withWatermark("ts", watermark)
            .groupBy(F.window("ts", "7 days", startTime="3 days").alias("w"))
@@ -206,7 +216,7 @@ def weekly_collection_stream(lg: Ledger, files_per_batch: int = 16, watermark: s
     out = lg.spark.read.parquet(sink)
     w = Window.partitionBy("week_start").orderBy(F.col("batch_id").desc())
     out = out.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn", "batch_id")
-    read = lg.spark.read.parquet(landed_payment_files(lg)).filter(F.col("pay_date").isNotNull()).count()
+    read = lg.spark.read.parquet(files).filter(F.col("pay_date").isNotNull()).count()
     late = read - (out.agg(F.sum("payments")).first()[0] or 0)
     if late and not allow_late:
         raise RuntimeError(f"{late} rows came later than the watermark delay of {watermark}")
