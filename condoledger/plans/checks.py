@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators.joins import store
+from ..operators.joins import store, unbounded
 from ..sources.ledger import Ledger
 from . import dispatch as DP
 from .expenses import ExpenseState
@@ -45,6 +45,8 @@ KEYS: list[tuple[str, list[str], bool]] = [
     ("bill", ["issue_date", "id_building"], False), ("expense", ["id_expense"], False), ("ordinary", ["id_expense"], False),
     ("extraordinary", ["id_expense"], False), ("account", ["id_account", "id_unit", "id_building"], False),
     ("payment", ["id_payment"], False), ("dispatch", ["id_dispatch"], False), ("dispatch", ["id_building", "id_bill", "id_person"], False)]
+# Parents whose keys grow with the ledger: sorted for the join, not hashed or broadcast.
+GROWING = {"person", "unit", "expense", "account"}
 # child, columns, parent (whose columns have the same names), id of the child row
 FOREIGN: list[tuple[str, list[str], str, str]] = [
     ("unit", ["id_building"], "building", "id_unit"), ("occupancy", ["id_person"], "person", "id_person"),
@@ -99,7 +101,8 @@ def foreign_checks(tables: dict[str, DataFrame], folder: str) -> DataFrame:
         if child in tables:
             rule = f"{'+'.join(cols)} in {parent}"
             refers = tables[child].dropna(subset=cols)
-            orphans = refers.join(tables[parent].select(*cols).distinct(), cols, "left_anti")
+            keys = tables[parent].select(*cols)
+            orphans = refers.join(unbounded(keys) if parent in GROWING else keys.distinct(), cols, "left_anti")
             orphans = store(orphans.select(F.lit(rule).alias("rule"), F.col(key).alias("id")), f"{folder}/q3-{n}")
             parts.append(_report(orphans, [rule], child))
     return reduce(DataFrame.unionByName, parts)

@@ -10,6 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import unbounded
 from ..sources.ledger import EXTRAORDINARY, Ledger
 from . import secure as S
 from .reports import bills_side
@@ -70,9 +71,11 @@ def q2_uniqueness(lg: Ledger) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _orphans(child: DataFrame, parent: DataFrame, fk: str, ckey: str, pkey: str) -> DataFrame:
+def _orphans(child: DataFrame, parent: DataFrame, fk: str, ckey: str, pkey: str, grows: bool = False) -> DataFrame:
+    """``grows``: the parent's keys grow with the ledger; they are sorted, not hashed or broadcast."""
+    keys = parent.select(F.col(pkey).alias("_k"))
     o = (child.select(F.col(ckey).alias("_k")).filter(F.col("_k").isNotNull())
-         .join(parent.select(F.col(pkey).alias("_k")).distinct(), "_k", "left_anti"))
+         .join(unbounded(keys) if grows else keys.distinct(), "_k", "left_anti"))
     return o.agg(F.count(F.lit(1)).cast("bigint").alias("orphans")).select(F.lit(fk).alias("fk"), "orphans")
 
 
@@ -80,13 +83,13 @@ def q3_referential(lg: Ledger) -> DataFrame:
     """Q3: foreign keys as orphan counts (anti joins)."""
     parts = [
         _orphans(lg.unit, lg.building, "unit.building", "id_building", "id_building"),
-        _orphans(lg.occupancy, lg.person, "occupancy.person", "id_person", "id_person"),
+        _orphans(lg.occupancy, lg.person, "occupancy.person", "id_person", "id_person", grows=True),
         _orphans(lg.occupancy, lg.building, "occupancy.building", "id_building", "id_building"),
         _orphans(lg.bill, lg.building, "bill.building", "id_building", "id_building"),
         _orphans(lg.expense, lg.bill, "expense.bill", "id_bill", "id_bill"),
-        _orphans(lg.account, lg.unit, "account.unit", "id_unit", "id_unit"),
+        _orphans(lg.account, lg.unit, "account.unit", "id_unit", "id_unit", grows=True),
         _orphans(lg.account, lg.bill, "account.bill", "id_bill", "id_bill"),
-        _orphans(lg.payment, lg.account, "payment.account", "id_account", "id_account"),
+        _orphans(lg.payment, lg.account, "payment.account", "id_account", "id_account", grows=True),
         _orphans(lg.payment, lg.bill, "payment.bill", "id_bill", "id_bill"),
     ]
     return reduce(DataFrame.unionByName, parts)
