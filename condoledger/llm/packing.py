@@ -1,9 +1,8 @@
 """Lexical retrieval packing (operator 10).
 
 Documents become token ids plus an end id. They are dealt by range of their
-strongest terms (tf-idf; the document frequencies come from a bounded sample
-and only decide who meets whom), so that lexically close documents lie side by
-side whatever files they came from. A slice of a partition (a few MB of ids)
+strongest terms (tf-idf over the document frequencies of the whole table), so
+that lexically close documents lie side by side whatever files they came from. A slice of a partition (a few MB of ids)
 forms one shard with a BM25 inverted index over the documents' token ids,
 without the end id; a seed asks with all its terms. Whole windows of a long document are sequences by
 themselves; what is left of each document is a pool. A seed from the pool
@@ -38,11 +37,11 @@ from .tokenizing import chunk_tokenizer, default_tokenizer
 
 WINDOW = 2048
 END_ID = 1
-# BM25's constants, how many of a document's terms place it, and how many
-# documents tell how frequent a term is.
+# BM25's constants, and how many of a document's terms place it.
 K1, B = 1.2, 0.75
 PLACE_TERMS = 3
-SAMPLE_DOCS = 2000
+# What ``wide`` says in a stored row that holds a slice's document frequencies.
+FREQUENCIES = "df"
 
 
 class Bm25Shard:
@@ -143,32 +142,63 @@ def _powers_of_two(sequence: list[tuple[int, int, int]]) -> Iterator[list[tuple[
         yield out
 
 
+def document_terms(ids: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, term, how often) of every different term of every document, sorted."""
+    base = int(ids.max(initial=0)) + 1
+    keys = np.sort(np.repeat(np.arange(len(offsets) - 1), np.diff(offsets)) * base + ids.astype(np.int64))
+    first = np.flatnonzero(np.diff(keys, prepend=-1))
+    return keys[first] // base, keys[first] % base, np.diff(first, append=len(keys))
+
+
 def strongest(ids: np.ndarray, offsets: np.ndarray, df: np.ndarray, n: int) -> np.ndarray:
     """The PLACE_TERMS terms of each document with the highest tf-idf, -1 where
-    it has fewer; terms that the sample does not know twice come last."""
+    it has fewer; terms that no other document has come last."""
     out = np.full((len(offsets) - 1, PLACE_TERMS), -1, np.int32)
+    doc, term, tf = document_terms(ids, offsets)
     idf = np.log1p(np.maximum(n - df + 0.5, 0) / (df + 0.5)) * np.where(df < 2, 1e-3, 1)
-    new = np.log1p(2 * n + 1) * 1e-3                       # of a term that the sample does not know
-    for k, (a, b) in enumerate(zip(offsets[:-1], offsets[1:])):
-        term, tf = np.unique(ids[a:b], return_counts=True)
-        weight = tf * (K1 + 1) / (tf + K1) * np.where(term < len(df), idf[np.minimum(term, len(df) - 1)], new)
-        top = term[np.argsort(-weight, kind="stable")[:PLACE_TERMS]]
-        out[k, :len(top)] = top
+    weight = tf * (K1 + 1) / (tf + K1) * idf[term]
+    for k in range(PLACE_TERMS if len(doc) else 0):        # the best, the smallest of equal ones, then the next best
+        first = np.flatnonzero(np.diff(doc, prepend=-1))
+        best = np.flatnonzero(weight == np.repeat(np.maximum.reduceat(weight, first), np.diff(first, append=len(doc))))
+        best = best[np.unique(doc[best], return_index=True)[1]]
+        best = best[weight[best] >= 0]
+        out[doc[best], k] = term[best]
+        weight[best] = -1
     return out
 
 
-def frequencies(docs: DataFrame, tokenizer: str | None) -> tuple[np.ndarray, int]:
-    """Document frequencies by term id, and the number of documents, of at most SAMPLE_DOCS documents."""
+def coded(docs: DataFrame, end_id: int, tokenizer: str | None) -> DataFrame:
+    """doc_id, ids (with the end id) and wide (their type), stored; for each slice
+    one more row, with FREQUENCIES as wide and, as ids, its documents' number and
+    its pairs of a term and the number of documents that have it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = chunk_tokenizer(tokenizer or default_tokenizer())
         for batch in slices(batches, "text"):
             ids, offsets = encoder.encode(batch.column("text"))
-            terms = [np.append(-1, np.unique(ids[a:b]).astype(np.int64)) for a, b in zip(offsets[:-1], offsets[1:])]
-            term, count = np.unique(np.concatenate(terms), return_counts=True)
+            wide = "<u4" if max(end_id, ids.max(initial=0)) > 0xFFFF else "<u2"
+            whole = [np.append(ids[a:b], np.uint32(end_id)).astype(wide).tobytes() for a, b in zip(offsets[:-1], offsets[1:])]
+            term, count = np.unique(document_terms(ids, offsets)[1], return_counts=True)
+            known = np.concatenate([[-1, len(whole)], np.stack([term, count], 1).ravel()]).astype("<i4").tobytes()
+            yield pa.RecordBatch.from_arrays([pa.concat_arrays([batch.column("doc_id"), pa.nulls(1, batch.column("doc_id").type)]), pa.array([*whole, known], pa.binary()),
+                                              pa.array([wide] * len(whole) + [FREQUENCIES])], names=["doc_id", "ids", "wide"])
+
+    df = docs.mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, ids binary, wide string")
+    return stored(df, f"{work_dir(docs.sparkSession, 'packing')}/ids")
+
+
+def frequencies(stored_ids: DataFrame) -> tuple[np.ndarray, int]:
+    """Document frequencies by term id and the number of documents, over all of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs = np.frombuffer(b"".join(batch.column("ids").to_pylist()), "<i4").reshape(-1, 2).astype(np.int64)
+            term, at = np.unique(pairs[:, 0], return_inverse=True)
+            count = np.bincount(at, pairs[:, 1], len(term)).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(term, pa.int64()), pa.array(count, pa.int64())], names=["term", "n"])
 
-    found = docs.limit(SAMPLE_DOCS).select("text").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
+    found = (stored_ids.where(F.col("wide") == FREQUENCIES).select("ids").mapInArrow(run, "term long, n long")
+             .groupBy("term").agg(F.sum("n").alias("n")).collect())
     df = np.zeros(max([0, *(r.term for r in found)]) + 1, np.int64)
     for r in found:
         if r.term >= 0:
@@ -178,22 +208,20 @@ def frequencies(docs: DataFrame, tokenizer: str | None) -> tuple[np.ndarray, int
 
 def placed(docs: DataFrame, end_id: int, tokenizer: str | None) -> DataFrame:
     """doc_id, ids (with the end id) and wide (their type), dealt and sorted by the strongest terms."""
-    df, n = frequencies(docs, tokenizer)
+    rows = coded(docs, end_id, tokenizer)
+    df, n = frequencies(rows)
     places = [f"t{k}" for k in range(PLACE_TERMS)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = chunk_tokenizer(tokenizer or default_tokenizer())
-        for batch in slices(batches, "text"):
-            ids, offsets = encoder.encode(batch.column("text"))
-            terms = strongest(ids, offsets, df, n)
-            wide = "<u4" if max(end_id, ids.max(initial=0)) > 0xFFFF else "<u2"
-            whole = [np.append(ids[a:b], np.uint32(end_id)).astype(wide).tobytes() for a, b in zip(offsets[:-1], offsets[1:])]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(whole, pa.binary()), pa.array([wide] * len(whole)), *(pa.array(t, pa.int32()) for t in terms.T)],
+        for batch in slices(batches, "ids"):
+            whole = [np.frombuffer(x, w)[:-1].astype(np.uint32) for x, w in zip(batch.column("ids").to_pylist(), batch.column("wide").to_pylist())]
+            terms = strongest(np.concatenate([np.zeros(0, np.uint32), *whole]), np.concatenate([[0], np.cumsum([len(x) for x in whole])]), df, n)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "ids", "wide")), *(pa.array(t, pa.int32()) for t in terms.T)],
                                              names=["doc_id", "ids", "wide", *places])
 
-    coded = docs.mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, ids binary, wide string, " + ", ".join(f"{t} int" for t in places))
-    coded = stored(coded, f"{work_dir(docs.sparkSession, 'packing')}/ids").withColumn("salt", F.xxhash64("doc_id"))
-    return coded.repartitionByRange(*places, "salt").sortWithinPartitions(*places, "salt").select("doc_id", "ids", "wide")
+    near = rows.where(F.col("wide") != FREQUENCIES).mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, ids binary, wide string, " + ", ".join(f"{t} int" for t in places))
+    near = near.withColumn("salt", F.xxhash64("doc_id"))
+    return near.repartitionByRange(*places, "salt").sortWithinPartitions(*places, "salt").select("doc_id", "ids", "wide")
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
