@@ -199,29 +199,31 @@ class Ledger:
     @cached_property
     def payment(self) -> DataFrame:
         """lineitem x orders: one payment per line, dated inside the order month."""
-        li = self.raw("lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-                      "l_extendedprice", "l_discount", "l_tax", "l_shipdate")
+        li = self.raw("lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")
         o = self.orders_b.select("o_orderkey", "id_unit", "id_building", "month_start")
         # big x big at scale: a sort-merge join on the order key (also the plan that
         # spreads the per-line text work over all tasks locally)
         j = li.join(o.hint("merge"), li.l_orderkey == o.o_orderkey)
         # (order, line, part, supplier) can repeat: a sequence number inside that
         # key makes the id unique. The window is partitioned by a superset of
-        # the join key, so it reuses the join's partitioning (sort only).
+        # the join key, so it reuses the join's partitioning (sort only). Lines
+        # that agree in the quantity too give the same payments but for the number.
         line_key = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-        seq = F.row_number().over(Window.partitionBy(*line_key).orderBy(
-            "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_shipdate"))
-        j = j.withColumn("_seq", seq)
+        seq = F.row_number().over(Window.partitionBy(*line_key).orderBy("l_quantity"))
         offset = (7 * F.col("l_orderkey") + 5 * F.col("l_linenumber") + F.col("l_partkey")) % 50
+        # the numbers move by date; the ids' texts are made behind the shuffle
+        j = j.select(*line_key, seq.alias("_seq"), "l_quantity", "id_unit", "id_building", "month_start",
+                     F.date_add("month_start", offset.cast("int")).alias("pay_date"))
+        j = j.repartitionByRange("pay_date", *line_key, "_seq")
         return self._store("payment", j.select(
             # (order, line) repeats in the driver data; with part and supplier it is unique
             F.concat_ws("-", *line_key, "_seq").alias("id_payment"),
             account_id(F.col("id_unit"), F.col("month_start")).alias("id_account"),
             "id_unit", "id_building",
             bill_id(F.col("id_building"), F.col("month_start")).alias("id_bill"),
-            F.date_add("month_start", offset.cast("int")).alias("pay_date"),
+            "pay_date",
             (200 * F.col("l_quantity")).cast("decimal(10,2)").alias("amount"),
-            cbu_of(F.col("id_unit")).alias("cbu")), ["pay_date", "id_payment"])
+            cbu_of(F.col("id_unit")).alias("cbu")))
 
     @cached_property
     def fx_quote(self) -> DataFrame:
