@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -65,6 +66,23 @@ def test_op3_does_not_depend_on_how_the_table_is_split_again(spark, documents):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_stored_steps_leave_no_shuffle_files(spark, tmp_path):
+    """The shuffles of a written step are gone with it; the frame itself can be read and written again."""
+    from condoledger.llm.common import CLEANUP, stored
+
+    blocks = lambda: spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+    names = lambda: {x for x in (str(b) for b in blocks().mkString(",").split(",")) if x.startswith("shuffle_")}
+    before, setting = names(), spark.conf.get(CLEANUP)
+    docs = spark.range(5000).selectExpr("id % 97 AS k", "id AS v").repartition(7, "k")
+    rows = stored(docs, f"{tmp_path}/a")
+    for _ in range(30):
+        if not names() - before:
+            break
+        time.sleep(0.1)
+    assert not names() - before and spark.conf.get(CLEANUP) == setting
+    assert stored(docs, f"{tmp_path}/b").count() == rows.count() == docs.count() == 5000
+
+
 def test_op3_strings_of_equal_hashes(spark):
     """Thue-Morse strings and their complements have equal polynomial hashes modulo 2^64."""
     word = b"a"
