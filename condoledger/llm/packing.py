@@ -145,9 +145,11 @@ def _powers_of_two(sequence: list[tuple[int, int, int]]) -> Iterator[list[tuple[
 def document_terms(ids: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(document, term, how often) of every different term of every document, sorted."""
     base = int(ids.max(initial=0)) + 1
-    keys = np.sort(np.repeat(np.arange(len(offsets) - 1), np.diff(offsets)) * base + ids.astype(np.int64))
-    first = np.flatnonzero(np.diff(keys, prepend=-1))
-    return keys[first] // base, keys[first] % base, np.diff(first, append=len(keys))
+    kind = np.uint32 if base * len(offsets) < 1 << 32 else np.int64          # short keys sort faster
+    keys = np.sort(np.repeat(np.arange(len(offsets) - 1, dtype=kind) * kind(base), np.diff(offsets)) + ids.astype(kind))
+    first = np.flatnonzero(np.concatenate([np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1]]))
+    doc, term = np.divmod(keys[first], kind(base))
+    return doc.astype(np.int64), term.astype(np.int64), np.diff(first, append=len(keys))
 
 
 def strongest(ids: np.ndarray, offsets: np.ndarray, df: np.ndarray, n: int) -> np.ndarray:

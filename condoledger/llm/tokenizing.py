@@ -14,6 +14,7 @@ from __future__ import annotations
 import os
 import re
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -76,7 +77,7 @@ class ChunkTokenizer:
                 np.fromiter(map(len, found), np.int64, len(found)))
 
     def _learn(self, words: list[str], chunks: list[str]) -> None:
-        """Add words and other chunks that are not yet in the cache."""
+        """Add words and other chunks that are not yet in the cache, in this order."""
         for names, (ids, size) in ((words, self._words(words)), (chunks, self._chunks(chunks))):
             self.row.update(zip(names, range(len(self.row), len(self.row) + len(names))))
             self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(size) - size])
@@ -94,12 +95,15 @@ class ChunkTokenizer:
         is_word = pc.match_substring_regex(coded.dictionary, f"^[{_LETTERS}]+$")
         lower = pc.if_else(is_word, pc.utf8_lower(coded.dictionary), coded.dictionary).dictionary_encode()
         names = lower.dictionary.to_numpy(zero_copy_only=False).tolist()
-        word = pc.match_substring_regex(lower.dictionary, f"^[{_LETTERS}]+$").to_numpy(zero_copy_only=False).tolist()
         if len(self.row) > CACHE_ENTRIES:
             self._clear()
-        self._learn([c for c, w in zip(names, word) if w and c not in self.row],
-                    [c for c, w in zip(names, word) if not w and c not in self.row])
-        row = np.fromiter(map(self.row.__getitem__, names), np.int64, len(names))
+        row = np.fromiter(map(self.row.get, names, repeat(-1)), np.int64, len(names))
+        new = np.flatnonzero(row < 0)
+        if len(new):                                                       # words first, then the others
+            word = pc.match_substring_regex(lower.dictionary.take(pa.array(new)), f"^[{_LETTERS}]+$").to_numpy(zero_copy_only=False)
+            words, chunks = new[word], new[~word]
+            row[np.concatenate([words, chunks])] = len(self.row) + np.arange(len(new))
+            self._learn([names[k] for k in words.tolist()], [names[k] for k in chunks.tolist()])
         row = row[lower.indices.to_numpy(zero_copy_only=False)][coded.indices.to_numpy(zero_copy_only=False)]
         n = self.size[row]
         ends = np.concatenate([[0], np.cumsum(n)])
