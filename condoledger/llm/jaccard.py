@@ -22,8 +22,8 @@ join is exact: no link between different texts is lost, and no cap drops one.
    forest round and a last round with every pair that is still open between
    different components make sure that nothing is missed.
 
-Hot tokens: shingles that are frequent in a bounded sample come last in the
-order, so a line or passage that a third of all documents share is in no
+Hot tokens: shingles that are frequent in all documents (counted in buckets,
+so never too low) come last in the order, so a line or passage that a third of all documents share is in no
 prefix of a longer document. All steps are keyed by token or class, none by
 component; everything stored lies in the shared checkpoint folder.
 
@@ -45,12 +45,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import id_and_text, raw_texts, slices, stored, work_dir
-from .shingles import Order, mix
+from .shingles import BUCKETS, SHIFTS, Order, buckets, mix, shingles
 
 SIZE = 4                   # words of a shingle
 THRESHOLD = 85             # per cent
-SAMPLE_DOCS = 4000         # documents, at most, on which frequent shingles are counted
-FREQUENT = 4               # documents of the sample that make a shingle frequent
+FREQUENT = 4               # times that a shingle must occur to be frequent, at least,
+FREQUENT_SHARE = 1000      # and once in so many documents
+COUNT_PARTS = 32           # parts in which the tables of counts are summed up
 BLOCK = 4096               # classes of a group that one task compares with as many others
 
 
@@ -76,20 +77,31 @@ def folded(rows: list[bytes], size: int) -> np.ndarray:
 
 
 def frequent_shingles(docs: DataFrame, size: int) -> Order:
-    """The order that knows the shingles frequent in a bounded sample."""
-    share = min(1.0, SAMPLE_DOCS / max(1, docs.count()))
-    sample = docs.select("text").where(F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1_000_000)) < int(1_000_000 * share) + 1).limit(SAMPLE_DOCS)
+    """The order that knows the frequent shingles of all documents, counted in buckets."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        plain = Order()
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, n = np.zeros((len(SHIFTS), BUCKETS), np.int64), 0
         for batch in slices(batches, "text"):
-            h, _ = plain.sets(raw_texts(batch, "text"), size)
-            h, n = np.unique(h, return_counts=True)
-            yield pa.RecordBatch.from_pydict({"h": h.view(np.int64), "n": n.astype(np.int64)})
-
-    rows = (sample.mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-            .where(F.col("n") >= FREQUENT).toPandas())       # bounded by the sample
-    return Order(rows["h"].to_numpy(np.int64).view(np.uint64), rows["n"].to_numpy(np.int64))
+            n += batch.num_rows
+            for table, at in zip(counts, buckets(shingles(raw_texts(batch, "text"), size)[0])):
+                table += np.bincount(at, minlength=BUCKETS)
+        if n:
+            rows = [np.array([n]), *counts.reshape(COUNT_PARTS, -1)]        # the number of documents, then the counts
+            yield pa.RecordBatch.from_pydict({"part": np.arange(len(rows)), "counts": pa.array([r.tobytes() for r in rows], pa.binary())})
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, counts in zip(batch.column("part").to_pylist(), batch.column("counts").to_pylist()):
+                sums[part] = sums.get(part, 0) + np.frombuffer(counts, np.int64)
+        yield pa.RecordBatch.from_pydict({"part": pa.array(list(sums), pa.int64()), "counts": pa.array([c.tobytes() for c in sums.values()], pa.binary())})
+
+    kind = "part long, counts binary"
+    rows = docs.select("text").mapInArrow(count, kind).repartition(COUNT_PARTS, "part").mapInArrow(total, kind).collect()   # a fixed size
+    if not rows:
+        return Order()
+    n, *parts = (np.frombuffer(r.counts, np.int64) for r in sorted(rows, key=lambda r: r.part))
+    return Order(np.concatenate(parts).reshape(len(SHIFTS), -1), max(FREQUENT, int(n[0]) // FREQUENT_SHARE))
 
 
 def signatures(docs: DataFrame, order: Order, size: int, threshold: int) -> DataFrame:
@@ -339,7 +351,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     folder = work_dir(spark, "jaccard")
     df = id_and_text(docs, id_col, text_col)
     df = df.withColumn("doc_id", F.col("doc_id").cast("long"))
-    order = spark.sparkContext.broadcast(frequent_shingles(df, size))                       # bounded by the sample
+    order = spark.sparkContext.broadcast(frequent_shingles(df, size))                       # tables of a fixed size
 
     with_order: Callable[[], Order] = lambda: order.value
     sig = stored(signatures(df, _Late(with_order), size, threshold), f"{folder}/signatures")

@@ -234,6 +234,27 @@ def test_op7_edge_rows(edge_docs, empty_docs):
     assert jaccard.jaccard_components(empty_docs).count() == 0
 
 
+def test_shingles_are_counted_in_every_document(spark):
+    """More documents than any sample would read; the frequent phrase is in the last ones alone."""
+    rows = [(k, f"a{k} b{k} c{k} d{k} e{k}") for k in range(6000)] + [(6000 + k, f"some words found often x{k}") for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    order = jaccard.frequent_shingles(docs, 4)
+    frequent, _, _ = shingles.shingles([b"some words found often"], 4)
+    rare, _, _ = shingles.shingles([t.encode() for _, t in rows[:6000]], 4)
+    assert (order.key(frequent, np.zeros(1, np.int64)) >> np.uint64(16)).tolist() == [40]
+    assert (order.key(rare, np.zeros(len(rare), np.int64)) >> np.uint64(16)).max() == 0
+
+
+def test_no_order_changes_the_components(spark, documents, monkeypatch):
+    """Also not a random one."""
+    rows = [(d[0], d[1]) for d in documents[:300]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = got_components(jaccard.jaccard_components(docs))
+    counts = np.random.default_rng(3).integers(0, 50, (2, shingles.BUCKETS))
+    monkeypatch.setattr(jaccard, "frequent_shingles", lambda docs, size: shingles.Order(counts))
+    assert got_components(jaccard.jaccard_components(docs)) == want
+
+
 def test_op7_different_texts_under_one_id(spark):
     """Each keeps its links, and they are one document."""
     a, b, c = (" ".join(f"{x}{k}" for k in range(60)) for x in "abc")
