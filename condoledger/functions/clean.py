@@ -226,7 +226,7 @@ def cbu_strict(c: Column | str) -> Column:
 def cbu_padded(c: Column | str) -> Column:
     """Upper, remove NBSP tab space . -, left-pad with zeros keeping the
     RIGHT 22 characters (all zeros = rejected by the loader)."""
-    t = F.regexp_replace(F.upper(trim_spaces(_c(c))), r"[" + NBSP + r"\t .\-]", "")
+    t = F.translate(F.upper(trim_spaces(_c(c))), NBSP + "\t .-", "")
     return F.substring(F.concat(F.lit("0" * 22), t), -22, 22)
 
 

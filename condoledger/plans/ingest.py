@@ -7,6 +7,7 @@ written in place. Accepted + rejected always account for every input row.
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 import uuid
 from dataclasses import dataclass
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import clean as K
-from ..operators.joins import store, unbounded
+from ..operators.joins import shuffles_freed, store, unbounded
 from ..session import checkpoint_dir
 from ..sources import files as FL
 from ..sources import rawtext as RT
@@ -47,7 +48,7 @@ def landed(lg: Ledger, name: str, make) -> str:
 def unit_bank_key(cbu) -> F.Column:
     """Unit bank id as the payment loader compares it: upper, trimmed, NBSP, tab,
     space and '-' removed, zero-padded keeping the right 22 characters."""
-    t = F.regexp_replace(F.upper(K.trim_spaces(cbu)), "[" + K.NBSP + "\t \\-]", "")
+    t = F.translate(F.upper(K.trim_spaces(cbu)), K.NBSP + "\t -", "")
     return F.substring(F.concat(F.lit("0" * 22), t), -22, 22)
 
 
@@ -66,10 +67,36 @@ class PaymentLoad:
     ok: DataFrame        # accepted rows (distinct) with action INSERT / KEEP
     rejects: DataFrame   # reason + raw or normalised texts
     summary: DataFrame   # one row of counts
+    months: list[dt.date]    # the months of the file's valid rows
 
 
-def load_payments(lg: Ledger, raw: DataFrame, amount_rule: str = "K3",
-                  existing: DataFrame | None = None) -> PaymentLoad:
+@dataclass
+class PaymentKeys:
+    """What payment rows are looked up in."""
+    units: DataFrame     # cbu (as the loader compares it), id_unit, id_building
+    accounts: DataFrame  # id_account, _unit, _bill and _first, the first month of that bill
+    firsts: DataFrame    # that month for each month of a bill
+
+
+def unit_bank_keys(lg: Ledger) -> DataFrame:
+    return lg.unit.select(unit_bank_key(F.col("cbu")).alias("cbu"), "id_unit", "id_building")
+
+
+def stored_keys(lg: Ledger, folder: str) -> PaymentKeys:
+    """The keys for a file that comes in many parts: made once, the accounts in
+    folders by month, so that a part reads only those of its own months."""
+    bills = store(bill_of_month(lg), os.path.join(folder, "bills"))
+    first = bills.groupBy(F.col("bill_match").alias("_bill")).agg(F.min("b_month").alias("_first"))
+    accounts = lg.account.select("id_account", F.col("id_unit").alias("_unit"), F.col("id_bill").alias("_bill")).join(first, "_bill")
+    path = os.path.join(folder, "accounts")
+    with shuffles_freed(lg.spark):
+        accounts.repartitionByRange("_first", "_unit", "id_account").write.mode("overwrite").partitionBy("_first").parquet(path)
+    return PaymentKeys(store(unit_bank_keys(lg), os.path.join(folder, "units")), lg.spark.read.schema(accounts.schema).parquet(path),
+                       bills.join(first, F.col("bill_match") == F.col("_bill")).select("b_month", "_first").distinct())
+
+
+def load_payments(lg: Ledger, raw: DataFrame, amount_rule: str = "K3", existing: DataFrame | None = None,
+                  keys: PaymentKeys | None = None, keep: bool = False) -> PaymentLoad:
     """Parse, reconcile to unit / bill / account, reject with reasons, merge.
 
     ``raw`` has text cells c1 (id), c2 (date), c3 (bank id), c4 (amount).
@@ -77,6 +104,8 @@ def load_payments(lg: Ledger, raw: DataFrame, amount_rule: str = "K3",
     A ``file`` column of ``raw`` goes with its rows into the rejects.
     ``existing`` payments (default: the ledger's) make the merge insert-only
     and idempotent: a row equal on all key columns is kept, not re-inserted.
+    ``keys`` (default: from the ledger's tables) are those of ``stored_keys``.
+    ``keep`` stores the reconciled rows, for a caller of more than one output.
     """
     existing = lg.payment if existing is None else existing
     of_file = [c for c in raw.columns if c == "file"]
@@ -93,20 +122,29 @@ def load_payments(lg: Ledger, raw: DataFrame, amount_rule: str = "K3",
     # as Parquet in the shared checkpoint folder: three outputs read them, and
     # a filter on the parse results must not be pushed back into the parse
     # expressions (one write; an RDD checkpoint would compute the parse twice).
-    p = store(p.select("c2", "c3", "c4", "_blank", "pay_date", "cbu", "amount", "_valid", *of_file),
-              os.path.join(checkpoint_dir(lg.spark), "parsed", uuid.uuid4().hex))
+    # Only rejects show the texts.
+    folder = os.path.join(checkpoint_dir(lg.spark), "parsed", uuid.uuid4().hex)
+    refused = F.col("_blank") | ~F.col("_valid")
+    p = store(p.select(*[F.when(refused, F.col(c)).alias(c) for c in ("c2", "c3", "c4")], "_blank", "pay_date", "cbu", "amount", "_valid", *of_file),
+              f"{folder}/rows")
 
-    units = lg.unit.select(unit_bank_key(F.col("cbu")).alias("cbu"), "id_unit", "id_building")
+    units = unit_bank_keys(lg) if keys is None else keys.units
     # only bills of the file's months can be those of its rows: a file of few
     # days does not shuffle the accounts of all months
-    lo, hi = p.filter("_valid").agg(F.min("pay_date"), F.max("pay_date")).first()
+    of_month = p.filter("_valid").groupBy(F.trunc("pay_date", "month")).agg(F.min("pay_date"), F.max("pay_date")).collect()
+    months, lo, hi = [r[0] for r in of_month], min((r[1] for r in of_month), default=None), max((r[2] for r in of_month), default=None)
     bills = bill_of_month(lg).filter(F.col("b_month").between(F.trunc(F.lit(lo), "month"), F.lit(hi))).withColumnRenamed("id_building", "_building")
-    acc = lg.account.select("id_account", F.col("id_unit").alias("_unit"), F.col("id_bill").alias("_bill"))
-    acc = acc.join(bills.select(F.col("bill_match").alias("_bill")), "_bill", "left_semi")
+    if keys is None:
+        acc = lg.account.select("id_account", F.col("id_unit").alias("_unit"), F.col("id_bill").alias("_bill"))
+        acc = acc.join(bills.select(F.col("bill_match").alias("_bill")), "_bill", "left_semi")
+    else:
+        firsts = [r[0] for r in keys.firsts.filter(F.col("b_month").isin(months)).select("_first").distinct().collect()]
+        acc = keys.accounts.filter(F.col("_first").isin(firsts)).drop("_first")
     # Rows without a unit would all meet in one task as the NULL key of the
     # next joins: they get spread negative keys, which no building or unit has.
-    spread = -F.pmod(F.xxhash64("c2", "c3", "c4"), F.lit(1 << 40)) - 1
+    spread = F.col("_spread")
     m = (p.filter(~F.col("_blank") & F.col("_valid"))
+         .select("pay_date", "cbu", "amount", (-F.pmod(F.xxhash64("pay_date", "cbu", "amount"), F.lit(1 << 40)) - 1).alias("_spread"), *of_file)
          .join(unbounded(units), "cbu", "left")
          .withColumn("b_month", F.trunc("pay_date", "month"))
          .withColumn("_building", F.coalesce("id_building", spread))
@@ -119,9 +157,11 @@ def load_payments(lg: Ledger, raw: DataFrame, amount_rule: str = "K3",
               .when(F.col("id_bill").isNull(), REASON_NO_BILL)
               .when(F.col("id_account").isNull(), REASON_NO_ACCOUNT))
     m = m.withColumn("reason", reason)
+    if keep:
+        m = store(m.select("reason", "id_account", "id_unit", "id_building", "id_bill", "pay_date", "amount", "cbu", *of_file), f"{folder}/reconciled")
 
     text = ["c2", "c3", "c4"]
-    rej_raw = p.filter(F.col("_blank") | ~F.col("_valid")).select(
+    rej_raw = p.filter(refused).select(
         F.when(F.col("_blank"), REASON_BLANK).otherwise(REASON_PARSE).alias("reason"),
         *[F.nullif(F.col(c), F.lit("")).alias(t) for c, t in zip(text, ["date_txt", "cbu_txt", "amount_txt"])], *of_file)
     rej_match = m.filter(F.col("reason").isNotNull()).select(
@@ -155,14 +195,14 @@ def load_payments(lg: Ledger, raw: DataFrame, amount_rule: str = "K3",
                                      F.lit(1).alias("ok"), (F.col("action") == "INSERT").cast("int").alias("inserted"))))
     summary = counts.agg(*[F.sum(c).cast("bigint").alias(c) for c in
                            ["raw", "norm", "valid", "parse_err", "blank", "match_err", "ok", "inserted"]])
-    return PaymentLoad(ok, rejects, summary)
+    return PaymentLoad(ok, rejects, summary, months)
 
 
 def payment_load(lg: Ledger, amount_rule: str = "K3") -> PaymentLoad:
     """L7 over the landed bank file, once per ledger (the three outputs share it)."""
     cache = lg.__dict__.setdefault("_payment_loads", {})
     if amount_rule not in cache:
-        cache[amount_rule] = load_payments(lg, payments_from_landed_csv(lg), amount_rule)
+        cache[amount_rule] = load_payments(lg, payments_from_landed_csv(lg), amount_rule, keep=True)
     return cache[amount_rule]
 
 

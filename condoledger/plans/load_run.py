@@ -136,7 +136,7 @@ def missing_accounts(st: State) -> Step:
 
 
 def payments(st: State) -> Step:
-    load = I.load_payments(st, landing.payments(st.files))
+    load = I.load_payments(st, landing.payments(st.files), keep=True)
     new = U.surrogate_keys(load.ok.filter(F.col("action") == U.INSERT), st.payment, "id_payment",
                            ["pay_date", "id_unit", "id_bill", "amount", "cbu", "id_account"])
     return Step({}, {"payment": new}, _rejects(load.rejects, F.col("date_txt"), F.col("cbu_txt"), F.col("amount_txt"), F.col("file")))

@@ -124,12 +124,17 @@ def source_file() -> Column:
     return F.when(own.startswith("part-"), F.element_at(parts, -2)).otherwise(own)
 
 
+def payment_cell(name: str) -> Column:
+    """A cell of the bank file without CR, LF and BOM."""
+    return F.translate(name, "\r\n\ufeff", "").alias(name)
+
+
 def read_payments_csv(spark: SparkSession, path: str, header: bool = True, sep: str = ",",
                       encoding: str = "UTF-8", with_file: bool = False) -> DataFrame:
     """Comma CSV with '"' quotes; CR, LF and BOM stripped from every cell.
     ``with_file`` adds the row's file name as ``file``."""
     df = _csv(spark, path, PAYMENTS_COLS, sep, header, encoding, quote='"')
-    return df.select(*[F.regexp_replace(c, "[\r\n\ufeff]", "").alias(c) for c in PAYMENTS_COLS],
+    return df.select(*[payment_cell(c) for c in PAYMENTS_COLS],
                      *([source_file().alias("file")] if with_file else []))
 
 
@@ -149,7 +154,8 @@ def read_fx_quotes_json(spark: SparkSession, path: str) -> DataFrame:
 
 
 def land_csv(df: DataFrame, path: str, sep: str = ",", header: bool = True) -> str:
-    """Write a text DataFrame as a CSV folder (quotes where needed)."""
+    """Write a text DataFrame as a CSV folder (quotes where needed), packed: the
+    text of a large file would be the largest thing on the disk."""
     (df.write.mode("overwrite").option("header", header).option("sep", sep).option("quote", '"')
-     .option("escape", '"').csv(path))
+     .option("escape", '"').option("compression", "lz4").csv(path))
     return path

@@ -18,6 +18,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.joins import shuffles_freed
 
 class Versions:
     def __init__(self, spark: SparkSession, root: str, tables: dict[str, str]):
@@ -53,7 +54,8 @@ class Versions:
         df = df.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(action == "INSERT").alias("inserted"),
                         F.count_if(action == "UPDATE").alias("updated"))
         schema = self.spark.createDataFrame([], self.ddl[name]).schema
-        df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]).write.parquet(path)
+        with shuffles_freed(df.sparkSession):
+            df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]).write.parquet(path)
         return path, seen.get
 
     def commit(self, step: int, written: dict[str, tuple[str, bool]]) -> None:
