@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import clean as K
-from ..operators.joins import store
+from ..operators.joins import shuffles_freed
 from ..plans import accounts as A
 from ..plans import ingest as I
 from ..session import checkpoint_dir
@@ -134,26 +134,30 @@ def payment_file_stream(lg: Ledger, files_per_batch: int = 4) -> DataFrame:
     """The bank CSV files streamed through the L7 loader in foreachBatch;
     accepted rows are merged insert-only against those accepted before (U3).
     The accepted rows lie in folders by batch and payment month, and a batch
-    is compared with the months of its own rows only. A replayed batch
-    rewrites its own folders. Final: all accepted rows."""
+    is compared with the months of its own rows only. The bank ids and the
+    accounts are stored for it once, and a batch reads the accounts of its own
+    months. A replayed batch rewrites its own folders. Final: all accepted rows."""
     raw_path = I.landed(lg, "payments_csv", lambda p: FL.land_csv(RT.raw_payments(lg), p))
     run = _run_dir(lg, "s2")
     ok_sink, rej_sink = os.path.join(run, "ok"), os.path.join(run, "rejects")
+    keys = I.stored_keys(lg, os.path.join(run, "keys"))
     cols = ["id_account", "id_unit", "id_building", "id_bill", "pay_date", "amount", "cbu"]
     schema = "id_account bigint, id_unit bigint, id_building bigint, id_bill bigint, pay_date date, amount decimal(12,2), cbu string, month int, batch_id int"
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        raw = df.select(*[F.regexp_replace(c, "[\r\n\ufeff]", "").alias(c) for c in FL.PAYMENTS_COLS])
-        load = I.load_payments(lg, raw)
+        # a packed file is read by one task: its rows go to all of them
+        raw = df.select(*[FL.payment_cell(c) for c in FL.PAYMENTS_COLS]).repartition(lg.spark.sparkContext.defaultParallelism)
+        load = I.load_payments(lg, raw, keys=keys, keep=True)
         month = (F.year("pay_date") * 100 + F.month("pay_date")).cast("int")
-        ok = store(load.ok.select(*cols, month.alias("month")), os.path.join(run, "staged", f"batch_id={batch_id}"))
-        months = [r[0] for r in ok.select("month").distinct().collect()]
+        ok = load.ok.select(*cols, month.alias("month"))
+        months = [m.year * 100 + m.month for m in load.months]
         if batch_id and months:
             # batch 0 has nothing before it; a replayed batch does not count itself
             before = lg.spark.read.schema(schema).parquet(ok_sink).filter(
                 (F.col("batch_id") < batch_id) & F.col("month").isin(months))
             ok = ok.join(before.select(*cols), cols, "left_anti")
-        ok.write.mode("overwrite").partitionBy("month").parquet(os.path.join(ok_sink, f"batch_id={batch_id}"))
+        with shuffles_freed(lg.spark):
+            ok.write.mode("overwrite").partitionBy("month").parquet(os.path.join(ok_sink, f"batch_id={batch_id}"))
         load.rejects.write.mode("overwrite").parquet(os.path.join(rej_sink, f"batch_id={batch_id}"))
 
     stream = (lg.spark.readStream.schema(FL.string_schema(FL.PAYMENTS_COLS)).option("header", True)
